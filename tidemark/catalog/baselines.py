@@ -38,7 +38,7 @@ def baseline_by_station(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(t.sql("readings baseline", BASELINE_BODY))
 def baseline_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = station_baseline(
-        t.readings(spark, sf_dir), min_max=True, exact=True, group_limit=10, slice_rows=1000
+        t.readings(spark, sf_dir), min_max=True, exact=True, group_limit=10, slice_rows=500
     )
     return t.rounded(stats, *MOMENTS)
 

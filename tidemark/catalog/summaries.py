@@ -99,7 +99,7 @@ def describe_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(DESCRIBE.replace(", 8)", ", 4)") + "(SELECT l_extendedprice AS value FROM lineitem)")
 def describe_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = t.table(spark, sf_dir, "lineitem")
-    split = stats.describe(prices, "l_extendedprice", group_limit=1000, slice_rows=2000)
+    split = stats.describe(prices, "l_extendedprice", group_limit=1000, slice_rows=5000)
     return t.rounded(split, *DOUBLES, digits=4)
 
 

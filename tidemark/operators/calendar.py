@@ -12,14 +12,20 @@ def date_spine(spark: SparkSession, start: str, n_days: int) -> DataFrame:
     return spark.range(1).select(F.explode(days).alias("date"))
 
 
-def station_day_spine(stations: DataFrame, start: str, n_days: int) -> DataFrame:
+def station_day_spine(
+    stations: DataFrame, start: str, n_days: int, partitions: int | None = None
+) -> DataFrame:
     """Every station on every day.
 
-    Each station row unrolls its own days in place: no join and no shuffle, and the
-    output is as well spread as the stations are.
+    Each station row unrolls its own days in place, without a join. The stations are a
+    small table that would mostly sit in one task, so they are spread first, over
+    ``partitions`` tasks (default: the session's shuffle partitions).
     """
+    if partitions is None:
+        partitions = int(stations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     days = calendar.days_from(F.lit(start).cast("date"), F.lit(n_days))
-    return stations.select("*", F.explode(days).alias("date"))
+    spread = stations.repartition(partitions, STATION_KEY)
+    return spread.select("*", F.explode(days).alias("date"))
 
 
 def interval_days(
@@ -27,12 +33,11 @@ def interval_days(
 ) -> DataFrame:
     """Distinct (station, day) pairs covered by any interval ``[start, start+length)``.
 
-    Equal intervals are merged before they are unrolled, and overlapping days collapse
-    in the partial aggregation, so repeated events of one station stay cheap.
+    Overlapping days collapse in the partial aggregation, inside the task that unrolled
+    them, so many events of one station send each day once per task.
     """
-    distinct = intervals.select(STATION_KEY, start, length).distinct()
     days = calendar.days_from(F.col(start), F.col(length))
-    return distinct.select(STATION_KEY, F.explode(days).alias("date")).distinct()
+    return intervals.select(STATION_KEY, F.explode(days).alias("date")).distinct()
 
 
 def flag_in_interval(

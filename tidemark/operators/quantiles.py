@@ -1,11 +1,10 @@
 """Exact quantiles per group, for groups of any size.
 
-Spark's exact ``percentile`` keeps all distinct values of a group in one buffer on one
-task. That is right for bounded groups and impossible for a group holding a third of a
-huge table, so :func:`exact_quantiles` first measures the largest group and then takes
-one of two exact ways:
+Ranking a group on one task is right for bounded groups and impossible for a group
+holding a third of a huge table, so the largest group is measured first and one of two
+exact ways is taken:
 
-* every group within ``group_limit`` rows: the built-in aggregate;
+* every group within ``group_limit`` rows: sort each group's values in one aggregate;
 * otherwise: count equal values (shuffled by group *and* value, so a hot group spreads
   over all tasks), range-partition the distinct values into ordered slices, find from
   the slices' totals which slice holds each wanted rank, and rank only inside those
@@ -33,23 +32,6 @@ def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     return (row[0] or 0, row[1] or 0)
 
 
-def _aggregates(value: str, probs: dict[str, float], interpolate: bool) -> list[Column]:
-    if interpolate:
-        return [F.percentile(value, list(probs.values())).alias("_quantiles")]
-    return [
-        F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{value}`)").alias(name)
-        for name, p in probs.items()
-    ]
-
-
-def _unpack(df: DataFrame, probs: dict[str, float]) -> DataFrame:
-    if "_quantiles" not in df.columns:
-        return df
-    return df.withColumns(
-        {name: F.col("_quantiles")[i] for i, name in enumerate(probs)}
-    ).drop("_quantiles")
-
-
 def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join in which a NULL key is a key like any other."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -58,8 +40,8 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return left.join(renamed, on, how).drop(*(f"_r_{k}" for k in keys))
 
 
-def _wanted_ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Column]:
-    """The zero-based ranks below and above quantile ``p`` of ``n`` values."""
+def _ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Column]:
+    """Zero-based ranks of the values just below and above quantile ``p`` of ``n``."""
     if interpolate:
         position = (n - 1) * F.lit(p)
         return F.floor(position), F.ceil(position)
@@ -67,10 +49,34 @@ def _wanted_ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Colum
     return rank, rank
 
 
-def _split_quantiles(
+def _blend(n: Column, p: float, low: Column, high: Column) -> Column:
+    """Linear interpolation between the two ranked values."""
+    position = (n - 1) * F.lit(p)
+    above = position - F.floor(position)
+    return F.when(low == high, low).otherwise((1 - above) * low + above * high)
+
+
+def _sorted_groups(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+    stats: list[Column], interpolate: bool,
+) -> DataFrame:
+    """Bounded groups: one aggregate, one shuffle."""
+    ordered = F.sort_array(F.collect_list(value)).alias("_values")
+    rows = df.groupBy(*keys).agg(*stats, ordered)
+    n = F.size("_values").cast("long")
+
+    def quantile(p: float) -> Column:
+        low, high = (F.get("_values", r.cast("int")) for r in _ranks(n, p, interpolate))
+        return _blend(n, p, low, high)
+
+    return rows.withColumns({name: quantile(p) for name, p in probs.items()}).drop("_values")
+
+
+def _split_groups(
     df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
     interpolate: bool, slices: int,
 ) -> DataFrame:
+    """Groups of any size, ranked slice by slice."""
     spark = df.sparkSession
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
     sliced = counts.repartitionByRange(slices, *keys, value).withColumn(
@@ -92,50 +98,39 @@ def _split_quantiles(
             "group_n": F.sum("slice_n").over(group),
         }
     )
-    ranks = [r for p in probs.values() for r in _wanted_ranks(F.col("group_n"), p, interpolate)]
+    wanted = [r for p in probs.values() for r in _ranks(F.col("group_n"), p, interpolate)]
+    local_rank = F.struct("rank_no", (F.col("rank") - F.col("before")).alias("rank"))
     targets = (
-        placed.select("*", F.posexplode(F.array(*ranks)).alias("rank_no", "rank"))
+        placed.select("*", F.posexplode(F.array(*wanted)).alias("rank_no", "rank"))
         .where("before <= rank AND rank < before + slice_n")
-        .groupBy(*keys, "slice")
-        .agg(F.collect_list(F.struct("rank_no", (F.col("rank") - F.col("before")).alias("rank")))
-             .alias("targets"))
+        .groupBy(*keys, "slice", "group_n")
+        .agg(F.collect_list(local_rank).alias("targets"))
     )
 
     # Rank the distinct values inside the slices that hold a wanted rank.
     inside = _join_keys(stored, targets, [*keys, "slice"], "inner")
     running = Window.partitionBy(*keys, "slice").orderBy(value)
     upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def hit(target: Column) -> Column:
+        return (target["rank"] < F.col("upto")) & (target["rank"] >= F.col("upto") - F.col("n"))
+
     hits = inside.withColumn("upto", upto).select(
-        *keys, value,
-        F.explode(
-            F.filter(
-                "targets",
-                lambda t: (t["rank"] < F.col("upto")) & (t["rank"] >= F.col("upto") - F.col("n")),
-            )
-        ).alias("hit"),
+        *keys, "group_n", value, F.explode(F.filter("targets", hit)).alias("hit")
     )
-    found = hits.groupBy(*keys).agg(
+    ranked = hits.groupBy(*keys, "group_n").agg(
         *(
             F.max(F.when(F.col("hit.rank_no") == i, F.col(value))).alias(f"_v{i}")
-            for i in range(2 * len(probs))
+            for i in range(len(wanted))
         )
     )
-    if not interpolate:
-        return found.select(
-            *keys, *(F.col(f"_v{2 * i}").alias(name) for i, name in enumerate(probs))
-        )
-    sizes = totals.groupBy(*keys).agg(F.sum("slice_n").alias("group_n"))
-    both = _join_keys(found, sizes, keys, "inner")
-
-    def between(i: int, p: float) -> Column:
-        position = (F.col("group_n") - 1) * F.lit(p)
-        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
-        return F.when(low == high, low).otherwise(
-            (F.ceil(position) - position) * low + (position - F.floor(position)) * high
-        )
-
-    return both.select(
-        *keys, *(between(i, p).alias(name) for i, (name, p) in enumerate(probs.items()))
+    n = F.col("group_n")
+    return ranked.select(
+        *keys,
+        *(
+            _blend(n, p, F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")).alias(name)
+            for i, (name, p) in enumerate(probs.items())
+        ),
     )
 
 
@@ -158,11 +153,10 @@ def grouped_quantiles(
     """
     largest, total = group_sizes(df, keys)
     if largest <= group_limit:
-        aggregates = stats + _aggregates(value, probs, interpolate)
-        return _unpack(df.groupBy(*keys).agg(*aggregates), probs)
+        return _sorted_groups(df, keys, value, probs, stats, interpolate)
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = max(partitions, math.ceil(total / slice_rows))
-    quantiles = _split_quantiles(
+    quantiles = _split_groups(
         df.where(F.col(value).isNotNull()), keys, value, probs, interpolate, slices
     )
     if not stats:

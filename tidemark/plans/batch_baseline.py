@@ -2,11 +2,12 @@
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.cleaning import clean_readings
 from tidemark.operators.joins import alert_thresholds, enrich_baseline
-from tidemark.operators.stats import station_baseline, station_daily
+from tidemark.operators.stats import needs_exact, station_baseline, station_daily
+from tidemark.schemas import STATION_KEY
 from tidemark.session import build_session
 from tidemark.sinks.files import write_curated
 from tidemark.sources.files import read_archive_text, read_baseline, read_readings, read_stations
@@ -16,13 +17,22 @@ CLEAN, DAILY, BASELINE = "clean_readings", "batch_station_daily", "batch_station
 
 
 def baseline_table(
-    readings: DataFrame, stations: DataFrame, min_max: bool = False, exact: bool = False
+    readings: DataFrame,
+    stations: DataFrame,
+    min_max: bool = False,
+    exact: bool | None = None,
 ) -> DataFrame:
     """Clean readings and metadata to the enriched baseline with thresholds."""
     stats = station_baseline(readings, min_max=min_max, exact=exact)
     return alert_thresholds(enrich_baseline(stats, stations))
 
 
+def largest_station(daily: DataFrame) -> int:
+    """Readings of the largest station, from the daily facts."""
+    totals = daily.groupBy(STATION_KEY).agg(F.sum("n_readings_day").alias("n"))
+    return totals.agg(F.max("n")).first()[0] or 0
+
+
 def batch_baseline(
     spark: SparkSession,
     readings_path: str,
@@ -30,12 +40,13 @@ def batch_baseline(
     out: str,
     parameter: str | None = None,
     min_max: bool = False,
-    exact: bool = False,
+    exact: bool | None = None,
 ) -> dict[str, str]:
     """Run the job and return the three output paths.
 
     The CSV is parsed and cleaned once, into Parquet by day; both aggregations then
-    read only the columns they need from there.
+    read only the columns they need from there. The daily facts come first, because
+    they tell how large the stations are.
     """
     paths = {name: f"{out}/{name}" for name in (CLEAN, DAILY, BASELINE)}
     if parameter is None:
@@ -45,14 +56,13 @@ def batch_baseline(
     write_curated(clean_readings(raw, parameter), paths[CLEAN], partition_by="reading_date")
 
     readings = spark.read.parquet(paths[CLEAN])
+    write_curated(station_daily(readings), paths[DAILY])
+    exact = needs_exact(largest_station(read_baseline(spark, paths[DAILY])), exact)
     stations = read_stations(spark, stations_path)
     write_curated(baseline_table(readings, stations, min_max, exact), paths[BASELINE])
-    write_curated(station_daily(readings), paths[DAILY])
     return paths
 
 
-
-
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--readings", required=True, help="folder or glob of reading CSVs")
@@ -60,7 +70,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the curated zone")
     parser.add_argument("--parameter", help="keep only this measured parameter")
     parser.add_argument("--min-max", action="store_true", help="add minimum and maximum")
-    parser.add_argument("--exact", action="store_true", help="exact percentiles")
+    parser.add_argument(
+        "--exact", action=argparse.BooleanOptionalAction,
+        help="exact or approximate percentiles (default: by station size)",
+    )
     args = parser.parse_args(argv)
     spark = build_session("batch-baseline")
     batch_baseline(
