@@ -1,0 +1,191 @@
+import math
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of
+from tidemark.operators import cleaning, joins, labels, reports, stats
+from tidemark.operators.dedupe import dedupe_station, first_per_group
+
+READING = "stationReference string, value double"
+
+
+def by_station(df):
+    return {r.stationReference: r for r in df.collect()}
+
+
+def test_baseline_of_small_groups(rows):
+    df = rows(READING, ("one", 5.0), ("flat", 2.0), ("flat", 2.0), ("mix", 1.0), ("mix", 2.0),
+              ("mix", 3.0), ("mix", 4.0))
+    got = by_station(stats.station_baseline(df, min_max=True))
+    assert got["one"].std_level_total is None and got["one"].p95_level == 5.0
+    assert got["flat"].std_level_total == 0.0
+    assert got["mix"].median_level == 2.0, "an observed value, not interpolated"
+    assert (got["mix"].min_level, got["mix"].max_level) == (1.0, 4.0)
+    assert got["mix"].std_level_total == pytest.approx(1.2909944)
+
+
+def test_large_stations_switch_to_exact_percentiles(rows):
+    df = rows(READING, *(("a", float(i)) for i in range(50)))
+    approximate = stats.station_baseline(df)
+    switched = stats.station_baseline(df, sketch_limit=10)
+    assert "percentile_approx" in plan_of(approximate)
+    assert "percentile_approx" not in plan_of(switched)
+    assert approximate.collect() == switched.collect()
+    assert stats.station_baseline(df, exact=True, group_limit=5).collect() == switched.collect()
+
+
+def test_percentiles_share_one_sketch(rows):
+    plan = plan_of(stats.station_baseline(rows(READING, ("a", 1.0)), exact=False))
+    assert plan.count("partial_percentile_approx") == 1
+
+
+def test_aggregates_reduce_before_the_shuffle(rows):
+    readings = rows(READING + ", reading_date date", ("a", 1.0, None))
+    for df in (stats.station_baseline(readings, exact=False), stats.station_daily(readings)):
+        plan = plan_of(df)
+        assert "partial_avg" in plan and plan.count("Exchange") == 1
+
+
+def test_daily_counts_rows_per_day(rows):
+    df = rows(READING + ", reading_date string", ("a", 1.0, "2024-01-01"),
+              ("a", 3.0, "2024-01-01"), ("a", 9.0, "2024-01-02"), ("b", 1.0, None))
+    got = {(r[0], r[1]): tuple(r)[2:] for r in stats.station_daily(df).collect()}
+    assert got[("a", "2024-01-01")] == (2, 2.0, pytest.approx(math.sqrt(2)))
+    assert got[("a", "2024-01-02")] == (1, 9.0, None)
+    assert got[("b", None)] == (1, 1.0, None)
+
+
+def test_summary_matches_pandas(rows):
+    nan = float("nan")
+    data = [("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 4.0), ("b", 7.0), ("b", nan), ("c", None)]
+    pdf = pd.DataFrame(data, columns=["stationReference", "level"])
+    want = pdf.groupby("stationReference")["level"].agg(
+        ["count", "mean", "std", lambda s: s.quantile(0.05), "median", lambda s: s.quantile(0.95)]
+    )
+    for options in ({}, {"group_limit": 1}):
+        df = rows("stationReference string, level double", *data)
+        got = by_station(stats.summary_stats(df, **options))
+        assert set(got) == set(want.index)
+        for station, values in want.iterrows():
+            mine = [nan if v is None else v for v in list(got[station])[1:]]
+            assert mine == pytest.approx(list(values), nan_ok=True)
+
+
+@pytest.mark.parametrize("options", [{}, {"group_limit": 1}])
+def test_describe_matches_pandas(rows, options):
+    values = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0]
+    got = stats.describe(rows("x double", *((v,) for v in values)), "x", **options).first()
+    assert list(got) == pytest.approx(list(pd.Series(values).describe()))
+
+
+def test_dominant_label_breaks_ties_alphabetically(rows):
+    df = rows("stationReference string, flood_risk string", ("s", "b"), ("s", "a"), ("t", "z"),
+              ("t", "z"), ("t", "a"), ("u", None))
+    got = {r[0]: r[1] for r in labels.dominant_label(df).collect()}
+    assert got == {"s": "a", "t": "z"}
+
+
+def test_label_shares_order_and_rounding(rows):
+    df = rows("flood_risk string", *[("Low",)] * 5, ("High",), ("Medium",), (None,))
+    got = [tuple(r) for r in labels.label_shares(df).collect()]
+    assert got == [("Low", 0.714), ("High", 0.143), ("Medium", 0.143)]
+
+
+def test_first_per_group_limits_before_the_shuffle(rows):
+    df = rows("stationReference string, n int", ("a", 2), ("a", 1), ("b", 3))
+    first = first_per_group(df, ["stationReference"], ["n"])
+    assert {tuple(r) for r in first.collect()} == {("a", 1), ("b", 3)}
+    plan = plan_of(first)
+    assert plan.index("row_number(), 1, Final") < plan.index("Exchange")
+    assert plan.index("Exchange") < plan.index("row_number(), 1, Partial")
+
+
+def test_dedupe_without_order_does_not_depend_on_placement(spark):
+    data = [("a", i % 7, f"x{i}") for i in range(100)]
+    survivors = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(data, "stationReference string, n int, t string")
+        survivors.add(tuple(dedupe_station(df.repartition(parts)).first()))
+    assert survivors == {("a", 0, "x0")}
+
+
+def stations(rows, *data):
+    full = [(ref, label, "r", "c", "t", 1.0, 2.0, "active") for ref, label in data]
+    return rows("stationReference string, label string, riverName string, "
+                "catchmentName string, town string, lat double, long double, status string", *full)
+
+
+def test_enrichment_keeps_the_row_count_with_duplicate_and_missing_stations(rows):
+    baseline = stats.station_baseline(rows(READING, ("a", 1.0), ("b", 1.0)))
+    metadata = stations(rows, ("a", "second"), ("a", "first"), ("x", "unused"))
+    got = by_station(joins.enrich_baseline(baseline, metadata))
+    assert {k: r.label for k, r in got.items()} == {"a": "first", "b": None}
+
+
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=12),
+       st.lists(st.sampled_from("bcd"), max_size=8))
+def test_enrichment_never_changes_the_row_count(rows, measured, listed):
+    baseline = stats.station_baseline(rows(READING, *((s, 1.0) for s in measured)))
+    metadata = stations(rows, *((s, f"l{i}") for i, s in enumerate(listed)))
+    assert joins.enrich_baseline(baseline, metadata).count() == len(set(measured))
+
+
+def test_large_metadata_is_not_broadcast(spark, rows):
+    """The broadcast depends on the measured size; beyond it the join shuffles."""
+    baseline = stats.station_baseline(rows(READING, ("a", 1.0)))
+    joined = joins.enrich_baseline(baseline, stations(rows, ("a", "l")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(joined.select("*"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_thresholds(rows):
+    df = rows("p95_level double, mean_level_total double, std_level_total double",
+              (9.0, 1.0, 2.0), (9.0, 1.0, None))
+    got = [tuple(r)[-2:] for r in joins.alert_thresholds(df).collect()]
+    assert got == [(9.0, 5.0), (9.0, None)]
+
+
+def test_unnamed_stations_are_dropped_by_default(rows):
+    df = rows("dateTime string, measure string, value string",
+              ("2024-01-01T00:00:00Z", "/id/measures/1A-x", "1"),
+              ("2024-01-01T00:00:00Z", "/id/measures/1a-x", "2"),
+              ("2024-01-01T00:00:00Z", None, "3"),
+              ("bad", "/id/measures/1A-x", "x4|5"),
+              ("bad", "/id/measures/1A-x", "none"))
+    kept = {tuple(r) for r in cleaning.clean_readings(df)
+            .select("stationReference", "value", F.col("reading_date").cast("string")).collect()}
+    assert kept == {("1A", 1.0, "2024-01-01"), ("1A", 4.0, None)}
+    pooled = cleaning.clean_readings(df, require_station=False)
+    assert {r.stationReference for r in pooled.collect()} == {"1A", "", None}
+
+
+def test_parameter_filter_drops_rows_without_parameter(rows):
+    df = rows("parameter string", ("level",), ("flow",), (None,))
+    assert cleaning.filter_parameter(df).count() == 1
+
+
+def test_preview_takes_first_rows_without_a_global_sort(rows):
+    df = rows("k int, level double, flood_risk string",
+              *((i, float(i), "Low") for i in range(20, 0, -1)))
+    report = reports.preview(df, ["k"], "level", "flood_risk")
+    assert [r.k for r in report["first_rows"].collect()] == [1, 2, 3, 4, 5]
+    assert "TakeOrderedAndProject" in plan_of(report["first_rows"])
+    assert report["distribution"].first()["count"] == 20
+    assert report["label_shares"].first().share == 1.0
+
+
+def test_observed_count(rows):
+    df, seen = stats.observe_sent(rows("x int", (1,), (2,)))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n_sent": 2}

@@ -53,9 +53,11 @@ def batch_baseline(
         raw = read_readings(spark, readings_path)
     else:
         raw = read_archive_text(spark, readings_path)
-    write_curated(clean_readings(raw, parameter), paths[CLEAN], partition_by="reading_date")
+    clean = clean_readings(raw, parameter)
+    write_curated(clean, paths[CLEAN], partition_by="reading_date")
 
-    readings = spark.read.parquet(paths[CLEAN])
+    # The schema is given because a folder without readings cannot tell it.
+    readings = spark.read.schema(clean.schema).parquet(paths[CLEAN])
     write_curated(station_daily(readings), paths[DAILY])
     exact = needs_exact(largest_station(read_baseline(spark, paths[DAILY])), exact)
     stations = read_stations(spark, stations_path)

@@ -41,9 +41,12 @@ def encode_events(events: DataFrame, keep_nulls: bool = True) -> DataFrame:
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
-    """JSON text (or bytes) to columns; unreadable messages give NULL fields."""
-    data = F.from_json(F.col(column).cast("string"), schema)
-    return df.select(data.alias("data")).select("data.*")
+    """JSON text (or bytes) to columns; unreadable messages give NULL fields.
+
+    ``inline`` keeps later filters above the parser. Over a plain projection they are
+    pushed below it, where every filtered field parses the message once more.
+    """
+    return df.select(F.inline(F.array(F.from_json(F.col(column).cast("string"), schema))))
 
 
 def parse_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
