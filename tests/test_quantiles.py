@@ -8,7 +8,8 @@ from tests.conftest import final_plan_of
 from tidemark.operators.quantiles import exact_quantiles, group_sizes
 
 PROBS = {"p0": 0.0, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-SPLIT = {"group_limit": 1, "slice_rows": 40}
+SPLIT = {"group_limit": 0, "slice_rows": 40}
+MIXED = {"group_limit": 40, "slice_rows": 40}
 
 
 def expected(values, interpolate):
@@ -46,7 +47,7 @@ def skewed():
 
 
 @pytest.mark.parametrize("interpolate", [True, False])
-@pytest.mark.parametrize("options", [{}, SPLIT], ids=["sorted", "split"])
+@pytest.mark.parametrize("options", [{}, SPLIT, MIXED], ids=["sorted", "split", "mixed"])
 def test_matches_brute_force_on_skewed_groups(spark, skewed, interpolate, options):
     df = spark.createDataFrame(skewed, "k long, v double").repartition(5)
     check(df, skewed, interpolate, **options)
@@ -62,13 +63,10 @@ def test_split_matches_brute_force_on_any_data(spark, data):
     check(spark.createDataFrame(data, "k long, v double"), data, True, **SPLIT)
 
 
-def test_null_values_are_ignored_in_both_ways(rows):
+@pytest.mark.parametrize("options", [{}, SPLIT], ids=["sorted", "split"])
+def test_null_values_are_ignored(rows, options):
     data = [(1, None), (1, 2.0), (1, 4.0), (2, None)]
-    df = rows("k long, v double", *data)
-    check(df, data, True)
-    # The split ranks only present values, so a group without any has no row.
-    found = exact_quantiles(df, ["k"], "v", {"m": 0.5}, **SPLIT).collect()
-    assert [tuple(r) for r in found] == [(1, 3.0)]
+    check(rows("k long, v double", *data), data, True, **options)
 
 
 def test_whole_table_as_one_group(spark):
@@ -77,15 +75,20 @@ def test_whole_table_as_one_group(spark):
         assert exact_quantiles(df, [], "v", {"m": 0.5, "q": 0.25}, **options).first() == (500, 250)
 
 
-def test_group_sizes(rows):
-    df = rows("k long", (1,), (1,), (2,), (None,))
-    assert group_sizes(df, ["k"]) == (2, 4)
-    assert group_sizes(df.where("k > 5"), ["k"]) == (0, 0)
+def test_given_sizes_save_the_counting_job(rows):
+    df = rows("k long, v double", (1, 1.0), (1, 3.0), (2, 5.0))
+    sizes = group_sizes(df, ["k"])
+    assert {tuple(r) for r in sizes.collect()} == {(1, 2), (2, 1)}
+    got = exact_quantiles(df, ["k"], "v", {"m": 0.5}, sizes=sizes, group_limit=1)
+    assert {tuple(r) for r in got.collect()} == {(1, 2.0), (2, 5.0)}
 
 
-def test_split_ranks_without_gathering_a_group(spark, skewed):
-    """The hot group's values are partitioned by slice, never by group alone."""
+def test_only_small_groups_are_gathered(spark, skewed):
+    """The sorting branch is fed by an anti join with the large groups; the splitting
+    branch ranks by slice, never by group alone."""
     df = spark.createDataFrame(skewed, "k long, v double")
-    plan = final_plan_of(exact_quantiles(df, ["k"], "v", PROBS, **SPLIT))
-    assert "collect_list(v" not in plan and "percentile" not in plan
-    assert "windowspecdefinition(k" in plan and "slice" in plan
+    plan = final_plan_of(exact_quantiles(df, ["k"], "v", PROBS, **MIXED))
+    sorting, splitting = plan.split("partial_collect_list(v", 1)
+    assert "LeftAnti" in splitting.split("Scan")[0]
+    assert "partial_collect_list(v" not in splitting
+    assert "windowspecdefinition(k" in splitting and "slice" in splitting

@@ -1,17 +1,16 @@
 """Exact quantiles per group, for groups of any size.
 
 Ranking a group on one task is right for bounded groups and impossible for a group
-holding a third of a huge table, so the largest group is measured first and one of two
-exact ways is taken:
+holding a third of a huge table. The group sizes decide, group by group:
 
-* every group within ``group_limit`` rows: sort each group's values in one aggregate;
-* otherwise: count equal values (shuffled by group *and* value, so a hot group spreads
-  over all tasks), range-partition the distinct values into ordered slices, find from
-  the slices' totals which slice holds each wanted rank, and rank only inside those
+* groups within ``group_limit`` rows: sort the group's values in one aggregate;
+* larger groups: count equal values (shuffled by group *and* value, so a hot group
+  spreads over all tasks), range-partition the distinct values into ordered slices, find
+  from the slices' totals which slice holds each wanted rank, and rank only inside those
   slices. No task sees more than one slice, whichever group it belongs to.
 
-Ranks, not samples, decide the result: the sampling inside range partitioning only
-balances the slices.
+Both ways are exact: ranks, not samples, decide the result, and the sampling inside
+range partitioning only balances the slices.
 """
 
 import math
@@ -25,11 +24,9 @@ GROUP_LIMIT = 1_000_000
 SLICE_ROWS = 20_000_000
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows in the largest group and in total. Partial counts make this one light job."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    row = sizes.agg(F.max("n"), F.sum("n")).first()
-    return (row[0] or 0, row[1] or 0)
+def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per group, as column ``n``."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -37,7 +34,8 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     on = reduce(Column.__and__, same, F.lit(True))
-    return left.join(renamed, on, how).drop(*(f"_r_{k}" for k in keys))
+    joined = left.join(renamed, on, how)
+    return joined.drop(*(f"_r_{k}" for k in keys))
 
 
 def _ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Column]:
@@ -141,6 +139,7 @@ def grouped_quantiles(
     probs: dict[str, float],
     stats: list[Column],
     interpolate: bool = True,
+    sizes: DataFrame | None = None,
     group_limit: int = GROUP_LIMIT,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
@@ -148,20 +147,35 @@ def grouped_quantiles(
     empty). NULL values are ignored by the quantiles.
 
     ``interpolate`` blends the two neighbouring values; without it the result is the
-    smallest value whose share of rows reaches the probability. Measuring the groups
-    runs one counting job when the DataFrame is built; a split runs one more.
+    smallest value whose share of rows reaches the probability.
+
+    Finding the largest group runs a counting job when the DataFrame is built, unless
+    ``sizes`` (keys and ``n``) is at hand. Where there are large groups, ``df`` is read
+    once more per step, so it should then be a stored table rather than a long plan.
     """
-    largest, total = group_sizes(df, keys)
+    sizes = group_sizes(df, keys) if sizes is None else sizes
+    largest = sizes.agg(F.max("n")).first()[0] or 0
     if largest <= group_limit:
         return _sorted_groups(df, keys, value, probs, stats, interpolate)
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(partitions, math.ceil(total / slice_rows))
-    quantiles = _split_groups(
-        df.where(F.col(value).isNotNull()), keys, value, probs, interpolate, slices
-    )
-    if not stats:
-        return quantiles
-    return _join_keys(df.groupBy(*keys).agg(*stats), quantiles, keys, "left")
+
+    # Few by construction: at most (all rows / group_limit) groups are large.
+    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "large-groups")
+    large = sizes.where(F.col("n") > group_limit)
+    large.write.parquet(folder)
+    large = spark.read.schema(large.schema).parquet(folder)
+    rows = large.agg(F.sum("n")).first()[0]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(partitions, math.ceil(rows / slice_rows))
+
+    hot = _join_keys(df, large.select(*keys), keys, "left_semi") if keys else df
+    present = hot.where(F.col(value).isNotNull())
+    result = _split_groups(present, keys, value, probs, interpolate, slices)
+    groups = hot.groupBy(*keys).agg(*stats) if stats else large.select(*keys)
+    result = _join_keys(groups, result, keys, "left")
+    if not keys:
+        return result
+    cold = _join_keys(df, large.select(*keys), keys, "left_anti")
+    return _sorted_groups(cold, keys, value, probs, stats, interpolate).unionByName(result)
 
 
 def exact_quantiles(

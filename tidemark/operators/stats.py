@@ -7,18 +7,13 @@ task, not as rows.
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tidemark.operators.quantiles import group_sizes, grouped_quantiles
+from tidemark.operators.quantiles import grouped_quantiles
 from tidemark.schemas import STATION_KEY
 
 # Percentiles of a baseline, accuracy of the approximate form.
 BASELINE_PERCENTILES = {"p05_level": 0.05, "median_level": 0.50, "p95_level": 0.95}
 PERCENTILE_ACCURACY = 10000
 
-# Rows of one station up to which its percentile sketches may meet in one task. Each
-# map task sends one sketch per station, so the limit bounds their number: about a
-# thousand at a million rows per task.
-SKETCH_LIMIT = 1_000_000_000
-
 
 def row_count(df: DataFrame) -> DataFrame:
     """Number of rows, as a one-row table."""
@@ -38,25 +33,16 @@ def station_daily(readings: DataFrame) -> DataFrame:
     )
 
 
-def needs_exact(largest_group: int, exact: bool | None, limit: int = SKETCH_LIMIT) -> bool:
-    """Whether percentiles are ranked exactly: as told, or by the largest group's rows."""
-    return largest_group > limit if exact is None else exact
-
-
 def station_baseline(
-    readings: DataFrame,
-    min_max: bool = False,
-    exact: bool | None = None,
-    sketch_limit: int = SKETCH_LIMIT,
-    **split,
+    readings: DataFrame, min_max: bool = False, exact: bool = True, **split
 ) -> DataFrame:
     """Long-term statistics per station; percentiles are observed values.
 
-    With ``exact=False`` the percentiles come from the approximate aggregate, all three
-    off one sketch (rank error at most 1/10000, none up to 10000 rows). With
-    ``exact=True`` the values are ranked (see :mod:`tidemark.operators.quantiles`),
-    which spreads a hot station over many tasks where its sketches would meet in one.
-    By default the station sizes decide, at the price of one counting job.
+    By default the values are ranked exactly, hot stations split over many tasks (see
+    :mod:`tidemark.operators.quantiles`). ``exact=False`` takes the approximate
+    aggregate (rank error at most 1/10000, none up to 10000 rows), with all three
+    percentiles off one sketch. It needs no counting job, but each map task sends a
+    sketch per station, and those of a hot station all meet in one task.
     """
     value = F.col("value")
     stats = [
@@ -65,8 +51,6 @@ def station_baseline(
     ]
     if min_max:
         stats += [F.min(value).alias("min_level"), F.max(value).alias("max_level")]
-    if exact is None:
-        exact = needs_exact(group_sizes(readings, [STATION_KEY])[0], None, sketch_limit)
     if exact:
         return grouped_quantiles(
             readings, [STATION_KEY], "value", BASELINE_PERCENTILES, stats,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.cleaning import clean_readings
 from tidemark.operators.joins import alert_thresholds, enrich_baseline
-from tidemark.operators.stats import needs_exact, station_baseline, station_daily
+from tidemark.operators.stats import station_baseline, station_daily
 from tidemark.schemas import STATION_KEY
 from tidemark.session import build_session
 from tidemark.sinks.files import write_curated
@@ -16,21 +16,9 @@ from tidemark.sources.files import read_archive_text, read_baseline, read_readin
 CLEAN, DAILY, BASELINE = "clean_readings", "batch_station_daily", "batch_station_baseline"
 
 
-def baseline_table(
-    readings: DataFrame,
-    stations: DataFrame,
-    min_max: bool = False,
-    exact: bool | None = None,
-) -> DataFrame:
+def baseline_table(readings: DataFrame, stations: DataFrame, **options) -> DataFrame:
     """Clean readings and metadata to the enriched baseline with thresholds."""
-    stats = station_baseline(readings, min_max=min_max, exact=exact)
-    return alert_thresholds(enrich_baseline(stats, stations))
-
-
-def largest_station(daily: DataFrame) -> int:
-    """Readings of the largest station, from the daily facts."""
-    totals = daily.groupBy(STATION_KEY).agg(F.sum("n_readings_day").alias("n"))
-    return totals.agg(F.max("n")).first()[0] or 0
+    return alert_thresholds(enrich_baseline(station_baseline(readings, **options), stations))
 
 
 def batch_baseline(
@@ -40,13 +28,13 @@ def batch_baseline(
     out: str,
     parameter: str | None = None,
     min_max: bool = False,
-    exact: bool | None = None,
+    exact: bool = True,
 ) -> dict[str, str]:
     """Run the job and return the three output paths.
 
     The CSV is parsed and cleaned once, into Parquet by day; both aggregations then
-    read only the columns they need from there. The daily facts come first, because
-    they tell how large the stations are.
+    read only the columns they need from there. The daily facts come first: their
+    counts add up to the station sizes, which saves the baseline a counting job.
     """
     paths = {name: f"{out}/{name}" for name in (CLEAN, DAILY, BASELINE)}
     if parameter is None:
@@ -59,9 +47,14 @@ def batch_baseline(
     # The schema is given because a folder without readings cannot tell it.
     readings = spark.read.schema(clean.schema).parquet(paths[CLEAN])
     write_curated(station_daily(readings), paths[DAILY])
-    exact = needs_exact(largest_station(read_baseline(spark, paths[DAILY])), exact)
+
+    options = {"exact": exact}
+    if exact:
+        daily = read_baseline(spark, paths[DAILY])
+        options["sizes"] = daily.groupBy(STATION_KEY).agg(F.sum("n_readings_day").alias("n"))
     stations = read_stations(spark, stations_path)
-    write_curated(baseline_table(readings, stations, min_max, exact), paths[BASELINE])
+    baseline = baseline_table(readings, stations, min_max=min_max, **options)
+    write_curated(baseline, paths[BASELINE])
     return paths
 
 
@@ -72,14 +65,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the curated zone")
     parser.add_argument("--parameter", help="keep only this measured parameter")
     parser.add_argument("--min-max", action="store_true", help="add minimum and maximum")
-    parser.add_argument(
-        "--exact", action=argparse.BooleanOptionalAction,
-        help="exact or approximate percentiles (default: by station size)",
-    )
+    parser.add_argument("--approximate", action="store_true", help="approximate percentiles")
     args = parser.parse_args(argv)
     spark = build_session("batch-baseline")
     batch_baseline(
-        spark, args.readings, args.stations, args.out, args.parameter, args.min_max, args.exact
+        spark, args.readings, args.stations, args.out, args.parameter, args.min_max,
+        exact=not args.approximate,
     )
     spark.stop()
 
