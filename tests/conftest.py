@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -45,3 +46,22 @@ def final_plan_of(df) -> str:
     """The adaptive plan after a run."""
     df.collect()
     return plan_of(df).split("== Initial Plan ==")[0]
+
+
+@contextlib.contextmanager
+def settings_of(spark, settings):
+    """Session settings for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}

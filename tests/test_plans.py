@@ -121,11 +121,11 @@ def test_intervals_count_once_and_may_be_empty(rows):
                      ("a", "2024-01-01", 2), ("a", "2024-01-02", 2), ("a", "2024-01-09", 0),
                      (None, "2024-01-01", 1)).withColumn("start", F.to_date("start"))
     days = rows("stationReference string, date string", ("a", "2024-01-02"), ("a", "2024-01-04"),
-                ("a", "2024-01-02"), ("b", "2024-01-02")).withColumn("date", F.to_date("date"))
+                ("a", "2024-01-02"), ("b", "2024-01-02"), (None, "2024-01-01")).withColumn("date", F.to_date("date"))
     assert interval_days(intervals).where("stationReference = 'a'").count() == 3
     flags = [r.in_interval for r in
              flag_in_interval(days, intervals).orderBy("stationReference", "date").collect()]
-    assert flags == [True, True, False, False]
+    assert flags == [False, True, True, False, False]
 
 
 def test_spine(spark, rows):

@@ -5,7 +5,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import plan_of
+from tests.conftest import NO_BROADCAST, final_plan_of, plan_of, settings_of
+from tidemark.operators.calendar import flag_in_interval
 from tidemark.operators import cleaning, joins, labels, reports, stats
 from tidemark.operators.dedupe import dedupe_station, first_per_group
 
@@ -136,13 +137,8 @@ def test_large_metadata_is_not_broadcast(spark, rows):
     """The broadcast depends on the measured size; beyond it the join shuffles."""
     baseline = stats.station_baseline(rows(READING, ("a", 1.0)))
     joined = joins.enrich_baseline(baseline, stations(rows, ("a", "l")))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
+    with settings_of(spark, NO_BROADCAST):
         plan = plan_of(joined.select("*"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
@@ -186,3 +182,42 @@ def test_observed_count(rows):
     df, seen = stats.observe_sent(rows("x int", (1,), (2,)))
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"n_sent": 2}
+
+
+SMALL_PIECES = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def hot_rows(spark):
+    """A third of the rows belong to station 0."""
+    return spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("string")
+        .alias("stationReference"),
+        F.lit("2024-01-01").cast("date").alias("date"),
+        F.uuid().alias("payload"),
+        F.rand(1).alias("value"),
+    )
+
+
+def test_interval_join_splits_a_hot_day(spark):
+    intervals = spark.range(50_000).select(
+        F.col("id").cast("string").alias("stationReference"),
+        F.lit("2024-01-01").cast("date").alias("start"), F.lit(1).alias("length"),
+    )
+    with settings_of(spark, SMALL_PIECES):
+        flagged = flag_in_interval(hot_rows(spark), intervals)
+        assert "skew=true" in final_plan_of(flagged)
+        assert flagged.where("in_interval").count() == 66_667 + 33_333
+
+
+def test_grading_single_readings_splits_a_hot_station(spark):
+    with settings_of(spark, SMALL_PIECES):
+        rows = hot_rows(spark)
+        joined = joins.reading_baseline(rows, stats.station_baseline(rows, exact=False))
+        assert "skew=true" in final_plan_of(joined)
+        assert joined.where("n_readings_total = 66667").count() == 66_667

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.catalog import tables as t
 from tidemark.catalog.registry import query
 from tidemark.functions import levels
+from tidemark.operators.joins import reading_baseline
 from tidemark.operators.stats import station_baseline
 from tidemark.plans.batch_baseline import baseline_table
 from tidemark.plans.stream_alerts import stream_alerts
@@ -109,7 +110,7 @@ def reading_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     baseline = station_baseline(readings).where("mean_level_total >= 45")
     mean, std = F.col("mean_level_total"), F.col("std_level_total")
     very_high = levels.very_high_threshold(mean, std)
-    joined = readings.join(baseline, "stationReference", "left")
+    joined = reading_baseline(readings, baseline)
     return joined.select(
         "event_id",
         F.round(levels.z_score(F.col("value"), mean, std), 8).alias("z_score"),

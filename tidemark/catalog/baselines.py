@@ -45,7 +45,7 @@ def baseline_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(t.sql("readings baseline", BASELINE_BODY))
 def baseline_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = station_baseline(
-        t.readings(spark, sf_dir), min_max=True, group_limit=66, slice_rows=500
+        t.readings(spark, sf_dir), min_max=True, group_limit=66, slice_rows=5000
     )
     return t.rounded(stats, *MOMENTS)
 

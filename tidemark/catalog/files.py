@@ -79,8 +79,7 @@ SELECT CAST(date AS DATE) AS file_date, count(*) AS n_sent FROM archive
 WHERE parameter = 'level' GROUP BY 1"""))
 def count_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = src.archive_files(spark, write_archive_days(spark, sf_dir), **SPARK_FILES)
-    sent = sent_per_file(archive.where(F.col("parameter") == "level"), "file_date")
-    return sent
+    return sent_per_file(archive.where(F.col("parameter") == "level"), "file_date")
 
 
 @query(t.sql("archive", "SELECT dateTime, stationReference, label FROM archive"))
@@ -94,19 +93,18 @@ def replay_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(t.sql("archive", """
-SELECT stationReference, value, NULL::VARCHAR AS label FROM archive WHERE event_id % 2 = 0
-  AND value <> ''
+SELECT stationReference, nullif(value, '') AS value, NULL::VARCHAR AS label
+FROM archive WHERE parameter = 'level'
 UNION ALL
-SELECT stationReference, NULL, label FROM archive WHERE event_id % 2 = 1"""))
+SELECT stationReference, NULL, label FROM archive WHERE parameter <> 'level'"""))
 def union_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two folders with different headers; columns a folder lacks are NULL."""
     root = scratch_path(spark, "headers")
-    rows, even = t.archive(spark, sf_dir), F.col("event_id") % 2 == 0
-    write_csv(rows.where(even & (F.col("value") != "")).select("value", "stationReference"),
-              f"{root}/even")
-    write_csv(rows.where(~even).select("stationReference", "label"), f"{root}/odd")
-    return src.union_by_header(spark, [f"{root}/even", f"{root}/odd"]).select(
-        "stationReference", "value", "label"
+    rows, is_level = t.archive(spark, sf_dir), F.col("parameter") == "level"
+    write_csv(rows.where(is_level).select("value", "stationReference"), f"{root}/level")
+    write_csv(rows.where(~is_level).select("stationReference", "label"), f"{root}/other")
+    return src.union_by_header(spark, [f"{root}/level", f"{root}/other"]).select(
+        "stationReference", F.nullif(F.col("value"), F.lit("")).alias("value"), "label"
     )
 
 
@@ -129,11 +127,11 @@ def load_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(t.sql("readings", """
 SELECT stationReference, CAST(dateTime AS DATE) AS reading_date, count(*) AS n_rows
-FROM readings WHERE dateTime >= TIMESTAMP '2024-01-20' GROUP BY 1, 2"""))
+FROM readings GROUP BY 1, 2"""))
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated by day, then read with a day filter that prunes folders."""
+    """Curated by day; the day comes back from the folder names."""
     path = scratch_path(spark, "by-day")
     dated = t.readings(spark, sf_dir).withColumn("reading_date", F.to_date("dateTime"))
     write_curated(dated, path, partition_by="reading_date")
-    recent = spark.read.parquet(path).where("reading_date >= DATE '2024-01-20'")
-    return recent.groupBy("stationReference", "reading_date").agg(F.count("*").alias("n_rows"))
+    by_day = src.read_baseline(spark, path)
+    return by_day.groupBy("stationReference", "reading_date").agg(F.count("*").alias("n_rows"))

@@ -35,7 +35,7 @@ def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The limit lies inside the range of group sizes: small groups are sorted, large ones split.
 @query(t.sql(f"{DAILY_CTES} summary", SUMMARY_BODY, summary=SUMMARY))
 def summary_stats_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = stats.summary_stats(t.daily(spark, sf_dir), group_limit=27, slice_rows=200)
+    split = stats.summary_stats(t.daily(spark, sf_dir), group_limit=27, slice_rows=5000)
     return t.rounded(split, *ROUNDED)
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import calendar
+from tidemark.operators.cleaning import drop_null
+from tidemark.operators.rowjoin import row_join
 from tidemark.schemas import STATION_KEY
 
 
@@ -52,5 +54,6 @@ def flag_in_interval(
     An equi-join on station and day: a hot station spreads over its days, and a day is
     matched at most once however many intervals cover it.
     """
-    covered = interval_days(intervals, start, length).withColumn(name, F.lit(True))
-    return days.join(covered, [STATION_KEY, "date"], "left").fillna({name: False})
+    known = drop_null(intervals, STATION_KEY)
+    covered = interval_days(known, start, length).withColumn(name, F.lit(True))
+    return row_join(days, covered, [STATION_KEY, "date"], "left").fillna({name: False})

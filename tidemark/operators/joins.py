@@ -1,14 +1,17 @@
 """Enrichment joins.
 
 No broadcast hints: Spark broadcasts the metadata side when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. The sides
-joined here hold one row per station (or per closed window), so no key is hot.
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise. Most sides
+joined here hold one row per station (or per closed window), so no key is hot; the
+exception is :func:`reading_baseline`.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import levels
+from tidemark.operators.cleaning import drop_null
 from tidemark.operators.dedupe import dedupe_station
+from tidemark.operators.rowjoin import row_join
 from tidemark.schemas import BASELINE_VIEW_COLUMNS, STATION_KEY, STATIONS
 
 
@@ -41,3 +44,9 @@ def alert_thresholds(baseline: DataFrame) -> DataFrame:
 def join_baseline(windows: DataFrame, baseline: DataFrame) -> DataFrame:
     """Left join of windows (batch or stream) with the per-station baseline."""
     return windows.join(baseline, STATION_KEY, "left")
+
+
+def reading_baseline(readings: DataFrame, baseline: DataFrame) -> DataFrame:
+    """Left join of single readings with the baseline; a hot station's readings are split
+    where the baseline is too large to broadcast."""
+    return row_join(readings, drop_null(baseline, STATION_KEY), [STATION_KEY], "left")

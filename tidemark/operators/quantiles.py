@@ -14,10 +14,10 @@ range partitioning only balances the slices.
 """
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.rowjoin import row_join
 from tidemark.session import scratch_path
 
 GROUP_LIMIT = 1_000_000
@@ -29,15 +29,6 @@ def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join in which a NULL key is a key like any other."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    on = reduce(Column.__and__, same, F.lit(True))
-    joined = left.join(renamed, on, how)
-    return joined.drop(*(f"_r_{k}" for k in keys))
-
-
 def _ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Column]:
     """Zero-based ranks of the values just below and above quantile ``p`` of ``n``."""
     if interpolate:
@@ -106,7 +97,7 @@ def _split_groups(
     )
 
     # Rank the distinct values inside the slices that hold a wanted rank.
-    inside = _join_keys(stored, targets, [*keys, "slice"], "inner")
+    inside = row_join(stored, targets, [*keys, "slice"], "inner")
     running = Window.partitionBy(*keys, "slice").orderBy(value)
     upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
@@ -167,14 +158,14 @@ def grouped_quantiles(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slices = max(partitions, math.ceil(rows / slice_rows))
 
-    hot = _join_keys(df, large.select(*keys), keys, "left_semi") if keys else df
+    hot = row_join(df, large.select(*keys), keys, "left_semi") if keys else df
     present = hot.where(F.col(value).isNotNull())
     result = _split_groups(present, keys, value, probs, interpolate, slices)
     groups = hot.groupBy(*keys).agg(*stats) if stats else large.select(*keys)
-    result = _join_keys(groups, result, keys, "left")
+    result = row_join(groups, result, keys, "left")
     if not keys:
         return result
-    cold = _join_keys(df, large.select(*keys), keys, "left_anti")
+    cold = row_join(df, large.select(*keys), keys, "left_anti")
     return _sorted_groups(cold, keys, value, probs, stats, interpolate).unionByName(result)
 
 

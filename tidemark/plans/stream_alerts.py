@@ -48,6 +48,8 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--json", help="folder of JSON-lines events")
     parser.add_argument("--topic", help="Kafka topic")
     parser.add_argument("--starting", default="earliest", help="Kafka starting offsets")
+    parser.add_argument("--max-files", type=int, help="JSON files per micro-batch")
+    parser.add_argument("--max-offsets", type=int, help="Kafka messages per micro-batch")
     parser.add_argument("--baseline", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
@@ -59,9 +61,11 @@ def main(argv: list[str] | None = None) -> None:
         parser.error("--servers needs --topic")
     spark = build_session("stream-alerts")
     if args.servers:
-        messages = kafka_events(spark, args.servers, args.topic, args.starting)
+        messages = kafka_events(
+            spark, args.servers, args.topic, args.starting, args.max_offsets
+        )
     else:
-        messages = json_events_stream(spark, args.json)
+        messages = json_events_stream(spark, args.json, args.max_files)
     interval = None if args.once else args.interval
     run(
         stream_alerts(
