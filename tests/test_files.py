@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tidemark import schemas
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, store
 from tidemark.sinks.files import load_table, write_csv, write_curated
 from tidemark.sinks.messages import kafka_sink_options, publish_json
 from tidemark.sources import files as src
@@ -128,6 +128,11 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/tidemark/x-")
 
 
+def test_stored_table_does_not_change(spark):
+    df = store(spark.range(5).select(F.rand().alias("x")), "x")
+    assert df.collect() == df.collect()
+
+
 class ClusterSession:
     """A session on a cluster master without a shared folder."""
     class sparkContext:

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.rowjoin import row_join
-from tidemark.session import scratch_path
+from tidemark.session import store
 
 GROUP_LIMIT = 1_000_000
 SLICE_ROWS = 20_000_000
@@ -66,16 +66,13 @@ def _split_groups(
     interpolate: bool, slices: int,
 ) -> DataFrame:
     """Groups of any size, ranked slice by slice."""
-    spark = df.sparkSession
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
     sliced = counts.repartitionByRange(slices, *keys, value).withColumn(
         "slice", F.spark_partition_id()
     )
-    # Slice borders are drawn anew whenever the shuffle is planned anew, so the slices
-    # are written once and read back by both steps below.
-    folder = scratch_path(spark, "quantile-slices")
-    sliced.write.parquet(folder)
-    stored = spark.read.schema(sliced.schema).parquet(folder)
+    # Slice borders are drawn anew whenever the shuffle is planned anew; both steps below
+    # must see the same ones.
+    stored = store(sliced, "quantile-slices")
 
     # At most ``slices`` rows per group from here on.
     totals = stored.groupBy(*keys, "slice").agg(F.sum("n").alias("slice_n"))
@@ -150,12 +147,9 @@ def grouped_quantiles(
         return _sorted_groups(df, keys, value, probs, stats, interpolate)
 
     # Few by construction: at most (all rows / group_limit) groups are large.
-    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "large-groups")
-    large = sizes.where(F.col("n") > group_limit)
-    large.write.parquet(folder)
-    large = spark.read.schema(large.schema).parquet(folder)
+    large = store(sizes.where(F.col("n") > group_limit), "large-groups")
     rows = large.agg(F.sum("n")).first()[0]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = max(partitions, math.ceil(rows / slice_rows))
 
     hot = row_join(df, large.select(*keys), keys, "left_semi") if keys else df

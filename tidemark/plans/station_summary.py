@@ -9,7 +9,7 @@ from tidemark.operators.calendar import flag_in_interval, station_day_spine
 from tidemark.operators.labels import dominant_label
 from tidemark.operators.stats import summary_stats
 from tidemark.schemas import DAILY_RISK, STATION_KEY, STATION_METADATA
-from tidemark.session import build_session
+from tidemark.session import build_session, store
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import read_csv
 
@@ -73,7 +73,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the summary CSV")
     args = parser.parse_args(argv)
     spark = build_session("station-summary")
-    daily = read_csv(spark, args.daily, DAILY_RISK)
+    # Sizes, statistics and labels each read the daily table; the CSV is parsed once.
+    daily = store(read_csv(spark, args.daily, DAILY_RISK), "daily")
     stations = read_csv(spark, args.stations, STATION_METADATA)
     write_csv(summarize_stations(daily, stations), args.out)
     spark.stop()

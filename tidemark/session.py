@@ -8,7 +8,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session-level SQL settings the operators are designed for.
 #  * UTC: instants and calendar days mean the same on every machine.
@@ -64,3 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _local_folder()
     return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    The stored table does not change between two reads, is computed once however often
+    it is used, and outlives the executors that wrote it.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -63,7 +63,8 @@ def baseline_writer(
     """Batch function that grades closed windows against the baseline of the moment.
 
     Each batch overwrites its own folder, so a batch repeated after a failure replaces
-    its first attempt.
+    its first attempt. A batch that finds the baseline half replaced fails rather than
+    grade without it, and is repeated when the query restarts.
     """
     def write(windows: DataFrame, batch_id: int) -> None:
         baseline = read_baseline(windows.sparkSession, baseline_path)
@@ -100,3 +101,13 @@ def run(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
     return query
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Partial window rows dropped behind the watermark, in the progress Spark keeps (the
+    last hundred micro-batches). Counted after partial aggregation, so not in readings."""
+    return sum(
+        state.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
