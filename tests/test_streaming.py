@@ -161,6 +161,14 @@ def test_stream_equals_batch(spark, feed, tmp_path, max_files):
     assert stream(spark, feed, tmp_path, max_files).count() == len(want)
 
 
+@pytest.mark.parametrize("refresh", [False, True])
+def test_micro_batches_can_be_packed_into_few_files(spark, feed, tmp_path, refresh):
+    got = stream(spark, feed, tmp_path, files=1, refresh=refresh)
+    assert key_set(got.drop("batch_id")) == key_set(closed_windows(spark))
+    batches = got.select("_metadata.file_path").distinct().count()
+    assert batches == 1, "all windows close in one micro-batch here"
+
+
 def test_refreshing_stream_equals_batch_and_repeats_batches_in_place(spark, feed, tmp_path):
     got = stream(spark, feed, tmp_path, 1, refresh=True)
     want = key_set(closed_windows(spark))

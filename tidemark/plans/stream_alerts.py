@@ -28,17 +28,19 @@ def stream_alerts(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     delay: str = WATERMARK_DELAY,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Start the alert stream over a streaming table of messages.
 
     ``refresh`` re-reads the baseline in each micro-batch; the default keeps the files
-    it saw at the start and is for a baseline that is not overwritten meanwhile.
+    it saw at the start and is for a baseline that is not overwritten meanwhile. ``files``
+    limits the output files per micro-batch.
     """
     windows = windowed_stats(valid_events(parse_events(messages)), size, slide, delay)
     if refresh:
-        return start_alerts_refreshing(windows, baseline_path, out, checkpoint, interval)
+        return start_alerts_refreshing(windows, baseline_path, out, checkpoint, interval, files)
     alerts = grade_windows(windows, read_baseline(spark, baseline_path))
-    return start_alerts(alerts, out, checkpoint, interval)
+    return start_alerts(alerts, out, checkpoint, interval, files)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -54,6 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--interval", default=TRIGGER_INTERVAL)
+    parser.add_argument("--files", type=int, help="output files per micro-batch")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     parser.add_argument("--refresh", action="store_true", help="re-read the baseline per batch")
     args = parser.parse_args(argv)
@@ -69,7 +72,8 @@ def main(argv: list[str] | None = None) -> None:
     interval = None if args.once else args.interval
     run(
         stream_alerts(
-            spark, messages, args.baseline, args.out, args.checkpoint, interval, args.refresh
+            spark, messages, args.baseline, args.out, args.checkpoint, interval, args.refresh,
+            files=args.files,
         )
     )
     spark.stop()

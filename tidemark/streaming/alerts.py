@@ -40,15 +40,25 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
+def _pack(alerts: DataFrame, files: int | None) -> DataFrame:
+    return alerts.repartition(files) if files else alerts
+
+
 def start_alerts(
-    alerts: DataFrame, out: str, checkpoint: str, interval: str | None = TRIGGER_INTERVAL
+    alerts: DataFrame,
+    out: str,
+    checkpoint: str,
+    interval: str | None = TRIGGER_INTERVAL,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Append closed windows to Parquet, exactly once.
 
-    ``interval=None`` processes what is there and stops (backfill, tests).
+    ``interval=None`` processes what is there and stops (backfill, tests). ``files`` packs
+    each micro-batch into that many files; by default every state partition writes its
+    own, which with many partitions and short intervals makes many small files.
     """
     return (
-        alerts.writeStream.outputMode("append")
+        _pack(alerts, files).writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
@@ -58,7 +68,10 @@ def start_alerts(
 
 
 def baseline_writer(
-    baseline_path: str, out: str, unknown: str = levels.ALERT_NORMAL
+    baseline_path: str,
+    out: str,
+    unknown: str = levels.ALERT_NORMAL,
+    files: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that grades closed windows against the baseline of the moment.
 
@@ -69,7 +82,7 @@ def baseline_writer(
     def write(windows: DataFrame, batch_id: int) -> None:
         baseline = read_baseline(windows.sparkSession, baseline_path)
         alerts = grade_windows(windows, baseline, unknown)
-        alerts.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        _pack(alerts, files).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return write
 
@@ -80,12 +93,13 @@ def start_alerts_refreshing(
     out: str,
     checkpoint: str,
     interval: str | None = TRIGGER_INTERVAL,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Like :func:`start_alerts`, but re-reads the baseline in every micro-batch, so the
     batch job may overwrite it while the stream runs."""
     return (
         windows.writeStream.outputMode("append")
-        .foreachBatch(baseline_writer(baseline_path, out))
+        .foreachBatch(baseline_writer(baseline_path, out, files=files))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
         .start()
