@@ -23,7 +23,7 @@ def test_entry_has_rows(spark):
 
 
 WRITES = ("alerts_stream", "late_data", "csv_", "archive_", "count_sent", "replay_", "batch_job",
-          "roundtrip", "union_by_header", "split")
+          "roundtrip", "union_by_header")
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if not any(w in n for w in WRITES)])

@@ -92,3 +92,9 @@ def test_only_small_groups_are_gathered(spark, skewed):
     assert "LeftAnti" in splitting.split("Scan")[0]
     assert "partial_collect_list(v" not in splitting
     assert "windowspecdefinition(k" in splitting and "slice" in splitting
+
+
+def test_key_and_value_may_have_any_name(rows):
+    df = rows("slice long, rank double", (1, 1.0), (1, 3.0), (2, 5.0))
+    got = exact_quantiles(df, ["slice"], "rank", {"n": 0.5}, **SPLIT)
+    assert {tuple(r) for r in got.collect()} == {(1, 2.0), (2, 5.0)}

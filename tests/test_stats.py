@@ -221,3 +221,8 @@ def test_grading_single_readings_splits_a_hot_station(spark):
         joined = joins.reading_baseline(rows, stats.station_baseline(rows, exact=False))
         assert "skew=true" in final_plan_of(joined)
         assert joined.where("n_readings_total = 66667").count() == 66_667
+
+
+def test_describe_of_an_empty_table(rows):
+    got = stats.describe(rows("x double"), "x").first()
+    assert got["count"] == 0 and got["p50"] is None

@@ -66,51 +66,51 @@ def _split_groups(
     interpolate: bool, slices: int,
 ) -> DataFrame:
     """Groups of any size, ranked slice by slice."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     sliced = counts.repartitionByRange(slices, *keys, value).withColumn(
-        "slice", F.spark_partition_id()
+        "_slice", F.spark_partition_id()
     )
     # Slice borders are drawn anew whenever the shuffle is planned anew; both steps below
     # must see the same ones.
     stored = store(sliced, "quantile-slices")
 
     # At most ``slices`` rows per group from here on.
-    totals = stored.groupBy(*keys, "slice").agg(F.sum("n").alias("slice_n"))
+    totals = stored.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_slice_n"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    earlier = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     placed = totals.withColumns(
         {
-            "before": F.coalesce(F.sum("slice_n").over(earlier), F.lit(0).cast("long")),
-            "group_n": F.sum("slice_n").over(group),
+            "_before": F.coalesce(F.sum("_slice_n").over(earlier), F.lit(0).cast("long")),
+            "_group_n": F.sum("_slice_n").over(group),
         }
     )
-    wanted = [r for p in probs.values() for r in _ranks(F.col("group_n"), p, interpolate)]
-    local_rank = F.struct("rank_no", (F.col("rank") - F.col("before")).alias("rank"))
+    wanted = [r for p in probs.values() for r in _ranks(F.col("_group_n"), p, interpolate)]
+    local_rank = F.struct("_rank_no", (F.col("_rank") - F.col("_before")).alias("_rank"))
     targets = (
-        placed.select("*", F.posexplode(F.array(*wanted)).alias("rank_no", "rank"))
-        .where("before <= rank AND rank < before + slice_n")
-        .groupBy(*keys, "slice", "group_n")
-        .agg(F.collect_list(local_rank).alias("targets"))
+        placed.select("*", F.posexplode(F.array(*wanted)).alias("_rank_no", "_rank"))
+        .where("_before <= _rank AND _rank < _before + _slice_n")
+        .groupBy(*keys, "_slice", "_group_n")
+        .agg(F.collect_list(local_rank).alias("_targets"))
     )
 
     # Rank the distinct values inside the slices that hold a wanted rank.
-    inside = row_join(stored, targets, [*keys, "slice"], "inner")
-    running = Window.partitionBy(*keys, "slice").orderBy(value)
-    upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = row_join(stored, targets, [*keys, "_slice"], "inner")
+    running = Window.partitionBy(*keys, "_slice").orderBy(value)
+    upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     def hit(target: Column) -> Column:
-        return (target["rank"] < F.col("upto")) & (target["rank"] >= F.col("upto") - F.col("n"))
+        return (target["_rank"] < F.col("_upto")) & (target["_rank"] >= F.col("_upto") - F.col("_n"))
 
-    hits = inside.withColumn("upto", upto).select(
-        *keys, "group_n", value, F.explode(F.filter("targets", hit)).alias("hit")
+    hits = inside.withColumn("_upto", upto).select(
+        *keys, "_group_n", value, F.explode(F.filter("_targets", hit)).alias("_hit")
     )
-    ranked = hits.groupBy(*keys, "group_n").agg(
+    ranked = hits.groupBy(*keys, "_group_n").agg(
         *(
-            F.max(F.when(F.col("hit.rank_no") == i, F.col(value))).alias(f"_v{i}")
+            F.max(F.when(F.col("_hit._rank_no") == i, F.col(value))).alias(f"_v{i}")
             for i in range(len(wanted))
         )
     )
-    n = F.col("group_n")
+    n = F.col("_group_n")
     return ranked.select(
         *keys,
         *(
@@ -120,6 +120,13 @@ def _split_groups(
     )
 
 
+def _merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns of two tables that each hold at most one row per group."""
+    both = left.unionByName(right, allowMissingColumns=True)
+    columns = [c for c in both.columns if c not in keys]
+    return both.groupBy(*keys).agg(*(F.max(c).alias(c) for c in columns))
+
+
 def grouped_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -156,7 +163,7 @@ def grouped_quantiles(
     present = hot.where(F.col(value).isNotNull())
     result = _split_groups(present, keys, value, probs, interpolate, slices)
     groups = hot.groupBy(*keys).agg(*stats) if stats else large.select(*keys)
-    result = row_join(groups, result, keys, "left")
+    result = _merge(groups, result, keys)
     if not keys:
         return result
     cold = row_join(df, large.select(*keys), keys, "left_anti")
