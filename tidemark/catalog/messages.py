@@ -6,6 +6,7 @@ from tidemark.catalog import tables as t
 from tidemark.catalog.cleaning import STRICT_NUMBER
 from tidemark.catalog.files import SPARK_FILES, write_archive_days
 from tidemark.catalog.registry import query
+from tidemark.operators.stats import observe_sent as observed
 from tidemark.plans.replay import replay_messages
 from tidemark.session import scratch_path
 from tidemark.sinks.messages import publish_json
@@ -58,3 +59,12 @@ def replay_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     run(start_alerts(events, f"{root}/out", f"{root}/checkpoint", interval=None), 1800)
     out = src.read_baseline(spark, f"{root}/out")
     return t.plain_times(out.select("stationReference", "dateTime", "value", "stationName"))
+
+
+@query(t.sql("archive", f"""
+SELECT count(*) AS n_sent FROM archive WHERE parameter = 'level' AND {STRICT_NUMBER}"""))
+def observe_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages counted while they are published, without a second pass."""
+    events, sent = observed(ops.archive_events(t.archive(spark, sf_dir)))
+    publish_json(ops.encode_events(events), scratch_path(spark, "topic"))
+    return spark.createDataFrame([(sent.get["n_sent"],)], "n_sent long")

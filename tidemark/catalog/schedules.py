@@ -41,6 +41,23 @@ def station_day_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(t.sql("readings", """
+SELECT CAST(d AS DATE) AS date, count(event_id) AS n_readings
+FROM generate_series((SELECT date_trunc('day', min(dateTime)) FROM readings),
+                     (SELECT max(dateTime) FROM readings), INTERVAL 1 DAY) g(d)
+LEFT JOIN readings ON CAST(dateTime AS DATE) = CAST(d AS DATE)
+GROUP BY 1"""))
+def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings on every day between the first and the last, days without any included."""
+    readings = t.readings(spark, sf_dir)
+    per_day = readings.groupBy(calendar.reading_date(F.col("dateTime")).alias("date")).agg(
+        F.count("*").alias("n_readings")
+    )
+    first, last = per_day.agg(F.min("date"), F.max("date")).first()
+    spine = ops.date_spine(spark, first.isoformat(), (last - first).days + 1)
+    return spine.join(per_day, "date", "left").fillna({"n_readings": 0})
+
+
 @query(t.sql("intervals", """
 SELECT DISTINCT stationReference, CAST(start + CAST(k AS INTEGER) AS DATE) AS date
 FROM intervals, range(0, 4) r(k) WHERE k < length"""))
