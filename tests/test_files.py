@@ -8,7 +8,7 @@ from tests.conftest import plan_of
 from tidemark import schemas
 from tidemark.session import scratch_path, store
 from tidemark.sinks.files import load_table, write_csv, write_curated
-from tidemark.sinks.messages import kafka_sink_options, publish_json
+from tidemark.sinks.messages import kafka_sink_options, publish_events, publish_json
 from tidemark.sources import files as src
 from tidemark.sources.kafka import kafka_events, kafka_source_options
 
@@ -115,6 +115,11 @@ def test_kafka_source_needs_its_connector(spark):
         kafka_events(spark, "localhost:1", "t")
 
 
+def test_kafka_sink_needs_its_connector(rows):
+    with pytest.raises(PySparkException, match="(?i)kafka"):
+        publish_events(rows("value binary", (b"{}",)), "localhost:1", "t")
+
+
 def test_published_json_is_one_message_per_line(spark, rows, tmp_path):
     path = str(tmp_path / "topic")
     publish_json(rows("value binary, n int", (b'{"a":1}', 1)), path)

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import SparkSession, functions as F
 
 from tidemark import schemas
-from tidemark.operators.calendar import date_spine, flag_in_interval, interval_days, station_day_spine
+from tidemark.operators.calendar import (
+    date_spine, flag_in_interval, interval_days, station_day_spine,
+)
 from tidemark.plans import batch_baseline, replay, station_summary, stream_alerts
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import read_csv
@@ -121,7 +123,8 @@ def test_intervals_count_once_and_may_be_empty(rows):
                      ("a", "2024-01-01", 2), ("a", "2024-01-02", 2), ("a", "2024-01-09", 0),
                      (None, "2024-01-01", 1)).withColumn("start", F.to_date("start"))
     days = rows("stationReference string, date string", ("a", "2024-01-02"), ("a", "2024-01-04"),
-                ("a", "2024-01-02"), ("b", "2024-01-02"), (None, "2024-01-01")).withColumn("date", F.to_date("date"))
+                ("a", "2024-01-02"), ("b", "2024-01-02"), (None, "2024-01-01"))
+    days = days.withColumn("date", F.to_date("date"))
     assert interval_days(intervals).where("stationReference = 'a'").count() == 3
     flags = [r.in_interval for r in
              flag_in_interval(days, intervals).orderBy("stationReference", "date").collect()]
@@ -129,7 +132,8 @@ def test_intervals_count_once_and_may_be_empty(rows):
 
 
 def test_spine(spark, rows):
-    assert date_spine(spark, "2024-02-28", 3).agg(F.max("date")).first()[0].isoformat() == "2024-03-01"
+    last = date_spine(spark, "2024-02-28", 3).agg(F.max("date")).first()[0]
+    assert last.isoformat() == "2024-03-01"
     spine = station_day_spine(rows("stationReference string", ("a",), ("b",)), "2024-01-01", 31, 3)
     assert spine.distinct().count() == 62 and spine.rdd.getNumPartitions() == 3
 

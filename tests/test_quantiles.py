@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -18,7 +19,8 @@ def expected(values, interpolate):
     if interpolate:
         return list(np.quantile(values, list(PROBS.values())))
     ordered = sorted(values)
-    return [ordered[max(math.ceil(len(ordered) * p) - 1, 0)] for p in PROBS.values()]
+    shares = [Fraction(str(p)) for p in PROBS.values()]
+    return [ordered[max(math.ceil(len(ordered) * share) - 1, 0)] for share in shares]
 
 
 def check(df, data, interpolate, **options):
@@ -98,3 +100,11 @@ def test_key_and_value_may_have_any_name(rows):
     df = rows("slice long, rank double", (1, 1.0), (1, 3.0), (2, 5.0))
     got = exact_quantiles(df, ["slice"], "rank", {"n": 0.5}, **SPLIT)
     assert {tuple(r) for r in got.collect()} == {(1, 2.0), (2, 5.0)}
+
+
+@pytest.mark.parametrize("options", [{}, SPLIT], ids=["sorted", "split"])
+def test_ranks_do_not_suffer_from_binary_fractions(spark, options):
+    """100 * 0.07 exceeds 7 in doubles; the seventh percentile of 1..100 is 7 all the same."""
+    df = spark.range(1, 101).selectExpr("CAST(id AS DOUBLE) AS v")
+    found = exact_quantiles(df, [], "v", {"q": 0.07}, interpolate=False, **options)
+    assert found.first().q == 7.0

@@ -103,7 +103,8 @@ def test_grading_of_special_stations(rows):
         "stationReference string, mean_level_total double, std_level_total double, "
         "alert_threshold_high double, alert_threshold_very_high double, riverName string, "
         "catchmentName string, town string",
-        ("flat", 2.0, 0.0, 2.0, 2.0, "r", "c", "t"), ("single", 2.0, None, 2.0, None, "r", "c", "t"),
+        ("flat", 2.0, 0.0, 2.0, 2.0, "r", "c", "t"),
+        ("single", 2.0, None, 2.0, None, "r", "c", "t"),
         ("odd", 2.0, 1.0, 9.0, 4.0, "r", "c", "t"), ("odd", 2.0, 1.0, 9.0, 4.0, "r", "c", "t"))
     at = "2024-01-01 00:01:00"
     df = events(rows, ("flat", at, 3.0), ("single", at, 3.0), ("odd", at, 5.0), ("new", at, 9.0))

@@ -1,6 +1,6 @@
 """Cleaning and shaping of raw readings."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import calendar, text
 from tidemark.schemas import STATION_KEY
@@ -20,21 +20,16 @@ def filter_parameter(df: DataFrame, parameter: str = "level") -> DataFrame:
     return df.where(F.col("parameter") == parameter)
 
 
-def _replace_value(df: DataFrame, value: Column) -> DataFrame:
-    return df.withColumn("value", value)
-
-
 def clean_first_number(df: DataFrame) -> DataFrame:
     """Replace the text ``value`` by its first number; drop rows that have none."""
     raw = F.col("value")
-    return _replace_value(
-        df.where(text.holds_number(raw)), text.blank_to_null_double(text.first_number(raw))
-    )
+    number = text.blank_to_null_double(text.first_number(raw))
+    return df.where(text.holds_number(raw)).withColumn("value", number)
 
 
 def clean_strict_number(df: DataFrame) -> DataFrame:
     """Replace the text ``value`` by its number; drop rows that are not one number."""
-    return drop_null(_replace_value(df, text.strict_double(F.col("value"))), "value")
+    return drop_null(df.withColumn("value", text.strict_double(F.col("value"))), "value")
 
 
 def with_keys(df: DataFrame, require_station: bool = True) -> DataFrame:

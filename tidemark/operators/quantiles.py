@@ -14,6 +14,7 @@ range partitioning only balances the slices.
 """
 
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,19 +30,32 @@ def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
+def _position(n: Column, p: float) -> tuple[Column, Column]:
+    """Rank ``(n - 1) * p`` as whole part and remainder share.
+
+    Whole-number arithmetic on the decimal ``p`` stands for: in doubles, 100 * 0.07 is
+    already above 7 and would pick the next rank.
+    """
+    share = Fraction(str(p))
+    scaled = (n - 1) * F.lit(share.numerator)
+    below = F.lit(share.denominator)
+    return F.call_function("div", scaled, below), (scaled % below) / below
+
+
 def _ranks(n: Column, p: float, interpolate: bool) -> tuple[Column, Column]:
     """Zero-based ranks of the values just below and above quantile ``p`` of ``n``."""
     if interpolate:
-        position = (n - 1) * F.lit(p)
-        return F.floor(position), F.ceil(position)
-    rank = F.greatest(F.ceil(n * F.lit(p)) - 1, F.lit(0).cast("long"))
+        low, rest = _position(n, p)
+        return low, F.when(rest > 0, low + 1).otherwise(low)
+    share = Fraction(str(p))
+    up = n * F.lit(share.numerator) + F.lit(share.denominator - 1)
+    rank = F.greatest(F.call_function("div", up, F.lit(share.denominator)) - 1, F.lit(0))
     return rank, rank
 
 
 def _blend(n: Column, p: float, low: Column, high: Column) -> Column:
     """Linear interpolation between the two ranked values."""
-    position = (n - 1) * F.lit(p)
-    above = position - F.floor(position)
+    _, above = _position(n, p)
     return F.when(low == high, low).otherwise((1 - above) * low + above * high)
 
 
@@ -99,7 +113,8 @@ def _split_groups(
     upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
     def hit(target: Column) -> Column:
-        return (target["_rank"] < F.col("_upto")) & (target["_rank"] >= F.col("_upto") - F.col("_n"))
+        rank, last = target["_rank"], F.col("_upto")
+        return (rank < last) & (rank >= last - F.col("_n"))
 
     hits = inside.withColumn("_upto", upto).select(
         *keys, "_group_n", value, F.explode(F.filter("_targets", hit)).alias("_hit")

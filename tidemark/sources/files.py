@@ -83,6 +83,7 @@ def read_archive_text(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def selection(prefix: str, suffix: str) -> dict:
+    """Reader options that pick files by name, at any depth."""
     return {"pathGlobFilter": f"{prefix}*{suffix}", "recursiveFileLookup": True}
 
 
