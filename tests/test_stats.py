@@ -213,6 +213,11 @@ def test_interval_join_splits_a_hot_day(spark):
         flagged = flag_in_interval(hot_rows(spark), intervals)
         assert "skew=true" in final_plan_of(flagged)
         assert flagged.where("in_interval").count() == 66_667 + 33_333
+        # The same under an aggregation by the join's keys.
+        counted = flagged.groupBy("stationReference", "date").agg(
+            F.max("payload"), F.max("in_interval")
+        )
+        assert "skew=true" in final_plan_of(counted)
 
 
 def test_grading_single_readings_splits_a_hot_station(spark):

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -162,6 +163,30 @@ def test_stream_equals_batch(spark, feed, tmp_path, max_files):
     assert stream(spark, feed, tmp_path, max_files).count() == len(want)
 
 
+@pytest.mark.parametrize("refresh", [False, True])
+def test_an_interrupted_stream_resumes_without_loss_or_repeats(spark, feed, tmp_path, refresh):
+    messages = json_events_stream(spark, str(feed / "topic"), max_files=1)
+    query = stream_alerts(spark, messages, str(feed / "baseline"), f"{tmp_path}/alerts",
+                          f"{tmp_path}/checkpoint", interval="0 seconds", refresh=refresh)
+    deadline = time.monotonic() + WAIT
+    while (query.lastProgress is None or query.lastProgress.batchId < 1) and query.isActive:
+        assert time.monotonic() < deadline
+        time.sleep(0.05)
+    query.stop()
+    got = stream(spark, feed, tmp_path, max_files=1, refresh=refresh)
+    want = key_set(closed_windows(spark))
+    assert got.count() == len(want) and key_set(got.drop("batch_id")) == want
+
+
+def test_state_is_kept_in_rocksdb(spark, feed, tmp_path):
+    messages = json_events_stream(spark, str(feed / "topic"))
+    query = stream_alerts(spark, messages, str(feed / "baseline"), f"{tmp_path}/alerts",
+                          f"{tmp_path}/checkpoint", interval=None)
+    al.run(query, WAIT)
+    metrics = query.recentProgress[0].stateOperators[0].customMetrics
+    assert any(name.startswith("rocksdb") for name in metrics)
+
+
 @pytest.mark.parametrize("refresh", [False, True])
 def test_micro_batches_can_be_packed_into_few_files(spark, feed, tmp_path, refresh):
     got = stream(spark, feed, tmp_path, files=1, refresh=refresh)
