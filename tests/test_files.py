@@ -77,6 +77,15 @@ def test_csv_quoting_survives_a_round_trip(spark, rows, tmp_path):
     assert [tuple(r) for r in got.collect()] == data
 
 
+def test_partitioned_csv_reads_back_with_its_folder_column(spark, rows, tmp_path):
+    path = str(tmp_path / "out")
+    df = rows("stationReference string, label string, town string", ("a", "x", "t"),
+              ("b", None, "u"))
+    write_csv(df, path, partition_by="town")
+    got = src.read_stations(spark, path).select("stationReference", "label", "town")
+    assert {tuple(r) for r in got.collect()} == {("a", "x", "t"), ("b", None, "u")}
+
+
 def test_curated_write_replaces_and_prunes(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     df = rows("stationReference string, reading_date string, value double",

@@ -165,8 +165,8 @@ def late_data_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = scratch_path(spark, "late")
     readings = t.readings(spark, sf_dir)
-    first, last = readings.agg(F.min("dateTime"), F.max("dateTime")).first()
-    middle = F.lit(first + (last - first) / 2)
+    first, last = F.min("dateTime"), F.max("dateTime")
+    middle = readings.agg(first + (last - first) / 2).scalar()
     for half in (F.col("dateTime") >= middle, F.col("dateTime") < middle):
         _publish(readings.where(half), f"{root}/topic")
         events = valid_events(parse_events(json_events_stream(spark, f"{root}/topic")))

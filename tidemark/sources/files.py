@@ -52,7 +52,9 @@ def read_csv(
 
     ``with_file`` adds the column ``file_path``. No matching file gives no rows.
     """
-    wanted = T.StructType(schema.fields + [T.StructField("file_path", T.StringType())] * with_file)
+    wanted = T.StructType(schema.fields[:])
+    if with_file:
+        wanted.add("file_path", "string")
     header = _header_schema(spark, path, options)
     if header is None:
         return spark.createDataFrame([], wanted)
@@ -115,7 +117,10 @@ def replay_all(spark: SparkSession, folder: str, schema: T.StructType, **options
 
 
 def union_by_header(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """UNION ALL of CSV paths whose headers differ; missing columns become NULL."""
+    """UNION ALL of CSV paths whose headers differ; missing columns become NULL.
+
+    Give one path (folder or glob) per header, not one per file.
+    """
     parts = [spark.read.options(**CSV_DIALECT).csv(p) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
