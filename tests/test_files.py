@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tidemark import schemas
-from tidemark.session import scratch_path, store
+from tidemark.session import clear_scratch, scratch_path, store
 from tidemark.sinks.files import load_table, write_csv, write_curated
 from tidemark.sinks.messages import kafka_sink_options, publish_events, publish_json
 from tidemark.sources import files as src
@@ -139,7 +140,15 @@ def test_published_json_is_one_message_per_line(spark, rows, tmp_path):
 def test_scratch_lies_in_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
-    assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/tidemark/x-")
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/tidemark/")
+
+
+def test_cleared_scratch_is_gone(spark):
+    kept = store(spark.range(3).toDF("x"), "kept")
+    folder = os.path.dirname(scratch_path(spark, "x"))
+    assert os.path.isdir(folder) and kept.count() == 3
+    clear_scratch(spark)
+    assert not os.path.exists(folder)
 
 
 def test_stored_table_does_not_change(spark):

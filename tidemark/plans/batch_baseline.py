@@ -8,7 +8,7 @@ from tidemark.operators.cleaning import clean_readings
 from tidemark.operators.joins import alert_thresholds, enrich_baseline
 from tidemark.operators.stats import station_baseline, station_daily
 from tidemark.schemas import STATION_KEY
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_scratch
 from tidemark.sinks.files import write_curated
 from tidemark.sources.files import read_archive_text, read_baseline, read_readings, read_stations
 
@@ -72,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         spark, args.readings, args.stations, args.out, args.parameter, args.min_max,
         exact=not args.approximate,
     )
+    clear_scratch(spark)
     spark.stop()
 
 

@@ -9,7 +9,7 @@ from tidemark.operators.calendar import flag_in_interval, station_day_spine
 from tidemark.operators.labels import dominant_label
 from tidemark.operators.stats import summary_stats
 from tidemark.schemas import DAILY_RISK, STATION_KEY, STATION_METADATA
-from tidemark.session import build_session, store
+from tidemark.session import build_session, clear_scratch, store
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import read_csv
 
@@ -77,6 +77,7 @@ def main(argv: list[str] | None = None) -> None:
     daily = store(read_csv(spark, args.daily, DAILY_RISK), "daily")
     stations = read_csv(spark, args.stations, STATION_METADATA)
     write_csv(summarize_stations(daily, stations), args.out)
+    clear_scratch(spark)
     spark.stop()
 
 

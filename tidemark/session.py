@@ -41,9 +41,9 @@ def build_session(app_name: str, log_level: str = "WARN") -> SparkSession:
     return spark
 
 
-def apply_settings(spark: SparkSession, streaming: bool = True) -> SparkSession:
-    """Apply the SQL (and streaming-state) settings to an existing session."""
-    for key, value in {**SQL_SETTINGS, **(STREAM_SETTINGS if streaming else {})}.items():
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Apply the SQL and streaming-state settings to an existing session."""
+    for key, value in {**SQL_SETTINGS, **STREAM_SETTINGS}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -53,6 +53,15 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = _local_folder()
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name in the shared folder given by ``spark.checkpoint.dir``.
 
@@ -60,19 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster a machine-local folder would vanish with its machine, so that is
     refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_folder()
-    return f"{root.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     The stored table does not change between two reads, is computed once however often
-    it is used, and outlives the executors that wrote it.
+    it is used, and outlives the executors that wrote it. It stays until
+    :func:`clear_scratch`.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
