@@ -9,8 +9,8 @@ from tests.conftest import final_plan_of
 from tidemark.operators.quantiles import exact_quantiles, group_sizes
 
 PROBS = {"p0": 0.0, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-SPLIT = {"group_limit": 0, "slice_rows": 40}
-MIXED = {"group_limit": 40, "slice_rows": 40}
+SPLIT = {"group_limit": 0, "slice_rows": 200}
+MIXED = {"group_limit": 40, "slice_rows": 200}
 
 
 def expected(values, interpolate):
