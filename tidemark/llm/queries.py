@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash_dedup, substring_dedup
+from tidemark.llm import language_id, packing, simhash_dedup, substring_dedup
+from tidemark.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(crc_mod("doc_id", 4) != 2))
+    return language_id.classify(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op7_substring_dedup")
 def op7(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -33,6 +43,11 @@ def op7(spark, sf_dir):
     )
 
 
+@query("op8_best_fit_packing")
+def op8(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query("op10_simhash_dedup")
 def op10(spark, sf_dir):
     return simhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
