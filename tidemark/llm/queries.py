@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, packing, simhash_dedup, substring_dedup
+from tidemark.llm import (
+    language_id, packing, quality_classifier, simhash_dedup, substring_dedup,
+)
 from tidemark.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +50,16 @@ def op8(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    model = quality_classifier.train(docs, labels.where(crc_mod("doc_id", 5) != 0))
+    return quality_classifier.classify(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query("op10_simhash_dedup")
 def op10(spark, sf_dir):
     return simhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
