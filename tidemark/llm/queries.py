@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    language_id, packing, quality_classifier, simhash_dedup, substring_dedup,
+    language_id, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup,
 )
 from tidemark.llm.common import crc_mod
 
@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_quality_rules")
+def op3(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 @query("op5_language_id")
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
