@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    language_id, packing, quality_classifier, quality_rules, simhash_dedup, substring_dedup,
+    language_id, packing, quality_classifier, quality_rules, sharding, simhash_dedup,
+    substring_dedup,
 )
 from tidemark.llm.common import crc_mod
 
@@ -36,6 +37,53 @@ def op3(spark, sf_dir):
     )
 
 
+#: crc32 of the text, byte by byte, from its table of 256 remainders.
+_CRC32 = """
+    SELECT list(r ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, [1, 2, 3, 4, 5, 6, 7, 8]), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS r
+        FROM (SELECT unnest(range(256)) AS i))
+"""
+
+_OP4_SQL = f"""
+WITH remainders AS ({_CRC32}),
+rows AS (
+    SELECT doc_id, coalesce('=' || source, '') AS s, md5('{sharding.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS k,
+        octet_length(encode(coalesce(text, ''))) + 1 AS size, encode(coalesce(text, '')) AS b,
+        xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(
+                list_filter(string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\\1 ', 'g'),
+                    ' '), lambda h: h <> ''),
+                lambda h: ('0x' || h)::BIGINT)),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]))) AS crc
+    FROM documents, remainders),
+ranked AS (
+    SELECT *, (row_number() OVER (PARTITION BY s ORDER BY k, size, crc) - 1 + 0.5::DOUBLE)
+        / count(*) OVER (PARTITION BY s) AS spot FROM rows),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY spot, s, k, size, crc) - 1 AS place, count(*) OVER () AS n
+    FROM ranked)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law,
+    (place * {sharding.SHARDS} // n)::INTEGER AS shard,
+    (place - ((place * {sharding.SHARDS} // n) * n + {sharding.SHARDS - 1}) // {sharding.SHARDS})::BIGINT AS slot,
+    NULL::INTEGER AS grown_shard
+FROM placed
+"""
+
+
+@query("op4_sharding", _OP4_SQL)
+def op4(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+    )
+    return sharding.interleave(docs, ["size", "text_crc32"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op5_language_id")
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
