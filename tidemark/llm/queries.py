@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    language_id, packing, quality_classifier, quality_rules, sharding, simhash_dedup,
-    substring_dedup,
+    language_id, line_dedup, packing, quality_classifier, quality_rules, sharding,
+    simhash_dedup, substring_dedup,
 )
 from tidemark.llm.common import crc_mod
 
@@ -29,6 +29,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OP2_SQL = f"""
+WITH lines AS (
+    SELECT doc_id, text, i, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w, line
+    FROM (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+found AS (SELECT doc_id, i, w, list_aggregate(w, 'string_agg', ' ') AS s FROM lines WHERE len(w) > 0),
+classes AS (SELECT s, any_value(w) AS w, min((doc_id, i)) AS first FROM found GROUP BY s),
+long AS (SELECT s, w, first, len(w) AS n, unnest(range(1, len(w) + 1)) AS j
+    FROM classes WHERE len(w) >= {line_dedup.MIN_WORDS}),
+opened AS (SELECT s, first, n, j, w[:j - 1] AS a, w[j + 1:] AS b FROM long),
+replaced AS (SELECT a.s FROM opened a JOIN (
+        SELECT n, j, a, b, min(first) AS earliest FROM opened GROUP BY ALL HAVING count(*) > 1) e
+    ON a.n = e.n AND a.j = e.j AND a.a = e.a AND a.b = e.b AND e.earliest < a.first),
+shorter AS (SELECT DISTINCT s, first, list_aggregate(a || b, 'string_agg', ' ') AS d
+    FROM opened WHERE n > {line_dedup.MIN_WORDS}),
+inserted AS (
+    SELECT x.s FROM shorter x JOIN classes c ON c.s = x.d WHERE c.first < x.first
+    UNION ALL
+    SELECT c.s FROM shorter x JOIN classes c ON c.s = x.d WHERE x.first < c.first),
+near AS (SELECT DISTINCT s FROM (FROM replaced UNION ALL FROM inserted)),
+gone AS (SELECT f.doc_id, f.i FROM found f JOIN classes c USING (s)
+    WHERE (f.doc_id, f.i) <> c.first OR f.s IN (FROM near))
+SELECT l.doc_id, count(*) FILTER (len(w) > 0) AS n_lines, count(g.i) AS n_removed,
+    md5(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '')) AS text_md5
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
+"""
+
+
+@query("op2_line_dedup", _OP2_SQL)
+def op2(spark, sf_dir):
+    left = line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 @query("op3_quality_rules")
 def op3(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
