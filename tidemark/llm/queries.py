@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    language_id, line_dedup, packing, quality_classifier, quality_rules, sharding,
-    simhash_dedup, substring_dedup,
+    chat_format, language_id, line_dedup, packing, quality_classifier, quality_rules,
+    sharding, simhash_dedup, substring_dedup,
 )
 from tidemark.llm.common import crc_mod
 
@@ -127,6 +127,59 @@ def op5(spark, sf_dir):
     )
 
 
+_OP6_SQL = f"""
+WITH turns AS (
+    SELECT DISTINCT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(turn, {2**63 - 1}) AS turn,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, text) AS k FROM turns),
+same AS (
+    SELECT pair_id, k, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS alike
+    FROM placed GROUP BY pair_id, k),
+prompts AS (
+    SELECT pair_id, coalesce(min(k) FILTER (NOT alike) - 1, max(k)) AS n FROM same GROUP BY pair_id),
+rendered AS (
+    SELECT pair_id, side, k, n, k <= n AS shared, role, '{chat_format.OPEN}' || role || chr(10) AS head,
+        text || '<|im_end|>' || chr(10) AS body
+    FROM placed JOIN prompts USING (pair_id)),
+spans AS (
+    SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY pair_id, side, shared ORDER BY k)
+        - length(body) AS start FROM rendered),
+sides AS (
+    SELECT pair_id, side, any_value(n) AS n,
+        coalesce(string_agg(head || body, '' ORDER BY k) FILTER (shared), '') AS prompt,
+        coalesce(string_agg(head || body, '' ORDER BY k) FILTER (NOT shared), '') AS completion,
+        coalesce(string_agg(start || ':' || length(body), ',' ORDER BY k)
+            FILTER (NOT shared AND role = '{chat_format.TRAINED}'), '') AS spans
+    FROM spans GROUP BY pair_id, side),
+pairs AS (
+    SELECT pair_id, any_value(n) AS n, coalesce(max(prompt), '') AS prompt,
+        coalesce(max(completion) FILTER (side = 0), '') AS chosen,
+        coalesce(max(completion) FILTER (side = 1), '') AS rejected,
+        coalesce(max(spans) FILTER (side = 0), '') AS chosen_spans,
+        coalesce(max(spans) FILTER (side = 1), '') AS rejected_spans
+    FROM sides GROUP BY pair_id)
+SELECT pair_id, n::INTEGER AS n_prompt_turns, md5(prompt) AS prompt_md5, md5(chosen) AS chosen_md5,
+    md5(rejected) AS rejected_md5, chosen_spans, rejected_spans,
+    chosen_spans <> '' AND rejected_spans <> '' AND chosen <> rejected AS usable
+FROM pairs
+"""
+
+
+@query("op6_chat_format", _OP6_SQL)
+def op6(spark, sf_dir):
+    turns = chat_format.neighbours(table(spark, sf_dir, "conversations"))
+
+    def listed(name):
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(
+            ":", s["start"].cast("string"), s["length"].cast("string"))), ",").alias(name)
+
+    return chat_format.format_preferences(turns).select(
+        "pair_id", "n_prompt_turns", *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+        listed("chosen_spans"), listed("rejected_spans"), "usable",
+    )
+
+
 @query("op7_substring_dedup")
 def op7(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
