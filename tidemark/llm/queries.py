@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat_format, language_id, line_dedup, packing, quality_classifier, quality_rules,
-    sharding, simhash_dedup, substring_dedup,
+    chat_format, decontaminate, language_id, line_dedup, packing, quality_classifier,
+    quality_rules, sharding, simhash_dedup, substring_dedup,
 )
 from tidemark.llm.common import crc_mod
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_decontaminate")
+def op1(spark, sf_dir):
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.leaks(docs, items)
+
+
 _OP2_SQL = f"""
 WITH lines AS (
     SELECT doc_id, text, i, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w, line
