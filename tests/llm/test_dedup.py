@@ -58,7 +58,7 @@ def test_substring_dedup_resolves_hash_collisions(monkeypatch):
     )
     raw = np.frombuffer(b"a b c a b d ", np.uint8)
     starts, ends, first = words.find_words(raw, np.array([0, 12]))
-    joined, place = words.joined_words(raw, starts, ends, first)
+    joined, place = words.joined_words(raw, starts, ends)
     late = substring_dedup._after_first(
         joined, place, np.zeros(6, np.uint64), np.array([0, 1, 2, 3, 4]),
         np.array([0, 0, 0, 1, 1]), 2,

@@ -47,7 +47,7 @@ def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> np.ndarray:
     data, at = text_bytes(texts)
     data = lower_table()[data]
     starts, ends, first = find_words(data, at)
-    joined, place = joined_words(data, starts, ends, first)
+    joined, place = joined_words(data, starts, ends)
     raw = joined.tobytes()
     n = np.diff(first)
     count = np.where(n == 0, 0, np.maximum(n - shingle + 1, 1))

@@ -17,11 +17,15 @@ from tidemark.llm.words import (
 )
 
 WINDOW = 13
-INNER = 5
+INNER = 3
 #: Buckets for each shuffle partition; the result does not depend on it.
-SPREAD = 4
-HEAD = [("minimiser", np.uint64), ("d", np.int64), ("t", np.int64), ("start", np.int64),
-        ("size", np.int64)]
+SPREAD = 1
+#: Bytes of text that are compared before the rest travels.
+LOCAL = 8_000_000
+#: What travels beside a stretch: the low bits of its minimiser, its place in the list of
+#: documents, its first word (low and high half) and its bytes (likewise).
+HEAD = [("minimiser", np.uint32), ("doc", np.uint32), ("start", np.uint32),
+        ("start_high", np.uint32), ("size", np.uint32), ("size_high", np.uint32)]
 
 
 def _equal_runs(raw: np.ndarray, place: np.ndarray, p: np.ndarray, q: np.ndarray, length: int):
@@ -89,10 +93,17 @@ def _spans(d, t, start, length: int) -> pa.Table:
     }) if len(start) else pa.table({k: pa.array([], pa.int64()) for k in ("_d", "_t", "a", "b")})
 
 
-def _pack(head: dict[str, np.ndarray], body: np.ndarray) -> tuple[bytes, bytes]:
+def _pack(head: dict[str, np.ndarray], docs: np.ndarray, body: np.ndarray) -> tuple[bytes, bytes]:
     zip_ = zstandard.ZstdCompressor(level=3)
-    fields = b"".join(np.ascontiguousarray(head[k], dtype).tobytes() for k, dtype in HEAD)
-    return zip_.compress(fields), zip_.compress(body.tobytes())
+    n = np.array([len(head["doc"]), docs.shape[1]], np.int64)
+    doc = np.diff(head["doc"], prepend=0)  # mostly zeros and ones
+    columns = [head["minimiser"], doc, head["start"], head["start"] >> 32, head["size"],
+               head["size"] >> 32]
+    fields = b"".join(
+        (c.astype(np.int64) & 0xFFFFFFFF).astype(kind).tobytes()
+        for c, (_, kind) in zip(columns, HEAD)
+    )
+    return zip_.compress(n.tobytes() + docs.tobytes() + fields), zip_.compress(body.tobytes())
 
 
 def _unpack(heads: list[bytes], bodies: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -100,11 +111,18 @@ def _unpack(heads: list[bytes], bodies: list[bytes]) -> tuple[dict[str, np.ndarr
     parts = []
     for head in heads:
         raw = unzip.decompress(head)
-        n = len(raw) // 40
-        parts.append([np.frombuffer(raw, dtype, n, 8 * n * i) for i, (_, dtype) in enumerate(HEAD)])
+        n, m = np.frombuffer(raw, np.int64, 2).tolist()
+        docs = np.frombuffer(raw, np.int64, 2 * m, 16).reshape(2, m)
+        at = 16 + 16 * m
+        minimiser, doc, start, start_high, size, size_high = (
+            np.frombuffer(raw, kind, n, at + 4 * n * i).astype(np.int64)
+            for i, (_, kind) in enumerate(HEAD)
+        )
+        d, t = docs[:, np.cumsum(doc)]
+        parts.append((minimiser, d, t, start + (start_high << 32), size + (size_high << 32)))
     joined = [np.concatenate(column) for column in zip(*parts)]
     body = np.frombuffer(b"".join(unzip.decompress(x) for x in bodies), np.uint8)
-    return {k: joined[i] for i, (k, _) in enumerate(HEAD)}, body
+    return dict(zip(("minimiser", "d", "t", "start", "size"), joined)), body
 
 
 def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -123,7 +141,7 @@ def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
     if not len(p):
         return None, []
     words = word_hashes(data, starts, ends)
-    raw, place = joined_words(data, starts, ends, first)
+    raw, place = joined_words(data, starts, ends)
     late = _after_first(raw, place, words, p, d[text], window)
     spans = _spans(d[text[late]], t[text[late]], (p - first[:-1][text])[late], window)
     small = run_hashes(words, inner)
@@ -141,11 +159,11 @@ def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
         own = order[i:j]
         a, b = p[cut[own]], p[last[own]] + window
         size = place[b] - place[a]
-        owner = text[cut[own]]
+        owners, doc = np.unique(text[cut[own]], return_inverse=True)
         head, body = _pack(
-            {"minimiser": least[a], "d": d[owner], "t": t[owner],
-             "start": a - first[:-1][owner], "size": size},
-            _gather(raw, place[a], size),
+            {"minimiser": least[a] >> np.uint64(32), "doc": doc, "size": size,
+             "start": a - first[:-1][owners][doc]},
+            np.stack([d[owners], t[owners]]), _gather(raw, place[a], size),
         )
         packed.append((int(bucket[own[0]]), head, body))
     return spans, packed
@@ -169,7 +187,7 @@ def _settle(heads: list[bytes], bodies: list[bytes], window: int) -> pa.Table |
     starts, ends, first = find_words(data, at)
     text, p = room_left(first, window)
     words = word_hashes(data, starts, ends)
-    raw, where = joined_words(data, starts, ends, first)
+    raw, where = joined_words(data, starts, ends)
     late = _after_first(raw, where, words, p, head["d"][own[text]], window)
     text, p = text[late], p[late]
     return _spans(
@@ -182,7 +200,7 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
     """(_d, _t, a, b): stretches of words [a, b) of the documents (_d, _t, text) covered by
     windows that also start in a document with a smaller ``_d``.
 
-    Documents are first compared inside a block of a few megabytes, and only the earliest
+    Documents are first compared inside a block of a few megabytes (``LOCAL``), and only the earliest
     owner's occurrences of a window travel on. A window that a third of all documents share
     therefore reaches its bucket once for each block, not once for each document.
     """
@@ -191,7 +209,7 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
     empty = pa.table({k: pa.array([], pa.int64()) for k in ("_d", "_t", "a", "b")})
 
     def scatter(batches):
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", LOCAL):
             spans, packed = _scatter(table, window, inner, buckets)
             n = 0 if spans is None else spans.num_rows
             if n:
@@ -235,7 +253,7 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
 def _keep_words(texts: pa.Array, spans: list) -> tuple[list, list, list]:
     data, at = text_bytes(texts)
     starts, ends, first = find_words(data, at)
-    raw, place = joined_words(data, starts, ends, first)
+    raw, place = joined_words(data, starts, ends)
     change = np.zeros(len(starts) + 1, np.int64)
     for i, own in enumerate(spans):
         if own:

@@ -18,6 +18,15 @@ def is_space() -> np.ndarray:
     return table
 
 
+def is_mark() -> np.ndarray:
+    """All of ASCII but letters and digits."""
+    table = np.ones(256, bool)
+    table[128:] = False
+    for a, b in ((48, 58), (65, 91), (97, 123)):
+        table[a:b] = False
+    return table
+
+
 def lower_table() -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
@@ -65,10 +74,13 @@ def column_of(table: pa.Table, name: str) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def find_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words, and for each text the index of its first word."""
+def find_words(
+    data: np.ndarray, at: np.ndarray, space: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words, and for each text the index of its first word.
+    ``space`` tells for each byte whether it separates words."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~is_space()[data]
+    inside[1:-1] = ~(is_space() if space is None else space)[data]
     start = inside[1:] & ~inside[:-1]
     end = inside[:-1] & ~inside[1:]
     cuts = at[1:-1]
@@ -138,16 +150,15 @@ def room_left(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def joined_words(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, space: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Bytes with one space after each word, and each word's start there (one more: the end)."""
     sizes = ends - starts + 1
     place = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(sizes, out=place[1:])
-    keep = np.zeros(len(data) + 1, bool)
-    keep[:-1] = ~is_space()[data]
+    keep = ~(is_space() if space is None else space)[data]
     out = np.full(int(place[-1]), 0x20, np.uint8)
     inside = np.ones(len(out), bool)
     inside[place[1:] - 1] = False
-    out[inside] = data[keep[:-1]]
+    out[inside] = data[keep]
     return out, place
