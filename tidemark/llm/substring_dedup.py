@@ -19,9 +19,9 @@ from tidemark.llm.words import (
 WINDOW = 13
 INNER = 3
 #: Buckets for each shuffle partition; the result does not depend on it.
-SPREAD = 1
+SPREAD = 2
 #: Bytes of text that are compared before the rest travels.
-LOCAL = 8_000_000
+LOCAL = 6_000_000
 #: What travels beside a stretch: the low bits of its minimiser, its place in the list of
 #: documents, its first word (low and high half) and its bytes (likewise).
 HEAD = [("minimiser", np.uint32), ("doc", np.uint32), ("start", np.uint32),
@@ -125,9 +125,21 @@ def _unpack(heads: list[bytes], bodies: list[bytes]) -> tuple[dict[str, np.ndarr
     return dict(zip(("minimiser", "d", "t", "start", "size"), joined)), body
 
 
-def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    total = int(size.sum())
-    return raw[np.repeat(start, size) + np.arange(total) - np.repeat(np.cumsum(size) - size, size)]
+def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray, step: int = 1_000_000):
+    """The bytes of all stretches, one after another; their places take memory for about
+    ``step`` bytes at a time."""
+    end = np.cumsum(size)
+    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+    i = 0
+    while i < len(size):
+        done = int(end[i] - size[i])
+        j = max(int(np.searchsorted(end, done + step, side="right")), i + 1)
+        n = size[i:j]
+        at = np.repeat(start[i:j] - (end[i:j] - n - done), n)
+        at += np.arange(len(at))
+        out[done : done + len(at)] = raw[at]
+        i = j
+    return out
 
 
 def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
