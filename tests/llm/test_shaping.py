@@ -1,0 +1,183 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tests.conftest import SMALL
+from tests.llm import plain_more
+from tests.llm.test_dedup import DOCS, odd_documents
+from tidemark.llm import chat_format, packing, sharding
+
+
+# --- packing -------------------------------------------------------------------------------
+
+def places_are_sound(rows, capacity):
+    """Pieces fill their sequences from 0 without gaps; the number of sequences."""
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def expected_pieces(rows, capacity=2048):
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    out = Counter()
+    for doc_id, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        for i in range(0, len(ids), capacity):
+            part = np.array(ids[i : i + capacity], "<u4")
+            out[doc_id, i // capacity, i, len(part), zlib.crc32(part.tobytes())] += 1
+    return out
+
+
+@pytest.mark.parametrize("source", ["odd", "table"])
+def test_pieces_equal_the_tokenizer(spark, source):
+    if source == "table":
+        df = spark.read.parquet(f"{SMALL}/documents.parquet")
+        rows = [(r.doc_id, r.text) for r in df.collect()]
+    else:
+        rows = odd_documents() + [
+            (200, "It's 5 o'clock. Don't! A.B, c,d ... x., ÀÉ. éa.  İ ß'S 1.2 ,a .,"),
+            (201, "a b　c ̈x ＡＢ. ﬁ. Σας. ΣΑΣ. 日本語. x\u0000y <|endoftext|x> .")]
+        df = spark.createDataFrame([(*r, 7) for r in rows], DOCS + ", length int")
+    got = packing.pack(df).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected_pieces(rows)
+    total = sum(r.length for r in got)
+    assert places_are_sound(got, 2048) <= 1.01 * -(-total // 2048) + 1
+
+
+def test_ids_come_with_the_pieces(spark):
+    df = spark.createDataFrame(odd_documents(), DOCS)
+    got = packing.pack(df, capacity=50, with_ids=True).collect()
+    places_are_sound(got, 50)
+    for r in got:
+        assert len(r.ids) == r.length
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    assert packing.pack(df.where("false")).count() == 0
+
+
+def test_words_are_remembered_and_forgotten(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "CACHE", 5)
+    texts = [t or "" for _, t in odd_documents()]
+    whole, place = packing.token_ids(pa.array(texts), packing.TOKENIZER, 0)
+    for i, text in enumerate(texts):
+        ids, _ = packing.token_ids(pa.array([text]), packing.TOKENIZER, 0)
+        assert ids.tolist() == whole[place[i] : place[i + 1]].tolist()
+
+
+@pytest.mark.parametrize("capacity", [7, 64, 300])
+def test_plan_places_every_piece_once(capacity):
+    rng = np.random.default_rng(capacity)
+    for n in (0, 1, 50, 4000):
+        lengths = np.clip(rng.lognormal(np.log(capacity / 5), 1, n).astype(int), 1, capacity)
+        counts = np.bincount(lengths, minlength=capacity + 1)
+        runs = packing.plan(counts, min(64, capacity))
+        taken, use, seen = np.zeros(capacity + 1, int), defaultdict(list), set()
+        for length, rank, m, sequence, offset in runs.tolist():
+            taken[length] += m
+            for i in range(m):
+                seen.add((length, rank + i))
+                use[sequence + i].append((offset, length))
+        assert (taken == counts).all() and len(seen) == n
+        for pieces in use.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        bound = -(-int(lengths.sum()) // capacity)
+        assert len(use) <= 1.03 * bound + 2
+
+
+def test_patterns_and_least_squares():
+    shapes = packing.patterns(8, 3)
+    assert {tuple(np.repeat(np.arange(9), c.astype(int))) for c in shapes.T} == {
+        (8,), (1, 7), (2, 6), (3, 5), (4, 4), (1, 1, 6), (1, 2, 5), (1, 3, 4), (2, 2, 4), (2, 3, 3)}
+    rng = np.random.default_rng(0)
+    a = rng.random((12, 20))
+    x = packing.least_squares(a, a @ np.maximum(rng.normal(size=20), 0))
+    assert (x >= 0).all()
+    b = rng.normal(size=12)
+    x = packing.least_squares(a, b)
+    gain = a.T @ (b - a @ x)
+    assert (x >= 0).all() and (gain <= 1e-6).all() and np.allclose(gain[x > 0], 0, atol=1e-6)
+
+
+# --- sharding ------------------------------------------------------------------------------
+
+def test_shards_are_even_and_match_the_mixture(spark):
+    rng = random.Random(4)
+    sources = ["a"] * 400 + ["b"] * 150 + [None] * 37 + ["c"] * 3
+    rows = [(None if i % 50 == 0 else i % 500, s, rng.random()) for i, s in enumerate(sources)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, _rank double").repartition(6)
+    got = sharding.interleave(df, ["_rank"]).collect()
+    assert sorted((str(r.doc_id), str(r.source), r._rank) for r in got) == sorted(
+        (str(a), str(b), c) for a, b, c in rows)
+    shards = defaultdict(list)
+    for r in got:
+        shards[r.shard].append(r)
+    counts = [len(shards[s]) for s in range(16)]
+    assert max(counts) - min(counts) <= 1
+    for own in shards.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        for source, n in Counter(sources).items():
+            assert abs(sum(r.source == source for r in own) - n / 16) < 1.01
+    again = sharding.interleave(df.repartition(2), ["_rank"]).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_shards_of_few_rows(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "doc_id long, source string")
+    got = sharding.interleave(df, []).collect()
+    assert sorted(r.shard for r in got) == [0, 5, 10] and {r.slot for r in got} == {0}
+    assert sharding.interleave(df.where("false"), []).count() == 0
+
+
+# --- chat formatting -----------------------------------------------------------------------
+
+def test_preferences_equal_plain(spark):
+    rng = random.Random(9)
+    turns = []
+    for pair in range(30):
+        for chosen in (True, False):
+            for turn in range(rng.randrange(0, 6)):
+                role = "assistant" if turn % 2 else rng.choice(["user", "system", None])
+                turns.append((pair, chosen, turn, role, rng.choice(["hi", "yes é", None, "", "日本"])))
+    turns += [(50, True, 0, "user", "x"), (50, True, 0, "user", "x"), (50, False, 0, "user", "x"),
+              (51, True, None, "assistant", "late"), (51, True, 3, "user", "early"),
+              (None, True, 0, "user", "lost"), (52, None, 0, "user", "lost"),
+              *[(53, c, i, "assistant", f"t{i}") for c in (True, False) for i in range(300 + c)]]
+    df = spark.createDataFrame([(*t, 1) for t in turns], "pair_id long, chosen boolean, turn long, "
+                               "role string, text string, a int").repartition(5)
+    got = {
+        r.pair_id: (r.n_prompt_turns, r.prompt, r.chosen, [tuple(s) for s in r.chosen_spans],
+                    r.rejected, [tuple(s) for s in r.rejected_spans])
+        for r in chat_format.format_preferences(df).collect()
+    }
+    assert got == plain_more.preferences(turns)
+    assert got[53][0] == 300 and got[50][0] == 1
+    assert chat_format.format_preferences(df.where("false")).count() == 0
+
+
+def test_neighbours_are_paired(spark, rows):
+    df = rows("conv_id long, turn long, role string, text string",
+              (0, 0, "user", "q"), (1, 0, "user", "q"), (0, 1, "assistant", "a"),
+              (1, 1, "assistant", "b"), (2, 0, "user", "alone"), (None, 0, "user", "lost"))
+    got = chat_format.format_preferences(chat_format.neighbours(df)).orderBy("pair_id").collect()
+    assert [(r.n_prompt_turns, r.usable) for r in got] == [(1, True), (0, False)]
+    text = got[0].chosen
+    (start, length), = got[0].chosen_spans
+    assert text[start : start + length] == "a<|im_end|>\n" and got[1].rejected == ""
+
+

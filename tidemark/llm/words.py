@@ -36,7 +36,7 @@ def lower_table() -> np.ndarray:
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offsets of its texts; a null is empty."""
     if column.null_count:
-        column = column.fill_null("")
+        column = column.cast(pa.string()).fill_null("")
     wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)
