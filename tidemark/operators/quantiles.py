@@ -1,19 +1,14 @@
 """Exact quantiles per group, for groups of any size.
 
-Ranking a group on one task is right for bounded groups and impossible for a group
-holding a third of a huge table. The group sizes decide, group by group:
+One plan for all sizes: count equal values (shuffled by group *and* value, so a hot group
+spreads over all tasks), range-partition the distinct values into ordered slices, find from
+the slices' totals which slice holds each wanted rank, and rank only inside those slices. No
+task sees more than one slice, whichever group it belongs to, and a running sum may spill.
 
-* groups within ``group_limit`` rows: sort the group's values in one aggregate;
-* larger groups: count equal values (shuffled by group *and* value, so a hot group
-  spreads over all tasks), range-partition the distinct values into ordered slices, find
-  from the slices' totals which slice holds each wanted rank, and rank only inside those
-  slices. No task sees more than one slice, whichever group it belongs to.
-
-Both ways are exact: ranks, not samples, decide the result, and the sampling inside
-range partitioning only balances the slices.
+Ranks, not samples, decide the result; the sampling inside range partitioning only balances
+the slices.
 """
 
-import math
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,14 +16,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.operators.rowjoin import row_join
 from tidemark.session import store
 
-GROUP_LIMIT = 1_000_000
-SLICE_ROWS = 20_000_000
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per group, as column ``n``."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n"))
-
 
 def _position(n: Column, p: float) -> tuple[Column, Column]:
     """Rank ``(n - 1) * p`` as whole part and remainder share.
@@ -59,36 +46,17 @@ def _blend(n: Column, p: float, low: Column, high: Column) -> Column:
     return F.when(low == high, low).otherwise((1 - above) * low + above * high)
 
 
-def _sorted_groups(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-    stats: list[Column], interpolate: bool,
-) -> DataFrame:
-    """Bounded groups: one aggregate, one shuffle."""
-    ordered = F.sort_array(F.collect_list(value)).alias("_values")
-    rows = df.groupBy(*keys).agg(*stats, ordered)
-    n = F.size("_values").cast("long")
-
-    def quantile(p: float) -> Column:
-        low, high = (F.get("_values", r.cast("int")) for r in _ranks(n, p, interpolate))
-        return _blend(n, p, low, high)
-
-    return rows.withColumns({name: quantile(p) for name, p in probs.items()}).drop("_values")
-
-
-def _split_groups(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-    interpolate: bool, slices: int,
+def _ranked(
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], interpolate: bool
 ) -> DataFrame:
-    """Groups of any size, ranked slice by slice."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    sliced = counts.repartitionByRange(slices, *keys, value).withColumn(
-        "_slice", F.spark_partition_id()
-    )
+    """The quantiles of each group that has a value, ranked slice by slice."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    sliced = counts.repartitionByRange(*keys, value).withColumn("_slice", F.spark_partition_id())
     # Slice borders are drawn anew whenever the shuffle is planned anew; both steps below
     # must see the same ones.
     stored = store(sliced, "quantile-slices")
 
-    # At most ``slices`` rows per group from here on.
+    # From here on a group has at most as many rows as there are shuffle partitions.
     totals = stored.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_slice_n"))
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,31 +67,25 @@ def _split_groups(
         }
     )
     wanted = [r for p in probs.values() for r in _ranks(F.col("_group_n"), p, interpolate)]
-    local_rank = F.struct("_rank_no", (F.col("_rank") - F.col("_before")).alias("_rank"))
+    local = [F.col(f"_r{i}") for i in range(len(wanted))]
+    held = [(rank >= 0) & (rank < F.col("_slice_n")) for rank in local]
     targets = (
-        placed.select("*", F.posexplode(F.array(*wanted)).alias("_rank_no", "_rank"))
-        .where("_before <= _rank AND _rank < _before + _slice_n")
-        .groupBy(*keys, "_slice", "_group_n")
-        .agg(F.collect_list(local_rank).alias("_targets"))
+        placed.withColumns({f"_r{i}": rank - F.col("_before") for i, rank in enumerate(wanted)})
+        .where(F.greatest(*held, F.lit(False)))
+        .select(*keys, "_slice", "_group_n", *local)
     )
 
     # Rank the distinct values inside the slices that hold a wanted rank.
     inside = row_join(stored, targets, [*keys, "_slice"], "inner")
     running = Window.partitionBy(*keys, "_slice").orderBy(value)
     upto = F.sum("_n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = F.col("_upto")
 
-    def hit(target: Column) -> Column:
-        rank, last = target["_rank"], F.col("_upto")
-        return (rank < last) & (rank >= last - F.col("_n"))
+    def hit(rank: Column) -> Column:
+        return F.max(F.when((rank < last) & (rank >= last - F.col("_n")), F.col(value)))
 
-    hits = inside.withColumn("_upto", upto).select(
-        *keys, "_group_n", value, F.explode(F.filter("_targets", hit)).alias("_hit")
-    )
-    ranked = hits.groupBy(*keys, "_group_n").agg(
-        *(
-            F.max(F.when(F.col("_hit._rank_no") == i, F.col(value))).alias(f"_v{i}")
-            for i in range(len(wanted))
-        )
+    ranked = inside.withColumn("_upto", upto).groupBy(*keys, "_group_n").agg(
+        *(hit(rank).alias(f"_v{i}") for i, rank in enumerate(local))
     )
     n = F.col("_group_n")
     return ranked.select(
@@ -149,9 +111,6 @@ def grouped_quantiles(
     probs: dict[str, float],
     stats: list[Column],
     interpolate: bool = True,
-    sizes: DataFrame | None = None,
-    group_limit: int = GROUP_LIMIT,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Ordinary aggregates plus exact quantiles per group (all rows when ``keys`` is
     empty). NULL values are ignored by the quantiles.
@@ -159,34 +118,16 @@ def grouped_quantiles(
     ``interpolate`` blends the two neighbouring values; without it the result is the
     smallest value whose share of rows reaches the probability.
 
-    Finding the largest group runs a counting job when the DataFrame is built, unless
-    ``sizes`` (keys and ``n``) is at hand. Where there are large groups, ``df`` is read
-    once more per step, so it should then be a stored table rather than a long plan.
+    The counted values are written to the shared folder when the DataFrame is built; ``df``
+    is read once for them and once for the aggregates.
     """
-    sizes = group_sizes(df, keys) if sizes is None else sizes
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= group_limit:
-        return _sorted_groups(df, keys, value, probs, stats, interpolate)
-
-    # Few by construction: at most (all rows / group_limit) groups are large.
-    large = store(sizes.where(F.col("n") > group_limit), "large-groups")
-    rows = large.agg(F.sum("n")).first()[0]
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(partitions, math.ceil(rows / slice_rows))
-
-    hot = row_join(df, large.select(*keys), keys, "left_semi") if keys else df
-    present = hot.where(F.col(value).isNotNull())
-    result = _split_groups(present, keys, value, probs, interpolate, slices)
-    groups = hot.groupBy(*keys).agg(*stats) if stats else large.select(*keys)
-    result = _merge(groups, result, keys)
-    if not keys:
-        return result
-    cold = row_join(df, large.select(*keys), keys, "left_anti")
-    return _sorted_groups(cold, keys, value, probs, stats, interpolate).unionByName(result)
+    groups = df.groupBy(*keys).agg(*(stats or [F.lit(None).cast("int").alias("_none")]))
+    merged = _merge(groups, _ranked(df, keys, value, probs, interpolate), keys)
+    return merged if stats else merged.drop("_none")
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], **options
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], interpolate: bool = True
 ) -> DataFrame:
-    """Exact quantiles per group; see :func:`grouped_quantiles` for the options."""
-    return grouped_quantiles(df, keys, value, probs, [], **options)
+    """Exact quantiles per group; see :func:`grouped_quantiles`."""
+    return grouped_quantiles(df, keys, value, probs, [], interpolate)

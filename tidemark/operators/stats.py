@@ -5,6 +5,8 @@ that holds a large share of the rows reaches its reducer as one partial row per
 task, not as rows.
 """
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.operators.quantiles import grouped_quantiles
@@ -34,15 +36,15 @@ def station_daily(readings: DataFrame) -> DataFrame:
 
 
 def station_baseline(
-    readings: DataFrame, min_max: bool = False, exact: bool = True, **split
+    readings: DataFrame, min_max: bool = False, exact: bool = True
 ) -> DataFrame:
     """Long-term statistics per station; percentiles are observed values.
 
     By default the values are ranked exactly, hot stations split over many tasks (see
     :mod:`tidemark.operators.quantiles`). ``exact=False`` takes the approximate
     aggregate (rank error at most 1/10000, none up to 10000 rows), with all three
-    percentiles off one sketch. It needs no counting job, but each map task sends a
-    sketch per station, and those of a hot station all meet in one task.
+    percentiles off one sketch and no table written between. Each map task sends a sketch
+    per station, and those of a hot station all meet in one task.
     """
     value = F.col("value")
     stats = [
@@ -54,7 +56,7 @@ def station_baseline(
     if exact:
         return grouped_quantiles(
             readings, [STATION_KEY], "value", BASELINE_PERCENTILES, stats,
-            interpolate=False, **split,
+            interpolate=False,
         )
     sketch = F.percentile_approx(value, list(BASELINE_PERCENTILES.values()), PERCENTILE_ACCURACY)
     rows = readings.groupBy(STATION_KEY).agg(*stats, sketch.alias("_percentiles"))
@@ -63,7 +65,7 @@ def station_baseline(
     ).drop("_percentiles")
 
 
-def summary_stats(daily: DataFrame, **split) -> DataFrame:
+def summary_stats(daily: DataFrame) -> DataFrame:
     """Count, mean, deviation and interpolated quantiles of ``level`` per station.
 
     NULL and NaN levels count as missing; a station without any level keeps its row.
@@ -74,10 +76,10 @@ def summary_stats(daily: DataFrame, **split) -> DataFrame:
         *mean_std(F.col("level"), "mean_level_total", "std_level_total"),
     ]
     rows = daily.select(STATION_KEY, level.alias("level"))
-    return grouped_quantiles(rows, [STATION_KEY], "level", BASELINE_PERCENTILES, stats, **split)
+    return grouped_quantiles(rows, [STATION_KEY], "level", BASELINE_PERCENTILES, stats)
 
 
-def describe(df: DataFrame, column: str, **split) -> DataFrame:
+def describe(df: DataFrame, column: str) -> DataFrame:
     """Distribution of one column as one row: count, mean, std, min, quartiles, max."""
     value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
     stats = [
@@ -88,7 +90,7 @@ def describe(df: DataFrame, column: str, **split) -> DataFrame:
     ]
     quartiles = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
     rows = df.select(value.alias("value"))
-    return grouped_quantiles(rows, [], "value", quartiles, stats, **split).select(
+    return grouped_quantiles(rows, [], "value", quartiles, stats).select(
         "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
@@ -98,11 +100,12 @@ def count_sent(df: DataFrame, file_column: str = "file_path") -> DataFrame:
     return df.groupBy(file_column).agg(F.count("*").alias("n_sent"))
 
 
-def observe_sent(df: DataFrame, name: str = "sent") -> tuple[DataFrame, Observation]:
+def observe_sent(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
     """Count rows while another action runs, without a second pass.
 
-    Read ``observation.get["n_sent"]`` after the action; on a stream use
+    Read ``observation.get["n_sent"]`` after the action; without a name it gets one of its
+    own. On a stream use
     ``df.observe`` with the same expression and read the query progress.
     """
-    observation = Observation(name)
+    observation = Observation(name or f"sent-{uuid.uuid4().hex}")
     return df.observe(observation, F.count("*").alias("n_sent")), observation

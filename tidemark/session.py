@@ -14,15 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 #  * UTC: instants and calendar days mean the same on every machine.
 #  * AQE: measured-size broadcast, coalesced shuffles, split skewed partitions, the last
 #    also where the split costs one more shuffle after the join.
-#  * Object-hash fallback: percentile buffers keep hashing beyond 128 stations per
-#    task instead of sorting all of the task's remaining rows. A buffer never holds
-#    more than the task's own rows, so the task's input split bounds the memory.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 # State lives in RocksDB (off heap, spilling to disk) with changelog checkpoints, so
