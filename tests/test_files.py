@@ -52,6 +52,7 @@ def test_archive_selection_order_and_dates(spark, archive):
     assert rows.count() == 3
     newest = src.archive_order(rows, newest_first=True).collect()
     assert [r.file_date for r in newest] == [dt.date(2024, 1, d) for d in (3, 2, 1)]
+    assert [r.position for r in newest] == [1, 2, 3]
     assert [r.n_rows for r in src.archive_order(rows).collect()] == [1, 1, 1]
     assert rows.select("unitName").distinct().collect()[0][0] is None
 
@@ -170,3 +171,29 @@ class ClusterSession:
 def test_scratch_refuses_a_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(ClusterSession, "x")
+
+
+def test_header_case_and_needed_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("VALUE,x,DateTime,Measure\n1,y,t,m\n")
+    assert tuple(src.read_readings(spark, str(tmp_path)).first()) == ("t", "m", "1")
+    (tmp_path / "a.csv").write_text("dateTime,measure\nt,m\n")
+    with pytest.raises(ValueError, match="no column value"):
+        src.read_readings(spark, str(tmp_path))
+    (tmp_path / "a.csv").write_text("StationReference,Label\ns,l\n")
+    assert src.read_stations(spark, str(tmp_path)).first().stationReference == "s"
+
+
+def test_line_feeds_in_values(spark, rows, tmp_path):
+    df = rows("dateTime string, measure string, value string", ("t", "a\nb", "1"), ("u", "c", "2"))
+    with pytest.raises(Exception, match="line feed in column measure"):
+        write_csv(df, str(tmp_path / "one"))
+    write_csv(df, str(tmp_path / "many"), multi_line=True)
+    got = src.read_readings(spark, str(tmp_path / "many"), multi_line=True).collect()
+    assert sorted(map(tuple, got)) == [("t", "a\nb", "1"), ("u", "c", "2")]
+
+
+def test_partitioned_write_makes_a_file_a_day(spark, tmp_path):
+    df = spark.range(8000).repartition(16).selectExpr("id", "date_add(DATE '2024-01-01', cast(id % 30 AS int)) AS d")
+    write_curated(df, str(tmp_path / "t"), partition_by="d")
+    files = list((tmp_path / "t").glob("d=*/*.parquet"))
+    assert 30 <= len(files) <= 60 and spark.read.parquet(str(tmp_path / "t")).count() == 8000

@@ -1,16 +1,17 @@
 """File sources. A folder is one table: its files are read as a union.
 
 Paths may be any URI Spark's file systems know, including object stores and globs.
-CSV columns are bound by header name. Spark binds a declared CSV schema by position,
+CSV columns are bound by header name, in any case. Spark binds a declared CSV schema by position,
 which would silently shift columns in a file wider than the schema, so the header is
 read as all-text columns and then projected onto the declared schema. Files whose
 header differs from the first one stop the read; :func:`union_by_header` is for those.
 """
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
@@ -32,12 +33,25 @@ def _header_schema(spark: SparkSession, path: str, options: dict) -> T.StructTyp
         raise
 
 
-def project_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project onto a declared schema: absent columns and unreadable values are NULL."""
-    present = set(df.columns)
+def has_csv(spark: SparkSession, path: str, **options) -> bool:
+    """Whether there is any file under ``path``."""
+    return _header_schema(spark, path, options) is not None
+
+
+def project_schema(
+    df: DataFrame, schema: T.StructType, required: Iterable[str] = ()
+) -> DataFrame:
+    """Project onto a declared schema. Names are matched without regard to case, an exact
+    match first; absent columns and unreadable values are NULL, but for absent columns that
+    are ``required``: those are an error."""
+    spelt = {c.lower(): c for c in df.columns} | {c: c for c in df.columns}
+    found = {f.name: spelt.get(f.name, spelt.get(f.name.lower())) for f in schema}
+    missing = [name for name in required if found.get(name) is None]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
     return df.select(
         *(
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None))
+            (F.lit(None) if found[f.name] is None else F.col(f"`{found[f.name]}`"))
             .try_cast(f.dataType)
             .alias(f.name)
             for f in schema
@@ -46,12 +60,21 @@ def project_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, with_file: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    with_file: bool = False,
+    required: Iterable[str] = (),
+    multi_line: bool = False,
+    **options,
 ) -> DataFrame:
     """CSV files under ``path``, projected onto ``schema``.
 
-    ``with_file`` adds the column ``file_path``. No matching file gives no rows.
+    ``with_file`` adds the column ``file_path``. No matching file gives no rows; a header
+    without a ``required`` column is an error. ``multi_line`` reads line feeds inside
+    quotes as part of the value; such files are not split, so each is one task.
     """
+    options["multiLine"] = multi_line
     wanted = T.StructType(schema.fields[:])
     if with_file:
         wanted.add("file_path", "string")
@@ -61,17 +84,17 @@ def read_csv(
     raw = spark.read.schema(header).options(**CSV_DIALECT, enforceSchema=False, **options).csv(path)
     if with_file:
         raw = raw.select("*", F.col("_metadata.file_path").alias("file_path"))
-    return project_schema(raw, wanted)
+    return project_schema(raw, wanted, required)
 
 
-def read_readings(spark: SparkSession, path: str) -> DataFrame:
+def read_readings(spark: SparkSession, path: str, **options) -> DataFrame:
     """Raw readings: time, measure URI and the value as text."""
-    return read_csv(spark, path, schemas.READINGS)
+    return read_csv(spark, path, schemas.READINGS, required=schemas.READINGS.names, **options)
 
 
-def read_stations(spark: SparkSession, path: str) -> DataFrame:
+def read_stations(spark: SparkSession, path: str, **options) -> DataFrame:
     """Station metadata."""
-    return read_csv(spark, path, schemas.STATIONS)
+    return read_csv(spark, path, schemas.STATIONS, required=[schemas.STATION_KEY], **options)
 
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:
@@ -99,16 +122,15 @@ def archive_files(
 
 
 def archive_order(archive: DataFrame, newest_first: bool = False) -> DataFrame:
-    """The archive's files in replay order with their row counts.
+    """The archive's files in replay order: ``position`` from 1 on and row counts.
 
-    One row per file, so only the file list is sorted, never the readings.
+    The date in the name decides, then the path. One row per file, so only the file list is
+    numbered in one place, never the readings.
     """
-    name = F.col("file_path")
-    return (
-        archive.groupBy("file_path", "file_date")
-        .agg(F.count("*").alias("n_rows"))
-        .orderBy(name.desc() if newest_first else name.asc())
-    )
+    keys = [F.col("file_date"), F.col("file_path")]
+    order = Window.orderBy(*(k.desc() if newest_first else k.asc() for k in keys))
+    files = archive.groupBy("file_path", "file_date").agg(F.count("*").alias("n_rows"))
+    return files.withColumn("position", F.row_number().over(order)).orderBy("position")
 
 
 def replay_all(spark: SparkSession, folder: str, schema: T.StructType, **options) -> DataFrame:
@@ -135,6 +157,9 @@ def replay_stream(
 ) -> DataFrame:
     """Archive files as a stream of text rows, oldest file (by modification time) first.
 
+    Modification times change when files are copied; :func:`tidemark.plans.replay.replay_in_order`
+    goes by the date in the name.
+
     ``max_files`` throttles the files per micro-batch. Replaying the latest file first
     under a watermark drops the older files as late, hence the default.
     """
