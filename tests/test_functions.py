@@ -1,5 +1,4 @@
 import datetime as dt
-import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -86,16 +85,13 @@ def test_codes_names_and_file_dates(rows):
     ]
 
 
-def test_reading_date_keeps_the_spelled_day_and_survives_garbage(spark, rows):
-    df = rows("t string", ("2025-11-13T00:00:00Z",), ("2025-11-13",), ("13/11/2025",), ("",),
-              (None,))
+def test_reading_date_is_the_day_of_the_instant_and_survives_garbage(rows):
+    df = rows("t string", ("2025-11-13T00:00:00Z",), ("2025-11-13",), ("2025-11-13T23:59:59",),
+              ("2025-11-12T23:30:00-05:00",), ("13/11/2025",), ("",), (None,),
+              ("2025-11-13Tgarbage",), ("2025-11-13 nope",))
     day = dt.date(2025, 11, 13)
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        got = [r[0] for r in df.select(calendar.reading_date(F.col("t"))).collect()]
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == [day, day, None, None, None]
+    got = [r[0] for r in df.select(calendar.reading_date(F.col("t"))).collect()]
+    assert got == [day, day, day, day, None, None, None, None, None]
 
 
 @pytest.mark.parametrize("n, expected", [(3, ["2024-02-28", "2024-02-29", "2024-03-01"]),
@@ -106,12 +102,6 @@ def test_days_from(spark, n, expected):
     assert [calendar_day.isoformat() for calendar_day in got] == expected
 
 
-def test_seasonal_term(rows):
-    df = rows("a double, d string", (0.3, "2024-04-01")).withColumn("d", F.to_date("d"))
-    got = df.select(calendar.seasonal_term(F.col("a"), F.col("d"))).first()[0]
-    assert got == pytest.approx(0.3 * math.sin(2 * math.pi * 92 / 365))
-
-
 def test_z_score_is_null_without_spread(rows):
     df = rows("l double, m double, s double", (3.0, 1.0, 2.0), (3.0, 1.0, 0.0),
               (3.0, 1.0, None), (None, 1.0, 2.0))
@@ -161,22 +151,22 @@ def test_rounding_of_exact_halves(rows):
 
 def test_lookup(rows):
     df = rows("k string", ("Low",), ("Very high",), ("?",), (None,))
-    got = df.select(levels.lookup(levels.PROFILE_MULTIPLIERS, F.col("k"))).collect()
-    assert [r[0] for r in got] == [1.5, 3.0, None, None]
-    counts = df.select(levels.lookup(levels.PROFILE_EVENT_COUNTS, F.col("k")).alias("c"))
-    assert tuple(counts.first().c) == (1, 2)
+    got = df.select(levels.lookup(levels.REVIEW_DAYS, F.col("k"))).collect()
+    assert [r[0] for r in got] == [30, 1, None, None]
+    pairs = df.select(levels.lookup({"Low": (1, 2)}, F.col("k")).alias("c"))
+    assert tuple(pairs.first().c) == (1, 2)
 
 
-def test_expected_level_and_ranges(rows):
-    df = rows("b double, s double, e boolean", (1.0, 0.2, True), (1.0, 0.2, False),
-              (1.0, 0.2, None))
-    got = df.select(
-        levels.expected_level(F.col("b"), F.lit(0.1), F.col("e"), F.lit(2.0), F.col("s"))
-    ).collect()
-    assert [r[0] for r in got] == pytest.approx([1.5, 1.1, 1.1])
-    ranges = levels.range_thresholds(F.col("b"), F.col("s"), F.lit(2.0), F.lit(0.5), F.lit(1.5))
-    first = df.select(*(c.alias(n) for n, c in ranges.items())).first().asDict()
-    assert first == pytest.approx({
-        "typical_range_low": 0.05, "typical_range_high": 1.5, "alert_threshold_high": 1.5,
-        "alert_threshold_very_high": 1.8,
-    })
+def test_ranges_from_percentiles(rows):
+    df = rows("a double, b double, c double", (-1.0, 2.0, 6.0))
+    ranges = levels.observed_ranges(F.col("a"), F.col("b"), F.col("c"))
+    assert df.select(*(c.alias(n) for n, c in ranges.items())).first().asDict() == {
+        "typical_range_low": 0.05, "typical_range_high": 2.0, "alert_threshold_high": 4.0,
+        "alert_threshold_very_high": 6.0,
+    }
+
+
+def test_finite(rows):
+    df = rows("v double", (1.5,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,))
+    got = [r[0] for r in df.select(levels.finite(F.col("v"))).collect()]
+    assert got == [1.5, None, None, None, None]

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SMALL, plan_of
+from tidemark.catalog import QUERIES
 from tools.check_oracles import compare, connect
 
 
@@ -12,7 +13,7 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
     assert name in entry.oracle_sql()
     assert compare(spark, con, name, SMALL) == ""
@@ -26,7 +27,7 @@ WRITES = ("alerts_stream", "late_data", "csv_", "archive_", "count_sent", "repla
           "roundtrip", "union_by_header")
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not any(w in n for w in WRITES)])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not any(w in n for w in WRITES)])
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     for node in ("Python", "Arrow", "CartesianProduct", "NestedLoop", "Coalesce 1"):

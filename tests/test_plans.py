@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import SparkSession, functions as F
 
@@ -69,11 +71,34 @@ def test_batch_job_without_parameter_keeps_all(spark, raw_zone):
 def test_batch_job_of_an_empty_folder(spark, raw_zone, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
-    paths = batch_baseline.batch_baseline(
-        spark, str(empty), f"{raw_zone}/stations", f"{tmp_path}/none", parameter="level")
+    args = spark, str(empty), f"{raw_zone}/stations", f"{tmp_path}/none", "level"
+    with pytest.raises(ValueError, match="no CSV file"):
+        batch_baseline.batch_baseline(*args)
+    assert not (tmp_path / "none").exists()
+    paths = batch_baseline.batch_baseline(*args, allow_empty=True)
     assert spark.read.parquet(paths[batch_baseline.BASELINE]).count() == 0
 
 
+def test_batch_job_stops_on_a_header_without_values(spark, raw_zone, tmp_path):
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "a.csv").write_text("dateTime,measure,parameter\nt,m,level\n")
+    with pytest.raises(ValueError, match="no column value"):
+        batch_baseline.batch_baseline(
+            spark, f"{tmp_path}/odd", f"{raw_zone}/stations", f"{tmp_path}/none", "level")
+
+
+def test_replay_goes_by_the_name_and_counts(spark, raw_zone):
+    newest = raw_zone / "archive" / "readings-full-2024-01-02.csv"
+    os.utime(newest, (1_600_000_000,) * 2)  # older than the other one
+    published = []
+    sent = replay.replay_in_order(
+        spark, f"{raw_zone}/archive",
+        lambda df: published.append([r.value.decode() for r in df.collect()]))
+    assert [path.rsplit("-", 1)[1] for path, _ in sent] == ["01.csv", "02.csv"]
+    assert [n for _, n in sent] == [12, 12] == [len(p) for p in published]
+    assert all("2024-01-01" in m for m in published[0])
+
+
 def test_commands_check_their_arguments():
     for command, argv in ((replay.main, ["--archive", "a"]),
                           (stream_alerts.main, ["--servers", "h", "--baseline", "b", "--out", "o",
@@ -105,17 +130,18 @@ def test_station_summary_command(spark, rows, tmp_path, keep_session):
 
 def test_expected_daily_lifts_event_days(spark, rows):
     stations = rows(
-        "stationReference string, base_level double, base_std double, risk_profile string, "
-        "seasonal_amp double, typical_range_low double, typical_range_high double, "
-        "alert_threshold_high double, alert_threshold_very_high double",
-        ("a", 1.0, 0.5, "High", 0.0, 0.5, 1.5, 1.8, 2.0))
+        "stationReference string, base_level double, typical_range_low double, "
+        "typical_range_high double, alert_threshold_high double, "
+        "alert_threshold_very_high double", ("a", 1.0, 0.5, 1.5, 1.8, 2.0))
+    means = rows("date string, season double", ("2024-01-01", 9.0), ("2024-01-02", 2.25),
+                 ("2024-01-03", 0.5)).withColumn("date", F.to_date("date"))
     intervals = rows("stationReference string, start string, length int",
                      ("a", "2024-01-02", 2), ("a", "2024-01-03", 1), ("b", "2024-01-01", 9)
                      ).withColumn("start", F.to_date("start"))
-    daily = station_summary.expected_daily(stations, intervals, "2024-01-01", 4).orderBy("date")
+    daily = station_summary.expected_daily(stations, intervals, means, "2024-01-01", 4).orderBy("date")
     assert daily.columns == schemas.DAILY_RISK.names
     assert [(r.level, r.flood_risk) for r in daily.collect()] == [
-        (1.0, "Low"), (2.25, "Very high"), (2.25, "Very high"), (1.0, "Low")]
+        (1.0, "Low"), (2.25, "Very high"), (1.0, "Low"), (1.0, "Low")]
 
 
 def test_intervals_count_once_and_may_be_empty(rows):

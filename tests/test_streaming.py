@@ -7,9 +7,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import Window, functions as F
 
-from tests.conftest import SMALL, plan_of
+from tests.conftest import SMALL
 from tidemark.catalog import tables as t
-from tidemark.operators.stats import station_baseline
 from tidemark.plans.batch_baseline import baseline_table
 from tidemark.plans.replay import replay_messages
 from tidemark.plans.stream_alerts import stream_alerts
@@ -259,13 +258,16 @@ def test_run_reports_a_stream_that_does_not_end(spark, feed, tmp_path):
     assert not query.isActive
 
 
-def test_stream_joins_a_small_baseline_by_broadcast(spark, feed):
-    """The static side is sized from its files, so the join needs no hint."""
-    readings = t.readings(spark, SMALL)
-    baseline = spark.read.parquet(str(feed / "baseline"))
-    plan = plan_of(al.grade_windows(windowed_stats(readings), baseline))
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert station_baseline(readings).count() == baseline.count()
+def test_stream_joins_the_baseline_as_read(spark, feed, tmp_path):
+    """The plan of a micro-batch: the baseline is neither deduplicated nor shuffled, and three
+    fields are parsed."""
+    query = stream_alerts(spark, json_events_stream(spark, str(feed / "topic")),
+                          str(feed / "baseline"), str(tmp_path / "out"), str(tmp_path / "c"),
+                          interval=None)
+    al.run(query, WAIT)
+    plan = query._jsq.explainInternal(False)
+    assert "BroadcastHashJoin" in plan and "row_number" not in plan
+    assert "CartesianProduct" not in plan and "catchmentName,StringType" not in plan
 
 
 def test_grading_fails_while_the_baseline_is_missing(rows, tmp_path):

@@ -9,6 +9,7 @@ from tidemark.operators.joins import reading_baseline
 from tidemark.operators.stats import station_baseline
 from tidemark.plans.batch_baseline import baseline_table
 from tidemark.plans.stream_alerts import stream_alerts
+from tidemark.schemas import LEVEL_EVENT
 from tidemark.session import scratch_path
 from tidemark.sinks.files import write_curated
 from tidemark.sinks.messages import publish_json
@@ -17,7 +18,6 @@ from tidemark.streaming import alerts as ops
 from tidemark.streaming.events import encode_events, parse_events, valid_events
 from tidemark.streaming.windows import flatten_window, windowed_stats as stats_by_window
 
-WAIT_SECONDS = 1800
 WINDOW_MOMENTS = ["mean_level_window", "std_level_window"]
 ALERT_DOUBLES = [
     *WINDOW_MOMENTS, "mean_level_total", "std_level_total", "z_score",
@@ -68,7 +68,7 @@ def _comparable(alerts: DataFrame) -> DataFrame:
 
 def _batch_alerts(spark: SparkSession, sf_dir: str, *window: str) -> DataFrame:
     readings = t.readings(spark, sf_dir)
-    baseline = baseline_table(readings, t.stations(spark, sf_dir))
+    baseline = baseline_table(readings, t.known_stations(spark, sf_dir))
     return _comparable(ops.grade_windows(stats_by_window(readings, *window), baseline))
 
 
@@ -85,12 +85,14 @@ def windowed_stats_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(t.rounded(windows, *WINDOW_MOMENTS))
 
 
-@query(t.sql(ALERT_CTES, ALERT_BODY, windows=_windows("5 minutes", 2)))
+@query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
+             windows=_windows("5 minutes", 2)))
 def alerts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_alerts(spark, sf_dir)
 
 
-@query(t.sql(ALERT_CTES, ALERT_BODY, windows=_windows("12 hours", 2)))
+@query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
+             windows=_windows("12 hours", 2)))
 def alerts_batch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_alerts(spark, sf_dir, "1 day", "12 hours")
 
@@ -123,28 +125,52 @@ def _publish(events: DataFrame, topic: str) -> None:
     publish_json(encode_events(events.drop("event_id", "event_type")), topic)
 
 
+BAD_VALUES = "event_id % 7 = 0 OR event_id % 11 = 0"
+
+
+@query(t.sql("readings finite windows", WINDOW_BODY, finite=f"""finite AS (
+    SELECT stationReference, dateTime, CASE WHEN NOT ({BAD_VALUES}) THEN value END AS value
+    FROM readings)""", windows=_windows("12 hours", 2, source="finite")))
+def windowed_stats_not_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose value is NaN or infinite count in their windows, but not in the mean."""
+    readings = t.readings(spark, sf_dir)
+    value = F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).when(
+        F.col("event_id") % 11 == 0, F.lit(float("-inf"))).otherwise(F.col("value"))
+    topic = scratch_path(spark, "topic")
+    _publish(readings.withColumn("value", value), topic)
+    events = valid_events(parse_events(spark.read.text(topic), LEVEL_EVENT))
+    windows = flatten_window(stats_by_window(events, "1 day", "12 hours"))
+    return t.plain_times(t.rounded(windows, *WINDOW_MOMENTS))
+
+
 def _stream(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
     """Publish the readings, stream them to the end, read the alerts back."""
     root = scratch_path(spark, "alerts")
     readings = t.readings(spark, sf_dir)
-    write_curated(baseline_table(readings, t.stations(spark, sf_dir)), f"{root}/baseline")
-    _publish(readings, f"{root}/topic")
+    write_curated(baseline_table(readings, t.known_stations(spark, sf_dir)), f"{root}/baseline")
+    # Five folders in the order of time, one file each: at least five micro-batches.
+    first, last = readings.agg(F.min("dateTime").cast("double"), F.max("dateTime").cast("double")).first()
+    part = F.floor((F.col("dateTime").cast("double") - first) * 5 / (last - first + 1))
+    for i in range(5):
+        _publish(readings.where(part == i).coalesce(1), f"{root}/topic")
     started = stream_alerts(
-        spark, json_events_stream(spark, f"{root}/topic"), f"{root}/baseline",
+        spark, json_events_stream(spark, f"{root}/topic", max_files=1), f"{root}/baseline",
         f"{root}/out", f"{root}/checkpoint", interval=None, refresh=refresh,
     )
-    ops.run(started, WAIT_SECONDS)
+    ops.run(started)
     alerts = read_baseline(spark, f"{root}/out")
     return _comparable(alerts.drop("batch_id"))
 
 
-@query(t.sql(ALERT_CTES, ALERT_BODY, windows=_windows("5 minutes", 2, closed=True)))
+@query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
+             windows=_windows("5 minutes", 2, closed=True)))
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alert stream: all windows that the watermark has closed."""
     return _stream(spark, sf_dir, refresh=False)
 
 
-@query(t.sql(ALERT_CTES, ALERT_BODY, windows=_windows("5 minutes", 2, closed=True)))
+@query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
+             windows=_windows("5 minutes", 2, closed=True)))
 def alerts_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, re-reading the baseline in every micro-batch."""
     return _stream(spark, sf_dir, refresh=True)
@@ -172,5 +198,5 @@ def late_data_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = valid_events(parse_events(json_events_stream(spark, f"{root}/topic")))
         windows = flatten_window(stats_by_window(events))
         started = ops.start_alerts(windows, f"{root}/out", f"{root}/checkpoint", interval=None)
-        ops.run(started, WAIT_SECONDS)
+        ops.run(started)
     return t.plain_times(t.rounded(read_baseline(spark, f"{root}/out"), *WINDOW_MOMENTS))

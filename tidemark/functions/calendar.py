@@ -1,16 +1,15 @@
 """Date functions."""
 
-import math
-
 from pyspark.sql import Column, functions as F
 
 
 def reading_date(moment: Column) -> Column:
     """Calendar day of a timestamp or ISO text; NULL for malformed text.
 
-    ISO text keeps the day it spells, whatever the session time zone.
+    Text with a zone or an offset is an instant and has its day in the session's zone (UTC,
+    see :mod:`tidemark.session`); text without one keeps the day it spells.
     """
-    return moment.try_cast("date")
+    return moment.try_cast("timestamp").cast("date")
 
 
 def iso_date(day: Column) -> Column:
@@ -18,11 +17,6 @@ def iso_date(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM-dd")
 
 
-def seasonal_term(amplitude: Column, day: Column) -> Column:
-    """Yearly sine wave of the given amplitude, by day of year."""
-    return amplitude * F.sin(F.lit(2 * math.pi) * F.dayofyear(day) / F.lit(365.0))
-
-
 def days_from(start: Column, n_days: Column) -> Column:
     """Array of the ``n_days`` consecutive days that begin at ``start``.
 

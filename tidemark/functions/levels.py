@@ -4,16 +4,11 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Grade names and the parameters of the risk profiles.
+# Grade names.
 ALERT_RED, ALERT_AMBER, ALERT_NORMAL = "RED", "AMBER", "NORMAL"
 RISK_VERY_HIGH, RISK_HIGH, RISK_MEDIUM, RISK_LOW = "Very high", "High", "Medium", "Low"
-PROFILE_EVENT_COUNTS = {
-    "Low": (1, 2),
-    "Medium": (2, 3),
-    "High": (3, 4),
-    "Very high": (4, 5),
-}
-PROFILE_MULTIPLIERS = {"Low": 1.5, "Medium": 2.0, "High": 2.5, "Very high": 3.0}
+# Days until a station of a grade is looked at again.
+REVIEW_DAYS = {RISK_LOW: 30, RISK_MEDIUM: 14, RISK_HIGH: 7, RISK_VERY_HIGH: 1}
 LEVEL_FLOOR = 0.05
 
 
@@ -75,21 +70,16 @@ def lookup(mapping: dict, key: Column) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
-def expected_level(
-    base: Column, season: Column, in_event: Column, multiplier: Column, std: Column
-) -> Column:
-    """Base plus season, raised by ``multiplier * std`` during an event."""
-    return base + season + F.when(in_event, multiplier * std).otherwise(F.lit(0.0))
+def finite(value: Column) -> Column:
+    """The value; NULL where it is no finite number."""
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
 
-def range_thresholds(
-    base: Column, std: Column, low_offset: Column, high_offset: Column, factor: Column
-) -> dict[str, Column]:
-    """Typical range around a base level and the two alert thresholds above it."""
-    typical_high = base + high_offset
+def observed_ranges(p05: Column, median: Column, p95: Column) -> dict[str, Column]:
+    """Typical range and alert thresholds from a station's observed percentiles."""
     return {
-        "typical_range_low": clamp_min(base - low_offset),
-        "typical_range_high": typical_high,
-        "alert_threshold_high": typical_high,
-        "alert_threshold_very_high": typical_high + std * factor,
+        "typical_range_low": clamp_min(p05),
+        "typical_range_high": median,
+        "alert_threshold_high": (median + p95) / 2,
+        "alert_threshold_very_high": p95,
     }

@@ -1,5 +1,7 @@
 """Small reports over large tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.labels import label_shares
@@ -13,10 +15,10 @@ def first_rows(df: DataFrame, order: list[Column | str], n: int = 5) -> DataFram
 
 def preview(
     df: DataFrame, order: list[Column | str], level: str, label: str, n: int = 5
-) -> dict[str, DataFrame]:
-    """First rows, level distribution and label shares, as three tables."""
+) -> dict[str, Callable[[], DataFrame]]:
+    """First rows, level distribution and label shares: three tables, each built on call."""
     return {
-        "first_rows": first_rows(df, order, n),
-        "distribution": describe(df, level),
-        "label_shares": label_shares(df, label),
+        "first_rows": lambda: first_rows(df, order, n),
+        "distribution": lambda: describe(df, level),
+        "label_shares": lambda: label_shares(df, label),
     }

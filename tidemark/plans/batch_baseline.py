@@ -2,15 +2,14 @@
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.cleaning import clean_readings
 from tidemark.operators.joins import alert_thresholds, enrich_baseline
 from tidemark.operators.stats import station_baseline, station_daily
-from tidemark.schemas import STATION_KEY
 from tidemark.session import build_session, clear_scratch
 from tidemark.sinks.files import write_curated
-from tidemark.sources.files import read_archive_text, read_baseline, read_readings, read_stations
+from tidemark.sources.files import has_csv, read_archive_text, read_readings, read_stations
 
 # Folders of the curated zone.
 CLEAN, DAILY, BASELINE = "clean_readings", "batch_station_daily", "batch_station_baseline"
@@ -29,18 +28,24 @@ def batch_baseline(
     parameter: str | None = None,
     min_max: bool = False,
     exact: bool = True,
+    allow_empty: bool = False,
 ) -> dict[str, str]:
     """Run the job and return the three output paths.
 
     The CSV is parsed and cleaned once, into Parquet by day; both aggregations then
-    read only the columns they need from there. The daily facts come first: their
-    counts add up to the station sizes, which saves the baseline a counting job.
+    read only the columns they need from there. Input folders without any file are an
+    error, so that a wrong path does not replace good tables with empty ones;
+    ``allow_empty`` lets them through.
     """
     paths = {name: f"{out}/{name}" for name in (CLEAN, DAILY, BASELINE)}
+    for path in (readings_path, stations_path):
+        if not allow_empty and not has_csv(spark, path):
+            raise ValueError(f"no CSV file under {path}")
     if parameter is None:
         raw = read_readings(spark, readings_path)
     else:
-        raw = read_archive_text(spark, readings_path)
+        needed = ("dateTime", "measure", "value", "parameter")
+        raw = read_archive_text(spark, readings_path, required=needed)
     clean = clean_readings(raw, parameter)
     write_curated(clean, paths[CLEAN], partition_by="reading_date")
 
@@ -48,12 +53,8 @@ def batch_baseline(
     readings = spark.read.schema(clean.schema).parquet(paths[CLEAN])
     write_curated(station_daily(readings), paths[DAILY])
 
-    options = {"exact": exact}
-    if exact:
-        daily = read_baseline(spark, paths[DAILY])
-        options["sizes"] = daily.groupBy(STATION_KEY).agg(F.sum("n_readings_day").alias("n"))
     stations = read_stations(spark, stations_path)
-    baseline = baseline_table(readings, stations, min_max=min_max, **options)
+    baseline = baseline_table(readings, stations, min_max=min_max, exact=exact)
     write_curated(baseline, paths[BASELINE])
     return paths
 
@@ -65,15 +66,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the curated zone")
     parser.add_argument("--parameter", help="keep only this measured parameter")
     parser.add_argument("--min-max", action="store_true", help="add minimum and maximum")
+    parser.add_argument("--allow-empty", action="store_true", help="accept folders without files")
     parser.add_argument("--approximate", action="store_true", help="approximate percentiles")
     args = parser.parse_args(argv)
     spark = build_session("batch-baseline")
-    batch_baseline(
-        spark, args.readings, args.stations, args.out, args.parameter, args.min_max,
-        exact=not args.approximate,
-    )
-    clear_scratch(spark)
-    spark.stop()
+    try:
+        batch_baseline(
+            spark, args.readings, args.stations, args.out, args.parameter, args.min_max,
+            exact=not args.approximate, allow_empty=args.allow_empty,
+        )
+    finally:
+        clear_scratch(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -15,31 +15,32 @@ from tidemark.sources.files import read_csv
 
 # Columns rounded in the summary, columns kept out of it.
 ROUNDED = ["mean_level_total", "std_level_total", "p05_level", "median_level", "p95_level"]
-INTERNAL = ["base_level", "base_std", "risk_profile"]
+INTERNAL = ["base_level"]
 
 
-def expected_daily(
-    stations: DataFrame, intervals: DataFrame, start: str, n_days: int
+def expected_levels(
+    stations: DataFrame, intervals: DataFrame, day_means: DataFrame, start: str, n_days: int
 ) -> DataFrame:
-    """The expected level of every station on every day, graded.
+    """The expected ``level`` of every station on every day, from what was observed.
 
-    ``stations`` carries thresholds, ``base_level``, ``base_std``, ``risk_profile`` and
-    ``seasonal_amp``; ``intervals`` the events (``start``, ``length`` in days). During
-    an event the level rises by a multiple of the station's deviation.
+    ``stations`` carries ``base_level``, the station's usual level; ``day_means`` the mean
+    ``season`` of all stations by ``date``; ``intervals`` the events (``start``, ``length``
+    in days). On a day of an event a station is expected at no less than that day's mean.
     """
     days = flag_in_interval(
         station_day_spine(stations, start, n_days), intervals, name="in_event"
-    )
-    level = levels.clamp_min(
-        levels.expected_level(
-            F.col("base_level"),
-            calendar.seasonal_term(F.col("seasonal_amp"), F.col("date")),
-            F.col("in_event"),
-            levels.lookup(levels.PROFILE_MULTIPLIERS, F.col("risk_profile")),
-            F.col("base_std"),
-        )
-    )
-    graded = days.withColumn("level", level).withColumn(
+    ).join(day_means, "date", "left")
+    base, season = F.col("base_level"), F.col("season")
+    raised = F.when(F.col("in_event") & (season > base), season).otherwise(base)
+    return days.withColumn("level", levels.clamp_min(raised))
+
+
+def expected_daily(
+    stations: DataFrame, intervals: DataFrame, day_means: DataFrame, start: str, n_days: int
+) -> DataFrame:
+    """:func:`expected_levels`, graded by each station's thresholds."""
+    days = expected_levels(stations, intervals, day_means, start, n_days)
+    graded = days.withColumn(
         "flood_risk",
         levels.risk_level(
             F.col("level"),
@@ -53,14 +54,14 @@ def expected_daily(
     ).select(*DAILY_RISK.names)
 
 
-def summarize_stations(daily: DataFrame, stations: DataFrame, **split) -> DataFrame:
+def summarize_stations(daily: DataFrame, stations: DataFrame) -> DataFrame:
     """Metadata, level statistics and dominant risk of the stations that have all three.
 
     All sides hold one row per station; Spark picks the join by measured size.
     """
     joined = (
         stations.drop(*INTERNAL)
-        .join(summary_stats(daily, **split), STATION_KEY, "inner")
+        .join(summary_stats(daily), STATION_KEY, "inner")
         .join(dominant_label(daily), STATION_KEY, "inner")
     )
     return levels.round_cols(joined, ROUNDED)
@@ -73,12 +74,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True, help="folder of the summary CSV")
     args = parser.parse_args(argv)
     spark = build_session("station-summary")
-    # Sizes, statistics and labels each read the daily table; the CSV is parsed once.
-    daily = store(read_csv(spark, args.daily, DAILY_RISK), "daily")
-    stations = read_csv(spark, args.stations, STATION_METADATA)
-    write_csv(summarize_stations(daily, stations), args.out)
-    clear_scratch(spark)
-    spark.stop()
+    try:
+        # Statistics and labels each read the daily table; the CSV is parsed once.
+        daily = store(read_csv(spark, args.daily, DAILY_RISK), "daily")
+        stations = read_csv(spark, args.stations, STATION_METADATA)
+        write_csv(summarize_stations(daily, stations), args.out)
+    finally:
+        clear_scratch(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -5,6 +5,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.levels import ALERT_NORMAL
+from tidemark.schemas import LEVEL_EVENT
 from tidemark.session import build_session
 from tidemark.sources.files import json_events_stream, read_baseline
 from tidemark.sources.kafka import kafka_events
@@ -29,17 +31,26 @@ def stream_alerts(
     slide: str = WINDOW_SLIDE,
     delay: str = WATERMARK_DELAY,
     files: int | None = None,
+    unknown: str = ALERT_NORMAL,
+    unique: bool = True,
 ) -> StreamingQuery:
     """Start the alert stream over a streaming table of messages.
 
+    Only the three fields that the windows use are parsed. ``unknown`` grades windows of
+    stations without thresholds; ``unique=False`` is for baselines that may hold a station
+    twice.
+
     ``refresh`` re-reads the baseline in each micro-batch; the default keeps the files
     it saw at the start and is for a baseline that is not overwritten meanwhile. ``files``
     limits the output files per micro-batch.
     """
-    windows = windowed_stats(valid_events(parse_events(messages)), size, slide, delay)
+    events = valid_events(parse_events(messages, LEVEL_EVENT))
+    windows = windowed_stats(events, size, slide, delay)
     if refresh:
-        return start_alerts_refreshing(windows, baseline_path, out, checkpoint, interval, files)
-    alerts = grade_windows(windows, read_baseline(spark, baseline_path))
+        return start_alerts_refreshing(
+            windows, baseline_path, out, checkpoint, interval, files, unknown, unique
+        )
+    alerts = grade_windows(windows, read_baseline(spark, baseline_path), unknown, unique)
     return start_alerts(alerts, out, checkpoint, interval, files)
 
 
@@ -57,6 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--interval", default=TRIGGER_INTERVAL)
     parser.add_argument("--files", type=int, help="output files per micro-batch")
+    parser.add_argument("--unknown", default=ALERT_NORMAL, help="grade without thresholds")
+    parser.add_argument("--deduplicate", action="store_true", help="of the baseline's stations")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     parser.add_argument("--refresh", action="store_true", help="re-read the baseline per batch")
     args = parser.parse_args(argv)
@@ -73,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
     run(
         stream_alerts(
             spark, messages, args.baseline, args.out, args.checkpoint, interval, args.refresh,
-            files=args.files,
+            files=args.files, unknown=args.unknown, unique=not args.deduplicate,
         )
     )
     spark.stop()

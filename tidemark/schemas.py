@@ -36,6 +36,9 @@ EVENT_SCHEMA = _struct(
     "lat DOUBLE, long DOUBLE"
 )
 
+# The fields of an event that window statistics use.
+LEVEL_EVENT = _struct("stationReference STRING, dateTime TIMESTAMP, value DOUBLE")
+
 STATION_METADATA = _struct(
     "stationReference STRING, stationName STRING, riverName STRING, catchmentName STRING, "
     "town STRING, lat DOUBLE, long DOUBLE, typical_range_low DOUBLE, "

@@ -17,10 +17,18 @@ TRIGGER_INTERVAL = "30 seconds"
 
 
 def grade_windows(
-    windows: DataFrame, baseline: DataFrame, unknown: str = levels.ALERT_NORMAL
+    windows: DataFrame,
+    baseline: DataFrame,
+    unknown: str = levels.ALERT_NORMAL,
+    unique: bool = False,
 ) -> DataFrame:
-    """Windows to alerts: baseline join, z-score, alert level. Works on both kinds."""
-    joined = join_baseline(windows, dedupe_station(baseline_view(baseline)))
+    """Windows to alerts: baseline join, z-score, alert level. Works on both kinds.
+
+    ``unique`` says that the baseline has one row per station, as the batch job writes it; a
+    stream then joins it as read, instead of deduplicating it in every micro-batch.
+    """
+    known = baseline_view(baseline)
+    joined = join_baseline(windows, known if unique else dedupe_station(known))
     level = F.col("mean_level_window")
     graded = joined.withColumns(
         {
@@ -72,6 +80,7 @@ def baseline_writer(
     out: str,
     unknown: str = levels.ALERT_NORMAL,
     files: int | None = None,
+    unique: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that grades closed windows against the baseline of the moment.
 
@@ -81,7 +90,7 @@ def baseline_writer(
     """
     def write(windows: DataFrame, batch_id: int) -> None:
         baseline = read_baseline(windows.sparkSession, baseline_path)
-        alerts = grade_windows(windows, baseline, unknown)
+        alerts = grade_windows(windows, baseline, unknown, unique)
         _pack(alerts, files).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return write
@@ -94,12 +103,14 @@ def start_alerts_refreshing(
     checkpoint: str,
     interval: str | None = TRIGGER_INTERVAL,
     files: int | None = None,
+    unknown: str = levels.ALERT_NORMAL,
+    unique: bool = False,
 ) -> StreamingQuery:
     """Like :func:`start_alerts`, but re-reads the baseline in every micro-batch, so the
     batch job may overwrite it while the stream runs."""
     return (
         windows.writeStream.outputMode("append")
-        .foreachBatch(baseline_writer(baseline_path, out, files=files))
+        .foreachBatch(baseline_writer(baseline_path, out, unknown, files, unique))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
         .start()

@@ -8,6 +8,7 @@ schema lacks are ignored.
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.levels import finite
 from tidemark.operators.cleaning import clean_strict_number, filter_parameter
 from tidemark.schemas import EVENT_SCHEMA
 
@@ -55,5 +56,10 @@ def parse_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Da
 
 
 def valid_events(events: DataFrame) -> DataFrame:
-    """Events that have a station and a time; the value may be missing."""
-    return events.where("stationReference IS NOT NULL AND dateTime IS NOT NULL")
+    """Events that have a station and a time; the value may be missing.
+
+    A value that is no finite number counts as missing: one NaN would else make the mean of
+    its windows NaN, which compares above every threshold.
+    """
+    known = events.where("stationReference IS NOT NULL AND dateTime IS NOT NULL")
+    return known.withColumn("value", finite(F.col("value")))
