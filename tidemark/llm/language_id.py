@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_settings
 from tidemark.llm.words import blocks, column_of, text_bytes
+from tidemark.session import store
 
 #: Most documents for each language that the trees are counted from.
 TRAIN_DOCS = 400
@@ -43,9 +44,10 @@ def training_sample(labelled: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
         "lang", "text", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_key")
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key"))
-    cut = (
+    cut = store(  # a written table: its size is known, so a few languages are broadcast
         known.select("lang", "_key").distinct().withColumn("_rank", rank).where(F.col("_rank") <= most)
-        .groupBy("lang").agg(F.max("_key").alias("_cut"))
+        .groupBy("lang").agg(F.max("_key").alias("_cut")),
+        "sample",
     )
     chosen = known.join(cut, "lang").where(F.col("_key") <= F.col("_cut"))
     return chosen.groupBy("lang", "_key").agg(F.min("text").alias("text")).select("lang", "text")
@@ -155,7 +157,7 @@ def build(langs: np.ndarray, grams: np.ndarray, n: np.ndarray) -> Model:
         node = np.tile(node, size)
         node[contexts[k]] = first[k] + np.arange(len(contexts[k]))
     cost = np.stack(tables, axis=-1) if tables else np.zeros((1, size, 0))
-    cost = np.rint(cost * UNIT).astype(np.int32).reshape(-1, len(languages))
+    cost = np.rint(cost * UNIT).astype(np.int32).reshape(cost.shape[0] * size, len(languages))
     return Model(languages, symbol, node, cost)
 
 
