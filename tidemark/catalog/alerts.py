@@ -143,8 +143,8 @@ def windowed_stats_not_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(t.rounded(windows, *WINDOW_MOMENTS))
 
 
-def _stream(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
-    """Publish the readings, stream them to the end, read the alerts back."""
+def prepare_stream(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the baseline and the published readings."""
     root = scratch_path(spark, "alerts")
     readings = t.readings(spark, sf_dir)
     write_curated(baseline_table(readings, t.known_stations(spark, sf_dir)), f"{root}/baseline")
@@ -153,12 +153,21 @@ def _stream(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
     part = F.floor((F.col("dateTime").cast("double") - first) * 5 / (last - first + 1))
     for i in range(5):
         _publish(readings.where(part == i).coalesce(1), f"{root}/topic")
+    return root
+
+
+def run_stream(spark: SparkSession, root: str, refresh: bool = False) -> DataFrame:
+    """Stream the published readings to the end, a file at a time, and read the alerts."""
     started = stream_alerts(
         spark, json_events_stream(spark, f"{root}/topic", max_files=1), f"{root}/baseline",
         f"{root}/out", f"{root}/checkpoint", interval=None, refresh=refresh,
     )
     ops.run(started)
-    alerts = read_baseline(spark, f"{root}/out")
+    return read_baseline(spark, f"{root}/out")
+
+
+def _stream(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
+    alerts = run_stream(spark, prepare_stream(spark, sf_dir), refresh)
     return _comparable(alerts.drop("batch_id"))
 
 
