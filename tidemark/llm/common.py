@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Rows of text sent to a Python worker at once; a batch stays a few megabytes.
 ARROW_ROWS = 1000
 LAST_ID = 2**63 - 1
+#: Most rows of a written table that is broadcast to avoid moving the texts.
+SMALL_ROWS = 2_000_000
 
 
 def arrow_settings(spark: SparkSession) -> SparkSession:
@@ -65,6 +67,17 @@ def position(
     )
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` for a join with texts: broadcast if it holds at most ``SMALL_ROWS`` rows (or
+    items of its arrays), by count; otherwise both sides are shuffled."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
+def items(df: DataFrame, column: str) -> int:
+    """How many items the arrays in a column hold, all rows together."""
+    return df.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

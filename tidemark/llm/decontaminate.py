@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_settings, nest, unnest
+from tidemark.llm.common import arrow_settings, nest, small, unnest
 from tidemark.llm.simhash_dedup import _votes
 from tidemark.llm.words import (
     blocks, column_of, find_words, is_mark, joined_words, mix, room_left, run_hashes, text_bytes,
@@ -35,8 +35,6 @@ NEAR = 2
 RADIUS = 35
 #: Bits of the fixed filter of benchmark shingles that every task holds (2 MB).
 SLOTS = 2**24
-#: Most rows of a written table that is broadcast to avoid moving the texts.
-SMALL_ROWS = 2_000_000
 
 
 def _normal(texts: pa.Array):
@@ -266,6 +264,4 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = nest(docs)
     found = _leaks(rows.select("_d", "_t", F.col("row.text").alias("text")), benchmark)
     bad = store(found.select("_d", "_t").distinct(), "leaks")
-    if bad.count() <= SMALL_ROWS:
-        bad = F.broadcast(bad)
-    return unnest(rows.join(bad, ["_d", "_t"], "left_anti"), docs.columns)
+    return unnest(rows.join(small(bad, bad.count()), ["_d", "_t"], "left_anti"), docs.columns)

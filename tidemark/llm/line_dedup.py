@@ -8,22 +8,29 @@ shorter ones must be equal. Of equal or near lines the earliest one stays.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, nest, unnest
+from tidemark.llm.common import items, let, nest, small, unnest
 from tidemark.session import store
 
+SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 MIN_WORDS = 8
-#: Most rows of a written table that is broadcast to avoid moving the texts; a larger one is
-#: joined by shuffling both sides.
-SMALL_ROWS = 2_000_000
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+def _one_spaced(line: Column) -> Column:
+    """The line's words with one space between them."""
+    line = F.btrim(line, F.lit(SPACE))
+    odd = F.contains(line, F.lit("  "))
+    for mark in SPACE[1:]:
+        odd = odd | F.contains(line, F.lit(mark))
+    return F.when(odd, F.regexp_replace(line, SPACES, " ")).otherwise(line)
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACES), lambda w: w != "")
+    return F.split(_one_spaced(line), " ")
+
+
+def _blank(line: Column) -> Column:
+    return F.length(F.btrim(line, F.lit(SPACE))) == 0
 
 
 def _half_keys(w: Column) -> Column:
@@ -33,22 +40,22 @@ def _half_keys(w: Column) -> Column:
     give the halves of the shorter one, and one of these halves has no edit in it.
     """
     def halves(n):
-        a = 4 * F.floor(n / 8).cast("int")
-        return [F.xxhash64(F.lit(0), F.slice(w, 1, a)), F.xxhash64(F.lit(1), F.slice(w, -a, a))]
+        a = (4 * F.floor(n / 8)).cast("int")
+        return F.array(F.xxhash64(F.lit(0), F.slice(w, 1, a)), F.xxhash64(F.lit(1), F.slice(w, -a, a)))
 
     n = F.size(w)
-    shorter = F.when(n > MIN_WORDS, F.array(*halves(n - 1))).otherwise(F.array().cast("array<bigint>"))
-    return F.when(n >= MIN_WORDS, F.array_distinct(F.concat(F.array(*halves(n)), shorter)))
+    return F.when((n > MIN_WORDS) & (n % 8 == 0), F.concat(halves(n), halves(n - 1))).when(
+        n >= MIN_WORDS, halves(n))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
-    """Each line with a word: its place (_d, _t, i), digest m and half keys."""
+    """Each line with a word: its place (_d, _t, i), two hashes and half keys."""
     exploded = rows.select("_d", "_t", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    facts = let(_words(F.col("line")), lambda w: F.struct(
-        F.size(w).alias("n"), F.unhex(F.md5(F.array_join(w, " "))).alias("m"),
-        _half_keys(w).alias("halves")))
-    return exploded.select("_d", "_t", "i", facts.alias("f")).where("f.n > 0").select(
-        "_d", "_t", "i", "f.m", "f.halves")
+    return exploded.where(~_blank(F.col("line"))).select(
+        "_d", "_t", "i", _one_spaced(F.col("line")).alias("s")).select(
+        "_d", "_t", "i", "s", F.split("s", " ").alias("w")).select(
+        "_d", "_t", "i", F.xxhash64("s").alias("m1"), F.xxhash64(F.lit(1), "s").alias("m2"),
+        _half_keys(F.col("w")).alias("halves"))
 
 
 def _xor(values: Column) -> Column:
@@ -79,9 +86,9 @@ def _variants(w: Column) -> Column:
         def dropped(p):
             def without(q):
                 last = F.get(q, n)
-                return F.array_distinct(F.transform(here, lambda _, j: F.struct(
-                    F.xxhash64(n - 1, F.get(p, j).bitwiseXOR(last).bitwiseXOR(F.get(q, j + 1))
-                               ).alias("v"), F.lit("x").alias("role"))))
+                keys = F.array_distinct(F.transform(here, lambda _, j: F.xxhash64(
+                    n - 1, F.get(p, j).bitwiseXOR(last).bitwiseXOR(F.get(q, j + 1)))))
+                return F.transform(keys, lambda v: F.struct(v.alias("v"), F.lit("x").alias("role")))
 
             return let(_running(moved), without)
 
@@ -113,58 +120,60 @@ def _within_one(a: Column, b: Column) -> Column:
     return let(F.when(first == 0, F.least(F.size(a), F.size(b))).otherwise(first - 1).cast("int"), after)
 
 
-def _near_copies(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(m): the classes of lines of which an earlier line is one edit away."""
-    halves = classes.where("halves is not null").select("m", "first", F.explode("halves").alias("h"))
-    shared = halves.groupBy("h").agg(F.min("m").alias("a"), F.max("m").alias("b")).where("a < b")
-    alike = halves.join(shared.select("h"), "h", "left_semi").select("m", "first").distinct()
+def _near_copies(rows: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """(m1, m2): the classes of equal lines of which an earlier line is one edit away."""
+    halves = lines.where("halves is not null").select("m1", "m2", F.explode("halves").alias("h"))
+    shared = halves.groupBy("h").agg(F.min("m1").alias("a"), F.max("m1").alias("b")).where("a < b")
+    alike = halves.join(shared.select("h"), "h", "left_semi").select("m1", "m2").distinct()
     wanted = store(
-        alike.groupBy("first._d", "first._t").agg(
-            F.collect_list(F.struct("m", "first", F.col("first.i").alias("i"))).alias("wanted")),
+        classes.join(alike, ["m1", "m2"]).groupBy("first._d", "first._t").agg(F.collect_list(
+            F.struct(F.struct("m1", "m2").alias("m"), "first")).alias("wanted")),
         "wanted",
     )
-    found = rows.join(_small(wanted, wanted.count()), ["_d", "_t"]).select(F.explode(let(
+    found = rows.join(small(wanted, items(wanted, "wanted")), ["_d", "_t"]).select(F.explode(let(
         F.split("text", "\n"), lambda parts: F.transform("wanted", lambda x: F.struct(
             x["m"].alias("m"), x["first"].alias("first"),
-            _words(F.get(parts, x["i"])).alias("w"))))).alias("x")).select("x.*")
-    lines = store(found, "candidates")
-    keyed = lines.select("m", "first", F.explode(_variants(F.col("w"))).alias("k")).select(
-        "m", "first", "k.v", "k.role")
-    who = F.struct("first", "m")
+            _words(F.get(parts, x["first"]["i"])).alias("w"))))).alias("x")).select("x.*")
+    # Numbered in the order of their first places, so that the earliest is a plain minimum.
+    texts = store(
+        found.repartitionByRange("first").sortWithinPartitions("first").select(
+            "m", F.monotonically_increasing_id().alias("id"), "w"),
+        "candidates",
+    )
+    keyed = store(texts.select("id", F.explode(_variants(F.col("w"))).alias("k")).select(
+        "id", "k.v", "k.role"), "variants")
 
     def earliest(role):
-        return F.min(F.when(F.col("role") == role, who)).alias(f"_{role}")
+        return F.min(F.when(F.col("role") == role, F.col("id"))).alias(f"_{role}")
 
     groups = keyed.groupBy("v").agg(
-        earliest("r"), earliest("w"), earliest("x"), F.max(F.when(F.col("role") == "r", who)).alias("_last"),
+        earliest("r"), earliest("w"), earliest("x"),
+        F.max(F.when(F.col("role") == "r", F.col("id"))).alias("_last"),
     ).where("_r < _last or (_w is not null and _x is not null)").drop("_last")
     other = F.when(F.col("role") == "r", F.col("_r")).when(F.col("role") == "w", F.col("_x")).otherwise(
         F.col("_w"))
-    pairs = keyed.join(groups, "v").select("m", "first", other.alias("o")).where("o.first < first").select(
-        "m", F.col("o.m").alias("o")).distinct()
-    own = lines.select("m", "w").dropDuplicates(["m"])
-    theirs = own.select(F.col("m").alias("o"), F.col("w").alias("e"))
-    return pairs.join(own, "m").join(theirs, "o").where(
-        _within_one(F.col("w"), F.col("e"))).select("m").distinct()
+    pairs = keyed.join(groups, "v").select("id", other.alias("o")).where("o < id").distinct()
+    theirs = texts.select(F.col("id").alias("o"), F.col("m").alias("n"), F.col("w").alias("e"))
+    return pairs.join(texts, "id").join(theirs, "o").where(
+        (F.col("m") != F.col("n")) & _within_one(F.col("w"), F.col("e"))
+    ).select("m.m1", "m.m2").distinct()
 
 
 def _judged(docs: DataFrame) -> DataFrame:
     """Rows nested, with ``gone``: the sorted places of the lines to remove, null if none."""
     rows = nest(docs).withColumn("text", F.col("row.text"))
     lines = store(_lines(rows), "lines")
-    classes = store(lines.groupBy("m").agg(
-        F.min(F.struct("_d", "_t", "i")).alias("first"), F.count(F.lit(1)).alias("n"),
-        F.first("halves").alias("halves")), "classes")
-    near = store(_near_copies(rows, classes).withColumn("near", F.lit(True)), "near")
-    judged = classes.join(near, "m", "left").where("n > 1 or near")
+    classes = store(lines.groupBy("m1", "m2").agg(
+        F.min(F.struct("_d", "_t", "i")).alias("first"), F.count(F.lit(1)).alias("n")), "classes")
+    near = store(_near_copies(rows, lines, classes).withColumn("near", F.lit(True)), "near")
+    judged = classes.join(near, ["m1", "m2"], "left").where("n > 1 or near")
     gone = store(
-        lines.select("_d", "_t", "i", "m").join(judged.select("m", "first", "near"), "m")
+        lines.select("_d", "_t", "i", "m1", "m2").join(judged.drop("n"), ["m1", "m2"])
         .where("near or struct(_d, _t, i) <> first").select("_d", "_t", "i").distinct()
         .groupBy("_d", "_t").agg(F.sort_array(F.collect_list("i")).alias("gone")),
         "gone",
     )
-    n = gone.agg(F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()[0]
-    return rows.join(_small(gone, n), ["_d", "_t"], "left")
+    return rows.join(small(gone, items(gone, "gone")), ["_d", "_t"], "left")
 
 
 def _kept(parts: Column, gone: Column) -> Column:
@@ -181,8 +190,7 @@ def _with_kept(judged: DataFrame) -> DataFrame:
     text = F.col("text")
     kept = F.when(F.col("gone").isNull(), text).otherwise(
         let(F.split(text, "\n"), lambda parts: let(F.col("gone"), lambda g: _kept(parts, g))))
-    lines = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"),
-                            lambda x: F.translate(x, " \t\x0b\x0c\r", "") != ""))
+    lines = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: ~_blank(x)))
     return judged.select(
         "row", kept.alias("_kept"), lines.cast("long").alias("_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_removed"),
