@@ -58,10 +58,6 @@ def _lines(rows: DataFrame) -> DataFrame:
         _half_keys(F.col("w")).alias("halves"))
 
 
-def _xor(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))
-
-
 def _running(values: Column) -> Column:
     """Exclusive ors of the first 0, 1, 2 ... values."""
     start = F.struct(F.lit(0).cast("bigint").alias("x"), F.array(F.lit(0).cast("bigint")).alias("p"))
@@ -73,32 +69,35 @@ def _running(values: Column) -> Column:
     return F.aggregate(values, start, step, lambda acc: acc["p"])
 
 
-def _variants(w: Column) -> Column:
-    """All keys of a line within one edit, as (v, role): with one word left open ("r"), the
-    whole line ("w") and the line without one word ("x")."""
-    n = F.size(w)
+OPEN, WHOLE, SHORT = 0, 1, 2
 
-    def keys(here, moved):
-        whole = _xor(here)
-        opened = F.transform(here, lambda h, j: F.struct(
-            F.xxhash64(n, j, whole.bitwiseXOR(h)).alias("v"), F.lit("r").alias("role")))
 
-        def dropped(p):
-            def without(q):
-                last = F.get(q, n)
-                keys = F.array_distinct(F.transform(here, lambda _, j: F.xxhash64(
-                    n - 1, F.get(p, j).bitwiseXOR(last).bitwiseXOR(F.get(q, j + 1)))))
-                return F.transform(keys, lambda v: F.struct(v.alias("v"), F.lit("x").alias("role")))
+def _variants(texts: DataFrame) -> DataFrame:
+    """(id, v, role) for all keys of the lines (id, w) within one edit: with one word left
+    open, the whole line, and the line without one word.
+
+    A line's key is the exclusive or of its words' hashes, each hashed with its place. The
+    line without word j has the words before it as they are and those behind it moved by one.
+    """
+    def places(by):
+        return F.transform("w", lambda x, k: F.xxhash64(k + by, x))
 
-            return let(_running(moved), without)
+    hashed = texts.select("id", F.size("w").alias("n"), places(0).alias("here"),
+                          places(-1).alias("moved"))
+    sums = hashed.select("id", "n", "here", _running(F.col("here")).alias("p"),
+                         _running(F.col("moved")).alias("q"))
+    each = sums.select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("j"))
+    n, j = F.col("n"), F.col("j")
+    whole = F.get("p", n)
 
-        self_ = F.array(F.struct(F.xxhash64(n, whole).alias("v"), F.lit("w").alias("role")))
-        return F.concat(opened, self_, F.when(
-            n > MIN_WORDS, let(_running(here), dropped)).otherwise(F.filter(self_, lambda _: F.lit(False))))
+    def key(role, *parts):
+        return F.struct(F.xxhash64(*parts).alias("v"), F.lit(role).alias("role"))
 
-    place = F.transform(w, lambda x, k: F.xxhash64(k, x))
-    back = F.transform(w, lambda x, k: F.xxhash64(k - 1, x))
-    return let(place, lambda here: let(back, lambda moved: keys(here, moved)))
+    opened = key(OPEN, n, j, whole.bitwiseXOR(F.get("here", j)))
+    short = key(SHORT, n - 1, F.get("p", j).bitwiseXOR(F.get("q", n)).bitwiseXOR(F.get("q", j + 1)))
+    return each.select("id", F.inline(
+        F.when(j == n, F.array(key(WHOLE, n, whole))).when(n > MIN_WORDS, F.array(opened, short))
+        .otherwise(F.array(opened))))
 
 
 def _within_one(a: Column, b: Column) -> Column:
@@ -140,18 +139,18 @@ def _near_copies(rows: DataFrame, lines: DataFrame, classes: DataFrame) -> DataF
             "m", F.monotonically_increasing_id().alias("id"), "w"),
         "candidates",
     )
-    keyed = store(texts.select("id", F.explode(_variants(F.col("w"))).alias("k")).select(
-        "id", "k.v", "k.role"), "variants")
+    keyed = store(_variants(texts), "variants")
 
     def earliest(role):
-        return F.min(F.when(F.col("role") == role, F.col("id"))).alias(f"_{role}")
+        return F.min(F.when(F.col("role") == role, F.col("id")))
 
     groups = keyed.groupBy("v").agg(
-        earliest("r"), earliest("w"), earliest("x"),
-        F.max(F.when(F.col("role") == "r", F.col("id"))).alias("_last"),
-    ).where("_r < _last or (_w is not null and _x is not null)").drop("_last")
-    other = F.when(F.col("role") == "r", F.col("_r")).when(F.col("role") == "w", F.col("_x")).otherwise(
-        F.col("_w"))
+        earliest(OPEN).alias("_open"), earliest(WHOLE).alias("_whole"),
+        earliest(SHORT).alias("_short"),
+        F.max(F.when(F.col("role") == OPEN, F.col("id"))).alias("_last"),
+    ).where("_open < _last or (_whole is not null and _short is not null)").drop("_last")
+    other = F.when(F.col("role") == OPEN, F.col("_open")).when(
+        F.col("role") == WHOLE, F.col("_short")).otherwise(F.col("_whole"))
     pairs = keyed.join(groups, "v").select("id", other.alias("o")).where("o < id").distinct()
     theirs = texts.select(F.col("id").alias("o"), F.col("m").alias("n"), F.col("w").alias("e"))
     return pairs.join(texts, "id").join(theirs, "o").where(
