@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm import plain
-from tidemark.llm import components, simhash_dedup, substring_dedup
+from tidemark.llm import common, components, simhash_dedup, substring_dedup
 
 DOCS = "doc_id long, text string"
 
@@ -43,6 +43,7 @@ def test_substring_dedup_over_blocks_and_sizes(spark, monkeypatch):
     rows = odd_documents()
     df = spark.createDataFrame(rows, DOCS).coalesce(1)
     monkeypatch.setattr(substring_dedup, "SPREAD", 1)
+    monkeypatch.setattr(common, "SMALL_ROWS", -1)
     for window, inner in ((3, 3), (4, 1), (13, 13)):
         got = substring_rows(substring_dedup.remove_repeats(df, window, inner))
         assert got == sorted(plain.remove_repeats(rows, window), key=str)

@@ -43,10 +43,14 @@ def training_sample(labelled: DataFrame, most: int = TRAIN_DOCS) -> DataFrame:
     known = labelled.where("lang is not null and text is not null").select(
         "lang", "text", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_key")
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key"))
+    def first(keys, *groups):
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_key"))
+        return keys.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
+
+    # Within slices of a language first, so no task sees all of a common one's ids.
+    ids = known.select("lang", "_key", F.substring("_key", 1, 2).alias("_slice")).distinct()
     cut = store(  # a written table: its size is known, so a few languages are broadcast
-        known.select("lang", "_key").distinct().withColumn("_rank", rank).where(F.col("_rank") <= most)
-        .groupBy("lang").agg(F.max("_key").alias("_cut")),
+        first(first(ids, "lang", "_slice"), "lang").groupBy("lang").agg(F.max("_key").alias("_cut")),
         "sample",
     )
     chosen = known.join(cut, "lang").where(F.col("_key") <= F.col("_cut"))

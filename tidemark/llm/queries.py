@@ -10,6 +10,7 @@ from tidemark.llm import (
     quality_rules, sharding, simhash_dedup, substring_dedup,
 )
 from tidemark.llm.common import crc_mod
+from tidemark.llm.quality_sql import quality_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +30,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_decontaminate")
+#: For items of at least five words, as all of the test tables are.
+_OP1_SQL = """
+WITH items AS (
+    SELECT item_id, w, len(w) AS n FROM (
+        SELECT item_id, regexp_extract_all(lower(text), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM benchmark)
+    WHERE len(w) >= 5),
+wanted AS (
+    SELECT item_id, n, k, count(*) AS c FROM (
+        SELECT item_id, n, list_slice(w, i, i + 4) AS k
+        FROM (SELECT *, unnest(range(1, n - 3)) AS i FROM items)) GROUP BY ALL),
+docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(lower(text), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+shingles AS (
+    SELECT r, i, list_slice(w, i, i + 4) AS k
+    FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM docs)),
+windows AS (
+    SELECT DISTINCT s.r, t.item_id, t.n, s.i - d AS start
+    FROM shingles s JOIN wanted t USING (k), range(0, 1000) o(d)
+    WHERE d <= t.n - 5 AND s.i - d >= 1),
+common AS (
+    SELECT w.r, w.item_id, w.n, w.start, t.k, least(count(*), any_value(t.c)) AS c
+    FROM windows w JOIN shingles s ON s.r = w.r AND s.i BETWEEN w.start AND w.start + w.n - 5
+    JOIN wanted t ON t.item_id = w.item_id AND t.k = s.k GROUP BY 1, 2, 3, 4, 5),
+alike AS (
+    SELECT r, item_id, n, start, sum(c) / (2 * (n - 4) - sum(c)) AS similarity
+    FROM common GROUP BY r, item_id, n, start)
+SELECT doc_id, item_id, max(similarity) AS similarity,
+    arg_min(start, (-similarity, start)) - 1 AS start, any_value(a.n)::BIGINT AS n_words
+FROM alike a JOIN docs USING (r)
+WHERE similarity >= 0.8 AND start + a.n - 1 <= len(w) GROUP BY r, doc_id, item_id
+"""
+
+
+@query("op1_decontaminate", _OP1_SQL)
 def op1(spark, sf_dir):
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.leaks(docs, items)
@@ -69,7 +104,7 @@ def op2(spark, sf_dir):
     return left.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", quality_sql())
 def op3(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -186,7 +221,27 @@ def op6(spark, sf_dir):
     )
 
 
-@query("op7_substring_dedup")
+_OP7_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT r, doc_id, i, list_slice(w, i, i + {substring_dedup.WINDOW - 1}) AS k
+    FROM (SELECT *, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) AS i FROM docs)),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+gone AS (
+    SELECT DISTINCT r, i + j AS i FROM windows JOIN firsts USING (k), range({substring_dedup.WINDOW}) s(j)
+    WHERE first < doc_id),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+kept AS (
+    SELECT w.r, count(g.i) AS n, string_agg(word, ' ' ORDER BY w.i) FILTER (g.i IS NULL) AS text
+    FROM words w LEFT JOIN gone g ON w.r = g.r AND w.i = g.i GROUP BY w.r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
+@query("op7_substring_dedup", _OP7_SQL)
 def op7(spark, sf_dir):
     kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select(
