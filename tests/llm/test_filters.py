@@ -105,7 +105,7 @@ def test_line_dedup_of_equal_and_missing_ids(spark):
 
 
 def test_line_dedup_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(common, "SMALL_ROWS", -1)
+    monkeypatch.setattr(common, "SMALL_BYTES", -1)
     alone = [r for r in odd_lines() if r[0] not in (5, None)]
     df = spark.createDataFrame(alone, DOCS)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.line_report(df).collect()}

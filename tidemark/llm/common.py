@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 #: Rows of text sent to a Python worker at once; a batch stays a few megabytes.
 ARROW_ROWS = 1000
 LAST_ID = 2**63 - 1
-#: Most rows of a written table that is broadcast to avoid moving the texts.
-SMALL_ROWS = 2_000_000
+#: Most bytes of a written table that is broadcast to avoid moving the texts.
+SMALL_BYTES = 64_000_000
 
 
 def arrow_settings(spark: SparkSession) -> SparkSession:
@@ -67,15 +67,16 @@ def position(
     )
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` for a join with texts: broadcast if it holds at most ``SMALL_ROWS`` rows (or
-    items of its arrays), by count; otherwise both sides are shuffled."""
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
+def small(df: DataFrame, column: str | None = None, width: int = 0) -> DataFrame:
+    """A written table ``df`` for a join with texts: broadcast if it takes at most
+    ``SMALL_BYTES``, so that the texts stay where they are; otherwise both sides are shuffled.
 
-
-def items(df: DataFrame, column: str) -> int:
-    """How many items the arrays in a column hold, all rows together."""
-    return df.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+    The size is counted: 64 bytes a row and ``width`` for each item of the arrays in
+    ``column``.
+    """
+    items = F.lit(0) if column is None else F.coalesce(F.sum(F.size(column)), F.lit(0))
+    rows, n = df.agg(F.count(F.lit(1)), items).first()
+    return F.broadcast(df) if 64 * rows + width * n <= SMALL_BYTES else df
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -264,4 +264,4 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = nest(docs)
     found = _leaks(rows.select("_d", "_t", F.col("row.text").alias("text")), benchmark)
     bad = store(found.select("_d", "_t").distinct(), "leaks")
-    return unnest(rows.join(small(bad, bad.count()), ["_d", "_t"], "left_anti"), docs.columns)
+    return unnest(rows.join(small(bad), ["_d", "_t"], "left_anti"), docs.columns)

@@ -8,7 +8,7 @@ shorter ones must be equal. Of equal or near lines the earliest one stays.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import items, let, nest, small, unnest
+from tidemark.llm.common import let, nest, small, unnest
 from tidemark.session import store
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -129,7 +129,7 @@ def _near_copies(rows: DataFrame, lines: DataFrame, classes: DataFrame) -> DataF
             F.struct(F.struct("m1", "m2").alias("m"), "first")).alias("wanted")),
         "wanted",
     )
-    found = rows.join(small(wanted, items(wanted, "wanted")), ["_d", "_t"]).select(F.explode(let(
+    found = rows.join(small(wanted, "wanted", 96), ["_d", "_t"]).select(F.explode(let(
         F.split("text", "\n"), lambda parts: F.transform("wanted", lambda x: F.struct(
             x["m"].alias("m"), x["first"].alias("first"),
             _words(F.get(parts, x["first"]["i"])).alias("w"))))).alias("x")).select("x.*")
@@ -172,7 +172,7 @@ def _judged(docs: DataFrame) -> DataFrame:
         .groupBy("_d", "_t").agg(F.sort_array(F.collect_list("i")).alias("gone")),
         "gone",
     )
-    return rows.join(small(gone, items(gone, "gone")), ["_d", "_t"], "left")
+    return rows.join(small(gone, "gone", 8), ["_d", "_t"], "left")
 
 
 def _kept(parts: Column, gone: Column) -> Column:
