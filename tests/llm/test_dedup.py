@@ -66,6 +66,18 @@ def test_substring_dedup_resolves_hash_collisions(monkeypatch):
     assert late.tolist() == [False, False, False, True, False]
 
 
+def test_copies_travel_once_for_a_block():
+    import numpy as np
+    import pyarrow as pa
+
+    text = sentence(random.Random(1), 60, 1000)
+    table = pa.table({"_d": np.arange(200), "_t": np.arange(200), "text": [text] * 200})
+    spans, packed = substring_dedup._scatter(table, 13, 3, 4)
+    assert spans.num_rows == 199 and set(spans["b"].to_pylist()) == {60}
+    for _, head, body in packed:
+        assert set(substring_dedup._unpack([head], [body])[0]["d"]) == {0}
+
+
 def test_substring_dedup_of_a_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -4,12 +4,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.conftest import SMALL
 from tests.llm import plain_more
 from tests.llm.test_dedup import DOCS, odd_documents
-from tidemark.llm import chat_format, packing, sharding
+from tidemark.llm import chat_format, common, packing, sharding
 
 
 # --- packing -------------------------------------------------------------------------------
@@ -114,6 +115,17 @@ def test_patterns_and_least_squares():
     assert (x >= 0).all() and (gain <= 1e-6).all() and np.allclose(gain[x > 0], 0, atol=1e-6)
 
 
+# --- ranks ---------------------------------------------------------------------------------
+
+def test_positions_by_buckets(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("ab"), rng.randrange(1000), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, x int, i int").repartition(7)
+    got = common.position(df, ["g"], F.floor(F.col("x") / 100).cast("int"), [F.col("x"), F.col("i")], "at")
+    want = [(*r, sum(q[0] == r[0] and q[1:] < r[1:] for q in rows)) for r in rows]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 # --- sharding ------------------------------------------------------------------------------
 
 def test_shards_are_even_and_match_the_mixture(spark):
