@@ -7,7 +7,9 @@ from tidemark import schemas
 from tidemark.operators.calendar import (
     date_spine, flag_in_interval, interval_days, station_day_spine,
 )
-from tidemark.plans import batch_baseline, replay, station_summary, stream_alerts
+from tidemark.plans import (
+    batch_baseline, load_warehouse, replay, station_summary, stream_alerts,
+)
 from tidemark.sinks.files import write_csv
 from tidemark.sources.files import read_csv
 
@@ -68,6 +70,18 @@ def test_batch_job_without_parameter_keeps_all(spark, raw_zone):
     assert {r.stationReference: r.n_readings_total for r in rows.collect()} == {"1A": 24, "2B": 48}
 
 
+def test_load_job(spark, raw_zone, keep_session):
+    root = str(raw_zone)
+    batch_baseline.batch_baseline(spark, f"{root}/archive", f"{root}/stations", f"{root}/curated")
+    for _ in range(2):  # a second load replaces the first
+        load_warehouse.main(["--curated", f"{root}/curated", "--prefix", "loaded_",
+                             "--location", f"{root}/warehouse"])
+    assert spark.table("loaded_batch_station_daily").count() == 4
+    assert spark.table("loaded_batch_station_baseline").count() == 2
+    for name in ("daily", "baseline"):
+        spark.sql(f"DROP TABLE loaded_batch_station_{name}")
+
+
 def test_batch_job_of_an_empty_folder(spark, raw_zone, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()

@@ -10,6 +10,7 @@ from tidemark.operators import joins
 from tidemark.operators.dedupe import dedupe_station as first_of_station
 from tidemark.operators.stats import station_baseline
 from tidemark.plans import batch_baseline as job
+from tidemark.plans.load_warehouse import load_warehouse
 from tidemark.session import scratch_path, store
 from tidemark.sources.files import read_baseline
 
@@ -89,11 +90,10 @@ def baseline_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(first_of_station(t.readings(spark, sf_dir), order))
 
 
-def _run_job(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _run_job(spark: SparkSession, sf_dir: str, out: str | None = None) -> dict[str, str]:
     raw = write_raw_zone(spark, sf_dir, t.known_stations(spark, sf_dir))
-    return job.batch_baseline(
-        spark, raw["archive"], raw["stations"], scratch_path(spark, "curated"), parameter="level"
-    )
+    out = out or scratch_path(spark, "curated")
+    return job.batch_baseline(spark, raw["archive"], raw["stations"], out, parameter="level")
 
 
 JOB_BASELINE = t.CTE["baseline"].replace("FROM readings", "FROM clean WHERE parameter = 'level'")
@@ -115,3 +115,23 @@ def batch_job_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job, from dirty CSV to the daily facts."""
     table = read_baseline(spark, _run_job(spark, sf_dir)[job.DAILY])
     return t.rounded(table, "mean_level_day", "std_level_day")
+
+
+@query(t.sql("archive clean baseline", f"""
+SELECT '{job.BASELINE}' AS name, count(*) AS n_rows FROM baseline
+UNION ALL
+SELECT '{job.DAILY}', count(*) FROM (
+    SELECT DISTINCT stationReference, reading_date FROM clean WHERE parameter = 'level')""",
+             clean=cleaning.CLEAN, baseline=JOB_BASELINE))
+def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job's results, loaded into catalog tables and counted there."""
+    out, location = scratch_path(spark, "curated"), scratch_path(spark, "warehouse")
+    _run_job(spark, sf_dir, out)
+    prefix = "tidemark_" + location.rsplit("-", 1)[1] + "_"
+    counts = [
+        (name, table.count())
+        for name, table in load_warehouse(spark, out, prefix, location).items()
+    ]
+    for name, _ in counts:
+        spark.sql(f"DROP TABLE {prefix}{name}")
+    return spark.createDataFrame(counts, "name string, n_rows long")
