@@ -15,6 +15,7 @@ from tidemark.llm.common import arrow_settings, nest
 from tidemark.llm.words import (
     blocks, column_of, find_words, joined_words, room_left, run_hashes, text_bytes, word_hashes,
 )
+from tidemark.session import store
 
 WINDOW = 13
 INNER = 3
@@ -294,9 +295,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, inner: int = INNER) ->
     rows = nest(docs.select("doc_id", "text")).select(
         "_d", "_t", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")
     )
-    spans = covered_spans(rows, window, inner).groupBy("_d", "_t").agg(
-        F.collect_list(F.struct("a", "b")).alias("spans")
-    )
+    # Written, so that the packed strings' shuffle is over before the texts are moved.
+    spans = store(covered_spans(rows, window, inner).groupBy("_d", "_t").agg(
+        F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     both = rows.join(spans, ["_d", "_t"], "left").select("doc_id", "text", "spans")
 
     def keep(batches):
