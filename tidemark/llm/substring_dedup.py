@@ -218,7 +218,8 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
     therefore reaches its bucket once for each block, not once for each document.
     """
     spark = arrow_settings(rows.sparkSession)
-    buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = SPREAD * partitions
     empty = pa.table({k: pa.array([], pa.int64()) for k in ("_d", "_t", "a", "b")})
 
     def scatter(batches):
@@ -257,7 +258,7 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
     return (
         rows.select("_d", "_t", "text")
         .mapInArrow(scatter, "bucket int, head binary, body binary")
-        .repartition("bucket")
+        .repartitionById(partitions, "bucket")  # as many buckets in each
         .sortWithinPartitions("bucket")
         .mapInArrow(settle, "_d long, _t long, a long, b long")
     )
