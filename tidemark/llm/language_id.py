@@ -26,6 +26,8 @@ ORDER = 3
 START = 10  # a text counts as following line feeds
 UNIT = 65536  # code lengths are whole numbers of 1/65536 bit, so that sums are exact
 UNKNOWN = "und"
+#: Bytes of text that are scored at once; workers stay small beside the stages that follow.
+PART = 1_000_000
 
 
 @dataclass
@@ -178,7 +180,7 @@ def train(labelled: DataFrame, most: int = TRAIN_DOCS) -> Model:
     )
 
 
-def code_lengths(model: Model, texts: pa.Array, step: int = 1_000_000) -> np.ndarray:
+def code_lengths(model: Model, texts: pa.Array, step: int = 250_000) -> np.ndarray:
     """[text, language]: whole code lengths in 1/UNIT bit, from a slice of bytes at a time."""
     data, starts, ends = _padded(texts)
     size = len(model.cost) // (int(model.node.max()) + 1)
@@ -226,7 +228,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         model = Model(*shared.value)
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", PART):
             found, score = predict(model, column_of(table, "text"))
             yield from pa.table({
                 "doc_id": column_of(table, "doc_id").cast(pa.int64()),
@@ -243,7 +245,7 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def run(batches):
         model = Model(*shared.value)
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", PART):
             found, score = predict(model, column_of(table, "text"))
             keep = (np.array(found, object) != UNKNOWN) & (score >= least)
             yield from table.filter(pa.array(keep.astype(bool))).to_batches()

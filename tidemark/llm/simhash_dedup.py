@@ -16,6 +16,8 @@ from tidemark.session import store
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
+#: Bytes of text whose shingles are hashed at once.
+PART = 2_000_000
 
 
 def _votes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -81,7 +83,7 @@ def with_fingerprints(
     schema = rows.drop("text").schema.add("fp", "long")
 
     def fingerprint(batches):
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", PART):
             marks = _fingerprints(column_of(table, "text"), shingle, seed)
             done = table.drop_columns(["text"]).append_column("fp", pa.array(marks))
             yield from done.to_batches()
