@@ -56,6 +56,17 @@ def test_pieces_equal_the_tokenizer(spark, source):
     assert places_are_sound(got, 2048) <= 1.01 * -(-total // 2048) + 1
 
 
+def test_special_tokens_and_marks_equal_the_tokenizer(spark):
+    texts = ["one <|endoftext|> two<|startoftext|>three", "<|ENDOFTEXT|> <|StartOfText|>.",
+             "A<|endoftext|>B. <|endoftext|><|endoftext|>, <|endoftext| >", "<|endoftext|>",
+             "T\u0308 J\u030c H\u0331 t\u0308 j\u030c h\u0331 T\u0308. aT\u0308b, W\u030aX. U.S. DON'T",
+             "x<Y <B>Bold</B> E\u0301COLE \u00c9COLE \u212a A\u00a0B. <|endoftext|>T\u0308<|STARTOFTEXT|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = packing.pack(df).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected_pieces(
+        enumerate(texts))
+
+
 def test_ids_come_with_the_pieces(spark):
     df = spark.createDataFrame(odd_documents(), DOCS)
     got = packing.pack(df, capacity=50, with_ids=True).collect()

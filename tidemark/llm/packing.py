@@ -214,7 +214,6 @@ class _Ids:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.clear()
 
     def clear(self) -> None:
@@ -245,7 +244,8 @@ class _Ids:
         return self.start[at], self.size[at]
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
-        """A word of ASCII letters is one run for the merges; others are split up first."""
+        """A word of ASCII letters, in lower case, is one run for the merges; others are split
+        up first."""
         merge = self.tokenizer.model.tokenize
         out = [[x.id for x in merge(w.decode())] if w.isalpha() else None for w in words]
         rest = [i for i, ids in enumerate(out) if ids is None]
@@ -266,9 +266,9 @@ def _remembered(path: str) -> _Ids:
 def _split_marks(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words, with a last full stop or comma after a letter a-z as a word of its own."""
+    """The words, with a last full stop or comma after an ASCII letter as a word of its own."""
     letter = np.zeros(256, bool)
-    letter[97:123] = True
+    letter[65:91] = letter[97:123] = True
     mark = np.zeros(256, bool)
     mark[[0x2C, 0x2E]] = True
     cut = mark[data[ends - 1]] & (ends - starts > 1) & letter[data[np.maximum(ends - 2, 0)]]
@@ -280,16 +280,33 @@ def _split_marks(
     return s, e, np.append(place, total)[first]
 
 
+def _lower_plain(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes, with the words in lower case that are ASCII only and hold no ``<``. Others
+    keep theirs: a special token counts in its own case only, and a letter may compose with the
+    mark after it in one case alone."""
+    special = np.zeros(256, bool)
+    special[128:] = special[0x3C] = True
+    before = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(special[data], out=before[1:])
+    own = before[ends] > before[starts]
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts[own]] = 1
+    edge[ends[own]] -= 1
+    kept = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    return np.where(kept, data, lower_table()[data])
+
+
 def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' ids, each text closed by ``end_id``, and the texts' places.
 
     The tokenizer drops white space and never joins across it, nor a letter with a stop or
-    comma, so a text's ids are those of its words; lower case in ASCII changes nothing for it
-    either. Words are told apart by 64-bit hashes, and each different one is encoded once.
+    comma, and special tokens hold no white space, so a text's ids are those of its words. Words
+    are told apart by 64-bit hashes, and each different one is encoded once; words of ASCII
+    without special tokens have the same ids in lower case and are looked up in it.
     """
     data, at = text_bytes(texts)
-    data = lower_table()[data]
     starts, ends, first = _split_marks(data, *find_words(data, at))
+    data = _lower_plain(data, starts, ends)
     hashes, some, which = np.unique(
         word_hashes(data, starts, ends), return_index=True, return_inverse=True)
     raw = data.tobytes()
