@@ -165,6 +165,21 @@ def test_leaks_of_odd_rows(spark):
     assert decontaminate.leaks(docs, bench.where("false")).count() == 0
 
 
+def test_leaks_with_repeated_shingles(spark):
+    rng = random.Random(8)
+    items, rows = [], []
+    for i in range(120):
+        own = [f"w{i}x{j}" for j in range(rng.choice((81, 85, 94)))]
+        run = (len(own) - 4) // 9 - rng.randrange(2)
+        changed, side = [*own[:-run], *["a"] * run], i % 3
+        items.append((i, " ".join([*own[:-run], *["b"] * run] if side == 2 else (own, changed)[side])))
+        rows.append((i, " ".join(["before"] * 3 + (own if side == 1 else changed) + ["after"] * (i % 2))))
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    got = leak_rows(decontaminate.leaks(docs, bench))
+    want = plain_more.leaks(rows, items)
+    assert got == {k: round(v, 9) for k, v in want.items()} and len(want) > 100
+
+
 def test_a_full_filter_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SLOTS", 8)
     docs, items = small_table(spark).where("n_chars < 1200").limit(40), small_table(spark, "benchmark")

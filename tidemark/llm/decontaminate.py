@@ -1,10 +1,11 @@
 """Benchmark decontamination with SimHash windows and a multi-index of Hamming blocks.
 
-A window of a document is as long as a benchmark item. Windows and items have 128-bit
-SimHash fingerprints over their five-word shingles, weighted by how often a shingle occurs.
-An item is listed under every value that is near enough to one of its fingerprint's blocks;
-any window within the radius shares a listing. Pairs found are verified by the exact weighted
-similarity of their shingles.
+A window of a document is as long as a benchmark item. Windows and items have 128-bit SimHash fingerprints over their five-word shingles. An item is
+listed under every value that is near enough to one of its fingerprint's blocks; any window
+within the radius shares a listing. Where a shingle occurs twice in either,
+the number of bits says too little: such pairs share one of the first shingles in the
+order of hashes, without exception. Pairs found are verified by the exact weighted similarity
+of their shingles.
 """
 
 import itertools
@@ -28,13 +29,15 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Blocks of the 128 bits: (half, first bit, width). Two fingerprints that differ by at most
 #: RADIUS bits differ by at most NEAR bits in one of the twelve. At a similarity of 0.8 about
-#: 19 bits differ, with a deviation of 4.
+#: 19 bits differ, with a deviation of 4, if no shingle occurs twice.
 BLOCKS = [(half, at, width) for half in (0, 1)
           for at, width in ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))]
 NEAR = 2
 RADIUS = 35
 #: Bits of the fixed filter of benchmark shingles that every task holds (2 MB).
 SLOTS = 2**24
+#: Keys of shingles are at least this, listings of blocks are less.
+KEYS = 2**62
 
 
 def _normal(texts: pa.Array):
@@ -57,8 +60,14 @@ def _slots(hashes: np.ndarray, n) -> np.ndarray:
             % np.uint64(SLOTS)).astype(np.int64)
 
 
-def _marks(words: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Both halves of the fingerprints of windows of ``n`` words from the words ``p``."""
+def _common(n, m):
+    """How many shingles, repeats included, similar texts of n and m shingles share at least."""
+    share = SIMILARITY / (1 + SIMILARITY)
+    return np.ceil(share * (np.asarray(n) + np.asarray(m)) - 1e-9).astype(np.int64)
+
+
+def _shingles(words: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of windows of ``n`` words from the words ``p``, and how many each has."""
     k = np.minimum(n, SHINGLE)
     count = n - k + 1
     at = np.repeat(p - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
@@ -66,12 +75,39 @@ def _marks(words: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     for size in np.unique(k):
         own = np.repeat(k == size, count)
         hashes[own] = run_hashes(words, int(size))[at[own]]
+    return hashes, count
+
+
+def _marks(hashes: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the fingerprints of windows with ``count`` shingles each."""
     first = np.cumsum(count) - count
     low = _votes(mix(hashes + np.uint64(1)), first)
     high = _votes(mix(hashes + np.uint64(2)), first)
     return low.view(np.int64), high.view(np.int64)
 
 
+def _first_keys(
+    hashes: np.ndarray, count: np.ndarray, most: np.ndarray
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """The ``most`` smallest keys of each window's shingles, and whether a shingle repeats.
+
+    The first, second and further times of a shingle have keys of their own. Two windows of n
+    and m shingles that share c of them share one of their n - c + 1 and m - c + 1 first keys.
+    """
+    first = np.cumsum(count) - count
+    window = np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((hashes, window))
+    hashes = hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (window[1:] != window[:-1])
+    time = np.arange(len(hashes)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    keys = (mix(hashes + mix(time.astype(np.uint64))) >> np.uint64(2)).astype(np.int64) + KEYS
+    keys = keys[np.lexsort((keys, window))]
+    repeats = np.zeros(len(count), bool)
+    repeats[window[~new]] = True
+    return [keys[a : a + m] for a, m in zip(first.tolist(), most.tolist())], repeats
+
+
 def _block_keys(low: np.ndarray, high: np.ndarray, near: int) -> np.ndarray:
     """[window, listing]: block values with up to ``near`` bits flipped, told apart by block."""
     out = []
@@ -84,8 +120,9 @@ def _block_keys(low: np.ndarray, high: np.ndarray, near: int) -> np.ndarray:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id, n (words), words, the fingerprint (low, high), its listings and filter bits.
-    Items without a word match nothing and are left out."""
+    """item_id, n (words), words, the fingerprint (low, high), its listings, the first keys,
+    whether a shingle repeats, and filter bits. Items without a word match nothing and are left
+    out."""
     arrow_settings(benchmark.sparkSession)
 
     def prepare(batches):
@@ -95,7 +132,9 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
             own = np.flatnonzero(n > 0)
             if not len(own):
                 continue
-            low, high = _marks(words, first[:-1][own], n[own])
+            hashes, count = _shingles(words, first[:-1][own], n[own])
+            low, high = _marks(hashes, count)
+            keys, repeats = _first_keys(hashes, count, count - _common(count, count) + 1)
             slots = []
             for i in own:
                 k = _shingle(int(n[i]))
@@ -107,12 +146,13 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
                 "item_id": column_of(table, "item_id").cast(pa.int64()).take(pa.array(own)),
                 "n": n[own], "words": pa.array(text, pa.string()), "low": low, "high": high,
                 "listings": pa.array(list(_block_keys(low, high, NEAR)), pa.list_(pa.int64())),
+                "keys": pa.array(keys, pa.list_(pa.int64())), "repeats": repeats,
                 "slots": pa.array(slots, pa.list_(pa.int64())),
             }).to_batches()
 
     return benchmark.select("item_id", "text").mapInArrow(
         prepare, "item_id long, n long, words string, low long, high long, "
-                 "listings array<long>, slots array<long>")
+                 "listings array<long>, keys array<long>, repeats boolean, slots array<long>")
 
 
 def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table | None:
@@ -129,19 +169,24 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
     hit[: len(common)] = has(_slots(common, 0))
     before = np.append(0, np.cumsum(hit))
     per_text = before[first[1:]] - before[first[:-1]]
-    for n in lengths:
-        k = _shingle(n)
-        share = 2 * SIMILARITY / (1 + SIMILARITY)
-        need = int(np.ceil(share * (n - k + 1) - 1e-9))
-        texts = np.flatnonzero((np.diff(first) >= n) & ((per_text >= need) | (k < SHINGLE)))
-        if not len(texts):
-            continue
-        size = np.diff(first)[texts]
+    sizes = np.diff(first)
+
+    def hits_until(texts, n, k):
+        size = sizes[texts]
         at = np.repeat(first[:-1][texts] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         own = np.zeros(len(words) + 1, bool)
         at = at[hit[at]] if k == SHINGLE else at[at < len(words) - k + 1]
         own[at] = has(_slots((common if k == SHINGLE else run_hashes(words, k))[at], n))
-        sums = np.append(0, np.cumsum(own))
+        return np.append(0, np.cumsum(own))
+
+    for n in lengths:
+        k = _shingle(n)
+        need = int(_common(n - k + 1, n - k + 1))
+        texts = np.flatnonzero((sizes >= n) & ((per_text >= need) | (k < SHINGLE)))
+        if not len(texts):
+            continue
+        size = sizes[texts]
+        sums = hits_until(texts, n, k)
         text, p = room_left(np.append(0, np.cumsum(size)), n)
         p = p - (np.cumsum(size) - size)[text] + first[:-1][texts[text]]
         good = sums[p + n - k + 1] - sums[p] >= need
@@ -150,18 +195,21 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
     if not found:
         return None
     text, p, n = (np.concatenate(x) for x in zip(*found))
-    low, high = _marks(words, p, n)
+    hashes, count = _shingles(words, p, n)
+    low, high = _marks(hashes, count)
+    keys, repeats = _first_keys(hashes, count, count - _common(count, count) + 1)
     shown = [raw[place[a] : place[b] - 1].tobytes().decode() for a, b in zip(p, p + n)]
     rows = table.select(["_d", "_t"]).take(pa.array(text))
     for name, values in (("start", p - first[:-1][text]), ("n", n), ("words", shown),
-                         ("low", low), ("high", high)):
+                         ("low", low), ("high", high),
+                         ("keys", pa.array(keys, pa.list_(pa.int64()))), ("repeats", repeats)):
         rows = rows.append_column(name, pa.array(values))
     return rows
 
 
 def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """(_d, _t, start, n, words, low, high) of the documents (_d, _t, text). The filter has a
-    fixed size; a fuller one lets more windows through and loses none."""
+    """(_d, _t, start, n, words, low, high, keys, repeats) of the documents (_d, _t, text). The filter has a fixed size; a fuller
+    one lets more windows through and loses none."""
     spark = arrow_settings(rows.sparkSession)
     slots = items.select(F.explode("slots").alias("slot")).distinct().toArrow()["slot"]
     bits = np.zeros(SLOTS // 8, np.uint8)
@@ -178,7 +226,8 @@ def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
                 yield from found.to_batches()
 
     return rows.select("_d", "_t", "text").mapInArrow(
-        scan, "_d long, _t long, start long, n long, words string, low long, high long")
+        scan, "_d long, _t long, start long, n long, words string, low long, "
+              "high long, keys array<long>, repeats boolean")
 
 
 def similarity(a: str, b: str) -> float:
@@ -205,19 +254,23 @@ def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
             out.append(bits + F.lit(b << 16))
         return F.array(*out)
 
-    probes = windows.select("n", "words", "low", "high").distinct().withColumn(
-        "key", F.explode(values(F.col("low"), F.col("high")))).alias("w")
-    index = items.select("item_id", "n", F.col("words").alias("item"), "low", "high",
-                         F.explode("listings").alias("key")).alias("i")
+    probes = windows.select("n", "words", "low", "high", "keys", "repeats").distinct().withColumn(
+        "key", F.explode(F.concat(values(F.col("low"), F.col("high")), "keys"))).alias("w")
+    index = items.select("item_id", "n", F.col("words").alias("item"), "low", "high", "keys", "repeats",
+                         F.explode(F.concat("listings", "keys")).alias("key")).alias("i")
     first = F.lit(None).cast("int")
     for b, (half, at, width) in reversed(list(enumerate(BLOCKS))):
         part = F.shiftrightunsigned(_far(("low", "high")[half]), at).bitwiseAND(F.lit((1 << width) - 1))
         first = F.when(F.bit_count(part) <= NEAR, F.lit(b)).otherwise(first)
+    exact = F.col("w.repeats") | F.col("i.repeats")
+    by_key = F.col("w.key") == F.array_min(F.array_intersect("w.keys", "i.keys"))
+    by_block = (F.bit_count(_far("low")) + F.bit_count(_far("high")) <= RADIUS) & (
+        F.shiftright(F.col("w.key"), 16) == first)
     pairs = probes.join(
         index,
-        (F.col("w.n") == F.col("i.n")) & (F.col("w.key") == F.col("i.key"))
-        & (F.bit_count(_far("low")) + F.bit_count(_far("high")) <= RADIUS)
-        & (F.shiftright(F.col("w.key"), 16) == first),  # each pair at its first listing only
+        (F.col("w.key") == F.col("i.key"))
+        & (F.col("w.n") == F.col("i.n"))
+        & F.when(exact, by_key).otherwise(by_block),  # each pair at its first key or listing only
     ).select("w.n", "w.words", "i.item", "i.item_id")
 
     def verify(batches):
@@ -229,7 +282,8 @@ def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
             done = table.drop_columns(["item"]).append_column("similarity", pa.array(found, pa.float64()))
             yield from done.filter(pa.array(found >= SIMILARITY)).to_batches()
 
-    return pairs.mapInArrow(verify, "n long, words string, item_id long, similarity double")
+    return pairs.mapInArrow(
+        verify, "n long, words string, item_id long, similarity double")
 
 
 def _leaks(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
