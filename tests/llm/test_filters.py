@@ -180,6 +180,33 @@ def test_leaks_with_repeated_shingles(spark):
     assert got == {k: round(v, 9) for k, v in want.items()} and len(want) > 100
 
 
+def test_documents_shorter_than_an_item(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(f"v{rng.randrange(400)}" for _ in range(n))) for i, n in enumerate((38, 60, 15, 6, 4, 38))]
+    rows = []
+    for i, text in items:
+        own = text.split(" ")
+        cuts = [own[:-m] for m in range(1, 14) if m < len(own)] + [own[1:], own[2:-2], [*own[:9], "new", *own[10:-1]]]
+        rows += [(100 * i + j, " ".join(cut)) for j, cut in enumerate(cuts)]
+    rows += [(900, " ".join([items[0][1].rsplit(" ", 1)[0], "x " * 90]))]  # the same words, not alone
+    docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for doc_id, text in rows:
+        for item_id, item in items:
+            own, n = text.split(), len(item.split())
+            if len(own) < n:
+                alike = decontaminate.similarity(text, item)
+                if alike >= 0.8:
+                    want[doc_id, item_id] = (round(alike, 9), 0, len(own))
+    inner = {k: (round(v, 9), len(items[k[1]][1].split())) for k, v in plain_more.leaks(rows, items).items()}
+    found = decontaminate.leaks(docs, bench).collect()
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start, r.n_words) for r in found}
+    assert {k: v for k, v in got.items() if k not in inner} == want and (0, 0) in want
+    assert {k: (v[0], v[2]) for k, v in got.items() if k in inner} == inner
+    kept = {r.doc_id for r in decontaminate.remove_leaks(docs, bench).collect()}
+    assert kept == {r[0] for r in rows} - {k[0] for k in got}
+
+
 def test_a_full_filter_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SLOTS", 8)
     docs, items = small_table(spark).where("n_chars < 1200").limit(40), small_table(spark, "benchmark")

@@ -1,9 +1,10 @@
 """Benchmark decontamination with SimHash windows and a multi-index of Hamming blocks.
 
-A window of a document is as long as a benchmark item. Windows and items have 128-bit SimHash fingerprints over their five-word shingles. An item is
+A window of a document is as long as a benchmark item, or is the whole of a shorter document.
+Windows and items have 128-bit SimHash fingerprints over their five-word shingles. An item is
 listed under every value that is near enough to one of its fingerprint's blocks; any window
-within the radius shares a listing. Where a shingle occurs twice in either,
-the number of bits says too little: such pairs share one of the first shingles in the
+within the radius shares a listing. Where a shingle occurs twice in either, or the lengths
+differ, the number of bits says too little: such pairs share one of the first shingles in the
 order of hashes, without exception. Pairs found are verified by the exact weighted similarity
 of their shingles.
 """
@@ -134,7 +135,8 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
                 continue
             hashes, count = _shingles(words, first[:-1][own], n[own])
             low, high = _marks(hashes, count)
-            keys, repeats = _first_keys(hashes, count, count - _common(count, count) + 1)
+            least = np.ceil(SIMILARITY * count - 1e-9).astype(np.int64)  # of the shortest text
+            keys, repeats = _first_keys(hashes, count, count - _common(count, least) + 1)
             slots = []
             for i in own:
                 k = _shingle(int(n[i]))
@@ -158,7 +160,8 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table | None:
     """Windows of a block of documents whose shingles are nearly all shingles of items of
     their length, by the filter. Of similar shingle counts n, at least 8/9 n are common where
-    the similarity is 0.8, so no similar window is left out."""
+    the similarity is 0.8, so no similar window is left out. A text shorter than an item, but
+    long enough to be similar, is a window as a whole."""
     def has(slots):
         return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
 
@@ -170,6 +173,7 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
     before = np.append(0, np.cumsum(hit))
     per_text = before[first[1:]] - before[first[:-1]]
     sizes = np.diff(first)
+    whole = np.zeros(len(sizes), bool)
 
     def hits_until(texts, n, k):
         size = sizes[texts]
@@ -181,6 +185,13 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
 
     for n in lengths:
         k = _shingle(n)
+        count = sizes - k + 1
+        short = (sizes < n) & (count >= SIMILARITY * (n - k + 1) - 1e-9) & ~whole
+        short = np.flatnonzero(short & (per_text >= _common(n - k + 1, count)))
+        if len(short) and k == SHINGLE:  # below, no fewer words make a shingle of the item's
+            sums, p = hits_until(short, n, k), first[:-1][short]
+            good = sums[p + count[short]] - sums[p] >= _common(n - k + 1, count[short])
+            whole[short[good]] = True
         need = int(_common(n - k + 1, n - k + 1))
         texts = np.flatnonzero((sizes >= n) & ((per_text >= need) | (k < SHINGLE)))
         if not len(texts):
@@ -192,6 +203,10 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
         good = sums[p + n - k + 1] - sums[p] >= need
         if good.any():
             found.append((texts[text[good]], p[good], np.full(int(good.sum()), n)))
+    inner = sum(len(x[0]) for x in found)
+    if whole.any():
+        own = np.flatnonzero(whole)
+        found.append((own, first[:-1][own], sizes[own]))
     if not found:
         return None
     text, p, n = (np.concatenate(x) for x in zip(*found))
@@ -201,14 +216,15 @@ def _windows(table: pa.Table, bits: np.ndarray, lengths: list[int]) -> pa.Table
     shown = [raw[place[a] : place[b] - 1].tobytes().decode() for a, b in zip(p, p + n)]
     rows = table.select(["_d", "_t"]).take(pa.array(text))
     for name, values in (("start", p - first[:-1][text]), ("n", n), ("words", shown),
-                         ("low", low), ("high", high),
+                         ("whole", np.arange(len(n)) >= inner), ("low", low), ("high", high),
                          ("keys", pa.array(keys, pa.list_(pa.int64()))), ("repeats", repeats)):
         rows = rows.append_column(name, pa.array(values))
     return rows
 
 
 def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """(_d, _t, start, n, words, low, high, keys, repeats) of the documents (_d, _t, text). The filter has a fixed size; a fuller
+    """(_d, _t, start, n, words, whole, low, high, keys, repeats) of the documents (_d, _t, text);
+    ``whole``: of fewer words than the items it is for. The filter has a fixed size; a fuller
     one lets more windows through and loses none."""
     spark = arrow_settings(rows.sparkSession)
     slots = items.select(F.explode("slots").alias("slot")).distinct().toArrow()["slot"]
@@ -226,7 +242,7 @@ def candidate_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
                 yield from found.to_batches()
 
     return rows.select("_d", "_t", "text").mapInArrow(
-        scan, "_d long, _t long, start long, n long, words string, low long, "
+        scan, "_d long, _t long, start long, n long, words string, whole boolean, low long, "
               "high long, keys array<long>, repeats boolean")
 
 
@@ -246,7 +262,7 @@ def _far(part: str) -> Column:
 
 
 def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
-    """(n, words, item_id, similarity): the different windows that are similar to items."""
+    """(n, words, whole, item_id, similarity): the different windows that are similar to items."""
     def values(low, high):
         out = []
         for b, (half, at, width) in enumerate(BLOCKS):
@@ -254,7 +270,7 @@ def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
             out.append(bits + F.lit(b << 16))
         return F.array(*out)
 
-    probes = windows.select("n", "words", "low", "high", "keys", "repeats").distinct().withColumn(
+    probes = windows.select("n", "words", "whole", "low", "high", "keys", "repeats").distinct().withColumn(
         "key", F.explode(F.concat(values(F.col("low"), F.col("high")), "keys"))).alias("w")
     index = items.select("item_id", "n", F.col("words").alias("item"), "low", "high", "keys", "repeats",
                          F.explode(F.concat("listings", "keys")).alias("key")).alias("i")
@@ -262,16 +278,16 @@ def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
     for b, (half, at, width) in reversed(list(enumerate(BLOCKS))):
         part = F.shiftrightunsigned(_far(("low", "high")[half]), at).bitwiseAND(F.lit((1 << width) - 1))
         first = F.when(F.bit_count(part) <= NEAR, F.lit(b)).otherwise(first)
-    exact = F.col("w.repeats") | F.col("i.repeats")
+    exact = F.col("w.whole") | F.col("w.repeats") | F.col("i.repeats")
     by_key = F.col("w.key") == F.array_min(F.array_intersect("w.keys", "i.keys"))
     by_block = (F.bit_count(_far("low")) + F.bit_count(_far("high")) <= RADIUS) & (
         F.shiftright(F.col("w.key"), 16) == first)
     pairs = probes.join(
         index,
         (F.col("w.key") == F.col("i.key"))
-        & (F.col("w.n") == F.col("i.n"))
+        & F.when(F.col("w.whole"), F.col("w.n") < F.col("i.n")).otherwise(F.col("w.n") == F.col("i.n"))
         & F.when(exact, by_key).otherwise(by_block),  # each pair at its first key or listing only
-    ).select("w.n", "w.words", "i.item", "i.item_id")
+    ).select("w.n", "w.words", "w.whole", "i.item", "i.item_id")
 
     def verify(batches):
         for batch in batches:
@@ -283,7 +299,7 @@ def _matches(windows: DataFrame, items: DataFrame) -> DataFrame:
             yield from done.filter(pa.array(found >= SIMILARITY)).to_batches()
 
     return pairs.mapInArrow(
-        verify, "n long, words string, item_id long, similarity double")
+        verify, "n long, words string, whole boolean, item_id long, similarity double")
 
 
 def _leaks(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -291,7 +307,7 @@ def _leaks(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = store(benchmark_items(benchmark), "items")
     windows = store(candidate_windows(rows, items), "windows")
     best = F.max(F.struct("similarity", (-F.col("start")).alias("start"))).alias("_best")
-    return windows.join(_matches(windows, items), ["n", "words"]).groupBy(
+    return windows.join(_matches(windows, items), ["n", "words", "whole"]).groupBy(
         "_d", "_t", "item_id", "n").agg(best).select(
         "_d", "_t", "item_id", F.col("_best.similarity").alias("similarity"),
         (-F.col("_best.start")).alias("start"), "n")
@@ -300,7 +316,7 @@ def _leaks(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start and n_words of each benchmark item that a document
     holds: a window of as many words as the item with a similarity of 0.8 or more (the most
-    similar, then the first one).
+    similar, then the first one). A document of fewer words is one window.
 
     Words are compared in lower case and without ASCII marks; an item shorter than a shingle
     is one shingle. Null and empty texts and items have no words and match nothing. A null
