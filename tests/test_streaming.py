@@ -250,6 +250,29 @@ def test_latest_file_first_loses_late_windows(spark, feed, tmp_path):
     assert counts[True] < counts[False]
 
 
+def test_late_rows_of_a_long_stream(spark, tmp_path):
+    """More micro-batches than Spark keeps the progress of; the late ones are the first."""
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    times = ["2024-01-02T00:00:00Z", *["2024-01-01T00:00:00Z"] * 3, *["2024-01-02T00:01:00Z"] * 110]
+    for part, time_ in enumerate(times):
+        path = folder / f"part-{part:03}.json"
+        path.write_text(f'{{"stationReference":"a","dateTime":"{time_}","value":"1.5"}}\n')
+        os.utime(path, (1_700_000_000 + part * 60,) * 2)
+
+    parsed = ev.parse_events(json_events_stream(spark, str(folder), 1))
+    windows = flatten_window(windowed_stats(ev.valid_events(parsed)))
+    query = al.run(al.start_alerts(windows, f"{tmp_path}/w", f"{tmp_path}/c", interval=None), WAIT)
+    kept = query.recentProgress
+    assert kept[-1].batchId >= 110 and not any(s.numRowsDroppedByWatermark for p in kept for s in p.stateOperators)
+    emitted = spark.read.parquet(f"{tmp_path}/w").where("window_start < '2024-01-01 12:00:00'")
+    n = emitted.agg(F.coalesce(F.sum("n_readings_window"), F.lit(0))).first()[0]
+    assert al.late_rows(query) == al.late_rows(query) == 3 * 2 - n > 0  # a reading lies in two windows
+    late = al._Late(query, spark)
+    late.read()
+    assert late.gap
+
+
 def test_run_reports_a_stream_that_does_not_end(spark, feed, tmp_path):
     messages = json_events_stream(spark, str(feed / "topic"))
     query = al.start_alerts(messages, str(tmp_path / "o"), str(tmp_path / "c"), "1 second")
