@@ -67,6 +67,35 @@ def test_special_tokens_and_marks_equal_the_tokenizer(spark):
         enumerate(texts))
 
 
+def twins(n):
+    """Two words whose prefix sums of bytes times powers agree modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_hash_alike_keep_their_own_ids(spark, monkeypatch):
+    a, b = twins(1024)
+    texts = [f"{a} {b} {a}", b, f"x{a} x{b}", a * 3, b * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = packing.pack(df).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == expected_pieces(
+        enumerate(texts))
+
+    import pyarrow as pa
+    from tidemark.llm import words as w
+
+    # Keys of three values only: words are told apart by their bytes, in a block and in memory.
+    keys = w.word_keys
+    monkeypatch.setattr(w, "word_keys", lambda *x: keys(*x) % np.uint64(3))
+    packing._remembered(packing.TOKENIZER).clear()
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    for texts in (["one two three four five", "six one"], ["seven two", "eight nine six"]):
+        ids, place = packing.token_ids(pa.array(texts), packing.TOKENIZER, 0)
+        for i, text in enumerate(texts):
+            assert ids[place[i] : place[i + 1] - 1].tolist() == tokenizer.encode(text).ids
+    packing._remembered(packing.TOKENIZER).clear()
+
+
 def test_ids_come_with_the_pieces(spark):
     df = spark.createDataFrame(odd_documents(), DOCS)
     got = packing.pack(df, capacity=50, with_ids=True).collect()
@@ -204,3 +233,9 @@ def test_neighbours_are_paired(spark, rows):
     assert text[start : start + length] == "a<|im_end|>\n" and got[1].rejected == ""
 
 
+def test_pairs_of_large_ids(spark):
+    ids = [base + i for base in (2**53, 2**60, -(2**60), 2**63 - 64) for i in range(64)]
+    df = spark.createDataFrame([(i, 0, "user", "q") for i in ids],
+                               "conv_id long, turn long, role string, text string")
+    got = chat_format.neighbours(df).groupBy("pair_id").count().collect()
+    assert sorted((r.pair_id, r["count"]) for r in got) == sorted({(i // 2, 2) for i in ids})

@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import arrow_settings, position
 from tidemark.llm.words import (
-    blocks, column_of, find_words, lower_table, text_bytes, word_hashes,
+    blocks, column_of, distinct_words, find_words, lower_table, text_bytes,
 )
 from tidemark.session import store
 
@@ -210,7 +210,7 @@ def plan(counts: np.ndarray, units: int = UNITS, parts: int = PARTS) -> np.ndarr
 
 
 class _Ids:
-    """Token ids of words, by the words' hashes; kept between the tasks of a Python worker."""
+    """Token ids of words, by the words' keys; kept between the tasks of a Python worker."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -219,29 +219,38 @@ class _Ids:
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.flat, self.words = np.zeros(0, np.uint32), np.zeros(0, object)
 
-    def of(self, hashes: np.ndarray, word) -> tuple[np.ndarray, np.ndarray]:
-        """Of each of the sorted hashes the place of its ids in ``flat``, and how many there
-        are; ``word(i)`` gives the bytes of the i-th."""
+    def of(self, hashes: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each of the different words, sorted by their hashes, the place of its ids in
+        ``flat``, and how many there are. A remembered word counts only if its bytes are the
+        same; another one with its hash is encoded, but not remembered."""
         if len(self.hashes) > CACHE:
             self.clear()
         at = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), bool)
+        met = np.zeros(len(hashes), bool)
         inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        met[inside] = self.hashes[at[inside]] == hashes[inside]
+        known = met.copy()
+        held = np.flatnonzero(met)
+        known[held] = [a == words[i] for a, i in zip(self.words[at[held]], held.tolist())]
+        start, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        start[known], size[known] = self.start[at[known]], self.size[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            ids = self.encode([word(i) for i in new.tolist()])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            start = len(self.flat) + np.cumsum(size) - size
+            own = [words[i] for i in new.tolist()]
+            ids = self.encode(own)
+            size[new] = np.fromiter(map(len, ids), np.int64, len(ids))
+            start[new] = len(self.flat) + np.cumsum(size[new]) - size[new]
             self.flat = np.append(
                 self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
-            self.start = np.insert(self.start, at[new], start)
-            self.size = np.insert(self.size, at[new], size)
-            self.hashes = np.insert(self.hashes, at[new], hashes[new])
-            at = np.searchsorted(self.hashes, hashes)
-        return self.start[at], self.size[at]
+            free = ~met[new]
+            kept = new[free]
+            self.start = np.insert(self.start, at[kept], start[kept])
+            self.size = np.insert(self.size, at[kept], size[kept])
+            self.words = np.insert(self.words, at[kept], np.array(own, object)[free])
+            self.hashes = np.insert(self.hashes, at[kept], hashes[kept])
+        return start, size
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """A word of ASCII letters, in lower case, is one run for the merges; others are split
@@ -300,19 +309,18 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
     """All texts' ids, each text closed by ``end_id``, and the texts' places.
 
     The tokenizer drops white space and never joins across it, nor a letter with a stop or
-    comma, and special tokens hold no white space, so a text's ids are those of its words. Words
-    are told apart by 64-bit hashes, and each different one is encoded once; words of ASCII
-    without special tokens have the same ids in lower case and are looked up in it.
+    comma, and special tokens hold no white space, so a text's ids are those of its words. Each
+    different word is encoded once; words of ASCII without special tokens have the same ids in
+    lower case and are looked up in it.
     """
     data, at = text_bytes(texts)
     starts, ends, first = _split_marks(data, *find_words(data, at))
     data = _lower_plain(data, starts, ends)
-    hashes, some, which = np.unique(
-        word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    hashes, some, which = distinct_words(data, starts, ends)
     raw = data.tobytes()
-    s, e = starts[some], ends[some]
     memory = _remembered(path)
-    place, size = memory.of(hashes, lambda i: raw[s[i] : e[i]])
+    place, size = memory.of(
+        hashes, [raw[s:e] for s, e in zip(starts[some].tolist(), ends[some].tolist())])
     n = size[which]
     ids = memory.flat[
         np.repeat(place[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]

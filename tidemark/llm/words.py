@@ -7,9 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that a Python worker holds in arrays at once (one longer text: alone).
 BLOCK = 4_000_000
+#: Bytes from which a word is read in one piece instead of eight bytes at a time.
+LONG_WORD = 512
 
 
 def is_space() -> np.ndarray:
@@ -128,6 +131,67 @@ def word_hashes(
     return mix(out)
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; after the end come zeros."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    return np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+
+
+def _cut(eight: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The first ``left`` bytes of each number."""
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    return eight & masks[np.minimum(left, 8)]
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each word. Words of equal length up to eight bytes never share one, and
+    no kind of repetition makes longer ones meet."""
+    sizes, view = ends - starts, eights(data)
+    keys = mix(sizes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    some, done = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD)), 0
+    while len(some):
+        left = sizes[some] - done
+        keys[some] = mix(keys[some] ^ _cut(view[starts[some] + done], left))
+        some, done = some[left > 8], done + 8
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        keys[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return keys
+
+
+def same_words(
+    data: np.ndarray, starts: np.ndarray, others: np.ndarray, sizes: np.ndarray
+) -> np.ndarray:
+    """Whether the ``sizes`` bytes from ``starts`` and from ``others`` on are the same."""
+    view, same = eights(data), np.ones(len(starts), bool)
+    some, done = np.flatnonzero((starts != others) & (sizes <= LONG_WORD)), 0
+    while len(some):
+        a, b, left = starts[some] + done, others[some] + done, sizes[some] - done
+        differ = _cut(view[a], left) != _cut(view[b], left)
+        same[some[differ]] = False
+        some, done = some[~differ & (left > 8)], done + 8
+    for i in np.flatnonzero((starts != others) & (sizes > LONG_WORD)).tolist():
+        n = sizes[i]
+        same[i] = np.array_equal(data[starts[i] : starts[i] + n], data[others[i] : others[i] + n])
+    return same
+
+
+def distinct_words(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different words: their sorted keys, a place of each, and of each word its number
+    there. Words with equal keys are compared byte by byte."""
+    keys, sizes = word_keys(data, starts, ends), ends - starts
+    while True:
+        found, some, which = np.unique(keys, return_index=True, return_inverse=True)
+        first = some[which]
+        odd = sizes != sizes[first]
+        alike = np.flatnonzero(~odd)
+        odd[alike] = ~same_words(data, starts[alike], starts[first[alike]], sizes[alike])
+        if not odd.any():
+            return found, some, which
+        keys[odd] = mix(keys[odd] + np.uint64(1))
+
+
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """A hash of each run of ``length`` consecutive words; runs may cross texts."""
     n = len(words) - length + 1
