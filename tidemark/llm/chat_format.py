@@ -18,7 +18,7 @@ def neighbours(conversations: DataFrame) -> DataFrame:
     """Turns with pair_id and chosen: conversations 2k and 2k + 1 are pair k, the even one is
     chosen. Turns without a conv_id belong to no conversation and are left out."""
     return conversations.where("conv_id is not null").select(
-        F.floor(F.col("conv_id") / 2).cast("long").alias("pair_id"),
+        F.shiftright(F.col("conv_id").cast("long"), 1).alias("pair_id"),
         (F.pmod("conv_id", F.lit(2)) == 0).alias("chosen"), "turn", "role", "text",
     )
 
