@@ -33,6 +33,18 @@ def test_code_lengths_equal_plain(spark):
             assert abs(got[i, j] - want) < 1e-4 * (len(text) + 1)
 
 
+def test_sample_is_counted_in_tasks_that_follow_its_size(spark, monkeypatch):
+    texts = [("a", f"{i:04d}" * 25) for i in range(300)]
+    df = spark.createDataFrame(texts, "lang string, text string")
+    for parts in (1, 150):
+        assert language_id.gathered(df.repartition(parts)).rdd.getNumPartitions() == 1
+    want = sorted(map(tuple, language_id.gram_counts(df).collect()))
+    monkeypatch.setattr(language_id, "TASK", 10_000)
+    assert language_id.gathered(df.repartition(150)).rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, language_id.gram_counts(df.repartition(150)).collect())) == want
+    assert language_id.gathered(df.where("false")).count() == 0
+
+
 def test_languages_of_held_out_documents(spark):
     docs = small_table(spark)
     model = language_id.train(docs.where("doc_id % 4 <> 2"))

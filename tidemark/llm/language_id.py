@@ -26,6 +26,8 @@ ORDER = 3
 START = 10  # a text counts as following line feeds
 UNIT = 65536  # code lengths are whole numbers of 1/65536 bit, so that sums are exact
 UNKNOWN = "und"
+#: Bytes of the sample that one task counts.
+TASK = 16_000_000
 #: Bytes of text that are scored at once; workers stay small beside the stages that follow.
 PART = 1_000_000
 
@@ -72,6 +74,14 @@ def _padded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, starts, ends
 
 
+def gathered(sample: DataFrame) -> DataFrame:
+    """The sample, written and read in as many tasks as its bytes ask for, however many
+    partitions it came in: every task lists the runs that it finds."""
+    stored = store(sample, "sample-texts")
+    size = stored.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return stored.coalesce(-(-int(size) // TASK) or 1)
+
+
 def gram_counts(sample: DataFrame) -> DataFrame:
     """(lang, gram, n): how often each run of ORDER + 1 bytes occurs, big end first."""
     arrow_settings(sample.sparkSession)
@@ -94,7 +104,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
                 })
 
     return (
-        sample.mapInArrow(count, "lang string, gram long, n long")
+        gathered(sample).mapInArrow(count, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     )
 
