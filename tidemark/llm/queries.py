@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_format, decontaminate, language_id, line_dedup, packing, quality_classifier,
-    quality_rules, sharding, simhash_dedup, substring_dedup,
+    quality_rules, sharding, simhash_dedup, substring_dedup, token_files,
 )
 from tidemark.llm.common import crc_mod
 from tidemark.llm.quality_sql import quality_sql
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -267,3 +268,10 @@ def op9(spark, sf_dir):
 @query("op10_simhash_dedup")
 def op10(spark, sf_dir):
     return simhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op13_token_files")
+def op13(spark, sf_dir):
+    folder = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return token_files.read_tokens(spark, folder)
