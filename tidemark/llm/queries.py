@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_format, decontaminate, language_id, line_dedup, packing, quality_classifier,
-    quality_rules, sharding, simhash_dedup, substring_dedup, token_files,
+    quality_rules, sharding, simhash_dedup, spelling, substring_dedup, token_files,
 )
 from tidemark.llm.common import crc_mod
 from tidemark.llm.quality_sql import quality_sql
@@ -270,6 +270,60 @@ def op10(spark, sf_dir):
     return simhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def _crc32(text: str) -> str:
+    """crc32 of a text by the remainders ``t``."""
+    octets = f"""list_transform(list_filter(string_split(
+        regexp_replace(hex(encode({text})), '(..)', '\\1 ', 'g'), ' '), lambda h: h <> ''),
+        lambda h: ('0x' || h)::BIGINT)"""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, {octets}),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])))"""
+
+
+_OP11_SQL = f"""
+WITH RECURSIVE remainders AS ({_CRC32}),
+found AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS raw FROM documents)
+    WHERE length(raw) >= {spelling.MIN_LENGTH}),
+hashed AS (
+    SELECT run, c, {_crc32("d || ':' || run")} AS h
+    FROM (SELECT d, run, count(*) AS c FROM found GROUP BY d, run), remainders),
+words AS (
+    SELECT word, sum(c)::BIGINT AS n FROM (
+        SELECT c, CASE WHEN h % {spelling.DAMAGE} <> 0 THEN run
+            ELSE substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word FROM hashed)
+    WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(c) >= {spelling.MIN_COUNT}),
+opened AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.word, b.word AS near FROM opened a JOIN opened b
+        ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT o.word, w.word FROM opened o JOIN words w ON o.rest = w.word
+    UNION SELECT w.word, o.word FROM opened o JOIN words w ON o.rest = w.word),
+best AS (
+    SELECT p.word, count(*) AS n_near, arg_min(near, (-w.n, near)) AS near, max(w.n) AS near_n
+    FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {spelling.RATIO} * n THEN near END AS form,
+        CASE WHEN near_n >= {spelling.RATIO} * n THEN near_n END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+chain AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (
+    SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
+@query("op11_spelling_variants", _OP11_SQL)
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return spelling.group_variants(spelling.count_words(docs, spelling.DAMAGE))
+
+
 @query("op13_token_files")
 def op13(spark, sf_dir):
     folder = scratch_path(spark, "token-files")

@@ -82,12 +82,20 @@ def find_words(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and for each text the index of its first word.
     ``space`` tells for each byte whether it separates words."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~(is_space() if space is None else space)[data]
+    return find_runs(~(is_space() if space is None else space)[data], at)
+
+
+def find_runs(
+    wanted: np.ndarray, at: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that are ``wanted``, and for each text the index of
+    its first run. No run goes over the border of two texts."""
+    inside = np.zeros(len(wanted) + 2, bool)
+    inside[1:-1] = wanted
     start = inside[1:] & ~inside[:-1]
     end = inside[:-1] & ~inside[1:]
     cuts = at[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
+    cuts = cuts[(cuts > 0) & (cuts < len(wanted))]
     joined = cuts[inside[cuts] & inside[cuts + 1]]  # two texts meet inside a run
     start[joined] = True
     end[joined] = True
