@@ -17,7 +17,7 @@ NATIVE = ("op2_line_dedup", "op3_quality_rules", "op4_sharding", "op6_chat_forma
 
 def test_all_are_registered():
     names = [*queries.QUERIES, "pipeline"]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in (*range(1, 12), 13)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(names) <= set(entry.queries()) and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 

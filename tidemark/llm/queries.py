@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat_format, decontaminate, language_id, line_dedup, packing, quality_classifier,
+    chat_format, conversation_repair, decontaminate, language_id, line_dedup, packing, quality_classifier,
     quality_rules, sharding, simhash_dedup, spelling, substring_dedup, token_files,
 )
 from tidemark.llm.common import crc_mod
@@ -324,6 +324,101 @@ def op11(spark, sf_dir):
     return spelling.group_variants(spelling.count_words(docs, spelling.DAMAGE))
 
 
+def _repair_state(state: str, keep: str, nexts: str) -> str:
+    """The best of (cost, initials, lines) from a state before a turn, without insertions.
+    ``keep``: state after a kept turn, by role; ``nexts``: after one that is rerolled."""
+    role = "user" if nexts == "u" else "assistant"
+    kept = "\n".join(
+        f"WHEN r.role[1] = '{own}' THEN {{'c': b.{to}.c + r.cut, 'a': 'K' || b.{to}.a, "
+        f"'t': list_prepend(r.role || ':' || r.text, b.{to}.t)}}"
+        for own, to in (pair.split(">") for pair in keep.split()))
+    return f"""list_min([
+        {{'c': b.{state}.c + 3, 'a': 'D' || b.{state}.a, 't': b.{state}.t}},
+        CASE WHEN r.bad THEN NULL {kept} END,
+        CASE WHEN NOT r.bad THEN {{'c': b.{nexts}.c + 2 + r.cut, 'a': 'R' || b.{nexts}.a,
+            't': list_prepend('{role}:' || r.text, b.{nexts}.t)}} END])"""
+
+
+def _repair_inserts(state: str, one: str, two: str) -> str:
+    """The best from a state before a turn, with up to two insertions."""
+    first, second = ("user:", "assistant:") if one == "u" else ("assistant:", "user:")
+    return f"""list_min([d.{state},
+        {{'c': d.{one}.c + 2, 'a': 'I' || d.{one}.a, 't': list_prepend('{first}', d.{one}.t)}},
+        {{'c': d.{two}.c + 4, 'a': 'II' || d.{two}.a,
+            't': list_prepend('{first}', list_prepend('{second}', d.{two}.t))}}])"""
+
+
+_OP12_SQL = f"""
+WITH RECURSIVE remainders AS ({_CRC32}),
+hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS d
+    FROM conversations, remainders),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+        CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN d = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE d <> 0),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, role, text[:{conversation_repair.PREFIX}], md5(text)) AS i,
+        trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+marked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1]
+            NOT IN ('su', 'ua', 'au'), false) AS illegal,
+        count(*) OVER (PARTITION BY conv_id) AS n FROM numbered),
+turns AS (
+    SELECT *, bare = '' AS blank, bare <> '' AND again AS duplicate,
+        bare <> '' AND NOT again AND bare[-1] NOT IN ('.', '!', '?') AS truncated,
+        bare = '' OR again AS bad,
+        (bare <> '' AND NOT again AND bare[-1] NOT IN ('.', '!', '?'))::BIGINT AS cut FROM marked),
+steps AS (
+    SELECT conv_id, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS z,
+        {{'c': 4::BIGINT, 'a': 'II', 't': ['user:', 'assistant:']}} AS s,
+        {{'c': 2::BIGINT, 'a': 'I', 't': ['assistant:']}} AS u,
+        {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}} AS a
+    FROM turns WHERE i = n
+    UNION ALL
+    SELECT conv_id, i, {_repair_inserts("z", "u", "a")}, {_repair_inserts("s", "u", "a")},
+        {_repair_inserts("u", "a", "u")}, {_repair_inserts("a", "u", "a")}
+    FROM (
+        SELECT r.conv_id, r.i, {_repair_state("z", "s>s u>u", "u")} AS z,
+            {_repair_state("s", "u>u", "u")} AS s, {_repair_state("u", "a>a", "a")} AS u,
+            {_repair_state("a", "u>u", "u")} AS a
+        FROM steps b JOIN turns r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i - 1) d),
+found AS (
+    SELECT conv_id, z.c AS cost, z.a AS audit, array_to_string(z.t, chr(10)) AS repaired FROM steps WHERE i = 1),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+        count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM turns GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+    sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN found f ON o.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
+
+
+@query("op12_conversation_repair", _OP12_SQL)
+def op12(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damage(given)
+    done = conversation_repair.repair(damaged)
+    out = given.select("conv_id").distinct()
+    for part in (conversation_repair.gaps(damaged), done.report, conversation_repair.digests(done.turns)):
+        out = conversation_repair.join_null_safe(out, part)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 @query("op13_token_files")
 def op13(spark, sf_dir):
     folder = scratch_path(spark, "token-files")
