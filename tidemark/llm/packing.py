@@ -21,7 +21,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm.common import arrow_settings, position
 from tidemark.llm.words import (
-    blocks, column_of, distinct_words, find_words, lower_table, text_bytes,
+    blocks, column_of, distinct_words, find_words, lower_table, same_words, text_bytes,
 )
 from tidemark.session import store
 
@@ -33,8 +33,10 @@ UNITS = 64
 PARTS = 4
 #: Shares of the fitted repeats that are tried; the rest is packed best-fit.
 SHARES = (1.0, 0.75, 0.5)
-#: Words whose ids a Python worker remembers.
-CACHE = 600_000
+#: Words whose ids a Python worker remembers, in about 60 bytes each.
+CACHE = 1_000_000
+#: Bytes of text that are encoded at once.
+PART = 2_000_000
 BUCKETS = 256
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -219,26 +221,33 @@ class _Ids:
     def clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.words = np.zeros(0, np.uint32), np.zeros(0, object)
+        self.flat = np.zeros(0, np.uint32)
+        self.text, self.begin = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
 
-    def of(self, hashes: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def of(
+        self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Of each of the different words, sorted by their hashes, the place of its ids in
         ``flat``, and how many there are. A remembered word counts only if its bytes are the
         same; another one with its hash is encoded, but not remembered."""
         if len(self.hashes) > CACHE:
             self.clear()
-        at = np.searchsorted(self.hashes, hashes)
+        at, sizes = np.searchsorted(self.hashes, hashes), ends - starts
         met = np.zeros(len(hashes), bool)
         inside = at < len(self.hashes)
         met[inside] = self.hashes[at[inside]] == hashes[inside]
         known = met.copy()
-        held = np.flatnonzero(met)
-        known[held] = [a == words[i] for a, i in zip(self.words[at[held]], held.tolist())]
+        known[met] = self.length[at[met]] == sizes[met]
+        some = np.flatnonzero(known)
+        known[some] = same_words(
+            data, starts[some], self.begin[at[some]], sizes[some], self.text)
         start, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
         start[known], size[known] = self.start[at[known]], self.size[at[known]]
         new = np.flatnonzero(~known)
         if len(new):
-            own = [words[i] for i in new.tolist()]
+            raw = data.tobytes()
+            own = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
             ids = self.encode(own)
             size[new] = np.fromiter(map(len, ids), np.int64, len(ids))
             start[new] = len(self.flat) + np.cumsum(size[new]) - size[new]
@@ -246,10 +255,13 @@ class _Ids:
                 self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
             free = ~met[new]
             kept = new[free]
-            self.start = np.insert(self.start, at[kept], start[kept])
-            self.size = np.insert(self.size, at[kept], size[kept])
-            self.words = np.insert(self.words, at[kept], np.array(own, object)[free])
-            self.hashes = np.insert(self.hashes, at[kept], hashes[kept])
+            length = sizes[kept]
+            begin = len(self.text) + np.cumsum(length) - length
+            self.text = np.append(self.text, np.frombuffer(
+                b"".join(itertools.compress(own, free)), np.uint8))
+            for name, values in (("start", start[kept]), ("size", size[kept]), ("begin", begin),
+                                 ("length", length), ("hashes", hashes[kept])):
+                setattr(self, name, np.insert(getattr(self, name), at[kept], values))
         return start, size
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
@@ -317,10 +329,8 @@ def token_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.n
     starts, ends, first = _split_marks(data, *find_words(data, at))
     data = _lower_plain(data, starts, ends)
     hashes, some, which = distinct_words(data, starts, ends)
-    raw = data.tobytes()
     memory = _remembered(path)
-    place, size = memory.of(
-        hashes, [raw[s:e] for s, e in zip(starts[some].tolist(), ends[some].tolist())])
+    place, size = memory.of(hashes, data, starts[some], ends[some])
     n = size[which]
     ids = memory.flat[
         np.repeat(place[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
@@ -342,7 +352,7 @@ def pieces(
     arrow_settings(docs.sparkSession)
 
     def cut(batches):
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", PART):
             ids, place = token_ids(column_of(table, "text"), tokenizer, end_id)
             total = np.diff(place)
             n = -(-total // capacity)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_settings
-from tidemark.llm.packing import TOKENIZER, token_ids
+from tidemark.llm.packing import PART, TOKENIZER, token_ids
 from tidemark.llm.words import blocks, column_of
 
 END_ID = 2
@@ -206,7 +206,7 @@ def write_tokens(
         names = [c.split()[0] for c in MANIFEST.split(", ")]
         kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
         types = [kinds[c.split()[1]] for c in MANIFEST.split(", ")]
-        for table in blocks(batches, "text"):
+        for table in blocks(batches, "text", PART):
             ids, place = token_ids(column_of(table, "text"), tokenizer, end_id)
             place = place.tolist()
             for i, doc_id in enumerate(column_of(table, "doc_id").to_pylist()):

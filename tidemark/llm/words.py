@@ -167,19 +167,24 @@ def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def same_words(
-    data: np.ndarray, starts: np.ndarray, others: np.ndarray, sizes: np.ndarray
+    data: np.ndarray, starts: np.ndarray, others: np.ndarray, sizes: np.ndarray,
+    other: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Whether the ``sizes`` bytes from ``starts`` and from ``others`` on are the same."""
-    view, same = eights(data), np.ones(len(starts), bool)
-    some, done = np.flatnonzero((starts != others) & (sizes <= LONG_WORD)), 0
+    """Whether the ``sizes`` bytes from ``starts`` on in ``data`` are those from ``others`` on,
+    in the same bytes or in those of ``other``."""
+    same = np.ones(len(starts), bool)
+    unlike = starts != others if other is None else same.copy()
+    view = eights(data)
+    second, view2 = (data, view) if other is None else (other, eights(other))
+    some, done = np.flatnonzero(unlike & (sizes <= LONG_WORD) & (sizes > 0)), 0
     while len(some):
         a, b, left = starts[some] + done, others[some] + done, sizes[some] - done
-        differ = _cut(view[a], left) != _cut(view[b], left)
+        differ = _cut(view[a], left) != _cut(view2[b], left)
         same[some[differ]] = False
         some, done = some[~differ & (left > 8)], done + 8
-    for i in np.flatnonzero((starts != others) & (sizes > LONG_WORD)).tolist():
+    for i in np.flatnonzero(unlike & (sizes > LONG_WORD)).tolist():
         n = sizes[i]
-        same[i] = np.array_equal(data[starts[i] : starts[i] + n], data[others[i] : others[i] + n])
+        same[i] = np.array_equal(data[starts[i] : starts[i] + n], second[others[i] : others[i] + n])
     return same
 
 
