@@ -113,6 +113,16 @@ def test_replay_goes_by_the_name_and_counts(spark, raw_zone):
     assert all("2024-01-01" in m for m in published[0])
 
 
+def test_replay_of_several_files_in_one_job(spark, raw_zone):
+    published = []
+    sent = replay.replay_in_order(
+        spark, f"{raw_zone}/archive", lambda df: published.append(df.collect()), newest_first=True,
+        files_per_job=5)
+    assert [(path.rsplit("-", 1)[1], n) for path, n in sent] == [("02.csv", 12), ("01.csv", 12)]
+    (rows,) = published
+    assert {(r.position, b"2024-01-02" in bytes(r.value)) for r in rows} == {(1, True), (2, False)}
+
+
 def test_commands_check_their_arguments():
     for command, argv in ((replay.main, ["--archive", "a"]),
                           (stream_alerts.main, ["--servers", "h", "--baseline", "b", "--out", "o",

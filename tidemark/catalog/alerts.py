@@ -30,7 +30,7 @@ SELECT stationReference, window_start, window_end, n_readings_window,
 FROM windows"""
 
 
-def _windows(slide: str, copies: int, source: str = "readings", closed: bool = False) -> str:
+def window_sql(slide: str, copies: int, source: str = "readings", closed: bool = False) -> str:
     """SQL for sliding windows: each reading goes to ``copies`` consecutive windows."""
     step = f"INTERVAL '{slide}'"
     end = f"time_bucket({step}, dateTime) - k * {step} + {copies} * {step}"
@@ -72,13 +72,13 @@ def _batch_alerts(spark: SparkSession, sf_dir: str, *window: str) -> DataFrame:
     return _comparable(ops.grade_windows(stats_by_window(readings, *window), baseline))
 
 
-@query(t.sql("readings windows", WINDOW_BODY, windows=_windows("5 minutes", 2)))
+@query(t.sql("readings windows", WINDOW_BODY, windows=window_sql("5 minutes", 2)))
 def windowed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = flatten_window(stats_by_window(t.readings(spark, sf_dir)))
     return t.plain_times(t.rounded(windows, *WINDOW_MOMENTS))
 
 
-@query(t.sql("readings windows", WINDOW_BODY, windows=_windows("12 hours", 2)))
+@query(t.sql("readings windows", WINDOW_BODY, windows=window_sql("12 hours", 2)))
 def windowed_stats_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide windows, which hold several readings each."""
     windows = flatten_window(stats_by_window(t.readings(spark, sf_dir), "1 day", "12 hours"))
@@ -86,13 +86,13 @@ def windowed_stats_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
-             windows=_windows("5 minutes", 2)))
+             windows=window_sql("5 minutes", 2)))
 def alerts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_alerts(spark, sf_dir)
 
 
 @query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
-             windows=_windows("12 hours", 2)))
+             windows=window_sql("12 hours", 2)))
 def alerts_batch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_alerts(spark, sf_dir, "1 day", "12 hours")
 
@@ -130,7 +130,7 @@ BAD_VALUES = "event_id % 7 = 0 OR event_id % 11 = 0"
 
 @query(t.sql("readings finite windows", WINDOW_BODY, finite=f"""finite AS (
     SELECT stationReference, dateTime, CASE WHEN NOT ({BAD_VALUES}) THEN value END AS value
-    FROM readings)""", windows=_windows("12 hours", 2, source="finite")))
+    FROM readings)""", windows=window_sql("12 hours", 2, source="finite")))
 def windowed_stats_not_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose value is NaN or infinite count in their windows, but not in the mean."""
     readings = t.readings(spark, sf_dir)
@@ -172,14 +172,14 @@ def _stream(spark: SparkSession, sf_dir: str, refresh: bool) -> DataFrame:
 
 
 @query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
-             windows=_windows("5 minutes", 2, closed=True)))
+             windows=window_sql("5 minutes", 2, closed=True)))
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alert stream: all windows that the watermark has closed."""
     return _stream(spark, sf_dir, refresh=False)
 
 
 @query(t.sql(ALERT_CTES, ALERT_BODY, stations=t.KNOWN_STATIONS,
-             windows=_windows("5 minutes", 2, closed=True)))
+             windows=window_sql("5 minutes", 2, closed=True)))
 def alerts_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, re-reading the baseline in every micro-batch."""
     return _stream(spark, sf_dir, refresh=True)
@@ -192,7 +192,7 @@ NEWER_HALF = """newer AS (
 
 
 @query(t.sql("readings newer windows", WINDOW_BODY, newer=NEWER_HALF,
-             windows=_windows("5 minutes", 2, source="newer", closed=True)))
+             windows=window_sql("5 minutes", 2, source="newer", closed=True)))
 def late_data_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest half first: the older half arrives behind the watermark and is dropped.
 

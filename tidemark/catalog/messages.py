@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.catalog import tables as t
+from tidemark.catalog.alerts import WINDOW_BODY, WINDOW_MOMENTS, window_sql
 from tidemark.catalog.cleaning import STRICT_NUMBER
 from tidemark.catalog.files import SPARK_FILES, write_archive_days
 from tidemark.catalog.registry import query
@@ -10,10 +11,13 @@ from tidemark.operators.stats import observe_sent as observed
 from tidemark.plans.replay import replay_in_order
 from tidemark.schemas import EVENT_SCHEMA
 from tidemark.session import scratch_path
+from tidemark.sinks.files import write_csv
 from tidemark.sinks.messages import publish_json
 from tidemark.sources import files as src
+from tidemark.sources.replay import replay_by_name
 from tidemark.streaming import events as ops
-from tidemark.streaming.alerts import run, start_alerts
+from tidemark.streaming.alerts import run, run_to_end, start_alerts
+from tidemark.streaming.windows import flatten_window, windowed_stats as stats_by_window
 
 REPLAYED = f"""
 SELECT stationReference, CAST(replace(dateTime, 'Z', '') AS TIMESTAMP) AS dateTime,
@@ -46,15 +50,14 @@ SELECT *, CAST(dense_rank() OVER (ORDER BY CAST(dateTime AS DATE)) AS INTEGER) A
 FROM replayed""", replayed=f"replayed AS ({REPLAYED})"))
 def replay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive files to published JSON messages to events, in the order of the dates in their
-    names; ``position`` is the step in which a message was published."""
-    root, archive, step = scratch_path(spark, "topic"), write_archive_days(spark, sf_dir), [0]
+    names; ``position`` is the place of a message's file."""
+    root, archive = scratch_path(spark, "topic"), write_archive_days(spark, sf_dir)
 
     def publish(messages: DataFrame) -> None:
-        step[0] += 1
-        publish_json(messages, f"{root}/position={step[0]}")
+        publish_json(messages, root, partition_by="position")
 
-    replay_in_order(spark, archive, publish, **SPARK_FILES)
-    published = spark.read.option("basePath", root).text(root)
+    replay_in_order(spark, archive, publish, files_per_job=15, **SPARK_FILES)
+    published = spark.read.text(root)
     parsed = published.select("position", F.from_json("value", EVENT_SCHEMA).alias("e"))
     events = ops.valid_events(parsed.select("position", "e.*"))
     return t.plain_times(
@@ -72,6 +75,26 @@ def replay_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(out.select("stationReference", "dateTime", "value", "stationName"))
 
 
+@query(t.sql("archive replayed windows", WINDOW_BODY, replayed=f"replayed AS ({REPLAYED})",
+             windows=window_sql("12 hours", 2, "replayed", closed=True)))
+def replay_windows_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over the archive as a stream in the order of its files' names, in batches of
+    a tenth of its rows. The files of the later half are the older ones by modification time,
+    so a stream that went by these would drop the earlier half as late."""
+    root = scratch_path(spark, "by-name")
+    rows = t.archive(spark, sf_dir).drop("event_id")
+    days = rows.withColumn("day", F.col("date")).repartition("day").sortWithinPartitions("day", "dateTime")
+    middle, n = rows.agg(F.percentile_approx(F.to_date("date"), 0.5), F.count("*")).first()
+    for half, later in (("b", True), ("a", False)):
+        own = days.where((F.to_date("date") >= F.lit(middle)) == later)
+        write_csv(own, f"{root}/in/{half}", partition_by="day")
+    stream = replay_by_name(spark, f"{root}/in", max(n // 10, 1), **SPARK_FILES)
+    events = ops.valid_events(ops.parse_events(ops.encode_events(ops.archive_events(stream))))
+    windows = flatten_window(stats_by_window(events, "1 day", "12 hours"))
+    run_to_end(start_alerts(windows, f"{root}/out", f"{root}/checkpoint", interval="0 seconds", files=1))
+    return t.plain_times(t.rounded(src.read_baseline(spark, f"{root}/out"), *WINDOW_MOMENTS))
+
+
 @query(t.sql("archive", f"""
 SELECT count(*) AS n_sent FROM archive WHERE parameter = 'level' AND {STRICT_NUMBER}"""))
 def observe_sent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,15 @@
 """Replay job: archive CSVs to event messages, as one distributed job."""
 
 import argparse
-
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.stats import observe_sent
 from tidemark.session import build_session
 from tidemark.sinks.messages import publish_events, publish_json
-from tidemark.sources.files import ARCHIVE_PREFIX, ARCHIVE_SUFFIX, archive_files, archive_order
+from tidemark.sources.files import ARCHIVE_PREFIX, ARCHIVE_SUFFIX, archive_files, list_archive
 from tidemark.streaming.events import archive_events, encode_events
 
 
@@ -32,21 +32,34 @@ def replay_in_order(
     newest_first: bool = False,
     prefix: str = ARCHIVE_PREFIX,
     suffix: str = ARCHIVE_SUFFIX,
+    files_per_job: int = 1,
 ) -> list[tuple[str, int]]:
-    """Publish the archive file by file, in the order of the dates in their names, and return
-    how many messages each file gave.
+    """Publish the archive in the order of the dates in its files' names, and return how many
+    messages each file gave.
 
-    Each file is a job of its own, so that its messages are out before the next file's begin;
-    the driver holds the file list only. Modification times play no part.
+    ``publish`` gets messages (``value``) with the ``position`` of their file, from 1 on. A job
+    takes ``files_per_job`` files, whose headers must be alike, and ends before the next begins.
+    One file a job is for sinks that keep no more than the order of arrival; a sink that keeps
+    positions takes more. Files are found by a listing, and the driver holds the list only.
+    Modification times play no part.
     """
-    archive = archive_files(spark, folder, prefix, suffix)
-    files = [r.file_path for r in archive_order(archive, newest_first).collect()]
+    files = list_archive(spark, folder, newest_first, prefix, suffix)
     sent = []
-    for path in files:
-        events = archive_events(archive_files(spark, path, prefix, suffix), parameter)
-        counted, observation = observe_sent(encode_events(events))
-        publish(counted)
-        sent.append((path, observation.get["n_sent"]))
+    for first in range(0, len(files), files_per_job):
+        run = files[first : first + files_per_job]
+        places = F.create_map(*(F.lit(x) for i, path in enumerate(run) for x in (path, first + i + 1)))
+        rows = archive_files(spark, run, prefix, suffix)
+        place = places[F.col("file_path")].alias("position")
+        events = archive_events(rows, parameter, place)
+        messages = encode_events(events, keep=["position"])
+        observation = Observation(f"sent-{uuid.uuid4().hex}")
+        counts = [
+            F.count(F.when(F.col("position") == first + i + 1, 1)).alias(str(i))
+            for i in range(len(run))
+        ]
+        publish(messages.observe(observation, *counts))
+        n = observation.get
+        sent += [(path, n[str(i)]) for i, path in enumerate(run)]
     return sent
 
 

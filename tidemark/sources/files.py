@@ -23,7 +23,7 @@ ARCHIVE_SUFFIX = ".csv"
 CSV_DIALECT = {"header": True, "escape": '"'}
 
 
-def _header_schema(spark: SparkSession, path: str, options: dict) -> T.StructType | None:
+def _header_schema(spark: SparkSession, path: str | list[str], options: dict) -> T.StructType | None:
     """All-text schema in header order, or None when there is no file."""
     try:
         return spark.read.options(**CSV_DIALECT, **options).csv(path).schema
@@ -61,14 +61,14 @@ def project_schema(
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     with_file: bool = False,
     required: Iterable[str] = (),
     multi_line: bool = False,
     **options,
 ) -> DataFrame:
-    """CSV files under ``path``, projected onto ``schema``.
+    """CSV files under ``path`` (or several), projected onto ``schema``.
 
     ``with_file`` adds the column ``file_path``. No matching file gives no rows; a header
     without a ``required`` column is an error. ``multi_line`` reads line feeds inside
@@ -102,7 +102,7 @@ def read_baseline(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_archive_text(spark: SparkSession, path: str, **options) -> DataFrame:
+def read_archive_text(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
     """Archive rows with every column as text."""
     return read_csv(spark, path, schemas.ARCHIVE_ROW, **options)
 
@@ -113,7 +113,10 @@ def selection(prefix: str, suffix: str) -> dict:
 
 
 def archive_files(
-    spark: SparkSession, folder: str, prefix: str = ARCHIVE_PREFIX, suffix: str = ARCHIVE_SUFFIX
+    spark: SparkSession,
+    folder: str | list[str],
+    prefix: str = ARCHIVE_PREFIX,
+    suffix: str = ARCHIVE_SUFFIX,
 ) -> DataFrame:
     """Rows of the files whose name has the prefix and suffix, with ``file_path`` and
     the ``file_date`` stamped into the path."""
@@ -133,6 +136,22 @@ def archive_order(archive: DataFrame, newest_first: bool = False) -> DataFrame:
     return files.withColumn("position", F.row_number().over(order)).orderBy("position")
 
 
+def list_archive(
+    spark: SparkSession,
+    folder: str,
+    newest_first: bool = False,
+    prefix: str = ARCHIVE_PREFIX,
+    suffix: str = ARCHIVE_SUFFIX,
+) -> list[str]:
+    """Paths of the archive's files in replay order, from a listing; no file is read."""
+    found = spark.read.format("binaryFile").options(**selection(prefix, suffix)).load(folder)
+    path = F.col("_metadata.file_path")
+    files = found.select(text.file_date(path).alias("file_date"), path.alias("file_path"))
+    keys = [F.col("file_date").asc_nulls_first(), F.col("file_path")]
+    rows = files.orderBy(*keys).collect()
+    return [r.file_path for r in (reversed(rows) if newest_first else rows)]
+
+
 def replay_all(spark: SparkSession, folder: str, schema: T.StructType, **options) -> DataFrame:
     """UNION ALL of a folder's files as one multi-file scan."""
     return read_csv(spark, folder, schema, **options)
@@ -157,7 +176,7 @@ def replay_stream(
 ) -> DataFrame:
     """Archive files as a stream of text rows, oldest file (by modification time) first.
 
-    Modification times change when files are copied; :func:`tidemark.plans.replay.replay_in_order`
+    Modification times change when files are copied; :func:`tidemark.sources.replay.replay_by_name`
     goes by the date in the name.
 
     ``max_files`` throttles the files per micro-batch. Replaying the latest file first

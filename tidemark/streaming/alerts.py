@@ -133,6 +133,15 @@ def run(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
     return query
 
 
+def run_to_end(query: StreamingQuery) -> StreamingQuery:
+    """Let a query with an interval go on until its source has nothing new, then stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 class _Late:
     """Adds up a query's dropped rows from the progress that Spark keeps, before it is dropped."""
 

@@ -5,7 +5,9 @@ level as the decoder expects them. Fields a message lacks decode to NULL, fields
 schema lacks are ignored.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.levels import finite
@@ -16,9 +18,10 @@ from tidemark.schemas import EVENT_SCHEMA
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def shape_event(archive: DataFrame) -> DataFrame:
-    """Archive row (numeric ``value``) to event fields."""
+def shape_event(archive: DataFrame, *more: Column) -> DataFrame:
+    """Archive row (numeric ``value``) to event fields, and ``more`` columns."""
     return archive.select(
+        *more,
         "stationReference",
         F.col("label").alias("stationName"),
         F.col("dateTime"),
@@ -30,15 +33,18 @@ def shape_event(archive: DataFrame) -> DataFrame:
     )
 
 
-def archive_events(archive: DataFrame, parameter: str = "level") -> DataFrame:
+def archive_events(archive: DataFrame, parameter: str = "level", *more: Column) -> DataFrame:
     """Archive text rows to events: one parameter, strictly numeric values only."""
-    return shape_event(clean_strict_number(filter_parameter(archive, parameter)))
+    return shape_event(clean_strict_number(filter_parameter(archive, parameter)), *more)
 
 
-def encode_events(events: DataFrame, keep_nulls: bool = True) -> DataFrame:
-    """Each row as one JSON message (binary ``value``)."""
+def encode_events(
+    events: DataFrame, keep_nulls: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Each row as one JSON message (binary ``value``); the columns in ``keep`` stay beside it."""
     options = {**JSON_OPTIONS, "ignoreNullFields": str(not keep_nulls).lower()}
-    return events.select(F.to_json(F.struct("*"), options).cast("binary").alias("value"))
+    fields = F.struct(*(F.col(f"`{c}`") for c in events.columns if c not in keep))
+    return events.select(*keep, F.to_json(fields, options).cast("binary").alias("value"))
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
