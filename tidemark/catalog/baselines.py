@@ -8,7 +8,9 @@ from tidemark.catalog.files import write_raw_zone
 from tidemark.catalog.registry import query
 from tidemark.operators import joins
 from tidemark.operators.dedupe import dedupe_station as first_of_station
-from tidemark.operators.stats import station_baseline
+from tidemark.operators.rowjoin import row_join
+from tidemark.operators.states import daily_states, merge_baseline, merge_moments
+from tidemark.operators.stats import BASELINE_PERCENTILES, station_baseline, station_daily
 from tidemark.plans import batch_baseline as job
 from tidemark.plans.load_warehouse import load_warehouse
 from tidemark.session import scratch_path, store
@@ -61,6 +63,46 @@ def baseline_by_supplier_approximate(spark: SparkSession, sf_dir: str) -> DataFr
     return t.rounded(stats, *MOMENTS, digits=6)
 
 
+def _dated(readings: DataFrame) -> DataFrame:
+    return readings.withColumn("reading_date", F.to_date("dateTime"))
+
+
+@query(t.sql("readings baseline", """
+SELECT stationReference, n_readings_total, round(mean_level_total, 8) AS mean_level_total,
+       round(std_level_total, 8) AS std_level_total
+FROM baseline"""))
+def baseline_from_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and moments merged from the daily facts."""
+    return t.rounded(merge_moments(station_daily(_dated(t.readings(spark, sf_dir)))), *MOMENTS)
+
+
+@query(t.sql("readings baseline", BASELINE_BODY))
+def baseline_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole baseline merged from daily states; sketches of this size hold all values."""
+    states = store(daily_states(_dated(t.readings(spark, sf_dir))), "states")
+    return t.rounded(merge_baseline(states, min_max=True), *MOMENTS)
+
+
+@query(t.sql("supplies", """
+SELECT stationReference, count(*) AS n_readings_total, true AS p05_near, true AS median_near,
+       true AS p95_near
+FROM supplies GROUP BY 1"""))
+def sketch_rank_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the exact rank of each merged percentile, off small sketches, is within two
+    hundredths of the one that was asked for."""
+    supplies = _dated(t.supplies(spark, sf_dir))
+    merged = merge_baseline(daily_states(supplies, k=256))
+    joined = row_join(supplies.select("stationReference", "value"), merged, ["stationReference"], "inner")
+    n = F.count("*")
+
+    def near(name: str, p: float) -> F.Column:
+        below, upto = (F.count_if(c) / n for c in (F.col("value") < F.col(name), F.col("value") <= F.col(name)))
+        return ((below <= p + 0.02) & (upto >= p - 0.02)).alias(f"{name.removesuffix('_level')}_near")
+
+    return joined.groupBy("stationReference").agg(
+        n.alias("n_readings_total"), *(near(name, p) for name, p in BASELINE_PERCENTILES.items()))
+
+
 @query(t.sql("readings baseline stations graded_baseline", ENRICHED_BODY,
              stations=t.KNOWN_STATIONS))
 def baseline_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.cleaning import clean_readings
 from tidemark.operators.joins import alert_thresholds, enrich_baseline
+from tidemark.operators.states import daily_states, merge_baseline
 from tidemark.operators.stats import station_baseline, station_daily
 from tidemark.session import build_session, clear_scratch
 from tidemark.sinks.files import write_curated
@@ -13,6 +14,7 @@ from tidemark.sources.files import has_csv, read_archive_text, read_readings, re
 
 # Folders of the curated zone.
 CLEAN, DAILY, BASELINE = "clean_readings", "batch_station_daily", "batch_station_baseline"
+STATES = "batch_station_states"
 
 
 def baseline_table(readings: DataFrame, stations: DataFrame, **options) -> DataFrame:
@@ -30,10 +32,12 @@ def batch_baseline(
     exact: bool = True,
     allow_empty: bool = False,
 ) -> dict[str, str]:
-    """Run the job and return the three output paths.
+    """Run the job and return the output paths.
 
     The CSV is parsed and cleaned once, into Parquet by day; both aggregations then
-    read only the columns they need from there. Input folders without any file are an
+    read only the columns they need from there. With ``exact=False`` the readings are read once:
+    the daily facts are written with a sketch of each day (a fourth table), and the baseline is
+    merged from these, its percentiles within the sketches' rank error. Input folders without any file are an
     error, so that a wrong path does not replace good tables with empty ones;
     ``allow_empty`` lets them through.
     """
@@ -51,10 +55,17 @@ def batch_baseline(
 
     # The schema is given because a folder without readings cannot tell it.
     readings = spark.read.schema(clean.schema).parquet(paths[CLEAN])
-    write_curated(station_daily(readings), paths[DAILY])
-
     stations = read_stations(spark, stations_path)
-    baseline = baseline_table(readings, stations, min_max=min_max, exact=exact)
+    if exact:
+        write_curated(station_daily(readings), paths[DAILY])
+        baseline = baseline_table(readings, stations, min_max=min_max)
+    else:
+        paths[STATES] = f"{out}/{STATES}"
+        write_curated(daily_states(readings), paths[STATES])
+        states = spark.read.parquet(paths[STATES])
+        write_curated(states.select(*station_daily(readings).columns), paths[DAILY])
+        merged = merge_baseline(states, min_max=min_max)
+        baseline = alert_thresholds(enrich_baseline(merged, stations))
     write_curated(baseline, paths[BASELINE])
     return paths
 
