@@ -17,7 +17,8 @@ from tidemark.sinks.messages import publish_json
 from tidemark.sources.files import json_events_stream, replay_stream
 from tidemark.streaming import alerts as al
 from tidemark.streaming import events as ev
-from tidemark.streaming.windows import flatten_window, windowed_stats
+from tidemark.streaming.counts import counts_of, observed_events
+from tidemark.streaming.windows import flatten_window, open_windows, paned_stats, windowed_stats
 
 WAIT = 300
 EVENT = "stationReference string, dateTime string, value double"
@@ -268,9 +269,76 @@ def test_late_rows_of_a_long_stream(spark, tmp_path):
     emitted = spark.read.parquet(f"{tmp_path}/w").where("window_start < '2024-01-01 12:00:00'")
     n = emitted.agg(F.coalesce(F.sum("n_readings_window"), F.lit(0))).first()[0]
     assert al.late_rows(query) == al.late_rows(query) == 3 * 2 - n > 0  # a reading lies in two windows
-    late = al._Late(query, spark)
-    late.read()
-    assert late.gap
+    counts = counts_of(query)
+    assert counts["n_batches"] >= 114 and counts["n_rows"] == 114
+
+
+def minutes(spark, folder, n, late=()):
+    """A file for each of ``n`` readings, one a minute; modification times in that order."""
+    folder.mkdir()
+    for part, minute in enumerate([*range(n), *late]):
+        path = folder / f"part-{part:03}.json"
+        path.write_text(f'{{"stationReference":"a","dateTime":"2024-01-01T{minute // 60:02}:'
+                        f'{minute % 60:02}:00Z","value":{minute * 1.25}}}\n')
+        os.utime(path, (1_700_000_000 + part * 60,) * 2)
+    return ev.valid_events(ev.parse_events(json_events_stream(spark, str(folder), 1)))
+
+
+def as_rows(windows):
+    flat = windows if "window_start" in windows.columns else flatten_window(windows)
+    return sorted((r.stationReference, str(r.window_start), str(r.window_end), r.n_readings_window,
+                   r.mean_level_window and round(r.mean_level_window, 9),
+                   r.std_level_window and round(r.std_level_window, 9)) for r in flat.collect())
+
+
+def test_panes_give_the_same_windows_with_fewer_updates(spark, tmp_path):
+    updates = {}
+    for name, form in (("direct", windowed_stats), ("panes", paned_stats)):
+        stream = minutes(spark, tmp_path / f"in-{name}", 60, late=[3, 59])
+        windows = flatten_window(form(stream, "30 minutes", "5 minutes"))
+        query = al.run(al.start_alerts(
+            windows, f"{tmp_path}/{name}", f"{tmp_path}/c-{name}", interval=None), WAIT)
+        counts = counts_of(query)
+        updates[name] = counts["n_updated"]
+        assert counts["n_late"] > 0
+    got = [as_rows(spark.read.parquet(f"{tmp_path}/{name}")) for name in updates]
+    assert got[0] == got[1] and len(got[0]) > 5
+    assert updates["panes"] * 2 < updates["direct"]
+
+
+def test_panes_of_a_table_equal_windows(rows):
+    data = [(s, f"2024-01-01 0{h}:{m:02}:00", v) for s in "ab" for h in range(3)
+            for m, v in ((0, 1e9 + h), (5, None), (7, 1e9 + 0.5), (59, float(h)))]
+    table = events(rows, *data, ("c", "2024-01-01 00:00:00", None))
+    for size, slide in (("1 hour", "5 minutes"), ("10 minutes", "5 minutes"), ("5 minutes", "5 minutes")):
+        assert as_rows(paned_stats(table, size, slide)) == as_rows(windowed_stats(table, size, slide))
+
+
+def test_closed_and_open_windows_are_all_windows(spark, tmp_path):
+    for part in range(2):  # also in the middle, and after a restart
+        stream = minutes(spark, tmp_path / f"in{part}", 40 + 30 * part)
+        al.run(al.start_alerts(flatten_window(windowed_stats(stream)), f"{tmp_path}/out{part}",
+                               f"{tmp_path}/c{part}", interval=None), WAIT)
+        closed = spark.read.parquet(f"{tmp_path}/out{part}")
+        held = flatten_window(open_windows(spark, f"{tmp_path}/c{part}"))
+        table = ev.valid_events(ev.parse_events(spark.read.text(f"{tmp_path}/in{part}")))
+        assert as_rows(closed.unionByName(held)) == as_rows(windowed_stats(table))
+        assert held.count() >= 4
+
+
+def test_counts_under_an_interval(spark, tmp_path):
+    """More than a hundred micro-batches of a stream that goes on; the counts end with it."""
+    folder = tmp_path / "in"
+    minutes(spark, folder, 110)
+    (folder / "zz.json").write_text('no json\n{"stationReference":"a"}\n')
+    stream = ev.valid_events(observed_events(ev.parse_events(json_events_stream(spark, str(folder), 1))))
+    query = al.start_alerts(stream, f"{tmp_path}/out", f"{tmp_path}/c", interval="0 seconds")
+    assert counts_of(query)["n_messages"] <= 112
+    al.run_to_end(query)
+    counts = counts_of(query)
+    assert (counts["n_messages"], counts["n_rejected"], counts["n_rows"]) == (112, 2, 112)
+    assert counts["n_batches"] > 100 and query.counting is None
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 110
 
 
 def test_run_reports_a_stream_that_does_not_end(spark, feed, tmp_path):

@@ -15,8 +15,11 @@ from tidemark.sinks.files import write_curated
 from tidemark.sinks.messages import publish_json
 from tidemark.sources.files import json_events_stream, read_baseline
 from tidemark.streaming import alerts as ops
+from tidemark.streaming.counts import counts_of, observed_events
 from tidemark.streaming.events import encode_events, parse_events, valid_events
-from tidemark.streaming.windows import flatten_window, windowed_stats as stats_by_window
+from tidemark.streaming.windows import (
+    flatten_window, open_windows, paned_stats, windowed_stats as stats_by_window,
+)
 
 WINDOW_MOMENTS = ["mean_level_window", "std_level_window"]
 ALERT_DOUBLES = [
@@ -185,6 +188,50 @@ def alerts_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream(spark, sf_dir, refresh=True)
 
 
+def _stream_windows(spark: SparkSession, sf_dir: str, form, *window: str) -> tuple[DataFrame, str]:
+    """Windows of the published readings, streamed to the end, and the stream's checkpoint."""
+    root = prepare_stream(spark, sf_dir)
+    messages = json_events_stream(spark, f"{root}/topic", max_files=1)
+    events = valid_events(parse_events(messages, LEVEL_EVENT))
+    windows = flatten_window(form(events, *window))
+    ops.run(ops.start_alerts(windows, f"{root}/out", f"{root}/checkpoint", interval=None))
+    return read_baseline(spark, f"{root}/out"), f"{root}/checkpoint"
+
+
+@query(t.sql("readings windows", WINDOW_BODY, windows=window_sql("5 minutes", 12, closed=True)))
+def windowed_stats_paned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of long windows, merged from panes: all that the watermark has closed."""
+    closed, _ = _stream_windows(spark, sf_dir, paned_stats, "1 hour", "5 minutes")
+    return t.plain_times(t.rounded(closed, *WINDOW_MOMENTS))
+
+
+@query(t.sql("readings windows", WINDOW_BODY, windows=window_sql("12 hours", 2)))
+def windows_closed_and_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream has put out and what its state still holds: together all windows."""
+    closed, checkpoint = _stream_windows(spark, sf_dir, stats_by_window, "1 day", "12 hours")
+    held = flatten_window(open_windows(spark, checkpoint))
+    return t.plain_times(t.rounded(closed.unionByName(held), *WINDOW_MOMENTS))
+
+
+@query(t.sql("readings", """
+SELECT count(*) AS n_messages, count(*) FILTER (event_id % 9 = 0 OR event_id % 10 = 0) AS n_rejected
+FROM readings"""))
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages counted by a listener while a stream runs, some without a station or a time."""
+    root, number = scratch_path(spark, "counts"), F.col("event_id")
+    readings = t.readings(spark, sf_dir).withColumns({
+        "stationReference": F.when(number % 9 != 0, F.col("stationReference")),
+        "dateTime": F.when(number % 10 != 0, F.col("dateTime")),
+    })
+    _publish(readings.repartition(6, "event_id"), f"{root}/topic")
+    messages = json_events_stream(spark, f"{root}/topic", max_files=2)
+    events = valid_events(observed_events(parse_events(messages, LEVEL_EVENT)))
+    found = ops.start_alerts(events, f"{root}/out", f"{root}/checkpoint", interval=None)
+    counts = counts_of(ops.run(found))
+    return spark.createDataFrame(
+        [(counts["n_messages"], counts["n_rejected"])], "n_messages long, n_rejected long")
+
+
 NEWER_HALF = """newer AS (
     SELECT * FROM readings
     WHERE dateTime >= (SELECT min(dateTime) + (max(dateTime) - min(dateTime)) / 2

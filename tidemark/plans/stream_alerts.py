@@ -13,9 +13,10 @@ from tidemark.sources.kafka import kafka_events
 from tidemark.streaming.alerts import (
     TRIGGER_INTERVAL, grade_windows, run, start_alerts, start_alerts_refreshing,
 )
+from tidemark.streaming.counts import observed_events
 from tidemark.streaming.events import parse_events, valid_events
 from tidemark.streaming.windows import (
-    WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE, windowed_stats,
+    WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE, paned_stats, windowed_stats,
 )
 
 
@@ -33,6 +34,7 @@ def stream_alerts(
     files: int | None = None,
     unknown: str = ALERT_NORMAL,
     unique: bool = True,
+    panes: bool = False,
 ) -> StreamingQuery:
     """Start the alert stream over a streaming table of messages.
 
@@ -42,10 +44,13 @@ def stream_alerts(
 
     ``refresh`` re-reads the baseline in each micro-batch; the default keeps the files
     it saw at the start and is for a baseline that is not overwritten meanwhile. ``files``
-    limits the output files per micro-batch.
+    limits the output files per micro-batch. ``panes`` gathers readings in panes of the slide's
+    length first, for windows many times as long and intervals shorter than the slide; a
+    checkpoint belongs to one of the two forms. What comes in is counted, see
+    :mod:`tidemark.streaming.counts`.
     """
-    events = valid_events(parse_events(messages, LEVEL_EVENT))
-    windows = windowed_stats(events, size, slide, delay)
+    events = valid_events(observed_events(parse_events(messages, LEVEL_EVENT)))
+    windows = (paned_stats if panes else windowed_stats)(events, size, slide, delay)
     if refresh:
         return start_alerts_refreshing(
             windows, baseline_path, out, checkpoint, interval, files, unknown, unique

@@ -1,9 +1,8 @@
 """Alert grading and the streaming sinks."""
 
-import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import levels
@@ -11,12 +10,11 @@ from tidemark.operators.dedupe import dedupe_station
 from tidemark.operators.joins import baseline_view, join_baseline
 from tidemark.schemas import ALERT_COLUMNS
 from tidemark.sources.files import read_baseline
+from tidemark.streaming.counts import counted, counts_of, stop_counting
 from tidemark.streaming.windows import flatten_window
 
 # Fixed value: default micro-batch interval.
 TRIGGER_INTERVAL = "30 seconds"
-# Seconds between two looks at a query's progress, and micro-batches after which it is read.
-LOOK_INTERVAL, READ_BATCHES = 0.5, 20
 
 
 def grade_windows(
@@ -68,14 +66,14 @@ def start_alerts(
     each micro-batch into that many files; by default every state partition writes its
     own, which with many partitions and short intervals makes many small files.
     """
-    return _counted(
+    return counted(
+        alerts.sparkSession,
         _pack(alerts, files).writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
-        .start(),
-        alerts.sparkSession,
+        .start,
     )
 
 
@@ -112,24 +110,27 @@ def start_alerts_refreshing(
 ) -> StreamingQuery:
     """Like :func:`start_alerts`, but re-reads the baseline in every micro-batch, so the
     batch job may overwrite it while the stream runs."""
-    return _counted(
+    return counted(
+        windows.sparkSession,
         windows.writeStream.outputMode("append")
         .foreachBatch(baseline_writer(baseline_path, out, unknown, files, unique))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
-        .start(),
-        windows.sparkSession,
+        .start,
     )
 
 
 def run(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
     """Block until the query ends. With a timeout (seconds) a query still running then
     is stopped and reported, so a caller never reads half a result."""
-    if timeout is None:
-        query.awaitTermination()
-    elif not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError(f"stream still running after {timeout} s")
+    try:
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
+            query.stop()
+            raise TimeoutError(f"stream still running after {timeout} s")
+    finally:
+        stop_counting(query)
     return query
 
 
@@ -139,65 +140,11 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
         query.processAllAvailable()
     finally:
         query.stop()
-    return query
-
-
-class _Late:
-    """Adds up a query's dropped rows from the progress that Spark keeps, before it is dropped."""
-
-    def __init__(self, query: StreamingQuery, spark: SparkSession):
-        self.query = query
-        # Spark keeps one less than the setting says.
-        self.kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")) - 1
-        self.total, self.last, self.gap = 0, None, False
-        self.lock = threading.Lock()
-
-    def read(self) -> None:
-        with self.lock:
-            progress = self.query.recentProgress
-            keys = [(p.batchId, p.timestamp) for p in progress]
-            new = 0
-            if self.last in keys:
-                new = len(keys) - keys[::-1].index(self.last)
-            elif self.last is not None or len(keys) >= self.kept:
-                self.gap = True
-            self.total += sum(
-                state.numRowsDroppedByWatermark for p in progress[new:] for state in p.stateOperators
-            )
-            self.last = keys[-1] if keys else self.last
-
-    def watch(self) -> None:
-        every = min(READ_BATCHES, max(self.kept // 5, 1))
-        while not self.query.awaitTermination(LOOK_INTERVAL):
-            last = self.query.lastProgress
-            if last and last.batchId - (self.last[0] if self.last else -1) >= every:
-                self.read()
-
-
-_LATE: dict[str, _Late] = {}
-
-
-def _counted(query: StreamingQuery, spark: SparkSession) -> StreamingQuery:
-    """The query, with its dropped rows added up by a thread until it ends."""
-    late = _LATE[str(query.runId)] = _Late(query, spark)
-
-    def watch() -> None:
-        try:
-            late.watch()
-        except Exception:
-            return  # the query failed or its session is gone; a gap shows in the next reading
-
-    threading.Thread(target=watch, daemon=True).start()
+        stop_counting(query)
     return query
 
 
 def late_rows(query: StreamingQuery) -> int:
     """Partial window rows dropped behind the watermark since this run of the query began.
-    Counted after partial aggregation, so not in readings. Fails rather than leave out
-    micro-batches whose progress Spark dropped before it was read; queries that this module
-    started are read as they run."""
-    late = _LATE.get(str(query.runId)) or _Late(query, SparkSession.active())
-    late.read()
-    if late.gap:
-        raise RuntimeError("progress of the query was dropped before it was read")
-    return late.total
+    Counted after partial aggregation, so not in readings."""
+    return counts_of(query)["n_late"]

@@ -61,11 +61,16 @@ def parse_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Da
     return parse_json(messages, "value", schema)
 
 
+def is_event() -> Column:
+    """Whether a row can go into a window."""
+    return F.col("stationReference").isNotNull() & F.col("dateTime").isNotNull()
+
+
 def valid_events(events: DataFrame) -> DataFrame:
     """Events that have a station and a time; the value may be missing.
 
     A value that is no finite number counts as missing: one NaN would else make the mean of
     its windows NaN, which compares above every threshold.
     """
-    known = events.where("stationReference IS NOT NULL AND dateTime IS NOT NULL")
+    known = events.where(is_event())
     return known.withColumn("value", finite(F.col("value")))

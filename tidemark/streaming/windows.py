@@ -1,6 +1,6 @@
 """Sliding event-time windows; the same function serves batch and stream."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.stats import mean_std
 from tidemark.schemas import STATION_KEY
@@ -33,6 +33,71 @@ def windowed_stats(
     )
 
 
+def _merged(a: Column, b: Column) -> Column:
+    """Count, mean and squares about the mean of two disjoint sets of values."""
+    n = a["c"] + b["c"]
+    apart = b["mean"] - a["mean"]
+    return F.when(b["c"] == 0, F.struct((a["n"] + b["n"]).alias("n"), a["c"], a["mean"], a["m2"])).otherwise(
+        F.struct(
+            (a["n"] + b["n"]).alias("n"), n.alias("c"),
+            (a["mean"] + apart * b["c"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + apart * apart * a["c"] * b["c"] / n).alias("m2"),
+        ))
+
+
+def paned_stats(
+    events: DataFrame,
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+    delay: str = WATERMARK_DELAY,
+) -> DataFrame:
+    """:func:`windowed_stats` by panes as long as the slide, for sizes that are a multiple of it.
+
+    A reading goes into one pane, and only closed panes go into the windows over them, so state
+    is touched once for each station and pane in a micro-batch, and not once for each of size /
+    slide windows. A window holds at most size / slide pane states until it closes, when the
+    direct form would close it as well.
+    """
+    value = F.col("value")
+    panes = (
+        events.withWatermark("dateTime", delay)
+        .groupBy(STATION_KEY, F.window("dateTime", slide).alias("pane"))
+        .agg(F.count("*").alias("n"), F.count(value).alias("c"),
+             F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
+             F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2"))
+    )
+    windows = panes.groupBy(STATION_KEY, F.window(F.window_time("pane"), size, slide)).agg(
+        F.collect_list(F.struct("n", "c", "mean", "m2")).alias("panes"))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("c"),
+                    F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    # In order of the states themselves, so that sums do not depend on the order of arrival.
+    merged = windows.withColumn("all", F.aggregate(F.array_sort("panes"), zero, _merged))
+    c = F.col("all.c")
+    return merged.select(
+        STATION_KEY, "window", F.col("all.n").alias("n_readings_window"),
+        F.when(c > 0, F.col("all.mean")).alias("mean_level_window"),
+        F.when(c > 1, F.sqrt(F.col("all.m2") / (c - 1))).alias("std_level_window"),
+    )
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The windows that a stream of :func:`windowed_stats` holds open, as they stand after its
+    last micro-batch: those that its output lacks because the watermark has not passed them.
+
+    Read from the state in the checkpoint, which the stream may go on writing meanwhile.
+    """
+    # Partial results in the order of the aggregates; their own names repeat.
+    layout = "struct<n:bigint,total:double,c:bigint,_n:double,_mean:double,m2:double>"
+    state = spark.read.format("statestore").load(checkpoint).select(
+        "key.*", F.col("value").cast(layout).alias("v"))
+    c = F.col("v.c")
+    return state.select(
+        STATION_KEY, "window", F.col("v.n").alias("n_readings_window"),
+        F.when(c > 0, F.col("v.total") / c).alias("mean_level_window"),
+        F.when(c > 1, F.sqrt(F.col("v.m2") / (c - 1))).alias("std_level_window"),
+    )
+
+
 def flatten_window(df: DataFrame) -> DataFrame:
     """Window struct to ``window_start`` and ``window_end``."""
     return df.withColumns(
