@@ -7,6 +7,7 @@ from tidemark import schemas
 from tidemark.operators.calendar import (
     date_spine, flag_in_interval, interval_days, station_day_spine,
 )
+from tidemark.sinks import versions
 from tidemark.plans import (
     batch_baseline, load_warehouse, replay, station_summary, stream_alerts,
 )
@@ -101,6 +102,23 @@ def test_batch_job_stops_on_a_header_without_values(spark, raw_zone, tmp_path):
             spark, f"{tmp_path}/odd", f"{raw_zone}/stations", f"{tmp_path}/none", "level")
 
 
+def test_baseline_replaced_at_once_and_merged_from_states(spark, raw_zone, tmp_path):
+    args = (spark, f"{raw_zone}/archive", f"{raw_zone}/stations")
+    plain = batch_baseline.batch_baseline(*args, f"{tmp_path}/a", "level")
+    found = batch_baseline.batch_baseline(*args, f"{tmp_path}/b", "level", exact=False, at_once=True)
+    baselines = [spark.read.parquet(plain["batch_station_baseline"]),
+                 versions.read_table(spark, found["batch_station_baseline"])]
+    assert baselines[0].columns == baselines[1].columns
+    rows = [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in b.collect())
+            for b in baselines]
+    assert rows[0] == rows[1] and len(rows[0]) > 0
+    daily = [spark.read.parquet(p["batch_station_daily"]) for p in (plain, found)]
+    assert daily[0].columns == daily[1].columns and daily[0].count() == daily[1].count()
+    again = batch_baseline.batch_baseline(*args, f"{tmp_path}/b", "level", at_once=True)
+    assert versions.read_either(spark, again["batch_station_baseline"]).count() == len(rows[0])
+    assert baselines[1].count() == len(rows[0])  # a reader goes on with what it found
+
+
 def test_replay_goes_by_the_name_and_counts(spark, raw_zone):
     newest = raw_zone / "archive" / "readings-full-2024-01-02.csv"
     os.utime(newest, (1_600_000_000,) * 2)  # older than the other one

@@ -13,6 +13,7 @@ from tidemark.schemas import LEVEL_EVENT
 from tidemark.session import scratch_path
 from tidemark.sinks.files import write_curated
 from tidemark.sinks.messages import publish_json
+from tidemark.sinks.versions import compact, read_compacted
 from tidemark.sources.files import json_events_stream, read_baseline
 from tidemark.streaming import alerts as ops
 from tidemark.streaming.counts import counts_of, observed_events
@@ -213,6 +214,23 @@ def windows_closed_and_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(t.rounded(closed.unionByName(held), *WINDOW_MOMENTS))
 
 
+@query(t.sql("readings windows", WINDOW_BODY, windows=window_sql("12 hours", 2, closed=True)))
+def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's output, compacted in the middle and read with what came after."""
+    root = prepare_stream(spark, sf_dir)
+    topic, out, packed = f"{root}/topic", f"{root}/out", f"{root}/packed"
+    messages = json_events_stream(spark, topic, max_files=1)
+    windows = flatten_window(stats_by_window(
+        valid_events(parse_events(messages, LEVEL_EVENT)), "1 day", "12 hours"))
+    started = ops.start_alerts(windows, out, f"{root}/checkpoint", interval=None)
+    while not started.awaitTermination(0.5):
+        if started.lastProgress and started.lastProgress.batchId >= 2:
+            compact(spark, out, packed)
+            break
+    ops.run(started)
+    return t.plain_times(t.rounded(read_compacted(spark, out, packed), *WINDOW_MOMENTS))
+
+
 @query(t.sql("readings", """
 SELECT count(*) AS n_messages, count(*) FILTER (event_id % 9 = 0 OR event_id % 10 = 0) AS n_rejected
 FROM readings"""))

@@ -10,6 +10,7 @@ from tidemark.operators.stats import count_sent as sent_per_file
 from tidemark.session import scratch_path
 from tidemark.sinks.files import load_table, write_csv, write_curated
 from tidemark.sinks.messages import publish_json
+from tidemark.sinks.versions import read_table, replace_days, replace_table
 from tidemark.sources import files as src
 from tidemark.streaming.events import encode_events
 
@@ -73,6 +74,31 @@ def csv_header_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("value", F.nullif(F.col("value"), F.lit("")))
 
 
+@query(t.sql("readings", """
+SELECT CASE WHEN event_id % 11 = 0 THEN 'short' WHEN event_id % 13 = 0 THEN 'long' ELSE 'row' END AS kind,
+       count(*) AS n, sum(event_id)::BIGINT AS ids
+FROM readings GROUP BY 1"""))
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files with lines that lack a field or have one too many; those are set aside whole."""
+    folder, number = scratch_path(spark, "dirty"), F.col("event_id")
+    fields = [F.col("dateTime").cast("string"), F.concat(F.lit("m/"), number.cast("string"))]
+    line = (F.when(number % 11 == 0, F.concat_ws(",", *fields))
+            .when(number % 13 == 0, F.concat_ws(",", *fields, F.lit("1"), F.lit("2")))
+            .otherwise(F.concat_ws(",", *fields, F.col("value").cast("string"))))
+    lines = t.readings(spark, sf_dir).select(line.alias("value"), (number % 4).alias("part"), F.lit(1).alias("_o"))
+    headers = spark.range(4).select(
+        F.lit("dateTime,measure,value").alias("value"), F.col("id").alias("part"), F.lit(0).alias("_o"))
+    whole = lines.unionByName(headers).repartition("part").sortWithinPartitions("part", "_o")
+    whole.drop("_o").write.partitionBy("part").text(folder)
+    good, bad = src.read_csv_checked(spark, folder, schemas.READINGS, required=["value"])
+    size = F.size(F.split("line", ","))
+    kinds = good.select(F.lit("row").alias("kind"), "measure").unionByName(bad.select(
+        F.when(size < 3, "short").otherwise("long").alias("kind"),
+        F.get(F.split("line", ","), F.lit(1)).alias("measure")))
+    number = F.regexp_extract("measure", "[0-9]+", 0).cast("long")
+    return kinds.groupBy("kind").agg(F.count("*").alias("n"), F.sum(number).alias("ids"))
+
+
 @query(t.sql("readings baseline stations station_meta", """
 SELECT * EXCLUDE (base_level, spread) FROM station_meta"""))
 def csv_station_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,3 +181,27 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_curated(dated, path, partition_by="reading_date")
     by_day = src.read_baseline(spark, path)
     return by_day.groupBy("stationReference", "reading_date").agg(F.count("*").alias("n_rows"))
+
+
+@query(t.sql("readings", "SELECT * FROM readings WHERE event_id % 2 = 0"))
+def replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced twice; the second time from itself, while it is open."""
+    path, readings = scratch_path(spark, "replaced"), t.readings(spark, sf_dir)
+    replace_table(readings, path)
+    replace_table(read_table(spark, path).where(F.col("event_id") % 2 == 0), path)
+    return t.plain_times(read_table(spark, path))
+
+
+@query(t.sql("readings", """
+SELECT event_id, stationReference, dateTime, CAST(dateTime AS DATE) AS reading_date,
+       CASE WHEN day(dateTime) % 3 = 0 THEN -value ELSE value END AS value
+FROM readings"""))
+def replaced_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the days corrected and written anew; the others stay as they are."""
+    path = scratch_path(spark, "days")
+    days = t.readings(spark, sf_dir).drop("event_type").withColumn("reading_date", F.to_date("dateTime"))
+    write_curated(days, path, partition_by="reading_date")
+    late = days.where(F.dayofmonth("reading_date") % 3 == 0).withColumn("value", -F.col("value"))
+    replace_days(late, path)
+    return t.plain_times(src.read_baseline(spark, path)).select(
+        "event_id", "stationReference", "dateTime", "reading_date", "value")

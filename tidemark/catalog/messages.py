@@ -17,6 +17,7 @@ from tidemark.sources import files as src
 from tidemark.sources.replay import replay_by_name
 from tidemark.streaming import events as ops
 from tidemark.streaming.alerts import run, run_to_end, start_alerts
+from tidemark.streaming.quarantine import accepted, checked_events, start_quarantine
 from tidemark.streaming.windows import flatten_window, windowed_stats as stats_by_window
 
 REPLAYED = f"""
@@ -95,6 +96,32 @@ def replay_windows_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(t.rounded(src.read_baseline(spark, f"{root}/out"), *WINDOW_MOMENTS))
 
 
+@query("""
+SELECT reason, count(*) AS n FROM (
+    SELECT CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 THEN 'malformed'
+                WHEN event_id % 23 = 0 THEN 'no station or time' ELSE 'accepted' END AS reason
+    FROM events) GROUP BY 1""")
+def quarantined_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's messages, some of them garbage, cut off, of another type or without a station:
+    what windows take and what a second stream sets aside add up to all of them."""
+    root, number = scratch_path(spark, "quarantine"), F.col("event_id")
+    readings = t.readings(spark, sf_dir)
+    plain = ops.encode_events(readings.drop("event_type"), keep=["event_id"])
+    text = F.col("value").cast("string")
+    nameless = F.regexp_replace(text, '"stationReference":"[^"]*"', '"stationReference":null')
+    dirty = (F.when(number % 13 == 0, "no json").when(number % 17 == 0, F.left(text, F.lit(40)))
+             .when(number % 19 == 0, F.regexp_replace(text, '"value":([0-9.]+)', '"value":"$1"'))
+             .when(number % 23 == 0, nameless).otherwise(text))
+    publish_json(plain.select(dirty.alias("value")).repartition(4), f"{root}/topic")
+    messages = src.json_events_stream(spark, f"{root}/topic", max_files=2)
+    run(start_quarantine(messages, f"{root}/bad", f"{root}/c1", interval=None))
+    good = accepted(checked_events(messages))
+    run(start_alerts(good, f"{root}/good", f"{root}/c2", interval=None))
+    parts = spark.read.parquet(f"{root}/bad").select(F.col("reject_reason").alias("reason")).unionByName(
+        spark.read.parquet(f"{root}/good").select(F.lit("accepted").alias("reason")))
+    return parts.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query(t.sql("archive", f"""
 SELECT count(*) AS n_sent FROM archive WHERE parameter = 'level' AND {STRICT_NUMBER}"""))
 def observe_sent(spark: SparkSession, sf_dir: str) -> DataFrame:

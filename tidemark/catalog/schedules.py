@@ -83,6 +83,47 @@ def interval_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.flag_in_interval(days, t.intervals(spark, sf_dir))
 
 
+LONG_INTERVALS = """long_intervals AS (
+    SELECT printf('%05dTH', o_custkey) AS stationReference,
+           DATE '2014-01-01' + CAST(o_orderkey % 3700 AS INTEGER) AS start,
+           CAST(CASE WHEN o_orderkey % 41 = 0 THEN 3650 ELSE o_orderkey % 6 END AS INTEGER) AS length
+    FROM orders)"""
+
+
+def _long_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of some days, of none and of ten years, which overlap and touch."""
+    order = F.col("o_orderkey")
+    return t.table(spark, sf_dir, "orders").select(
+        t.station_key("o_custkey").alias("stationReference"),
+        F.date_add(F.lit("2014-01-01").cast("date"), (order % 3700).cast("int")).alias("start"),
+        F.when(order % 41 == 0, 3650).otherwise(order % 6).cast("int").alias("length"),
+    )
+
+
+@query(t.sql("long_intervals", """
+SELECT stationReference, min(start) AS first, max(after) AS after FROM (
+    SELECT *, sum(opens) OVER (PARTITION BY stationReference ORDER BY start, after) AS island FROM (
+        SELECT stationReference, start, start + length AS after, CASE WHEN start <= max(start + length) OVER (
+            PARTITION BY stationReference ORDER BY start, start + length
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens
+        FROM (SELECT DISTINCT * FROM long_intervals WHERE length > 0)))
+GROUP BY stationReference, island""", long_intervals=LONG_INTERVALS))
+def merged_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.merge_intervals(_long_intervals(spark, sf_dir))
+
+
+@query(t.sql("readings long_intervals", """
+SELECT s.event_id, s.stationReference, s.day AS date, EXISTS (
+    SELECT 1 FROM long_intervals i WHERE i.stationReference = s.stationReference
+      AND s.day >= i.start AND s.day < i.start + i.length) AS in_interval
+FROM (SELECT *, CAST(dateTime AS DATE) AS day FROM readings) s""", long_intervals=LONG_INTERVALS))
+def interval_flag_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership in intervals of up to ten years, by merged spans and bins of days."""
+    days = t.readings(spark, sf_dir).select(
+        "event_id", "stationReference", F.to_date("dateTime").alias("date"))
+    return ops.flag_in_spans(days, ops.merge_intervals(_long_intervals(spark, sf_dir)))
+
+
 @query(t.sql(EXPECTED_CTES, """
 SELECT stationReference, day AS date, in_event, season, level FROM expected""",
              spine=SPINE, expected=EXPECTED))

@@ -10,6 +10,7 @@ from tidemark.operators.states import daily_states, merge_baseline
 from tidemark.operators.stats import station_baseline, station_daily
 from tidemark.session import build_session, clear_scratch
 from tidemark.sinks.files import write_curated
+from tidemark.sinks.versions import replace_table
 from tidemark.sources.files import has_csv, read_archive_text, read_readings, read_stations
 
 # Folders of the curated zone.
@@ -31,6 +32,7 @@ def batch_baseline(
     min_max: bool = False,
     exact: bool = True,
     allow_empty: bool = False,
+    at_once: bool = False,
 ) -> dict[str, str]:
     """Run the job and return the output paths.
 
@@ -39,7 +41,9 @@ def batch_baseline(
     the daily facts are written with a sketch of each day (a fourth table), and the baseline is
     merged from these, its percentiles within the sketches' rank error. Input folders without any file are an
     error, so that a wrong path does not replace good tables with empty ones;
-    ``allow_empty`` lets them through.
+    ``allow_empty`` lets them through. ``at_once`` replaces the baseline as a whole, for a
+    stream that reads it meanwhile; such a table is read by
+    :func:`tidemark.sinks.versions.read_table`.
     """
     paths = {name: f"{out}/{name}" for name in (CLEAN, DAILY, BASELINE)}
     for path in (readings_path, stations_path):
@@ -66,7 +70,7 @@ def batch_baseline(
         write_curated(states.select(*station_daily(readings).columns), paths[DAILY])
         merged = merge_baseline(states, min_max=min_max)
         baseline = alert_thresholds(enrich_baseline(merged, stations))
-    write_curated(baseline, paths[BASELINE])
+    (replace_table if at_once else write_curated)(baseline, paths[BASELINE])
     return paths
 
 
@@ -78,13 +82,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--parameter", help="keep only this measured parameter")
     parser.add_argument("--min-max", action="store_true", help="add minimum and maximum")
     parser.add_argument("--allow-empty", action="store_true", help="accept folders without files")
+    parser.add_argument("--at-once", action="store_true", help="replace the baseline as a whole")
     parser.add_argument("--approximate", action="store_true", help="approximate percentiles")
     args = parser.parse_args(argv)
     spark = build_session("batch-baseline")
     try:
         batch_baseline(
             spark, args.readings, args.stations, args.out, args.parameter, args.min_max,
-            exact=not args.approximate, allow_empty=args.allow_empty,
+            exact=not args.approximate, allow_empty=args.allow_empty, at_once=args.at_once,
         )
     finally:
         clear_scratch(spark)

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.levels import ALERT_NORMAL
 from tidemark.schemas import LEVEL_EVENT
 from tidemark.session import build_session
-from tidemark.sources.files import json_events_stream, read_baseline
+from tidemark.sinks.versions import read_either
+from tidemark.sources.files import json_events_stream
 from tidemark.sources.kafka import kafka_events
 from tidemark.streaming.alerts import (
     TRIGGER_INTERVAL, grade_windows, run, start_alerts, start_alerts_refreshing,
@@ -55,7 +56,7 @@ def stream_alerts(
         return start_alerts_refreshing(
             windows, baseline_path, out, checkpoint, interval, files, unknown, unique
         )
-    alerts = grade_windows(windows, read_baseline(spark, baseline_path), unknown, unique)
+    alerts = grade_windows(windows, read_either(spark, baseline_path), unknown, unique)
     return start_alerts(alerts, out, checkpoint, interval, files)
 
 

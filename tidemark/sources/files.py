@@ -21,6 +21,8 @@ from tidemark.functions import text
 ARCHIVE_PREFIX = "readings-full-"
 ARCHIVE_SUFFIX = ".csv"
 CSV_DIALECT = {"header": True, "escape": '"'}
+# A line or message that does not parse, whole.
+UNREADABLE = "_corrupt_record"
 
 
 def _header_schema(spark: SparkSession, path: str | list[str], options: dict) -> T.StructType | None:
@@ -87,6 +89,36 @@ def read_csv(
     return project_schema(raw, wanted, required)
 
 
+def read_csv_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    required: Iterable[str] = (),
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """CSV files as rows of ``schema``, and apart from them the lines that are none.
+
+    The second table has ``file_path`` and ``line`` of those with more or fewer fields than the
+    header, which :func:`read_csv` fills up or cuts. Every line is in one of the two, so their
+    counts add up to the lines that are not empty. Write both, or store one scan, if the files
+    are large: each table is a scan of its own.
+    """
+    header = _header_schema(spark, path, options)
+    rejects = T.StructType().add("file_path", "string").add("line", "string")
+    if header is None:
+        return spark.createDataFrame([], schema), spark.createDataFrame([], rejects)
+    with_line = T.StructType([*header.fields]).add(UNREADABLE, "string")
+    raw = spark.read.schema(with_line).options(
+        **CSV_DIALECT, enforceSchema=False, columnNameOfCorruptRecord=UNREADABLE,
+        columnPruning=False, **options  # a parser that skips fields does not count them
+    ).csv(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    # Spark refuses to read that column alone, as a count would, so one of the file goes with it.
+    some = F.length(F.coalesce(F.col(f"`{header.names[0]}`"), F.lit(""))) >= 0
+    good = raw.where(F.col(UNREADABLE).isNull() & some).drop(UNREADABLE, "file_path")
+    bad = raw.where(F.col(UNREADABLE).isNotNull() & some)
+    return project_schema(good, schema, required), bad.select("file_path", F.col(UNREADABLE).alias("line"))
+
+
 def read_readings(spark: SparkSession, path: str, **options) -> DataFrame:
     """Raw readings: time, measure URI and the value as text."""
     return read_csv(spark, path, schemas.READINGS, required=schemas.READINGS.names, **options)

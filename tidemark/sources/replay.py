@@ -24,7 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from tidemark.functions.text import FILE_DATE_PATTERN
 from tidemark.schemas import ARCHIVE_ROW
-from tidemark.sources.files import ARCHIVE_PREFIX, ARCHIVE_SUFFIX
+from tidemark.sources.files import ARCHIVE_PREFIX, ARCHIVE_SUFFIX, UNREADABLE
 
 # Executors get this module with each task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,8 +33,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PIECE_BYTES = 16_000_000
 #: Bytes that the driver looks at, at once, for line feeds.
 LOOK_BYTES = 1_000_000
-#: A line that does not have the header's number of fields.
-UNREADABLE = "_corrupt_record"
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:

@@ -9,7 +9,7 @@ from tidemark.functions import levels
 from tidemark.operators.dedupe import dedupe_station
 from tidemark.operators.joins import baseline_view, join_baseline
 from tidemark.schemas import ALERT_COLUMNS
-from tidemark.sources.files import read_baseline
+from tidemark.sinks.versions import read_either
 from tidemark.streaming.counts import counted, counts_of, stop_counting
 from tidemark.streaming.windows import flatten_window
 
@@ -87,11 +87,12 @@ def baseline_writer(
     """Batch function that grades closed windows against the baseline of the moment.
 
     Each batch overwrites its own folder, so a batch repeated after a failure replaces
-    its first attempt. A batch that finds the baseline half replaced fails rather than
-    grade without it, and is repeated when the query restarts.
+    its first attempt. A baseline that is replaced at once (:mod:`tidemark.sinks.versions`) is
+    found whole; a batch that finds one half overwritten fails rather than grade without it, and
+    is repeated when the query restarts.
     """
     def write(windows: DataFrame, batch_id: int) -> None:
-        baseline = read_baseline(windows.sparkSession, baseline_path)
+        baseline = read_either(windows.sparkSession, baseline_path)
         alerts = grade_windows(windows, baseline, unknown, unique)
         _pack(alerts, files).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
