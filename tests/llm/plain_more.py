@@ -46,7 +46,7 @@ def one_edit(a, b):
     return row[-1] <= 1
 
 
-def dedup_lines(rows, least=8):
+def dedup_lines(rows, least=5):
     """{(doc_id, text): (n_lines, n_removed, text left)} for distinct (doc_id, text)."""
     docs = sorted(set(rows), key=lambda r: (id_of(r[0]), r[1] or ""))
     first = {}

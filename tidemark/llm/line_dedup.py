@@ -1,8 +1,9 @@
 """Line deduplication by a deletion-neighbourhood join. DataFrame operations only.
 
 Lines are compared as sequences of words, by edit distance over words. Lines of at least
-``MIN_WORDS`` words that differ by one word inserted, deleted or replaced are near copies;
-shorter ones must be equal. Of equal or near lines the earliest one stays.
+``MIN_WORDS`` words that differ by one word inserted, deleted or replaced are near copies: four
+fifths of the longer one's words or more are the same. Shorter lines must be equal. Of equal or
+near lines the earliest one stays.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,12 @@ from tidemark.session import store
 
 SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
-MIN_WORDS = 8
+#: Of fewer words one edit leaves a similarity under 0.8.
+MIN_WORDS = 5
+#: Lines of more words get their keys from arrays in blocks, not from a row for each word that
+#: holds all of the line.
+LONG = 1000
+BLOCK = 256
 
 
 def _one_spaced(line: Column) -> Column:
@@ -40,7 +46,7 @@ def _half_keys(w: Column) -> Column:
     give the halves of the shorter one, and one of these halves has no edit in it.
     """
     def halves(n):
-        a = (4 * F.floor(n / 8)).cast("int")
+        a = F.greatest(4 * F.floor(n / 8), F.lit(2)).cast("int")
         return F.array(F.xxhash64(F.lit(0), F.slice(w, 1, a)), F.xxhash64(F.lit(1), F.slice(w, -a, a)))
 
     n = F.size(w)
@@ -69,6 +75,21 @@ def _running(values: Column) -> Column:
     return F.aggregate(values, start, step, lambda acc: acc["p"])
 
 
+def _running_long(values: Column) -> Column:
+    """The same, block by block: an array that grows is copied for each value, so it must not
+    grow as long as a line can be."""
+    firsts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int"))
+    parts = F.transform(firsts, lambda i: F.slice(_running(
+        F.slice(values, i * BLOCK + 1, F.lit(BLOCK))), 2, BLOCK))
+
+    def joined(blocks):
+        totals = _running(F.transform(blocks, lambda p: F.element_at(p, -1)))
+        return let(totals, lambda t: F.flatten(F.transform(
+            blocks, lambda p, i: F.transform(p, lambda x: x.bitwiseXOR(F.get(t, i))))))
+
+    return F.concat(F.array(F.lit(0).cast("bigint")), let(parts, joined))
+
+
 OPEN, WHOLE, SHORT = 0, 1, 2
 
 
@@ -84,20 +105,27 @@ def _variants(texts: DataFrame) -> DataFrame:
 
     hashed = texts.select("id", F.size("w").alias("n"), places(0).alias("here"),
                           places(-1).alias("moved"))
-    sums = hashed.select("id", "n", "here", _running(F.col("here")).alias("p"),
-                         _running(F.col("moved")).alias("q"))
-    each = sums.select("*", F.explode(F.sequence(F.lit(0), F.col("n"))).alias("j"))
-    n, j = F.col("n"), F.col("j")
-    whole = F.get("p", n)
+
+    def sums(rows, running):
+        return rows.select("id", "n", "here", running(F.col("here")).alias("p"),
+                           running(F.col("moved")).alias("q"))
 
     def key(role, *parts):
         return F.struct(F.xxhash64(*parts).alias("v"), F.lit(role).alias("role"))
 
-    opened = key(OPEN, n, j, whole.bitwiseXOR(F.get("here", j)))
-    short = key(SHORT, n - 1, F.get("p", j).bitwiseXOR(F.get("q", n)).bitwiseXOR(F.get("q", j + 1)))
-    return each.select("id", F.inline(
-        F.when(j == n, F.array(key(WHOLE, n, whole))).when(n > MIN_WORDS, F.array(opened, short))
-        .otherwise(F.array(opened))))
+    def keys(j):
+        n = F.col("n")
+        whole = F.get("p", n)
+        opened = key(OPEN, n, j, whole.bitwiseXOR(F.get("here", j)))
+        short = key(SHORT, n - 1, F.get("p", j).bitwiseXOR(F.get("q", n)).bitwiseXOR(F.get("q", j + 1)))
+        return F.when(j == n, F.array(key(WHOLE, n, whole))).when(
+            n > MIN_WORDS, F.array(opened, short)).otherwise(F.array(opened))
+
+    every = F.sequence(F.lit(0), F.col("n"))
+    each = sums(hashed.where(F.col("n") <= LONG), _running).select("*", F.explode(every).alias("j"))
+    long = sums(hashed.where(F.col("n") > LONG), _running_long)
+    return each.select("id", F.inline(keys(F.col("j")))).unionByName(
+        long.select("id", F.inline(F.flatten(F.transform(every, keys)))))
 
 
 def _within_one(a: Column, b: Column) -> Column:
