@@ -1,7 +1,12 @@
 """From documents to packed training sequences.
 
 Each stage is a function of (spark, docs, sf_dir) that works on all rows its predecessor
-kept. All but the last return the columns of documents.
+kept. All but the last return the columns of documents, of the rows that stay.
+
+Null and empty texts have no language and go in the first stage. Rows of equal id and text are
+one document and share every decision until the near-dedup stage keeps one of them; of equal
+texts the smallest id stays, a null id counts as the largest. Texts of any length are read
+whole. An empty table gives an empty one, and other columns are kept, whatever their names.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +17,8 @@ from tidemark.session import store
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letter, or no language with a probability of one half."""
+    """Documents go that have no letter, no language with a probability of one half, or a code
+    longer than the text itself, as in a language that was not learned."""
     model = language_id.train(docs.where(crc_mod("doc_id", 4) != 2))
     return language_id.keep_known(docs, model)
 

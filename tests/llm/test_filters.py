@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm import plain, plain_more
@@ -71,6 +72,21 @@ def test_language_of_odd_rows(spark, rows):
     assert language_id.classify(docs.where("false"), model).count() == 0
 
 
+def test_unlearned_languages_and_noise_are_not_kept(spark):
+    docs = small_table(spark)
+    model = language_id.train(docs.where("doc_id % 4 <> 2"))
+    rng = random.Random(4)
+    noise = "".join(rng.choice("bcdfghjklmnpqrstvwxz ") for _ in range(400))
+    rows = [(1, noise), (2, "Это текст о погоде и природе. " * 9), (3, "これは日本語の文章です。" * 9),
+            (4, "1234 --"), (5, None), (6, ""), (7, "die"), (8, docs.where("lang = 'en'").first().text)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang_pred string")
+    kept = language_id.keep_known(df, model)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [7, 8]
+    known = docs.where("text rlike '[a-z]' and lang is not null")
+    assert language_id.keep_known(known, model).count() == known.count()
+    assert language_id.keep_known(df.where("false"), model).count() == 0
+
+
 def test_training_sample_is_bounded(spark):
     docs = spark.range(300).selectExpr("id as doc_id", "'x' as lang", "cast(id as string) as text")
     assert language_id.training_sample(docs, 20).count() == 20
@@ -109,6 +125,48 @@ def test_line_dedup_equals_plain(spark):
     assert got == {k[0]: v for k, v in plain_more.dedup_lines(alone).items()}
 
 
+@pytest.mark.parametrize("long", [1000, 3])
+def test_line_dedup_of_short_and_odd_lines(spark, monkeypatch, long):
+    monkeypatch.setattr(line_dedup, "LONG", long)
+    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    rng = random.Random(long)
+    words = [f"w{i}" for i in range(40)]
+    lines = []
+    for _ in range(150):
+        line = rng.choices(words, k=rng.choice([1, 2, 3, 4, 5, 5, 6, 7, 8, 9, 16, 17, 33]))
+        lines.append(line)
+        for _ in range(rng.randrange(3)):
+            i, w = rng.randrange(len(line)), rng.choice(words)
+            lines.append(rng.choice([line[:i] + line[i + 1 :], line[:i] + [w] + line[i:],
+                                     line[:i] + [w] + line[i + 1 :]]))
+    rng.shuffle(lines)
+    docs = [(i, "\n".join(map(" ".join, lines[i * 5 : i * 5 + 5]))) for i in range(len(lines) // 5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.line_report(df).collect()}
+    want = {k[0]: v for k, v in plain_more.dedup_lines(docs).items()}
+    assert got == want and sum(v[1] for v in want.values()) > 30
+
+
+def test_line_dedup_of_a_very_long_line(spark):
+    words = [f"w{i % 977}" for i in range(100_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:70_000] + ["new"] + words[70_000:])),
+            (3, " ".join(words[:500] + words[501:])), (4, " ".join(["x", *words, "y"])), (5, "short")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_report(df).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0}
+
+
+def test_running_sums_in_blocks(spark):
+    values = [i * 7919 for i in range(1, 1500)]
+    df = spark.createDataFrame([(values[:n],) for n in (1, 2, 255, 256, 257, 512, 1499)], "v array<long>")
+    for row in df.select("v", line_dedup._running_long(F.col("v")).alias("p")).collect():
+        x, want = 0, [0]
+        for v in row.v:
+            x ^= v
+            want.append(x)
+        assert row.p == want
+
+
 def test_line_dedup_of_equal_and_missing_ids(spark):
     df = spark.createDataFrame(odd_lines(), DOCS)
     got = line_dedup.line_report(df).collect()

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -48,6 +49,27 @@ def test_stages_and_run(spark):
     places_are_sound(packed, 2048)
 
 
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    own = docs.where("doc_id < 40 and text is not null").withColumns({"_d": F.lit(1), "fp": F.lit("x")})
+    odd = spark.createDataFrame(
+        [(None, None, "en"), (900, "", "en"), (901, " \n", None), (902, "12 34", "de")],
+        "doc_id long, text string, lang string")
+    table = own.unionByName(own.limit(5)).unionByName(odd, allowMissingColumns=True)
+    spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, rows in (("odd", table), ("none", table.where("false"))):
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, str(tmp_path))
+            assert now.columns == rows.columns
+        kept = [r.doc_id for r in now.collect()]
+        assert len(kept) == len(set(kept)) and not {None, 900, 901, 902} & set(kept)
+        assert (len(kept) > 10) == (name == "odd")
+        packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+        assert {r.doc_id for r in packed} == set(kept)
+
+
 def with_letters(spark, rows):
     return [r for r in rows if any(c.isalpha() for c in r[1] or "")]
 

@@ -26,6 +26,7 @@ ORDER = 3
 START = 10  # a text counts as following line feeds
 UNIT = 65536  # code lengths are whole numbers of 1/65536 bit, so that sums are exact
 UNKNOWN = "und"
+SLACK = 256  # bits that a short text may take beyond its own
 #: Bytes of the sample that one task counts.
 TASK = 16_000_000
 #: Bytes of text that are scored at once; workers stay small beside the stages that follow.
@@ -213,13 +214,23 @@ def code_lengths(model: Model, texts: pa.Array, step: int = 250_000) -> np.ndarr
     return total
 
 
-def predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+def plausible(texts: pa.Array, shortest: np.ndarray) -> np.ndarray:
+    """Whether each text's shortest code is no longer than its bytes as they are, eight bits each
+    and ``SLACK`` in all. A text in none of the learned languages, or of random letters, takes
+    more: it would be shorter without a model."""
+    _, at = text_bytes(texts)
+    return shortest <= (8 * np.diff(at) + SLACK) * UNIT
+
+
+def predict(
+    model: Model, texts: pa.Array, lengths: np.ndarray | None = None
+) -> tuple[list[str], np.ndarray]:
     """The language of each text and the probability of it, if all are as likely before."""
     letter = regex.compile(r"\p{L}").search
     readable = np.array([bool(t) and letter(t) is not None for t in texts.to_pylist()], bool)
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    lengths = code_lengths(model, texts)
+    lengths = code_lengths(model, texts) if lengths is None else lengths
     best = lengths.argmin(axis=1)
     more = (lengths - lengths.min(axis=1, keepdims=True)) / UNIT
     score = np.where(readable, 1 / np.exp2(-np.minimum(more, 1000)).sum(axis=1), 0.0)
@@ -249,15 +260,20 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, unchanged, that have a language with at least ``least``."""
+    """The rows of ``docs``, unchanged, that have a language with at least ``least`` and whose
+    code under it is not longer than the text itself; see :func:`plausible`."""
     spark = arrow_settings(docs.sparkSession)
     shared = spark.sparkContext.broadcast(tuple(vars(model).values()))
 
     def run(batches):
         model = Model(*shared.value)
         for table in blocks(batches, "text", PART):
-            found, score = predict(model, column_of(table, "text"))
+            texts = column_of(table, "text")
+            lengths = code_lengths(model, texts)
+            found, score = predict(model, texts, lengths)
             keep = (np.array(found, object) != UNKNOWN) & (score >= least)
+            if model.languages:
+                keep &= plausible(texts, lengths.min(axis=1))
             yield from table.filter(pa.array(keep.astype(bool))).to_batches()
 
     return docs.mapInArrow(run, docs.schema)
