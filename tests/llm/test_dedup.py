@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,3 +153,32 @@ def test_empty_tables(spark):
     assert substring_dedup.remove_repeats(empty).count() == 0
     assert simhash_dedup.near_duplicate_groups(empty).count() == 0
     assert simhash_dedup.keep_first(empty).count() == 0
+
+
+def test_simhash_groups_of_repeated_and_missing_ids(spark):
+    """Ids that several texts share connect nothing."""
+    rng = np.random.default_rng(11)
+    prints = rng.integers(-(2**63), 2**63 - 1, 12)
+    rows = [(None, int(prints[0])), (None, int(prints[1])), (5, int(prints[0]) ^ 3), (7, int(prints[2])),
+            (7, int(prints[3])), (9, int(prints[3]) ^ 0b1111), (9, int(prints[4])), (3, int(prints[4]) ^ 1)]
+    df = spark.createDataFrame(rows, "doc_id long, fp long")
+    got = {(r.doc_id, r.fp): r.component_id for r in simhash_dedup.with_components(df).collect()}
+    last = simhash_dedup.LAST_ID
+    assert [got[r] for r in rows] == [5, last, 5, 7, 7, 7, 3, 3]
+
+
+def test_a_dense_crowd_of_fingerprints_has_few_links(spark):
+    centre = 0x5A5A_1234_8765_0FF0
+    crowd = {centre ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a, 64)}
+    crowd |= {centre, *(centre ^ (1 << a) for a in range(64))}
+    far = [centre ^ 0xFFFF_FFFF, centre ^ 0xFFFF_FFFF_0000]
+    rows = [(i, x - 2**64 if x >= 2**63 else x) for i, x in enumerate([*sorted(crowd), *far])]
+    df = spark.createDataFrame(rows, "doc_id long, fp long").repartition(4)
+    nodes = df.select("fp", F.col("fp").alias("node"))
+    assert len(crowd) == 2081 and simhash_dedup.one_bit_links(nodes).count() < 64 * len(rows) // 2
+    got = {r.doc_id: r.component_id for r in simhash_dedup.with_components(df).collect()}
+    n = len(crowd)
+    assert got == {**dict.fromkeys(range(n), 0), n: n, n + 1: n + 1}
+    first = simhash_dedup.components(simhash_dedup.one_bit_links(nodes))
+    known = nodes.join(first, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("known"))
+    assert simhash_dedup.fingerprint_links(known).count() == 0

@@ -118,8 +118,17 @@ def _variants(fp: Column, cuts: list[tuple[int, int]]) -> Column:
     ])
 
 
+def one_bit_links(nodes: DataFrame) -> DataFrame:
+    """(a, b): the ``node`` of each two rows whose distinct ``fp`` differ by one bit. Without
+    that bit they are equal, and no third one is, so pairs need no join."""
+    listed = nodes.select("node", F.explode(_variants(F.col("fp"), [(0, 64)])).alias("v"))
+    return listed.groupBy("v.wild", "v.rest").agg(
+        F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
+
+
 def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b): the ``node`` of each two rows whose ``fp`` differ by at most ``max_bits`` bits.
+    """(a, b): the ``node`` of each two rows whose ``fp`` differ by at most ``max_bits`` bits;
+    of those with the same value in a column ``known``, none.
 
     ``fp`` must be distinct. Each fingerprint is listed under all its one-wildcard segments;
     two that are close enough share a listing, found by an equality join in which the
@@ -127,9 +136,11 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     out once.
     """
     cuts = segments(max_bits)
-    listed = nodes.select("node", "fp", F.explode(_variants(F.col("fp"), cuts)).alias("v")).select(
-        "node", "fp", F.col("v.wild").alias("wild"), F.col("v.rest").alias("rest")
-    )
+    if "known" not in nodes.columns:
+        nodes = nodes.withColumn("known", F.col("fp"))
+    listed = nodes.select(
+        "node", "fp", "known", F.explode(_variants(F.col("fp"), cuts)).alias("v")
+    ).select("node", "fp", "known", F.col("v.wild").alias("wild"), F.col("v.rest").alias("rest"))
     a, b = listed.alias("a"), listed.alias("b")
     differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     parts = [differ.bitwiseAND(F.lit(_mask(*cut))) for cut in cuts]
@@ -144,19 +155,32 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         b,
         (F.col("a.wild") == F.col("b.wild")) & (F.col("a.rest") == F.col("b.rest"))
         & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(differ) <= max_bits)
-        & (F.col("a.wild") == at),
+        & (F.col("a.wild") == at) & (F.col("a.known") != F.col("b.known")),
     ).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
 def with_components(marked: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Adds ``component_id`` to rows with ``doc_id`` and ``fp``: the smallest id reachable
-    over links between fingerprints. A null id counts as the largest one and comes last."""
+    over links between fingerprints. A null id counts as the largest one and comes last.
+
+    Fingerprints one bit apart are joined first. In a dense crowd nearly all are connected by
+    that, and of the other links only those between its groups are listed, not every pair."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    nodes = store(marked.groupBy("fp").agg(F.min(key).alias("node")), "fingerprints")
-    groups = components(fingerprint_links(nodes, max_bits))
-    named = nodes.join(groups, "node", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "node").alias("_component")
-    )
+    nodes = store(marked.groupBy("fp").agg(F.min(key).alias("lowest")), "fingerprints")
+    marks = nodes.select("fp", F.col("fp").alias("node"))  # ids may be null or repeated
+    if max_bits:
+        first = store(components(one_bit_links(marks)), "groups")
+        known = F.coalesce("component", "node").alias("known")
+        grouped = store(marks.join(first, "node", "left").select("node", "fp", known), "known")
+        links = fingerprint_links(grouped, max_bits).unionByName(first.select(
+            F.col("node").alias("a"), F.col("component").alias("b")))
+        joined = store(components(links).withColumnRenamed("node", "fp").join(nodes, "fp"), "groups")
+        least = joined.groupBy("component").agg(F.min("lowest").alias("_least"))
+        groups = joined.join(least, "component").select("fp", "_least")
+        nodes = nodes.join(groups, "fp", "left")
+    else:
+        nodes = nodes.withColumn("_least", F.col("lowest"))
+    named = nodes.select(F.col("fp").alias("_fp"), F.coalesce("_least", "lowest").alias("_component"))
     return marked.join(named, F.col("fp") == F.col("_fp")).drop("_fp").withColumnRenamed(
         "_component", "component_id"
     )
