@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL, plan_of
 from tidemark.catalog import QUERIES
+from tidemark.operators import quantiles
 from tools.check_oracles import compare, connect
 
 
@@ -35,8 +36,14 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
         assert node not in plan
 
 
-def test_scans_read_only_needed_columns(spark):
-    plan = plan_of(entry.queries()["baseline_by_station"](spark, SMALL))
+def test_scans_read_only_needed_columns(spark, monkeypatch):
+    plans, store = [], quantiles.store
+    monkeypatch.setattr(
+        quantiles, "store", lambda df, name: (plans.append(plan_of(df)), store(df, name))[1])
+    after = plan_of(entry.queries()["baseline_by_station"](spark, SMALL))
+    # The readings are read once, when their values are counted.
+    (plan,) = plans
     assert "ReadSchema: struct<user_id:bigint,value:double>" in plan
+    assert plan.count("FileScan") == 1 and "user_id" not in after
     plan = plan_of(entry.queries()["baseline_enriched"](spark, SMALL))
     assert "PushedFilters: [IsNotNull(c_nationkey), GreaterThanOrEqual(c_nationkey,5)" in plan
