@@ -139,8 +139,11 @@ def statistics(text):
             len(lines) - len(set(lines)), len(again), n < 10 or 100 * len(again) > 20 * n)
 
 
-def outliers(rows, widths, grid, cover, steps, rings, grow, limit):
-    """Distances of rows (group, statistics) by the concentration steps, with numpy."""
+def outliers(rows, widths, grid, cover, fall, inside, rings, grow, within):
+    """Distances of rows (group, statistics) by minimum covariance determinant, with numpy.
+
+    ``grow`` multiplies the covariances of the half and of the inner part, ``within`` is the
+    latter's squared distance."""
     groups = defaultdict(list)
     for i, (group, s) in enumerate(rows):
         n, chars, symbols, dup, repeat, failed = s
@@ -149,23 +152,39 @@ def outliers(rows, widths, grid, cover, steps, rings, grow, limit):
         if not failed:
             groups[group].append((i, np.floor(np.array(x) * grid + 0.5)))
     out = {}
-    floor = np.diag((np.array(widths) * grid) ** 2)
+    least = np.array(widths) * grid
+    floor = np.diag(least**2)
+
+    def distance(x, mean, cov):
+        z = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T)
+        return (z * z).sum(axis=0)
+
+    def estimate(own, k):
+        return own.mean(axis=0), grow[k] * np.cov(own.T, bias=True) + floor
+
     for members in groups.values():
-        x = np.array([v for _, v in members])
-        ranked = np.sort(x, axis=0)
+        x = np.unique([v for _, v in members], axis=0)
+        ranked, half = np.sort(x, axis=0), -(-len(x) // 2) - 1
         q1, q2, q3 = (ranked[-(-q * len(x) // 4) - 1] for q in (1, 2, 3))
-        mean = q2
-        cov = np.diag(np.maximum((q3 - q1) / 1.349, np.array(widths) * grid) ** 2)
-
-        def distance():
-            z = np.linalg.solve(np.linalg.cholesky(cov), (x - mean).T)
-            return (z * z).sum(axis=0)
-
-        for _ in range(steps):
-            ring = np.floor(np.log(distance() + 1e-3) * rings)
-            most = np.sort(ring)[math.ceil(cover * len(x)) - 1]
-            own = x[ring <= most]
-            mean = own.mean(axis=0)
-            cov = grow * np.cov(own.T, bias=True) + floor
-        out |= dict(zip((i for i, _ in members), distance().tolist()))
+        away = np.maximum(np.sort(np.abs(x - q2), axis=0)[half] / 0.6745, least)
+        v = (x - q2) / away
+        v = v[(v != 0).any(axis=1)]
+        signs = v / np.linalg.norm(v, axis=1, keepdims=True)
+        shape = len(widths) * signs.T @ signs / max(1, len(v)) * np.outer(away, away)
+        best = None
+        for start in (np.diag(np.maximum((q3 - q1) / 1.349, least) ** 2), np.diag(away**2), shape + floor):
+            mean, cov, det = q2, start, math.inf
+            while True:
+                ring = np.floor(np.log(distance(x, mean, cov) + 1e-3) * rings)
+                after = estimate(x[ring <= np.sort(ring)[math.ceil(cover * len(x)) - 1]], 0)
+                new = np.linalg.det(after[1] / grid**2)
+                if new >= det * (1 - fall):
+                    break
+                (mean, cov), det = after, new
+            if best is None or det < best[0] * (1 - 1e-9):
+                best = det, mean, cov
+        _, mean, cov = best
+        last = estimate(x[distance(x, mean, cov) <= within], 1)
+        far = distance(np.array([v for _, v in members]), *last)
+        out |= dict(zip((i for i, _ in members), far.tolist()))
     return out

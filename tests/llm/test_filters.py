@@ -300,11 +300,11 @@ def test_quality_rules_equal_plain(spark):
     rows += [(None, "word " * 20000, "en", "s", 1), (3, rows[3][1], "en", "s", 1)]
     _, got = judged(spark, rows)
     q = quality_rules
-    grow = q.COVER / q.chi_square(q.chi_square_point(q.COVER, q.P), q.P + 2)
     limit = q.chi_square_point(1 - q.TAIL, q.P)
     stats = [plain_more.statistics(r[1]) for r in rows]
-    far = plain_more.outliers([((r[2], r[3]), s) for r, s in zip(rows, stats)], q.WIDTHS, q.GRID,
-                              q.COVER, q.STEPS, q.RINGS, grow, limit)
+    far = plain_more.outliers(
+        [((r[2], r[3]), s) for r, s in zip(rows, stats)], q.WIDTHS, q.GRID, q.COVER, q.FALL, q.INSIDE, q.RINGS,
+        [q.consistency(q.COVER), q.consistency(q.INSIDE)], q.chi_square_point(q.INSIDE, q.P))
     want = sorted(((str(r[0]), *s, i in far and far[i] <= limit, round(far.get(i, -1), 6))
                    for i, (r, s) in enumerate(zip(rows, stats))), key=str)
     have = sorted(((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines,
@@ -322,6 +322,44 @@ def test_quality_rules_reject_an_outlier_and_keep_the_rest(spark):
     assert {r.doc_id for r in got if not r.kept} == {999}
 
 
+@pytest.mark.parametrize("copies", [0, 150, 600])
+def test_quality_rules_reject_any_number_of_copies_of_an_outlier(spark, copies):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"{'x' * rng.randrange(2, 9)}{rng.randrange(999)}" for _ in range(rng.randrange(60, 300))),
+             "en", "s", 1) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"###{k}$$$" for k in range(150)), "en", "s", 1) for i in range(copies)]
+    _, got = judged(spark, rows)
+    assert {r.doc_id for r in got if not r.kept} == {1000 + i for i in range(copies)}
+
+
+def test_quality_rules_reject_a_crowd_of_different_outliers(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"{'x' * rng.randrange(2, 9)}{rng.randrange(999)}" for _ in range(rng.randrange(60, 300))),
+             "en", "s", 1) for i in range(300)]
+    rows += [(1000 + i, " ".join(f"###{k}$$${'y' * rng.randrange(3)}" for k in range(100 + i)), "en", "s", 1)
+             for i in range(200)]
+    _, got = judged(spark, rows)
+    assert {r.doc_id for r in got if not r.kept} == {1000 + i for i in range(200)}
+
+
+def test_minimum_covariance_takes_the_smallest_determinant(spark):
+    rng = np.random.default_rng(5)
+    x = np.floor(rng.normal(0, 900, (400, 5)) @ rng.normal(0, 1, (5, 5)))
+    x[:150] = np.floor(rng.normal(0, 300, (150, 5)) + 20000)
+    q = quality_rules
+    points = spark.createDataFrame([("g", *map(float, v)) for v in x], "_group string, " + ", ".join(
+        f"{c} double" for c in q.XS))
+    found = q.minimum_covariance(points).first()
+    clean = x[150:]
+    assert np.abs(np.array([found[m] for m in q.MEANS]) - clean.mean(axis=0)).max() < 0.5 * clean.std(axis=0).max()
+    lower = np.zeros((5, 5))
+    for i, j in q.PAIRS:
+        lower[i, j] = found[f"l{i}{j}"]
+    ratio = np.linalg.det(lower @ lower.T) / np.linalg.det(np.cov(clean.T) + np.diag(q.FLOOR))
+    assert 0.3 < ratio < 3
+    assert q.minimum_covariance(points.where("false")).count() == 0
+
+
 def test_quality_rules_of_nothing(spark):
     df, got = judged(spark, [(1, None, None, None, 1), (2, "", "en", "s", 1)])
     assert [(r.base_failed, r.kept) for r in got] == [(True, False)] * 2
