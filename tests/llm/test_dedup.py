@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,12 +75,42 @@ def test_copies_travel_once_for_a_block():
 
     text = sentence(random.Random(1), 60, 1000)
     table = pa.table({"_d": np.arange(200), "_t": np.arange(200), "text": [text] * 200})
-    spans, packed = substring_dedup._scatter(table, 13, 3, 4)
+    spans, packed = substring_dedup._scatter(table, 13, 3, 4, np.zeros(0, np.uint64))
     assert spans.num_rows == 199 and set(spans["b"].to_pylist()) == {60}
     for _, head, body in packed:
         assert set(substring_dedup._unpack([head], [body])[0]["d"]) == {0}
 
 
+def phrase_texts(n, rng):
+    """Texts of random words; in a third of them every fourth to sixth is one phrase."""
+    def one(i):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(60, 120))]
+        return " ".join(w + (" of the same" if i % 3 == 0 and k % 3 == 0 else "") for k, w in enumerate(words))
+
+    return [(i, one(i)) for i in range(n)]
+
+
+def test_substring_dedup_spreads_a_frequent_phrase(spark, monkeypatch):
+    rows = phrase_texts(1500, random.Random(7))
+    table = pa.table({"_d": [d for d, _ in rows], "_t": [0] * len(rows), "text": [t for _, t in rows]})
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hot = substring_dedup.hot_minimisers(df)
+    assert 0 < len(hot) < substring_dedup.HOT
+
+    def largest(keys):
+        _, packed = substring_dedup._scatter(table, 13, 3, 4096, keys)
+        sizes = Counter()
+        for bucket, head, body in packed:
+            sizes[bucket] += len(substring_dedup._unpack([head], [body])[1])
+        return max(sizes.values()) / sum(sizes.values())
+
+    assert largest(hot[:0]) > 0.05 and largest(hot) < 0.01
+    copies = rows + [(9000 + i, f"{i} {t} {i}") for i, t in rows[:60]]
+    monkeypatch.setattr(substring_dedup, "LOCAL", 40_000)
+    df = spark.createDataFrame(copies, "doc_id long, text string").repartition(5)
+    assert substring_rows(substring_dedup.remove_repeats(df)) == sorted(plain.remove_repeats(copies), key=str)
+
+
 def test_substring_dedup_of_a_table(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

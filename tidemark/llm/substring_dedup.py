@@ -23,7 +23,10 @@ INNER = 3
 SPREAD = 2
 #: Bytes of text that are compared before the rest travels.
 LOCAL = 6_000_000
-#: What travels beside a stretch: the low bits of its minimiser, its place in the list of
+#: A minimiser of over one in so many windows is hot: its stretches are dealt out by a second
+#: key. Those of at least NOTED windows are counted in each block. Neither changes the result.
+HOT, NOTED = 2048, 256
+#: What travels beside a stretch: the high bits of its key, its place in the list of
 #: documents, its first word (low and high half) and its bytes (likewise).
 HEAD = [("minimiser", np.uint32), ("doc", np.uint32), ("start", np.uint32),
         ("start_high", np.uint32), ("size", np.uint32), ("size_high", np.uint32)]
@@ -143,7 +146,58 @@ def _gather(raw: np.ndarray, start: np.ndarray, size: np.ndarray, step: int = 1_
     return out
 
 
-def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
+def _least(words: np.ndarray, window: int, inner: int) -> np.ndarray:
+    """The smallest hash of the runs of ``inner`` words in each window."""
+    small = run_hashes(words, inner)
+    least = small[: max(0, len(words) - window + 1)].copy()
+    for j in range(1, window - inner + 1):
+        np.minimum(least, small[j : j + len(least)], out=least)
+    return least
+
+
+def _keys(words: np.ndarray, window: int, inner: int, hot: np.ndarray) -> np.ndarray:
+    """What equal windows share and neighbours mostly do: the minimiser, and where that is one
+    of ``hot`` (in order) the minimiser of longer runs beside it."""
+    key = _least(words, window, inner)
+    if len(hot) and len(key):
+        place = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+        common = np.flatnonzero(hot[place] == key)
+        if len(common):
+            wide = _least(words, window, (window + inner + 1) // 2)
+            key[common] = run_hashes(np.stack([key[common], wide[common]], axis=1).ravel(), 2)[::2]
+    return key
+
+
+def _frequent(table: pa.Table, window: int, inner: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The block's minimisers of at least NOTED windows, their windows, and all its windows."""
+    data, at = text_bytes(column_of(table, "text"))
+    starts, ends, first = find_words(data, at)
+    _, p = room_left(first, window)
+    if not len(p):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+    key, n = np.unique(_least(word_hashes(data, starts, ends), window, inner)[p], return_counts=True)
+    often = n >= NOTED
+    return key[often], n[often], len(p)
+
+
+def hot_minimisers(rows: DataFrame, window: int = WINDOW, inner: int = INNER) -> np.ndarray:
+    """The minimisers of more than one in HOT windows of all texts, in order: fewer than HOT.
+    Counted in blocks, so that windows of those rare in a block may be missing."""
+    def count(batches):
+        for table in blocks(batches, "text", LOCAL):
+            key, n, total = _frequent(table, window, inner)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([None, *key.view(np.int64).tolist()], pa.int64()),
+                pa.array([total, *n.tolist()], pa.int64())], names=["key", "n"])
+
+    counted = store(rows.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(
+        F.sum("n").alias("n")), "minimisers")
+    total = counted.where("key is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = counted.where(F.col("key").isNotNull() & (F.col("n") * HOT > total)).select("key").collect()
+    return np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
+
+
+def _scatter(table: pa.Table, window: int, inner: int, buckets: int, hot: np.ndarray):
     """Of one block of documents: spans that are settled inside it, and for each bucket the
     packed stretches of all windows whose first owner in the block is their document."""
     table = table.sort_by("_d")
@@ -157,14 +211,11 @@ def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
     raw, place = joined_words(data, starts, ends)
     late = _after_first(raw, place, words, p, d[text], window)
     spans = _spans(d[text[late]], t[text[late]], (p - first[:-1][text])[late], window)
-    small = run_hashes(words, inner)
-    least = small[: len(words) - window + 1].copy()
-    for j in range(1, window - inner + 1):
-        np.minimum(least, small[j : j + len(least)], out=least)
+    keys = _keys(words, window, inner, hot)
     text, p = text[~late], p[~late]
-    cut = _runs(text, p - np.arange(len(p)), least[p])
+    cut = _runs(text, p - np.arange(len(p)), keys[p])
     last = np.append(cut[1:], len(p)) - 1
-    bucket = (least[p[cut]] % np.uint64(buckets)).astype(np.int64)
+    bucket = (keys[p[cut]] % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     edges = np.append(_runs(bucket[order]), len(order)) if len(order) else [0]
     packed = []
@@ -174,7 +225,7 @@ def _scatter(table: pa.Table, window: int, inner: int, buckets: int):
         size = place[b] - place[a]
         owners, doc = np.unique(text[cut[own]], return_inverse=True)
         head, body = _pack(
-            {"minimiser": least[a] >> np.uint64(32), "doc": doc, "size": size,
+            {"minimiser": keys[a] >> np.uint64(32), "doc": doc, "size": size,
              "start": a - first[:-1][owners][doc]},
             np.stack([d[owners], t[owners]]), _gather(raw, place[a], size),
         )
@@ -215,16 +266,18 @@ def covered_spans(rows: DataFrame, window: int = WINDOW, inner: int = INNER) ->
 
     Documents are first compared inside a block of a few megabytes (``LOCAL``), and only the earliest
     owner's occurrences of a window travel on. A window that a third of all documents share
-    therefore reaches its bucket once for each block, not once for each document.
+    therefore reaches its bucket once for each block, not once for each document. Stretches of
+    a phrase that is frequent in different surroundings are dealt out by a second key.
     """
     spark = arrow_settings(rows.sparkSession)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = SPREAD * partitions
+    hot = hot_minimisers(rows, window, inner)
     empty = pa.table({k: pa.array([], pa.int64()) for k in ("_d", "_t", "a", "b")})
 
     def scatter(batches):
         for table in blocks(batches, "text", LOCAL):
-            spans, packed = _scatter(table, window, inner, buckets)
+            spans, packed = _scatter(table, window, inner, buckets, hot)
             n = 0 if spans is None else spans.num_rows
             if n:
                 sink = pa.BufferOutputStream()
