@@ -188,3 +188,21 @@ def outliers(rows, widths, grid, cover, fall, inside, rings, grow, within):
         far = distance(np.array([v for _, v in members]), *last)
         out |= dict(zip((i for i, _ in members), far.tolist()))
     return out
+
+
+def attention_score(model, passages):
+    """The probability of label 1 for one document's rows, passage by passage."""
+    def sigmoid(v):
+        return 1 / (1 + math.exp(-v))
+
+    codes, strengths = [], []
+    for x in passages:
+        x = [(a - c) / s for a, c, s in zip(x, model.centre, model.scale)]
+        h = [math.tanh(sum(a * w for a, w in zip(x, column)) + b)
+             for column, b in zip(model.encode.T, model.encode_0)]
+        gated = [math.tanh(sum(a * w for a, w in zip(h, v))) * sigmoid(sum(a * w for a, w in zip(h, u)))
+                 for v, u in zip(model.value.T, model.gate.T)]
+        codes.append(h)
+        strengths.append(math.exp(sum(a * w for a, w in zip(gated, model.weight))))
+    z = [sum(e * h[k] for e, h in zip(strengths, codes)) / sum(strengths) for k in range(len(codes[0]))]
+    return sigmoid(max(-30, min(30, sum(a * w for a, w in zip(z, model.out)) + float(model.out_0))))

@@ -405,6 +405,19 @@ def test_gradient_of_the_network():
         assert (sides[0] - sides[1]) / 2e-5 == pytest.approx(exact[name][at], abs=1e-6)
 
 
+def test_quality_scores_equal_plain(spark):
+    rng = np.random.default_rng(6)
+    rows = odd_documents()
+    bags = [quality_classifier.features(pa.array([t or ""]))[0] for _, t in rows[:40]]
+    model = quality_classifier.fit(bags, rng.integers(0, 2, 40).astype(float))
+    got = quality_classifier.classify(spark.createDataFrame(rows, DOCS).repartition(3), model).collect()
+    want = sorted((str(d), plain_more.attention_score(model, quality_classifier.features(pa.array([t or ""]))[0]))
+                  for d, t in rows)
+    have = sorted((str(r.doc_id), r.score) for r in got)
+    assert [d for d, _ in have] == [d for d, _ in want]
+    assert [s for _, s in have] == pytest.approx([s for _, s in want], abs=1e-5)
+
+
 def test_quality_of_held_out_documents(spark):
     where = SMALL.replace("sf0.001", "sf0.01")
     docs = spark.read.parquet(f"{where}/documents.parquet")
