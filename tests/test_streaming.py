@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import os
 import time
 
@@ -306,6 +307,50 @@ def test_panes_give_the_same_windows_with_fewer_updates(spark, tmp_path):
     assert updates["panes"] * 2 < updates["direct"]
 
 
+def lines(folder, part, *data):
+    """A file of readings (station, time of day, value); modification times by ``part``."""
+    folder.mkdir(exist_ok=True)
+    path = folder / f"part-{part:03}.json"
+    path.write_text("".join(
+        json.dumps({"stationReference": s, "dateTime": f"2024-01-01T{at}Z", "value": v}) + "\n"
+        for s, at, v in data))
+    os.utime(path, (1_700_000_000 + part * 60,) * 2)
+
+
+def test_panes_write_no_state_row_for_each_window(spark, tmp_path):
+    """Fifty windows over each of many panes: state is written for panes and groups of stations."""
+    stations = [f"s{i}" for i in range(600)]
+    for part in range(3):
+        lines(tmp_path / "in", part, *((s, f"{part * 6:02}:02:00", 1.5) for s in stations))
+    stream = ev.valid_events(ev.parse_events(json_events_stream(spark, str(tmp_path / "in"), 1)))
+    query = al.run(al.start_alerts(flatten_window(paned_stats(stream, "250 minutes", "5 minutes")),
+                                   f"{tmp_path}/out", f"{tmp_path}/c", interval=None), WAIT)
+    assert counts_of(query)["n_updated"] < 5 * 3 * len(stations)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.distinct().count() == 600 * 50 * 2
+
+
+def test_panes_close_windows_of_silent_stations_and_after_restarts(spark, tmp_path):
+    """Stations without new readings, values missing, far from zero or seen once; each file is
+    a run of its own."""
+    got, direct = [], []
+    parts = [
+        [("a", "00:01:00", 1e9), ("a", "00:07:00", 1e9 + 0.5), ("b", "00:02:00", None)],
+        [("c", "00:31:00", 4.0), ("a", "00:22:00", 1e9 + 1), ("c", "00:33:30", None)],
+        [("d", "01:20:00", 1.0)], [("a", "03:00:00", 2.0), ("d", "02:59:00", 3.0)],
+        [("e", "09:00:00", 0.0)],
+    ]
+    for part, data in enumerate(parts):
+        lines(tmp_path / "in", part, *data)
+        for form, all_of in ((paned_stats, got), (windowed_stats, direct)):
+            stream = ev.valid_events(ev.parse_events(json_events_stream(spark, str(tmp_path / "in"))))
+            name = form.__name__
+            al.run(al.start_alerts(flatten_window(form(stream, "30 minutes", "5 minutes")),
+                                   f"{tmp_path}/{name}", f"{tmp_path}/c-{name}", interval=None), WAIT)
+            all_of.append(as_rows(spark.read.parquet(f"{tmp_path}/{name}")))
+    assert got == direct and [len(g) for g in got] == sorted(len(g) for g in got) and len(got[-1]) > 30
+
+
 def test_panes_of_a_table_equal_windows(rows):
     data = [(s, f"2024-01-01 0{h}:{m:02}:00", v) for s in "ab" for h in range(3)
             for m, v in ((0, 1e9 + h), (5, None), (7, 1e9 + 0.5), (59, float(h)))]

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.stats import mean_std
 from tidemark.schemas import STATION_KEY
+from tidemark.streaming.panes import windows_of_panes
 
 # Default window geometry and lateness.
 WINDOW_SIZE = "10 minutes"
@@ -45,6 +46,17 @@ def _merged(a: Column, b: Column) -> Column:
         ))
 
 
+def _windows_of_table(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """:func:`windows_of_panes` for panes that are all there."""
+    windows = panes.groupBy(STATION_KEY, F.window(F.window_time("pane"), size, slide)).agg(
+        F.collect_list(F.struct("n", "c", "mean", "m2")).alias("panes"))
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("c"),
+                    F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    # In order of the states themselves, so that sums do not depend on the order of arrival.
+    merged = windows.withColumn("all", F.aggregate(F.array_sort("panes"), zero, _merged))
+    return merged.select(STATION_KEY, "window", "all.*")
+
+
 def paned_stats(
     events: DataFrame,
     size: str = WINDOW_SIZE,
@@ -55,8 +67,8 @@ def paned_stats(
 
     A reading goes into one pane, and only closed panes go into the windows over them, so state
     is touched once for each station and pane in a micro-batch, and not once for each of size /
-    slide windows. A window holds at most size / slide pane states until it closes, when the
-    direct form would close it as well.
+    slide windows. On a stream :mod:`tidemark.streaming.panes` keeps the panes until their last
+    window closes; a window closes when the direct form would close it as well.
     """
     value = F.col("value")
     panes = (
@@ -66,17 +78,12 @@ def paned_stats(
              F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
              F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2"))
     )
-    windows = panes.groupBy(STATION_KEY, F.window(F.window_time("pane"), size, slide)).agg(
-        F.collect_list(F.struct("n", "c", "mean", "m2")).alias("panes"))
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("c"),
-                    F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    # In order of the states themselves, so that sums do not depend on the order of arrival.
-    merged = windows.withColumn("all", F.aggregate(F.array_sort("panes"), zero, _merged))
-    c = F.col("all.c")
+    merged = (windows_of_panes if events.isStreaming else _windows_of_table)(panes, size, slide)
+    c, nan = F.col("c"), F.lit(float("nan"))
     return merged.select(
-        STATION_KEY, "window", F.col("all.n").alias("n_readings_window"),
-        F.when(c > 0, F.col("all.mean")).alias("mean_level_window"),
-        F.when(c > 1, F.sqrt(F.col("all.m2") / (c - 1))).alias("std_level_window"),
+        STATION_KEY, "window", F.col("n").alias("n_readings_window"),
+        F.when(c > 0, F.coalesce("mean", nan)).alias("mean_level_window"),
+        F.when(c > 1, F.coalesce(F.sqrt(F.col("m2") / (c - 1)), nan)).alias("std_level_window"),
     )
 
 
