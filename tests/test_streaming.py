@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Window, functions as F
 
 from tests.conftest import SMALL
-from tidemark.catalog import tables as t
+from tidemark.catalog import alerts, tables as t
 from tidemark.plans.batch_baseline import baseline_table
 from tidemark.plans.replay import replay_messages
 from tidemark.plans.stream_alerts import stream_alerts
@@ -20,6 +20,7 @@ from tidemark.streaming import alerts as al
 from tidemark.streaming import events as ev
 from tidemark.streaming.counts import counts_of, observed_events
 from tidemark.streaming.windows import flatten_window, open_windows, paned_stats, windowed_stats
+from tools.check_oracles import compare, connect
 
 WAIT = 300
 EVENT = "stationReference string, dateTime string, value double"
@@ -386,6 +387,34 @@ def test_counts_under_an_interval(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 110
 
 
+def test_parts_are_published_by_several_tasks_in_the_order_of_time(spark, monkeypatch):
+    monkeypatch.setattr(alerts, "FILE_ROWS", 50)
+    root = alerts.prepare_stream(spark, SMALL)
+    topic = spark.read.text(f"{root}/topic")
+    n_files = len(topic.inputFiles())
+    assert n_files > alerts.PARTS and n_files % alerts.PARTS == 0
+    at = F.from_json("value", EVENT)["dateTime"]
+    files = topic.groupBy(F.col("_metadata.file_modification_time").alias("written"),
+                          F.input_file_name().alias("file")).agg(F.min(at), F.max(at))
+    found = sorted(tuple(r) for r in files.collect())
+    each = n_files // alerts.PARTS
+    ends = [(min(f[2] for f in found[i:i + each]), max(f[3] for f in found[i:i + each]))
+            for i in range(0, n_files, each)]
+    assert len(found) == n_files and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    assert compare(spark, connect(SMALL), "alerts_stream", SMALL) == ""
+
+
+@pytest.mark.parametrize("times", [[], [None], ["2024-01-01 00:00:00"] * 7, ["2024-01-01 00:00:00", None, "2024-01-03 00:00:00"]])
+def test_parts_of_few_readings(spark, rows, tmp_path, times):
+    for name in ("customer", "nation", "region"):
+        os.symlink(f"{SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    data = [(i, time_, i % 2, 1.5 * i, "view") for i, time_ in enumerate(times)]
+    table = rows("event_id long, ts string, user_id long, value double, event_type string", *data)
+    table.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    root = alerts.prepare_stream(spark, str(tmp_path))
+    assert alerts.run_stream(spark, root).count() == (2 if times[-1:] == ["2024-01-03 00:00:00"] else 0)
+
+
 def test_run_reports_a_stream_that_does_not_end(spark, feed, tmp_path):
     messages = json_events_stream(spark, str(feed / "topic"))
     query = al.start_alerts(messages, str(tmp_path / "o"), str(tmp_path / "c"), "1 second")

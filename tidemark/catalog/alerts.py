@@ -147,23 +147,43 @@ def windowed_stats_not_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.plain_times(t.rounded(windows, *WINDOW_MOMENTS))
 
 
+#: Parts that the readings are published in, and the least rows in each of a part's files if it
+#: has more than one.
+PARTS, FILE_ROWS = 5, 100_000
+
+
 def prepare_stream(spark: SparkSession, sf_dir: str) -> str:
     """A folder with the baseline and the published readings."""
     root = scratch_path(spark, "alerts")
     readings = t.readings(spark, sf_dir)
     write_curated(baseline_table(readings, t.known_stations(spark, sf_dir)), f"{root}/baseline")
-    # Five folders in the order of time, one file each: at least five micro-batches.
-    first, last = readings.agg(F.min("dateTime").cast("double"), F.max("dateTime").cast("double")).first()
-    part = F.floor((F.col("dateTime").cast("double") - first) * 5 / (last - first + 1))
-    for i in range(5):
-        _publish(readings.where(part == i).coalesce(1), f"{root}/topic")
+    # In the order of time, each part written after the one before: at least five micro-batches.
+    steps = [i / PARTS for i in range(1, PARTS)]
+    cuts = readings.agg(F.percentile_approx(F.unix_micros("dateTime"), steps)).first()[0] or []
+    part = sum((F.unix_micros("dateTime") > cut).cast("int") for cut in cuts) + F.lit(0)
+    sizes = readings.where("dateTime IS NOT NULL").groupBy(part.alias("part")).count().collect()
+    rows = [r["count"] for r in sizes]
+    # As many files in every part, so that a micro-batch can take just one part.
+    files = max(1, min(rows) // FILE_ROWS) if len(rows) == PARTS else 1
+    for i in range(PARTS):
+        _publish(readings.where(part == i).repartition(files), f"{root}/topic")
+    found = len(spark.read.text(f"{root}/topic").inputFiles())
+    if found != files * PARTS:
+        raise ValueError(f"{found} files published instead of {files} in each of {PARTS} parts")
     return root
 
 
+def part_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The published readings as a stream of messages, a part in each micro-batch."""
+    topic = f"{root}/topic"
+    files = len(spark.read.text(topic).inputFiles())
+    return json_events_stream(spark, topic, max_files=files // PARTS)
+
+
 def run_stream(spark: SparkSession, root: str, refresh: bool = False) -> DataFrame:
-    """Stream the published readings to the end, a file at a time, and read the alerts."""
+    """Stream the published readings to the end, a part at a time, and read the alerts."""
     started = stream_alerts(
-        spark, json_events_stream(spark, f"{root}/topic", max_files=1), f"{root}/baseline",
+        spark, part_stream(spark, root), f"{root}/baseline",
         f"{root}/out", f"{root}/checkpoint", interval=None, refresh=refresh,
     )
     ops.run(started)
@@ -192,8 +212,7 @@ def alerts_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_windows(spark: SparkSession, sf_dir: str, form, *window: str) -> tuple[DataFrame, str]:
     """Windows of the published readings, streamed to the end, and the stream's checkpoint."""
     root = prepare_stream(spark, sf_dir)
-    messages = json_events_stream(spark, f"{root}/topic", max_files=1)
-    events = valid_events(parse_events(messages, LEVEL_EVENT))
+    events = valid_events(parse_events(part_stream(spark, root), LEVEL_EVENT))
     windows = flatten_window(form(events, *window))
     ops.run(ops.start_alerts(windows, f"{root}/out", f"{root}/checkpoint", interval=None))
     return read_baseline(spark, f"{root}/out"), f"{root}/checkpoint"
@@ -218,10 +237,9 @@ def windows_closed_and_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compacted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream's output, compacted in the middle and read with what came after."""
     root = prepare_stream(spark, sf_dir)
-    topic, out, packed = f"{root}/topic", f"{root}/out", f"{root}/packed"
-    messages = json_events_stream(spark, topic, max_files=1)
+    out, packed = f"{root}/out", f"{root}/packed"
     windows = flatten_window(stats_by_window(
-        valid_events(parse_events(messages, LEVEL_EVENT)), "1 day", "12 hours"))
+        valid_events(parse_events(part_stream(spark, root), LEVEL_EVENT)), "1 day", "12 hours"))
     started = ops.start_alerts(windows, out, f"{root}/checkpoint", interval=None)
     while not started.awaitTermination(0.5):
         if started.lastProgress and started.lastProgress.batchId >= 2:
