@@ -3,6 +3,8 @@ import json
 import os
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import AnalysisException
@@ -19,7 +21,10 @@ from tidemark.sources.files import json_events_stream, replay_stream
 from tidemark.streaming import alerts as al
 from tidemark.streaming import events as ev
 from tidemark.streaming.counts import counts_of, observed_events
-from tidemark.streaming.windows import flatten_window, open_windows, paned_stats, windowed_stats
+from tidemark.streaming import panes as pn
+from tidemark.streaming.windows import (
+    flatten_window, grouped_stats, open_windows, paned_stats, windowed_stats,
+)
 from tools.check_oracles import compare, connect
 
 WAIT = 300
@@ -360,6 +365,74 @@ def test_panes_of_a_table_equal_windows(rows):
         assert as_rows(paned_stats(table, size, slide)) == as_rows(windowed_stats(table, size, slide))
 
 
+BASE = ("stationReference string, mean_level_total double, std_level_total double, "
+        "alert_threshold_high double, alert_threshold_very_high double, riverName string, "
+        "catchmentName string, town string")
+
+
+@pytest.mark.parametrize("refresh", [False, True])
+def test_alerts_write_no_state_row_for_each_window(spark, rows, tmp_path, refresh):
+    write_curated(rows(BASE, ("s1", 1.0, 1.0, 1.0, 9.0, "r", "c", "t")), f"{tmp_path}/baseline")
+    for part in range(2):
+        lines(tmp_path / "in", part, *(
+            (f"s{i}", f"{part * 6:02}:{m:02}:00", 1.5) for i in range(600) for m in (2, 12, 22)))
+    query = stream_alerts(
+        spark, json_events_stream(spark, str(tmp_path / "in"), 1), f"{tmp_path}/baseline",
+        f"{tmp_path}/out", f"{tmp_path}/c", interval=None, refresh=refresh)
+    counts = counts_of(al.run(query, WAIT))
+    assert 0 < counts["n_updated"] <= pn.GROUPS * counts["n_batches"] and counts["n_rows"] == 3600
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.distinct().count() == 600 * 8
+    assert {tuple(r) for r in out.select("stationReference", "alert_level").distinct().collect()
+            if r.alert_level != "NORMAL"} == {("s1", "AMBER")}
+
+
+@pytest.mark.parametrize("size, slide", [("10 minutes", "5 minutes"), ("7 minutes", "3 minutes")])
+def test_groups_give_the_windows_of_the_direct_form(spark, tmp_path, size, slide):
+    """Late readings, of old and new stations and with some of their windows still open; silent
+    stations, missing values, windows over several micro-batches and a restart."""
+    parts = [
+        [("a", "00:01:00", 1e9), ("a", "00:07:00", 1e9 + 0.5), ("b", "00:02:00", None)],
+        [("a", "00:08:00", 1e9 + 1), ("c", "00:08:00.5", 4.0), ("c", "00:09:30", None)],
+        [("d", "01:21:00", 1.0)],
+        [("d", "01:20:30", 2.5)],
+        [("a", "01:06:30", 2.0), ("e", "01:07:00", 3.0), ("f", "01:02:00", 5.0), ("d", "01:12:00", 0.1)],
+        [("d", "01:21:30", 7.0), ("g", "00:05:00", 3.0), ("g", "01:09:00", None)],
+        [("h", "09:00:00", 0.0)],
+    ]
+    late = {}
+    for form in (grouped_stats, windowed_stats):
+        name = form.__name__
+        for first, run in ((0, parts[:5]), (5, parts[5:])):
+            for part, data in enumerate(run, first):
+                lines(tmp_path / f"in-{name}", part, *data)
+            stream = ev.valid_events(ev.parse_events(json_events_stream(spark, f"{tmp_path}/in-{name}", 1)))
+            query = al.run(al.start_alerts(flatten_window(form(stream, size, slide)),
+                                           f"{tmp_path}/{name}", f"{tmp_path}/c-{name}", interval=None), WAIT)
+            late.setdefault(name, []).append(counts_of(query)["n_late"])
+    got, direct = (as_rows(spark.read.parquet(f"{tmp_path}/{name}")) for name in late)
+    assert got == direct and len(got) == len(set(got)) > 10
+    assert late["grouped_stats"] == late["windowed_stats"] and all(late["grouped_stats"])
+
+
+def test_a_hot_station_takes_the_room_of_its_windows(monkeypatch):
+    monkeypatch.setattr(pn, "AT_ONCE", 100)
+    value = np.random.default_rng(0).normal(1e6, 1, 20_000)
+    value[::10] = np.nan
+    end = np.arange(20_000) % 7 * 300_000_000
+    chunks = (pd.DataFrame({"stationReference": "a", "value": value[i:i + 50], "window_end": end[i:i + 50]})
+              for i in range(0, 20_000, 50))
+    parts = pn.partial_windows(chunks)
+    assert sum(map(len, parts)) < 200
+    got = pn.merge_windows(parts).sort_values("window_end")
+    assert len(got) == 7
+    for at, r in zip(sorted(set(end)), got.itertuples()):
+        mine = value[end == at]
+        known = mine[~np.isnan(mine)]
+        assert (r.window_end, r.n, r.c) == (at, len(mine), len(known))
+        assert abs(r.mean - known.mean()) < 1e-8 and abs(r.m2 / (r.c - 1) - known.var(ddof=1)) < 1e-8
+
+
 def test_closed_and_open_windows_are_all_windows(spark, tmp_path):
     for part in range(2):  # also in the middle, and after a restart
         stream = minutes(spark, tmp_path / f"in{part}", 40 + 30 * part)

@@ -17,7 +17,7 @@ from tidemark.streaming.alerts import (
 from tidemark.streaming.counts import observed_events
 from tidemark.streaming.events import parse_events, valid_events
 from tidemark.streaming.windows import (
-    WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE, paned_stats, windowed_stats,
+    WATERMARK_DELAY, WINDOW_SIZE, WINDOW_SLIDE, grouped_stats, paned_stats,
 )
 
 
@@ -45,13 +45,14 @@ def stream_alerts(
 
     ``refresh`` re-reads the baseline in each micro-batch; the default keeps the files
     it saw at the start and is for a baseline that is not overwritten meanwhile. ``files``
-    limits the output files per micro-batch. ``panes`` gathers readings in panes of the slide's
-    length first, for windows many times as long and intervals shorter than the slide; a
-    checkpoint belongs to one of the two forms. What comes in is counted, see
+    limits the output files per micro-batch. Open windows are kept by groups of stations.
+    ``panes`` gathers readings in panes of the slide's length first, for windows many times as
+    long and intervals shorter than the slide; a checkpoint belongs to one of the two forms, and
+    one with a state row for each window to neither. What comes in is counted, see
     :mod:`tidemark.streaming.counts`.
     """
     events = valid_events(observed_events(parse_events(messages, LEVEL_EVENT)))
-    windows = (paned_stats if panes else windowed_stats)(events, size, slide, delay)
+    windows = (paned_stats if panes else grouped_stats)(events, size, slide, delay)
     if refresh:
         return start_alerts_refreshing(
             windows, baseline_path, out, checkpoint, interval, files, unknown, unique

@@ -1,12 +1,13 @@
-"""Windows over closed panes of a stream, from one state row for many stations."""
+"""Windows of a stream, over closed panes or over readings, from one state row for many stations."""
 
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.schemas import STATION_KEY
@@ -103,6 +104,95 @@ class PaneWindows(StatefulProcessor):
         pass
 
 
+def merge_windows(parts: list[pd.DataFrame]) -> pd.DataFrame:
+    """Partial results of windows, merged to one row for each station and window."""
+    every = pd.concat(parts, ignore_index=True).rename(columns={"window_end": "pane_end"})
+    ends = every["pane_end"]
+    return pd.concat(merge_panes(every, 1, 1, ends.min() - 1, ends.max()), ignore_index=True)
+
+
+def partial_windows(readings: Iterator[pd.DataFrame]) -> list[pd.DataFrame]:
+    """Readings in their windows as partial results, merged whenever they have grown to twice
+    their size, so that a hot station takes no more room than its windows."""
+    parts, size, limit = [], 0, AT_ONCE
+    for rows in readings:
+        value = rows["value"].to_numpy(dtype=float)
+        known = ~np.isnan(value)
+        parts.append(pd.DataFrame({
+            STATION_KEY: rows[STATION_KEY], "n": 1, "c": known.astype(np.int64),
+            "mean": np.where(known, value, 0.0), "m2": 0.0, "window_end": rows["window_end"]}))
+        size += len(rows)
+        if size >= limit:
+            parts = [merge_windows(parts)]
+            size = len(parts[0])
+            limit = 2 * size + AT_ONCE
+    return parts
+
+
+class ReadingWindows(StatefulProcessor):
+    """Keeps a group's windows, as one value, until the watermark passes them."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "done bigint, windows binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._closed(timerValues, partial_windows(rows))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._closed(timerValues, [])
+
+    def _closed(self, timerValues, parts: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        until, state = timerValues.getCurrentWatermarkInMs() * 1000, self.held.get()
+        if not parts and (state is None or state[0] >= until):
+            return
+        if state is not None:
+            parts = [pa.ipc.open_stream(bytes(state[1])).read_pandas(), *parts]
+        every = merge_windows(parts)
+        closed = every["window_end"] <= until
+        if closed.any():
+            yield every[closed]
+        kept = every[~closed]
+        if kept.empty:
+            self.held.clear()
+            return
+        table, sink = pa.Table.from_pandas(kept, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        self.held.update((until, sink.getvalue().to_pybytes()))
+        self.handle.registerTimer(int(-(-kept["window_end"].min() // 1000)))
+
+    def close(self) -> None:
+        pass
+
+
+def _with_window(merged: DataFrame, size: int) -> DataFrame:
+    end = F.col("window_end")
+    return merged.withColumn("window", F.struct(
+        F.timestamp_micros(end - size).alias("start"), F.timestamp_micros(end).alias("end")))
+
+
+def _group() -> Column:
+    return F.pmod(F.xxhash64(STATION_KEY), F.lit(GROUPS)).alias("of")
+
+
+def windows_of_readings(readings: DataFrame, size: str, slide: str) -> DataFrame:
+    """Windows of a stream's readings (with a watermark on ``dateTime``), each put out once the
+    watermark passes it.
+
+    Stations are dealt to groups by a hash. State is read and written once for each group in a
+    micro-batch, and not once for each window. A late reading is dropped from the windows that
+    the watermark has passed and counts in the others: ``at`` carries the watermark, for Spark to
+    compare it.
+    """
+    rows = readings.select(STATION_KEY, "value", F.window("dateTime", size, slide)).select(
+        _group(), STATION_KEY, "value", F.unix_micros("window.end").alias("window_end"),
+        F.window_time("window").alias("at"))
+    merged = rows.groupBy("of").transformWithStateInPandas(
+        ReadingWindows(), WINDOW, "Append", "EventTime")
+    return _with_window(merged, pd.Timedelta(size).value // 1000)
+
+
 def windows_of_panes(panes: DataFrame, size: str, slide: str) -> DataFrame:
     """Windows over the closed ``pane``s of a stream, each put out once the watermark passes it.
 
@@ -111,10 +201,7 @@ def windows_of_panes(panes: DataFrame, size: str, slide: str) -> DataFrame:
     """
     micros = {"size": pd.Timedelta(size).value // 1000, "slide": pd.Timedelta(slide).value // 1000}
     rows = panes.select(
-        F.pmod(F.xxhash64(STATION_KEY), F.lit(GROUPS)).alias("of"), STATION_KEY,
-        F.unix_micros("pane.end").alias("pane_end"), "n", "c", "mean", "m2")
+        _group(), STATION_KEY, F.unix_micros("pane.end").alias("pane_end"), "n", "c", "mean", "m2")
     merged = rows.groupBy("of").transformWithStateInPandas(
         PaneWindows(**micros), WINDOW, "Append", "EventTime")
-    end = F.col("window_end")
-    return merged.withColumn("window", F.struct(
-        F.timestamp_micros(end - micros["size"]).alias("start"), F.timestamp_micros(end).alias("end")))
+    return _with_window(merged, micros["size"])

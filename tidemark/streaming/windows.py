@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.stats import mean_std
 from tidemark.schemas import STATION_KEY
-from tidemark.streaming.panes import windows_of_panes
+from tidemark.streaming.panes import windows_of_panes, windows_of_readings
 
 # Default window geometry and lateness.
 WINDOW_SIZE = "10 minutes"
@@ -78,7 +78,28 @@ def paned_stats(
              F.coalesce(F.avg(value), F.lit(0.0)).alias("mean"),
              F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("m2"))
     )
-    merged = (windows_of_panes if events.isStreaming else _windows_of_table)(panes, size, slide)
+    return _moments((windows_of_panes if events.isStreaming else _windows_of_table)(panes, size, slide))
+
+
+def grouped_stats(
+    events: DataFrame,
+    size: str = WINDOW_SIZE,
+    slide: str = WINDOW_SLIDE,
+    delay: str = WATERMARK_DELAY,
+) -> DataFrame:
+    """:func:`windowed_stats` with a stream's open windows kept by groups of stations.
+
+    The direct form gets, puts, finds and removes a state row for each window, which is most of
+    its time where stations are many and windows hold few readings. On a stream
+    :mod:`tidemark.streaming.panes` keeps one row for each group; a table has no state.
+    """
+    if not events.isStreaming:
+        return windowed_stats(events, size, slide, delay)
+    return _moments(windows_of_readings(events.withWatermark("dateTime", delay), size, slide))
+
+
+def _moments(merged: DataFrame) -> DataFrame:
+    """Merged count, mean and squares as the columns of :func:`windowed_stats`."""
     c, nan = F.col("c"), F.lit(float("nan"))
     return merged.select(
         STATION_KEY, "window", F.col("n").alias("n_readings_window"),
